@@ -256,8 +256,8 @@ def clean(df: DataFrame, ruleset: RuleSet, mode: str = "predicate", sample: int
 
     ``predicate`` drops exactly the rows that break a rule. ``by_value`` drops rows by
     comparing them with up to ``sample`` of the rule's failing values instead: other
-    failing values survive, rows without a value go too, and a listed null empties the
-    table. A table rule has no rows to drop, so its failure raises
+    failing values survive, rows without a value go too, a listed null empties the
+    table, and an action on the column counts as one on the rows. A table rule has no rows to drop, so its failure raises
     :class:`TableRuleError`, or is left to the report with ``on_table_failure="report"``.
 
     Rules are measured up front only where the outcome depends on it: a tolerance below
@@ -278,14 +278,15 @@ def clean(df: DataFrame, ruleset: RuleSet, mode: str = "predicate", sample: int
 
     staged = {r.rule_id: repeated_values(df, r.column) for r in acting if r.scope is Scope.UNIQUE}
     report = _report_with(df, ruleset, staged)
-    decisive = [r for r in acting if r.mostly < 1.0 or r.on_failure is OnFailure.DISCARD_COLUMN]
+    by_row = [r for r in acting if mode == "by_value" or r.on_failure is OnFailure.DISCARD_ROW]
+    decisive = [r for r in acting if r.mostly < 1.0 or r not in by_row]
     if decisive:
         rows = report.collect()  # one row per rule
         report = df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
         passed = {r["rule_id"] for r in rows if r["success"]}
         acting = [r for r in acting if r not in decisive or r.rule_id not in passed]
 
-    discarding = [r for r in acting if r.on_failure is OnFailure.DISCARD_ROW]
+    discarding = [r for r in acting if r in by_row]
     base = df
     for r in discarding:
         if r.scope is Scope.UNIQUE:
@@ -305,7 +306,7 @@ def clean(df: DataFrame, ruleset: RuleSet, mode: str = "predicate", sample: int
     failed = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
     own = [F.col(quoted(c)) for c in df.columns]
     kept = base.where(accepted).select(*own)
-    for path in {r.column: None for r in acting if r.on_failure is OnFailure.DISCARD_COLUMN}:
+    for path in {r.column: None for r in acting if r not in by_row}:
         kept = _drop_path(kept, path)
     rejected = base.where(~accepted).select(*own, failed.alias(FAILED_RULES))
     flagged = base.select(*own, failed.alias(FAILED_RULES))

@@ -1,0 +1,291 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from feedquality import (ConfigError, TableRuleError, clean, failing_values, failures, observe_rules,
+                         quality_report, required_rules, verdict, write_connector)
+from feedquality.operators import quality
+from feedquality.operators.quality import mark_repeated, repeated_values
+from feedquality.plans.queries import rule, suite
+from tests.fixtures import PURCHASES, USERS, frame, models, suites
+
+
+def ids(df, column="id"):
+    return sorted(r[column] for r in df.collect())
+
+
+def report_of(report):
+    return {r["rule_id"]: r for r in report.collect()}
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    return spark.createDataFrame(
+        [(1, "aaaaaa"), (2, "bb"), (3, None), (4, "bb"), (5, "cccccc"), (6, "cccccc"), (7, "dddddd"), (8, None)],
+        "id int, v string")
+
+
+NN = rule("ColumnValuesToNotBeNull", "v", "nn")
+LEN = rule("ColumnValueLengthsToEqual", "v", "len", value=6)
+UNIQUE = rule("ColumnValuesToBeUnique", "v", "uniq")
+
+
+# --- the suites of the job on their edge rows ------------------------------------------
+
+
+def test_user_edge_rows(spark):
+    result = clean(frame(spark, USERS, models()[0]), suites()[0])
+    assert ids(result.kept, "user_id") == ["U01", "U02", "U03", "U06"]
+    why = {r["user_name"]: r["failed_rules"] for r in result.rejected.collect()}
+    assert why == {"Di": ["ExpectColumnValuesToNotBeNull(user_address)"],
+                   "Ed": ["ExpectColumnValuesToNotBeNull(user_id)"],
+                   "Fay": ["ExpectColumnValueLengthsToEqual(user_id)"]}
+
+
+def test_purchase_edge_rows(spark):
+    result = clean(frame(spark, PURCHASES, models()[1]), suites()[1])
+    assert sorted(r["Quantity"] for r in result.kept.collect()) == [2, 3, 5, 7]
+    assert result.rejected.count() == 3
+    assert report_of(result.report)["ExpectColumnValuesToNotBeNull(Quantity)"]["unexpected_count"] == 1
+
+
+def test_required_columns_of_the_users(spark):
+    model = models()[0]
+    kept = clean(frame(spark, USERS, model), required_rules(model)).kept
+    assert ids(kept, "user_name") == ["Ann", "Bo", "Cy", "Fay"]
+    kept = clean(frame(spark, USERS, model), required_rules(model, nested=False)).kept
+    assert ids(kept, "user_name") == ["Ann", "Bo", "Cy", "Fay", "Gil"]
+
+
+def test_by_value_repeats_the_three_valued_discard(spark):
+    """A failed not-null rule lists null, and nothing differs from null."""
+    model, rules = models()[0], suites()[0]
+    assert clean(frame(spark, USERS, model), rules, mode="by_value").kept.isEmpty()
+
+
+# --- report ---------------------------------------------------------------------------
+
+
+def test_report_counts(rows):
+    report = report_of(quality_report(rows, suite(NN, LEN, UNIQUE, rule("ColumnValuesToBeNull", "v", "null"))))
+    assert [report["nn"][c] for c in ("element_count", "missing_count", "unexpected_count")] == [8, 0, 2]
+    assert [report["len"][c] for c in ("element_count", "missing_count", "unexpected_count")] == [8, 2, 2]
+    assert [report["uniq"][c] for c in ("element_count", "missing_count", "unexpected_count")] == [8, 2, 4]
+    assert [report["null"][c] for c in ("element_count", "missing_count", "unexpected_count")] == [8, 0, 6]
+    assert report["len"]["unexpected_percent"] == pytest.approx(100 * 2 / 6)
+    assert not any(r["success"] for r in report.values())
+
+
+def test_report_schema_is_the_same_for_every_scope(rows):
+    wanted = rows.sparkSession.createDataFrame([], quality.REPORT_SCHEMA).dtypes
+    for rules in ([NN], [UNIQUE], [rule("ColumnToExist", "v")], [], [NN, UNIQUE, rule("ColumnToExist", "w")]):
+        report = quality_report(rows, suite(*rules))
+        assert report.dtypes == wanted
+        assert report.count() == len(rules)
+
+
+@pytest.mark.parametrize("mostly, success", [(0.66, True), (4 / 6, True), (0.67, False), (0.0, True), (1.0, False)])
+def test_mostly_divides_by_evaluated_rows(rows, mostly, success):
+    spec = rule("ColumnValueLengthsToEqual", "v", "len", value=6, mostly=mostly)
+    assert report_of(quality_report(rows, suite(spec)))["len"]["success"] is success
+
+
+def test_nothing_evaluated_is_a_success(rows):
+    empty = rows.where("id < 0")
+    report = quality_report(empty, suite(NN, LEN, UNIQUE))
+    assert all(r["success"] and r["unexpected_percent"] == 0.0 for r in report.collect())
+    nulls = rows.where("v is null")
+    report = report_of(quality_report(nulls, suite(NN, LEN, UNIQUE)))
+    assert report["len"]["success"] and report["uniq"]["success"] and not report["nn"]["success"]
+
+
+def test_table_rules_and_missing_columns(rows):
+    report = report_of(quality_report(rows, suite(
+        rule("ColumnToExist", "v", "there"), rule("ColumnToExist", "w", "absent"),
+        rule("ColumnValuesToBeOfType", "id", "int", type="IntegerType"),
+        rule("ColumnValuesToBeOfType", "id", "long", type="bigint"),
+        rule("ColumnValuesToNotBeNull", "w", "no column"), rule("ColumnValuesToBeUnique", "w", "no column 2"))))
+    assert {k: r["success"] for k, r in report.items()} == {
+        "there": True, "absent": False, "int": True, "long": False, "no column": False, "no column 2": False}
+    assert all(r["element_count"] is None and r["unexpected_count"] is None for r in report.values())
+
+
+def test_verdict_and_failures(rows):
+    bad = quality_report(rows, suite(NN, rule("ColumnToExist", "v")))
+    assert verdict(bad).first()["success"] is False
+    assert ids(failures(bad), "rule_id") == ["nn"]
+    assert verdict(quality_report(rows, suite(rule("ColumnToExist", "v")))).first()["success"] is True
+    assert verdict(quality_report(rows, suite())).first()["success"] is True
+
+
+def test_observed_counts_are_those_of_the_unfiltered_input(rows):
+    rules = suite(NN, LEN, rule("ColumnToExist", "v", "there"))
+    observed = observe_rules(rows, rules)
+    write_connector(clean(observed.df, rules).kept, "noop", {}, "overwrite")
+    assert sorted(observed.report().collect()) == sorted(quality_report(rows, rules).collect())
+    with pytest.raises(ConfigError):
+        observe_rules(rows, suite(UNIQUE))
+
+
+# --- enforcement --------------------------------------------------------------------------
+
+
+def test_reasons_and_flags(rows):
+    result = clean(rows, suite(NN, LEN, UNIQUE))
+    assert ids(result.kept) == [1, 7]
+    assert {r["id"]: r["failed_rules"] for r in result.flagged.collect()} == {
+        1: [], 2: ["len", "uniq"], 3: ["nn"], 4: ["len", "uniq"], 5: ["uniq"], 6: ["uniq"], 7: [], 8: ["nn"]}
+    assert result.kept.columns == rows.columns
+
+
+def test_rules_judge_the_unfiltered_input(spark):
+    """The twin that another rule removes still makes its copy a repeated value."""
+    df = spark.createDataFrame([(1, "a", "x"), (2, "a", None), (3, "b", "y")], "id int, v string, w string")
+    result = clean(df, suite(UNIQUE, rule("ColumnValuesToNotBeNull", "w")))
+    assert ids(result.kept) == [3]
+
+
+def test_unique_leaves_nulls_alone(rows):
+    assert ids(clean(rows, suite(UNIQUE)).kept) == [1, 3, 7, 8]
+
+
+@pytest.mark.parametrize("mostly, expected", [(0.5, [1, 2, 3, 4, 5, 6, 7, 8]), (0.9, [1, 3, 5, 6, 7, 8])])
+def test_tolerated_failures_discard_nothing(rows, mostly, expected):
+    assert ids(clean(rows, suite(rule("ColumnValueLengthsToEqual", "v", value=6, mostly=mostly))).kept) == expected
+
+
+@pytest.mark.parametrize("mostly, expected", [(0.3, [1, 2, 3, 4, 5, 6, 7, 8]), (0.5, [1, 3, 7, 8])])
+def test_tolerated_copies(rows, mostly, expected):
+    assert ids(clean(rows, suite(rule("ColumnValuesToBeUnique", "v", mostly=mostly))).kept) == expected
+
+
+def test_rules_without_action_only_report(rows):
+    result = clean(rows, suite(rule("ColumnValuesToNotBeNull", "v", action="none")))
+    assert result.kept.count() == 8 and result.rejected.isEmpty()
+    assert result.report.first()["success"] is False
+
+
+def test_discard_column(spark):
+    df = spark.sql("select 1 as id, 'a' as v, named_struct('x', cast(null as int), 'y', 1) as s")
+    result = clean(df, suite(rule("ColumnValuesToNotBeNull", "v", action="column"),
+                             rule("ColumnValuesToNotBeNull", "s.x", action="column")))
+    assert result.kept.schema.simpleString() == "struct<id:int,v:string,s:struct<y:int>>"
+    result = clean(df, suite(rule("ColumnValuesToBeNull", "v", action="column")))
+    assert result.kept.columns == ["id", "s"] and result.kept.count() == 1
+
+
+def test_table_rule_with_an_action(rows):
+    rules = suite(rule("ColumnToExist", "w"), NN)
+    with pytest.raises(TableRuleError):
+        clean(rows, rules)
+    assert clean(rows, rules, on_table_failure="report").kept.count() == 6
+    with pytest.raises(TableRuleError):
+        clean(rows, suite(rule("ColumnValuesToNotBeNull", "w")))
+    for options in ({"mode": "other"}, {"on_table_failure": "other"}):
+        with pytest.raises(ConfigError):
+            clean(rows, rules, **options)
+
+
+@pytest.mark.parametrize("specs, options, expected", [
+    ([LEN], {}, [1, 5, 6, 7]),                              # nulls vanish with the listed values
+    ([NN], {}, []),                                         # a listed null empties the table
+    ([UNIQUE], {}, [1, 7]),
+    ([UNIQUE], {"sample": 1}, [1, 5, 6, 7]),                # bb before cccccc: same count, smaller value
+    ([rule("ColumnValueLengthsToEqual", "v", value=6, action="column")], {}, [1, 5, 6, 7]),
+    ([rule("ColumnValuesToBeNull", "v")], {}, []),          # drops the bad values and the nulls it wanted
+    ([rule("ColumnValueLengthsToEqual", "v", value=6, mostly=0.5)], {}, [1, 2, 3, 4, 5, 6, 7, 8]),
+    ([rule("ColumnValueLengthsToBeBetween", "v", min_value=1, max_value=9)], {}, [1, 2, 3, 4, 5, 6, 7, 8]),
+])
+def test_by_value(rows, specs, options, expected):
+    result = clean(rows, suite(*specs), mode="by_value", **options)
+    assert ids(result.kept) == expected
+    assert ids(result.rejected) == sorted(set(range(1, 9)) - set(expected))
+
+
+def test_by_value_on_structs_and_dates(spark):
+    df = spark.sql("select 1 as id, named_struct('a', 1, 'b', 'x') as s, date'2024-01-01' as d"
+                   " union all select 2, named_struct('a', 2, 'b', 'y'), date'2024-01-02'"
+                   " union all select 3, null, null")
+    assert ids(clean(df, suite(rule("ColumnValuesToBeNull", "s")), mode="by_value", sample=1).kept) == [2]
+    assert ids(clean(df, suite(rule("ColumnValuesToBeNull", "d")), mode="by_value", sample=1).kept) == [2]
+
+
+# --- repeated values beyond the broadcast bound --------------------------------------------------
+
+
+@pytest.mark.parametrize("bound", [0, 1, 2, 100_000])
+def test_marking_does_not_depend_on_the_broadcast_bound(spark, monkeypatch, bound):
+    monkeypatch.setattr(quality, "BROADCAST_KEYS", bound)
+    values = ["hot"] * 300 + ["warm"] * 20 + ["twice", "twice"] + [f"v{i}" for i in range(50)] + [None] * 100
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v string").repartition(7)
+    marked = mark_repeated(df, "v", repeated_values(df, "v"), "again").collect()
+    count = Counter(values)
+    assert len(marked) == len(values)
+    assert sorted(r["id"] for r in marked) == list(range(len(values)))
+    assert all(r["again"] == (r["v"] is not None and count[r["v"]] > 1) for r in marked)
+
+
+def test_hot_and_null_rows_are_not_shuffled(spark, monkeypatch):
+    """Beyond the bound, the rows of the hottest values and those without one stay put."""
+    monkeypatch.setattr(quality, "BROADCAST_KEYS", 1)
+    df = spark.range(4000).select("id", F.when(F.col("id") < 2000, "hot").when(F.col("id") < 3000, None)
+                                  .otherwise(F.expr("concat('p', id div 2)")).alias("v"))
+    marked = mark_repeated(df, "v", repeated_values(df, "v"), "again")
+    plan = marked._jdf.queryExecution().toString()
+    assert "Union" in plan
+    assert marked.where("again").count() == 3000
+
+
+# --- failing values --------------------------------------------------------------------------------
+
+
+def test_failing_values_are_ranked_and_capped(rows):
+    top = failing_values(rows, suite(NN, LEN, UNIQUE), n=1).collect()
+    assert sorted((r["rule_id"], r["value"], r["count"]) for r in top) == [
+        ("len", "bb", 2), ("nn", None, 2), ("uniq", "bb", 2)]
+    assert failing_values(rows, suite(rule("ColumnToExist", "v"))).isEmpty()
+
+
+def test_failing_values_of_numbers_and_structs(spark):
+    df = spark.sql("select 1 as n, named_struct('a', 1) as s union all select 2, null union all select 2, null")
+    found = failing_values(df, suite(rule("ColumnValuesToBeBetween", "n", "range", min=None, max=1),
+                                     rule("ColumnValuesToNotBeNull", "s", "filled")))
+    assert sorted((r["rule_id"], r["value"], r["count"]) for r in found.collect()) == [
+        ("filled", None, 2), ("range", "2", 2)]
+
+
+# --- properties ---------------------------------------------------------------------------------------
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.none(), st.sampled_from(["a", "bb", "ccc", "dd", "x1"])), max_size=25),
+       tolerance=st.sampled_from([1.0, 0.5]))
+def test_partition_counts_and_idempotence(spark, values, tolerance):
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v string")
+    rules = suite(NN, rule("ColumnValueLengthsToBeBetween", "v", "len", min_value=2, max_value=3),
+                  rule("ColumnValuesToMatchRegex", "v", "re", regex="[a-d]", mostly=tolerance), UNIQUE)
+    result = clean(df, rules)
+    kept, rejected = ids(result.kept), result.rejected.collect()
+    assert sorted(kept + [r["id"] for r in rejected]) == list(range(len(values)))
+    carried = Counter(i for r in rejected for i in r["failed_rules"])
+    for r in result.report.collect():
+        assert carried[r["rule_id"]] == (0 if r["success"] else r["unexpected_count"])
+    assert sorted(result.report.collect()) == sorted(quality_report(df, rules).collect())
+    # brute force
+    count = Counter(values)
+
+    def good(v):
+        if v is None:
+            return False
+        return 2 <= len(v) <= 3 and count[v] == 1
+    evaluated = [v for v in values if v is not None]
+    hits = [v for v in evaluated if any(c in "abcd" for c in v)]
+    regex_failed = bool(evaluated) and len(hits) / len(evaluated) < tolerance
+    expected = [i for i, v in enumerate(values) if good(v) and (not regex_failed or v in hits)]
+    assert kept == expected
+    if tolerance == 1.0:
+        assert ids(clean(result.kept, rules).kept) == kept

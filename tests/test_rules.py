@@ -1,0 +1,134 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedquality import ConfigError, OnFailure, Rule, RuleSet, Scope, TableModel, clean, required_rules
+from feedquality.plans.queries import USER_MODEL, purchase_suite, rule, suite
+from feedquality.rules import KINDS, type_matches
+
+
+@pytest.fixture(scope="module")
+def words(spark):
+    return spark.createDataFrame(
+        [(1, "abc", 5), (2, "abcd", 15), (3, None, None), (4, "", 10), (5, "bcd7", 20)],
+        "id int, word string, n bigint")
+
+
+def kept(df, *rules, **options):
+    return sorted(r["id"] for r in clean(df, suite(*rules), **options).kept.collect())
+
+
+@pytest.mark.parametrize("spec, expected", [
+    (rule("ColumnValueLengthsToEqual", "word", value=4), [2, 3, 5]),
+    (rule("ColumnValueLengthsToEqual", "n", value=2), [2, 3, 4, 5]),
+    (rule("ColumnValueLengthsToBeBetween", "word", min_value=1, max_value=3), [1, 3]),
+    (rule("ColumnValueLengthsToBeBetween", "word", min_value=None, max_value=3), [1, 3, 4]),
+    (rule("ColumnValueLengthsToBeBetween", "word", min_value=4, max_value=None), [2, 3, 5]),
+    (rule("ColumnValuesToMatchRegex", "word", regex="bc"), [1, 2, 3, 5]),
+    (rule("ColumnValuesToMatchRegex", "word", regex="^bc"), [3, 5]),
+    (rule("ColumnValuesToMatchRegex", "n", regex="5$"), [1, 2, 3]),
+    (rule("ColumnValuesToMatchRegexList", "word", regex_list=["^a", "7"], match_on="any"), [1, 2, 3, 5]),
+    (rule("ColumnValuesToMatchRegexList", "word", regex_list=["d", "^b"], match_on="all"), [3, 5]),
+    (rule("ColumnValuesToBeInSet", "word", value_set=["abc", "", None]), [1, 3, 4]),
+    (rule("ColumnValuesToBeInSet", "word", value_set=[]), [3]),
+    (rule("ColumnValuesToBeInSet", "n", value_set=[5, "20", "x", 15.5]), [1, 3, 5]),
+    (rule("ColumnValuesToBeInSet", "word", value_set=[str(i) for i in range(50)] + ["abc"]), [1, 3]),
+    (rule("ColumnValuesToBeBetween", "n", min=10, max=15), [2, 3, 4]),
+    (rule("ColumnValuesToBeBetween", "n", min_value=None, max_value=10), [1, 3, 4]),
+    (rule("ColumnValuesToNotBeNull", "word"), [1, 2, 4, 5]),
+    (rule("ColumnValuesToBeNull", "word"), [3]),
+    (rule("ColumnValuesToBeUnique", "word"), [1, 2, 3, 4, 5]),
+])
+def test_kept_rows(words, spec, expected):
+    assert kept(words, spec) == expected
+
+
+def test_all_means_separate_searches(spark):
+    df = spark.createDataFrame([(1, "x7-y"), (2, "y-x7"), (3, "x7")], "id int, word string")
+    assert kept(df, rule("ColumnValuesToMatchRegexList", "word", regex_list=["x7", "y"], match_on="all")) == [1, 2]
+
+
+def test_predicates_are_never_null(spark, words):
+    for name, kind in KINDS.items():
+        if kind.scope is not Scope.ROW:
+            continue
+        args = {"value": 3, "min_value": 1, "max_value": 3, "regex": "a", "regex_list": ["a"], "match_on": "any",
+                "value_set": ["a"]}
+        for column in ("word", "n"):
+            if name == "ExpectColumnValuesToBeBetween" and column == "word":
+                continue
+            good = Rule(name, column, args).good(words.schema)
+            assert words.where(good.isNull()).isEmpty(), (name, column)
+
+
+@pytest.mark.parametrize("entry", [
+    {"expectation_name": "ExpectSomethingElse", "args": {"column": "a"}, "meta": {}},
+    {"expectation_name": "ExpectColumnValueLengthsToEqual", "args": {"column": "a"}, "meta": {}},
+    {"expectation_name": "ExpectColumnValuesToNotBeNull", "args": {}, "meta": {}},
+    {"args": {"column": "a"}, "meta": {}},
+    {"expectation_name": "ExpectColumnValuesToNotBeNull", "args": {"column": "a", "mostly": 1.5}, "meta": {}},
+    {"expectation_name": "ExpectColumnValuesToBeOfType", "args": {"column": "a", "type": "OddType"}, "meta": {}},
+])
+def test_unusable_rules_are_refused(spark, entry):
+    with pytest.raises(ConfigError):
+        RuleSet.from_json({"expectation_suite_name": "s", "expectations": [entry]})
+
+
+@pytest.mark.parametrize("spec", [
+    rule("ColumnValuesToMatchRegexList", "word", regex_list=["a"], match_on="some"),
+    rule("ColumnValuesToMatchRegexList", "word", regex_list=[], match_on="any"),
+    rule("ColumnValueLengthsToBeBetween", "word", min_value=None, max_value=None),
+])
+def test_unusable_arguments_are_refused(words, spec):
+    with pytest.raises(ConfigError):
+        clean(words, suite(spec))
+
+
+def test_suite_file(spark, tmp_path):
+    path = tmp_path / "suite.json"
+    path.write_text(json.dumps({"data_asset_type": "dataframe", "expectation_suite_name": "mine", "expectations": [
+        rule("ColumnToExist", "a"), rule("ColumnValuesToNotBeNull", "a", mostly=1),
+        rule("ColumnValuesToNotBeNull", "a", action="none"), rule("ColumnValuesToNotBeNull", "b", action="column")]}))
+    rules = RuleSet.from_json(path)
+    assert rules.name == "mine"
+    assert [r.rule_id for r in rules] == [
+        "ExpectColumnToExist(a)", "ExpectColumnValuesToNotBeNull(a)", "ExpectColumnValuesToNotBeNull(a)#2",
+        "ExpectColumnValuesToNotBeNull(b)"]
+    assert [r.on_failure for r in rules] == [OnFailure.DISCARD_ROW, OnFailure.DISCARD_ROW, OnFailure.NONE,
+                                             OnFailure.DISCARD_COLUMN]
+    with pytest.raises(ConfigError):
+        RuleSet.from_json({"expectation_suite_name": "no rules"})
+
+
+def test_job_suites_compile(spark):
+    assert [r.scope for r in purchase_suite(3)] == [Scope.TABLE] * 3 + [Scope.ROW] * 3
+
+
+def test_type_matches(spark):
+    from pyspark.sql import types as T
+    assert type_matches(T.LongType(), "LongType") and type_matches(T.LongType(), "bigint")
+    assert type_matches(T.DecimalType(12, 2), "DecimalType") and type_matches(T.DecimalType(12, 2), "decimal(12,2)")
+    assert not type_matches(T.DecimalType(12, 2), "decimal(10,2)") and not type_matches(T.IntegerType(), "LongType")
+
+
+def test_required_rules_cover_nested_paths(spark):
+    model = TableModel.from_json(USER_MODEL, "users")
+    assert [r.column for r in required_rules(model)] == list(model.required)
+    assert [r.column for r in required_rules(model, nested=False)] == ["user_id", "user_name", "user_address"]
+
+
+def test_names_with_dots_and_spaces(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, "b")], ["id", "a.b", "c d"])
+    assert kept(df, rule("ColumnValuesToNotBeNull", "a.b")) == [1]
+    assert kept(df, rule("ColumnValuesToNotBeNull", "c d")) == [2]
+
+
+def test_struct_column_and_path(spark):
+    df = spark.sql("select 1 as id, named_struct('city', 'Pune') as a union all"
+                   " select 2, named_struct('city', cast(null as string)) union all select 3, null")
+    assert kept(df, rule("ColumnValuesToNotBeNull", "a")) == [1, 2]
+    assert kept(df, rule("ColumnValuesToNotBeNull", "a.city")) == [1]
+    assert df.where(F.col("a").isNull()).count() == 1
