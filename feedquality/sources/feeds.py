@@ -17,6 +17,10 @@ FORMATS = {"json": "json", "csv": "csv", "txt": "text", "text": "text", "parquet
 
 CORRUPT = "_corrupt_record"
 
+# What the text of an unparsable line is called once it is set aside; Spark's own name
+# for it would be taken for a parse failure when the quarantine is read back.
+RAW_RECORD = "raw_record"
+
 
 def format_of(path: str) -> str:
     """Format by the text after the last dot of ``path``."""
@@ -88,13 +92,14 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """The parsed rows, and the unparsable ones marked ``corrupt_record``.
 
     Spark will not scan raw files for the corrupt column alone, so the second frame
-    keeps the other columns as well.
+    keeps the other columns as well; its text is in ``raw_record``.
     """
     if CORRUPT not in df.columns:
         return df, None
     columns = [F.col(quoted(c)) for c in df.columns if c != CORRUPT]
     good = df.where(F.col(CORRUPT).isNull()).select(*columns)
-    bad = df.where(F.col(CORRUPT).isNotNull()).withColumn(FAILED_RULES, F.array(F.lit("corrupt_record")))
+    bad = df.where(F.col(CORRUPT).isNotNull()).select(
+        *columns, F.col(CORRUPT).alias(RAW_RECORD), F.array(F.lit("corrupt_record")).alias(FAILED_RULES))
     return good, bad
 
 

@@ -86,7 +86,7 @@ def test_corrupt_line(spark, tmp_path):
     good, bad = split_corrupt(read(spark, path, model, "declared"))
     assert check_schema(good, model).ok
     assert [r["Quantity"] for r in good.collect()] == [2]
-    assert [(r["_corrupt_record"], r["failed_rules"]) for r in bad.collect()] == [("{bad", ["corrupt_record"])]
+    assert [(r["raw_record"], r["failed_rules"]) for r in bad.collect()] == [("{bad", ["corrupt_record"])]
 
 
 def test_all_null_quantity(spark, tmp_path):
@@ -156,7 +156,7 @@ def test_declared_csv_keeps_a_bad_line_aside(spark, tmp_path):
     path.write_text(CSV + "2024-01-02,002,pen,many,1.5,4.5\n")
     good, bad = split_corrupt(read(spark, path, model, "declared"))
     assert [r["user_id"] for r in good.collect()] == ["001"]
-    assert [r["_corrupt_record"] for r in bad.collect()] == ["2024-01-02,002,pen,many,1.5,4.5"]
+    assert [r["raw_record"] for r in bad.collect()] == ["2024-01-02,002,pen,many,1.5,4.5"]
 
 
 def test_text(spark, tmp_path):
