@@ -44,6 +44,9 @@ LEFT, RIGHT = "leftView", "rightView"
 # A key group up to this many rows is ordinary work for one task.
 HOT_KEY_ROWS = 5_000_000
 
+# Keys one sketch keeps apart, some 50 kilobytes per task.
+SKETCH_ITEMS = 4096
+
 On = str | Column | Sequence[str] | Sequence[tuple[str, str]]
 
 
@@ -69,22 +72,30 @@ def _pairs(on: On, left: DataFrame, right: DataFrame) -> list[tuple[str, str]] |
     return [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in on]
 
 
-def _largest_group(df: DataFrame, keys: list[str], null_safe: bool, count_nulls: bool) -> int:
-    """Rows behind the most frequent key; a pruned scan, counted map-side."""
-    columns = [F.col(quoted(k)) for k in dict.fromkeys(keys)]
+def _largest_group(df: DataFrame, keys: list[str], null_safe: bool, count_nulls: bool) -> DataFrame:
+    """One row, ``rows``: how many rows the most frequent key has.
+
+    A sketch per task over a pruned scan, merged in one small exchange. It finds every
+    key that holds more than a thousandth of the rows; that no key does reads as null.
+    Only the plan hangs on the answer, never the result.
+    """
+    columns = [quoted(k) for k in dict.fromkeys(keys)]
     rows = df.select(*columns)
     if not null_safe and not count_nulls:
-        rows = rows.where(reduce(and_, [c.isNotNull() for c in columns]))
-    counts = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.agg(F.coalesce(F.max("rows"), F.lit(0))).first()[0]
+        rows = rows.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
+    top = F.expr(f"approx_top_k(xxhash64({', '.join(columns)}), 1, {SKETCH_ITEMS})")
+    return rows.agg(top.alias("top")).selectExpr("try_element_at(top, 1).count as rows")
 
 
 def _too_hot(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], how: str,
              null_safe: bool, limit: int | None) -> bool:
     if limit is None:
         return False
-    exposed = {"left": [(right, 1)], "right": [(left, 0)], "full": [(left, 0), (right, 1)]}.get(how, [])
-    return any(_largest_group(df, [p[i] for p in pairs], null_safe, how == "full") > limit for df, i in exposed)
+    exposed = {"left": [(right, 1)], "right": [(left, 0)], "full": [(left, 0), (right, 1)]}.get(how)
+    if not exposed:
+        return False
+    groups = [_largest_group(df, [p[i] for p in pairs], null_safe, how == "full") for df, i in exposed]
+    return any((r["rows"] or 0) > limit for r in reduce(DataFrame.union, groups).collect())
 
 
 def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "inner",
@@ -98,8 +109,9 @@ def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "in
     other name both sides have gets ``suffixes``. Null keys match nothing unless
     ``null_safe``. Semi and anti joins return the left columns only.
 
-    An outer join on keys first measures the side it may fill with nulls (an outer join
-    on a condition cannot be measured); ``hot_key_rows=None`` skips that.
+    An outer join on keys first looks for a key with more than ``hot_key_rows`` rows on
+    the side it may fill with nulls, and is then put together from an inner join and anti
+    joins. ``None`` skips the look. A condition cannot be measured.
     """
     kind = join_type(how)
     pairs = _pairs(on, left, right)
@@ -150,18 +162,14 @@ def _outputs(joined: DataFrame, left: DataFrame, right: DataFrame, pairs: list[t
     if kind in ("left_semi", "left_anti"):
         return joined
     lefts, rights = _labels(left, right, pairs, suffixes)
+    if [*lefts.values(), *rights.values()] == joined.columns:
+        return joined
     shared = {a for a, b in pairs if a == b}
-
-    def key(name: str) -> Column:
-        if kind == "right":
-            return side(RIGHT, name)
-        if kind == "full":
-            return F.coalesce(side(LEFT, name), side(RIGHT, name))
-        return side(LEFT, name)
-
-    return joined.select(
-        *[(key(c) if c in shared else side(LEFT, c)).alias(label) for c, label in lefts.items()],
-        *[side(RIGHT, c).alias(label) for c, label in rights.items()])
+    source = {"right": f"{RIGHT}.{{0}}", "full": f"coalesce({LEFT}.{{0}}, {RIGHT}.{{0}})"}.get(kind, f"{LEFT}.{{0}}")
+    return joined.selectExpr(
+        *[(source if c in shared else f"{LEFT}.{{0}}").format(quoted(c)) + f" as {quoted(label)}"
+          for c, label in lefts.items()],
+        *[f"{RIGHT}.{quoted(c)} as {quoted(label)}" for c, label in rights.items()])
 
 
 def _padded(alone: DataFrame, left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],

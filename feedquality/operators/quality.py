@@ -7,9 +7,9 @@ filter, so accepted rows keep whatever push-down the source offers.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_
 from typing import Any
 
@@ -48,44 +48,50 @@ def _metrics(schema: T.StructType, rules: list[Rule]) -> list[Column]:
     return columns
 
 
-def _report_row(rule: Rule, n: Column, missing: Column, bad: Column, success: Column | None = None) -> Column:
-    evaluated = n - missing
-    if success is None:
-        success = (evaluated == 0) | ((evaluated - bad) / evaluated >= F.lit(rule.mostly))
-    percent = F.when(evaluated > 0, F.lit(100.0) * bad / evaluated).when(evaluated == 0, F.lit(0.0))
-    return F.struct(
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.expectation).alias("expectation"),
-        F.lit(rule.column).alias("column"),
-        n.cast("bigint").alias("element_count"),
-        missing.cast("bigint").alias("missing_count"),
-        bad.cast("bigint").alias("unexpected_count"),
-        percent.cast("double").alias("unexpected_percent"),
-        F.lit(rule.mostly).alias("mostly"),
-        success.alias("success"),
-        F.lit(rule.on_failure.value).alias("on_failure"),
-    )
-
-
-def _schema_row(rule: Rule, schema: T.StructType) -> Column:
+def _text(value: str) -> str:
+    """``value`` as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _entry(rule: Rule, n: str = "null", missing: str = "null", bad: str = "null", holds: str = "null") -> str:
+    """One rule and the SQL expressions of its counts, as a struct."""
+    values = {
+        "rule_id": _text(rule.rule_id), "expectation": _text(rule.expectation), "column": _text(rule.column),
+        "n": f"cast({n} as bigint)", "missing": f"cast({missing} as bigint)", "bad": f"cast({bad} as bigint)",
+        "mostly": f"{rule.mostly!r}D", "on_failure": _text(rule.on_failure.value),
+        "holds": f"cast({holds} as boolean)",
+    }
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in values.items()) + ")"
+
+
+def _schema_entry(rule: Rule, schema: T.StructType) -> str:
     """Verdict without counts: a table rule, or a rule whose column is not there."""
-    none = F.lit(None).cast("bigint")
-    success = rule.scope is Scope.TABLE and rule.holds_for(schema)
-    return _report_row(rule, none, none, none, F.lit(success))
+    return _entry(rule, holds=str(rule.scope is Scope.TABLE and rule.holds_for(schema)))
+
 
+def _report(metrics: DataFrame, entries: list[str]) -> DataFrame:
+    """Turn the one row of ``metrics`` into a report row per entry."""
+    raw = metrics.select(F.expr(f"inline(array({', '.join(entries)}))"))
+    return raw.selectExpr(
+        "rule_id", "expectation", "column", "n as element_count", "missing as missing_count",
+        "bad as unexpected_count",
+        "case when n > missing then 100D * bad / (n - missing) when n = missing then 0D end as unexpected_percent",
+        "mostly",
+        "coalesce(holds, case when n = missing then true else (n - missing - bad) / (n - missing) >= mostly end)"
+        " as success",
+        "on_failure")
 
-def _unpivot(metrics: DataFrame, schema: T.StructType, rules: list[Rule],
-             repeated: Mapping[str, Column]) -> DataFrame:
-    """One report row per rule out of the single row of metrics."""
-    rows = []
+
+def _unpivot(metrics: DataFrame, schema: T.StructType, rules: list[Rule], copies: Mapping[str, int]) -> DataFrame:
+    """One report row per rule out of the columns of :func:`_metrics`."""
+    entries = []
     for i, r in enumerate(rules):
         if r.scope is Scope.TABLE or not r.applies_to(schema):
-            rows.append(_schema_row(r, schema))
-            continue
-        missing = F.lit(0) if r.kind.sees_nulls else F.col(f"null_{i}")
-        bad = repeated[r.rule_id] if r.scope is Scope.UNIQUE else F.col(f"bad_{i}")
-        rows.append(_report_row(r, F.col("n"), missing, bad))
-    return metrics.select(F.inline(F.array(*rows)))
+            entries.append(_schema_entry(r, schema))
+        else:
+            bad = str(copies[r.rule_id]) if r.scope is Scope.UNIQUE else f"bad_{i}"
+            entries.append(_entry(r, "n", "0" if r.kind.sees_nulls else f"null_{i}", bad))
+    return _report(metrics, entries)
 
 
 def _unique_report(df: DataFrame, rule: Rule) -> DataFrame:
@@ -93,13 +99,9 @@ def _unique_report(df: DataFrame, rule: Rule) -> DataFrame:
     so a value that fills a third of the table reaches its reducer as one row per task."""
     key = match_key(column_at(df.schema, rule.column), field_type(df.schema, rule.column))
     per_value = df.select(key.alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("c"))
-    totals = per_value.agg(
-        F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("c"))), F.lit(0)).alias("missing"),
-        F.coalesce(F.sum(F.when(F.col("k").isNotNull() & (F.col("c") > 1), F.col("c"))), F.lit(0)).alias("bad"),
-    )
-    row = _report_row(rule, F.col("n"), F.col("missing"), F.col("bad"))
-    return totals.select(F.inline(F.array(row)))
+    totals = per_value.selectExpr("c", "if(k is null, c, 0) as empty", "if(k is not null and c > 1, c, 0) as again")
+    return _report(totals.agg(F.sum("c").alias("c"), F.sum("empty").alias("empty"), F.sum("again").alias("again")),
+                   [_entry(rule, "coalesce(c, 0)", "coalesce(empty, 0)", "coalesce(again, 0)")])
 
 
 def quality_report(df: DataFrame, ruleset: RuleSet) -> DataFrame:
@@ -117,7 +119,7 @@ def quality_report(df: DataFrame, ruleset: RuleSet) -> DataFrame:
         # the schema verdicts ride along with the one row of metrics
         parts.append(_unpivot(df.agg(*_metrics(schema, counted)), schema, counted + rest, {}))
     elif rest:
-        parts.append(df.sparkSession.range(1).select(F.inline(F.array(*[_schema_row(r, schema) for r in rest]))))
+        parts.append(_report(df.sparkSession.range(1), [_schema_entry(r, schema) for r in rest]))
     if not parts:
         return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
@@ -148,8 +150,8 @@ class ObservedRules:
     schema: T.StructType
 
     def report(self) -> DataFrame:
-        metrics = self.df.sparkSession.range(1).select(
-            *[F.lit(v).cast("bigint").alias(k) for k, v in self.observation.get.items()])
+        metrics = self.df.sparkSession.range(1).selectExpr(
+            *[f"{v}L as {k}" for k, v in self.observation.get.items()])
         return _unpivot(metrics, self.schema, list(self.rules), {})
 
 
@@ -206,16 +208,42 @@ def mark_repeated(df: DataFrame, column: str, repeated: DataFrame, marker: str)
 # --- enforcing ---------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
 class CleanResult:
-    """``kept`` has the accepted rows, ``rejected`` the others with the ids of the rules
+    """What :func:`clean` found; each frame is built when it is first asked for.
+
+    ``kept`` has the accepted rows, ``rejected`` the others with the ids of the rules
     they broke, ``flagged`` both at once (an empty array marks an accepted row) for
-    callers that want a single pass, ``report`` the measures of the unfiltered input."""
+    callers that want a single pass, ``report`` the measures of the unfiltered input.
+    """
 
-    kept: DataFrame
-    rejected: DataFrame
-    flagged: DataFrame
-    report: DataFrame
+    def __init__(self, base: DataFrame, columns: list[str], keep: Mapping[str, Column], dropped: list[str],
+                 report: Callable[[], DataFrame]) -> None:
+        self._base, self._keep, self._dropped, self._build_report = base, dict(keep), dropped, report
+        self._columns = [quoted(c) for c in columns]
+        self._accepted = reduce(and_, self._keep.values()) if self._keep else F.lit(True)
+
+    def _failed(self) -> Column:
+        if not self._keep:
+            return F.array().cast("array<string>").alias(FAILED_RULES)
+        reasons = [F.when(~p, F.lit(rule_id)) for rule_id, p in self._keep.items()]
+        return F.array_compact(F.array(*reasons)).alias(FAILED_RULES)
+
+    @cached_property
+    def kept(self) -> DataFrame:
+        rows = self._base.where(self._accepted).select(*self._columns)
+        return reduce(_drop_path, self._dropped, rows)
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        return self._base.where(~self._accepted).select(*self._columns, self._failed())
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        return self._base.select(*self._columns, self._failed())
+
+    @cached_property
+    def report(self) -> DataFrame:
+        return self._build_report()
 
 
 def _marker(rule: Rule) -> str:
@@ -257,8 +285,9 @@ def clean(df: DataFrame, ruleset: RuleSet, mode: str = "predicate", sample: int
     ``predicate`` drops exactly the rows that break a rule. ``by_value`` drops rows by
     comparing them with up to ``sample`` of the rule's failing values instead: other
     failing values survive, rows without a value go too, a listed null empties the
-    table, and an action on the column counts as one on the rows. A table rule has no rows to drop, so its failure raises
-    :class:`TableRuleError`, or is left to the report with ``on_table_failure="report"``.
+    table, and an action on the column counts as one on the rows. A table rule has no
+    rows to drop, so its failure raises :class:`TableRuleError`, or is left to the report
+    with ``on_table_failure="report"``.
 
     Rules are measured up front only where the outcome depends on it: a tolerance below
     one, a column to drop, a list of failing values. Otherwise the result is lazy, apart
@@ -277,15 +306,20 @@ def clean(df: DataFrame, ruleset: RuleSet, mode: str = "predicate", sample: int
     acting = [r for r in acting if r.scope is not Scope.TABLE and r.applies_to(schema)]
 
     staged = {r.rule_id: repeated_values(df, r.column) for r in acting if r.scope is Scope.UNIQUE}
-    report = _report_with(df, ruleset, staged)
     by_row = [r for r in acting if mode == "by_value" or r.on_failure is OnFailure.DISCARD_ROW]
     decisive = [r for r in acting if r.mostly < 1.0 or r not in by_row]
+
+    def report() -> DataFrame:
+        return _report_with(df, ruleset, staged)
+
     if decisive:
-        rows = report.collect()  # one row per rule
-        report = df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
+        rows = report().collect()  # one row per rule
         passed = {r["rule_id"] for r in rows if r["success"]}
         acting = [r for r in acting if r not in decisive or r.rule_id not in passed]
 
+        def report() -> DataFrame:
+            return df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
+
     discarding = [r for r in acting if r in by_row]
     base = df
     for r in discarding:
@@ -301,23 +335,15 @@ def clean(df: DataFrame, ruleset: RuleSet, mode: str = "predicate", sample: int
                                          _most_failing(base, ~good(r), r.column, sample))
                 for r in discarding}
 
-    accepted = reduce(and_, keep.values(), F.lit(True))
-    reasons = [F.when(~p, F.lit(rule_id)) for rule_id, p in keep.items()]
-    failed = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
-    own = [F.col(quoted(c)) for c in df.columns]
-    kept = base.where(accepted).select(*own)
-    for path in {r.column: None for r in acting if r not in by_row}:
-        kept = _drop_path(kept, path)
-    rejected = base.where(~accepted).select(*own, failed.alias(FAILED_RULES))
-    flagged = base.select(*own, failed.alias(FAILED_RULES))
-    return CleanResult(kept, rejected, flagged, report)
+    dropped = list(dict.fromkeys(r.column for r in acting if r not in by_row))
+    return CleanResult(base, df.columns, keep, dropped, report)
 
 
 def _report_with(df: DataFrame, ruleset: RuleSet, staged: Mapping[str, DataFrame]) -> DataFrame:
     """The report, taking the counts of unique rules from their staged values."""
     if not staged:
         return quality_report(df, ruleset)
-    counts = {rule_id: F.lit(s.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) for rule_id, s in staged.items()}
+    counts = {rule_id: s.agg(F.sum("n")).first()[0] or 0 for rule_id, s in staged.items()}
     known = [r for r in ruleset if r.scope is not Scope.UNIQUE or r.rule_id in staged]
     report = _unpivot(df.agg(*_metrics(df.schema, known)), df.schema, known, counts)
     rest = RuleSet(ruleset.name, tuple(r for r in ruleset if r not in known))
