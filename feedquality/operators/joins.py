@@ -3,9 +3,9 @@
 The physical strategy is Spark's: a side below the broadcast threshold is sent round,
 anything else is shuffled on the keys, and adaptive execution splits hot partitions.
 It can split both sides of an inner join and the kept side of an outer, semi or anti
-join. The other side of an outer join it cannot split, so :func:`join_tables` checks
-that side's largest key group and, when it is too big for one task, puts the same
-result together from joins that can be split.
+join. The other side of an outer join it cannot split, nor either side of a full one. So
+:func:`join_tables` looks for a key too big for one task there, and if it finds one puts
+the same result together from joins that can be split.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedquality.errors import ConfigError
 from feedquality.functions.columns import quoted
+from feedquality.session import stage
 
 # The join types a caller may write, and what they mean here. A cross
 # join always comes with a condition, which makes it an inner join.
@@ -72,7 +73,7 @@ def _pairs(on: On, left: DataFrame, right: DataFrame) -> list[tuple[str, str]] |
     return [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in on]
 
 
-def _largest_group(df: DataFrame, keys: list[str], null_safe: bool, count_nulls: bool) -> DataFrame:
+def _largest_group(df: DataFrame, keys: list[str], count_nulls: bool) -> DataFrame:
     """One row, ``rows``: how many rows the most frequent key has.
 
     A sketch per task over a pruned scan, merged in one small exchange. It finds every
@@ -81,21 +82,27 @@ def _largest_group(df: DataFrame, keys: list[str], null_safe: bool, count_nulls:
     """
     columns = [quoted(k) for k in dict.fromkeys(keys)]
     rows = df.select(*columns)
-    if not null_safe and not count_nulls:
+    if not count_nulls:
         rows = rows.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
     top = F.expr(f"approx_top_k(xxhash64({', '.join(columns)}), 1, {SKETCH_ITEMS})")
     return rows.agg(top.alias("top")).selectExpr("try_element_at(top, 1).count as rows")
 
 
-def _too_hot(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], how: str,
-             null_safe: bool, limit: int | None) -> bool:
-    if limit is None:
-        return False
-    exposed = {"left": [(right, 1)], "right": [(left, 0)], "full": [(left, 0), (right, 1)]}.get(how)
-    if not exposed:
-        return False
-    groups = [_largest_group(df, [p[i] for p in pairs], null_safe, how == "full") for df, i in exposed]
-    return any((r["rows"] or 0) > limit for r in reduce(DataFrame.union, groups).collect())
+def _hot_sides(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], kind: str,
+               null_safe: bool, limit: int | None) -> tuple[bool, bool]:
+    """Whether the left and the right side hold a key too big for one task, for an outer
+    join that adaptive execution could not split on its own; else ``(False, False)``."""
+    if limit is None or kind not in ("left", "right", "full"):
+        return False, False
+
+    def largest(df: DataFrame, i: int, kept: bool) -> DataFrame:
+        # a null key matches nothing, but the side that is kept moves its null rows too
+        return _largest_group(df, [p[i] for p in pairs], null_safe or kept)
+
+    found = largest(left, 0, kind != "right").union(largest(right, 1, kind != "left")).collect()
+    hot_left, hot_right = [(r["rows"] or 0) > limit for r in found]
+    splittable = {"left": not hot_right, "right": not hot_left, "full": not (hot_left or hot_right)}[kind]
+    return (False, False) if splittable else (hot_left, hot_right)
 
 
 def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "inner",
@@ -109,9 +116,9 @@ def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "in
     other name both sides have gets ``suffixes``. Null keys match nothing unless
     ``null_safe``. Semi and anti joins return the left columns only.
 
-    An outer join on keys first looks for a key with more than ``hot_key_rows`` rows on
-    the side it may fill with nulls, and is then put together from an inner join and anti
-    joins. ``None`` skips the look. A condition cannot be measured.
+    An outer join on keys first looks for a key with more than ``hot_key_rows`` rows where
+    it could not be split, and is then put together from other joins. ``None`` skips the
+    look. An outer join on a condition is left to Spark as it is.
     """
     kind = join_type(how)
     pairs = _pairs(on, left, right)
@@ -126,22 +133,27 @@ def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "in
         return a.eqNullSafe(b) if null_safe else a == b
 
     condition = reduce(and_, [equal(side(LEFT, a), side(RIGHT, b)) for a, b in pairs])
-    if not _too_hot(left, right, pairs, kind, null_safe, hot_key_rows):
+    hot_left, hot_right = _hot_sides(left, right, pairs, kind, null_safe, hot_key_rows)
+    if not (hot_left or hot_right):
         return _outputs(l.join(r, condition, kind), left, right, pairs, kind, suffixes)
 
-    # matches, then each kept side's rows whose key the other side does not hold
-    parts = [_outputs(l.join(r, condition, "inner"), left, right, pairs, "inner", suffixes)]
-    if kind in ("left", "full"):
-        alone = l.join(_distinct_keys(right, [b for _, b in pairs]).alias(RIGHT), condition, "left_anti")
-        parts.append(_padded(alone, left, right, pairs, suffixes, kept=LEFT))
-    if kind in ("right", "full"):
-        alone = r.join(_distinct_keys(left, [a for a, _ in pairs]).alias(LEFT), condition, "left_anti")
-        parts.append(_padded(alone, left, right, pairs, suffixes, kept=RIGHT))
+    # a join that can be split, then the rows it leaves out, found by anti joins that can
+    first = "inner" if kind != "full" or (hot_left and hot_right) else "left" if hot_left else "right"
+    parts = [_outputs(l.join(r, condition, first), left, right, pairs, first, suffixes)]
+    if kind in ("left", "full") and first != "left":
+        keys = _distinct_keys(right, [b for _, b in pairs], hot_left)
+        parts.append(_padded(l.join(keys.alias(RIGHT), condition, "left_anti"), left, right, pairs, suffixes, LEFT))
+    if kind in ("right", "full") and first != "right":
+        keys = _distinct_keys(left, [a for a, _ in pairs], hot_right)
+        parts.append(_padded(r.join(keys.alias(LEFT), condition, "left_anti"), left, right, pairs, suffixes, RIGHT))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _distinct_keys(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.select(*[F.col(quoted(n)) for n in dict.fromkeys(names)]).distinct()
+def _distinct_keys(df: DataFrame, names: list[str], staged: bool) -> DataFrame:
+    """The keys ``df`` holds. Adaptive execution splits a join only between plain
+    shuffles, not on top of an aggregate, so keys that meet a hot side are staged first."""
+    keys = df.select(*[F.col(quoted(n)) for n in dict.fromkeys(names)]).distinct()
+    return stage(keys, "keys") if staged else keys
 
 
 def _labels(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],

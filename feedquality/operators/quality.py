@@ -181,28 +181,28 @@ def repeated_values(df: DataFrame, column: str) -> DataFrame:
 def mark_repeated(df: DataFrame, column: str, repeated: DataFrame, marker: str) -> DataFrame:
     """Add the boolean ``marker``: this row's value is one of ``repeated``.
 
-    Few repeated values (the count is checked) go to every task and no row moves.
-    Beyond that only the most repeated ones do. Rows they settle, and rows without a
-    value, stay where they are; the others join on their key, and none of those keys
-    can hold more than one row in :data:`BROADCAST_KEYS`.
+    Few repeated values (the count is checked) go to every task and no row moves. Beyond
+    that only the hot ones do, those with more than their share of the repeated rows, of
+    which there are fewer than :data:`BROADCAST_KEYS` by arithmetic. Rows they settle,
+    and rows without a value, stay where they are; the others join on their key, and none
+    of those keys is hot.
     """
     key = match_key(column_at(df.schema, column), field_type(df.schema, column))
     k = f"{marker}_key"
     hits = repeated.select(F.col("k").alias(k), "n", F.lit(True).alias(marker))
-    many = repeated.count() > BROADCAST_KEYS
-    # the order is total, so both branches below see the same hot values
-    hot = hits.orderBy(F.desc("n"), k).limit(BROADCAST_KEYS) if many else hits
+    size = repeated.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows")).first()
     flag = F.coalesce(F.col(marker), F.lit(False))
 
     def joined(rows: DataFrame, values: DataFrame) -> DataFrame:
         return (rows.join(values.drop("n"), key == F.col(k), "left")
                 .withColumn(marker, flag).drop(k))
 
-    marked = joined(df, F.broadcast(hot))
-    if not many:
-        return marked
-    open_ = ~F.col(marker) & key.isNotNull()
-    return marked.where(~open_).unionByName(joined(marked.where(open_).drop(marker), hits))
+    if size["keys"] <= BROADCAST_KEYS:
+        return joined(df, F.broadcast(hits))
+    marked = joined(df, F.broadcast(hits.where(F.col("n") > size["rows"] / BROADCAST_KEYS)))
+    undecided = ~F.col(marker) & key.isNotNull()
+    return (marked.where(~undecided)
+            .unionByName(joined(marked.where(undecided).drop(marker), hits)))
 
 
 # --- enforcing ---------------------------------------------------------------------

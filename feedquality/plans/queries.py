@@ -107,9 +107,9 @@ def rule_length_open_ended_keep(spark, sf):
     return kept.select("doc_id", F.length("text").cast("bigint").alias("chars"))
 
 
-@query("select page_id, length(html) as chars from pages where regexp_matches(html, '<(table|nav)')")
+@query("select page_id, length(html) as chars from pages where regexp_matches(html, 'lang=\"(en|fr)\"')")
 def rule_regex_keep(spark, sf):
-    rules = suite(rule("ColumnValuesToMatchRegex", "html", regex="<(table|nav)"))
+    rules = suite(rule("ColumnValuesToMatchRegex", "html", regex='lang="(en|fr)"'))
     kept = clean(table(spark, sf, "pages").select("page_id", "html"), rules).kept
     return kept.select("page_id", F.length("html").cast("bigint").alias("chars"))
 

@@ -123,7 +123,8 @@ def test_hot_group_is_measured_on_the_side_that_cannot_be_split(spark):
     assert not split(join_tables(few, many, "k", "inner", hot_key_rows=0))
 
 
-def test_adaptive_execution_splits_a_hot_inner_join(spark):
+@pytest.fixture()
+def small_splits(spark):
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
                 "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -132,16 +133,54 @@ def test_adaptive_execution_splits_a_hot_inner_join(spark):
     before = {k: spark.conf.get(k) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
-    try:
-        facts = spark.range(0, 60_000, numPartitions=8).select(
-            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("k"), F.uuid().alias("pad"))
-        df = join_tables(facts, spark.range(1000).withColumnRenamed("id", "k"), "k")
-        assert df.count() == 60_000
-        df.collect()
-        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def hot_table(spark, n, pad, hot="7"):
+    key = F.when(F.col("id") % 3 == 0, F.expr(hot)).otherwise(F.col("id") % 1000)
+    return spark.range(0, n, numPartitions=8).select(key.alias("k"), F.uuid().alias(pad))
+
+
+def split_joins(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("skew=true")
+
+
+def test_adaptive_execution_splits_a_hot_inner_join(spark, small_splits):
+    df = join_tables(hot_table(spark, 60_000, "a"), spark.range(1000).withColumnRenamed("id", "k"), "k")
+    assert df.count() == 60_000 and split_joins(df) == 1
+
+
+@pytest.mark.parametrize("how, left, right, joins", [
+    ("left", 200, 60_000, 1),       # inner; the left rows without a match are few
+    ("right", 60_000, 200, 1),
+    ("full", 60_000, 200, 1),       # left outer
+    ("full", 200, 60_000, 1),       # right outer
+])
+def test_outer_joins_with_a_hot_key_are_split(spark, small_splits, how, left, right, joins):
+    def side(n, pad):
+        return hot_table(spark, n, pad) if n > 1000 else spark.range(900, 900 + n).select(
+            F.when(F.col("id") == 900, 7).otherwise(F.col("id")).alias("k"), F.lit("x").alias(pad))
+    tables = side(left, "a"), side(right, "b")
+    plain = join_tables(*tables, "k", how, hot_key_rows=None)
+    df = join_tables(*tables, "k", how, hot_key_rows=10_000)
+    assert split_joins(df) >= joins
+    assert df.groupBy("k").count().exceptAll(plain.groupBy("k").count()).isEmpty()
+    assert df.count() == plain.count()
+
+
+def test_null_rows_that_meet_a_hot_key_are_split_too(spark, small_splits):
+    """Both sides are hot: one with nulls, which the result keeps, one with a key."""
+    left, right = hot_table(spark, 60_000, "a", "null"), hot_table(spark, 60_000, "b")
+    right = right.where("k = 7 or k > 990")
+    for how in ("left", "full"):
+        df = join_tables(left, right, "k", how, hot_key_rows=10_000)
+        assert split_joins(df) >= 2
+        plain = join_tables(left, right, "k", how, hot_key_rows=None)
+        assert df.groupBy("k").count().exceptAll(plain.groupBy("k").count()).isEmpty()
+        assert df.count() == plain.count()
 
 
 @pytest.mark.parametrize("closed", ["left", "right", "both", "neither"])
