@@ -13,7 +13,8 @@ from feedquality.operators.joins import join_tables
 from feedquality.operators.quality import CleanResult, clean
 from feedquality.operators.rollup import group_agg
 from feedquality.operators.schema_gate import check_tables
-from feedquality.rules import RuleSet
+from feedquality.rules import RuleSet, Scope
+from feedquality.session import stage
 from feedquality.sinks.writers import SinkSpec, write_table
 from feedquality.sources.feeds import SourceSpec, read_table, require_feed, split_corrupt
 
@@ -30,7 +31,12 @@ class FeedSpec:
 @dataclass(frozen=True)
 class JobSpec:
     """Totals of ``measure`` per ``group``: facts are summed per ``key``, joined to the
-    dimension, and summed again."""
+    dimension, and summed again.
+
+    ``stage_feeds`` parses each feed once into a columnar copy in the shared folder, which
+    every later pass reads instead. Left at ``None``, that happens to JSON and CSV feeds
+    that more than one pass will read.
+    """
 
     dimension: FeedSpec
     fact: FeedSpec
@@ -41,6 +47,14 @@ class JobSpec:
     sink: SinkSpec | None = None
     reports: SinkSpec | None = None
     quarantine: Mapping[str, SinkSpec] = field(default_factory=dict)
+    stage_feeds: bool | None = None
+
+    def stages(self, feed: FeedSpec) -> bool:
+        if self.stage_feeds is not None:
+            return self.stage_feeds
+        measured = any(r.scope is Scope.UNIQUE or r.mostly < 1.0 for r in feed.rules)
+        again = self.reports is not None or feed.model.name in self.quarantine or measured or self.mode == "by_value"
+        return again and feed.source.format in ("json", "csv")
 
 
 @dataclass(frozen=True)
@@ -76,9 +90,11 @@ def run_job(spark: SparkSession, spec: JobSpec) -> JobResult:
         require_feed(spark, f.source.path)
     parsed, corrupt = {}, {}
     for name, f in feeds.items():
-        good, bad = split_corrupt(read_table(spark, f.source)) if f.source.mode == "declared" else (
-            read_table(spark, f.source), None)
-        parsed[name] = good
+        rows = read_table(spark, f.source)
+        if spec.stages(f):
+            rows = stage(rows, name)
+        # an inferred corrupt column is for the schema gate to see
+        parsed[name], bad = split_corrupt(rows) if f.source.mode == "declared" else (rows, None)
         if bad is not None:
             corrupt[name] = bad
     check_tables((parsed[name], f.model) for name, f in feeds.items()).require()

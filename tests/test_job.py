@@ -68,6 +68,17 @@ def test_a_bad_feed_stops_the_run(spark, paths, tmp_path):
     assert not (tmp_path / "never").exists()
 
 
+def test_feeds_that_are_read_again_are_staged(spark, paths, tmp_path):
+    plain = spec(paths)
+    assert not plain.stages(plain.fact)
+    again = spec(paths, quarantine={"purchase": SinkSpec("json", str(tmp_path / "q"))})
+    assert again.stages(again.fact) and not again.stages(again.dimension)
+    result = run_job(spark, spec(paths, stage_feeds=True)).result
+    assert result.collect()[0]["Quantity"] == 10
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "FileScan json" not in plan
+
+
 def test_a_repeated_user_counts_once_per_repetition(spark, paths):
     write_lines(Path(paths[0]), [*USERS, USERS[0]])
     assert run_job(spark, spec(paths)).result.first()["Quantity"] == 15
