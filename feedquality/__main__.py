@@ -5,12 +5,14 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
+from pyspark.sql import functions as F
+
 from feedquality.model import TableModel
 from feedquality.plans.job import FeedSpec, JobSpec, run_job
 from feedquality.rules import RuleSet
-from feedquality.session import session_builder
+from feedquality.session import session_builder, size_shuffles
 from feedquality.sinks.writers import SinkSpec, sink_for
-from feedquality.sources.feeds import SourceSpec
+from feedquality.sources.feeds import SourceSpec, feed_listing, require_feed
 
 
 def parser() -> argparse.ArgumentParser:
@@ -67,6 +69,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = session_builder(parser().parse_args(argv).app_name).getOrCreate()
     try:
         _, spec = job_spec(argv)
+        paths = [f.source.path for f in (spec.dimension, spec.fact)]
+        for path in paths:
+            require_feed(spark, path)
+        size_shuffles(spark, feed_listing(spark, paths).agg(F.sum("length")).first()[0])
         run_job(spark, spec)
     finally:
         spark.stop()

@@ -7,6 +7,7 @@ filter, so accepted rows keep whatever push-down the source offers.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import cached_property, reduce
@@ -20,6 +21,8 @@ from feedquality.functions.columns import column_at, field_type, match_key, quot
 from feedquality.rules import OnFailure, Rule, RuleSet, Scope
 from feedquality.session import stage
 
+logger = logging.getLogger(__name__)
+
 REPORT_SCHEMA = (
     "rule_id string, expectation string, column string, element_count bigint, "
     "missing_count bigint, unexpected_count bigint, unexpected_percent double, "
@@ -135,6 +138,13 @@ def failures(report: DataFrame) -> DataFrame:
     return report.where(~F.col("success"))
 
 
+def log_failures(report: DataFrame) -> None:
+    """Warn about each failed rule; a report has one row per rule, so few rows are fetched."""
+    for r in failures(report).collect():
+        logger.warning("rule %s failed on column %s: %s of %s rows", r["rule_id"], r["column"],
+                       r["unexpected_count"], r["element_count"])
+
+
 @dataclass(frozen=True)
 class ObservedRules:
     """``df`` counts its rows while some other action reads it; ``report`` waits for that action.

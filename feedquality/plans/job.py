@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedquality.model import TableModel
 from feedquality.operators.joins import join_tables
-from feedquality.operators.quality import CleanResult, clean
+from feedquality.operators.quality import CleanResult, clean, log_failures
 from feedquality.operators.rollup import group_agg
 from feedquality.operators.schema_gate import check_tables
 from feedquality.rules import RuleSet, Scope
@@ -109,7 +109,11 @@ def run_job(spark: SparkSession, spec: JobSpec) -> JobResult:
             rejected = rejected.unionByName(corrupt[name], allowMissingColumns=True)
         write_table(rejected, sink)
     if spec.reports is not None:
-        write_table(result.report, spec.reports)
+        report = result.report
+        # a row per rule: measured once, then logged and written
+        report = spark.createDataFrame(report.collect(), report.schema)
+        log_failures(report)
+        write_table(report, spec.reports)
     if spec.sink is not None:
         write_table(result.result, spec.sink)
     return result

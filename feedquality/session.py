@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 import tempfile
 import uuid
 
@@ -29,6 +30,23 @@ def session_builder(app_name: str) -> SparkSession.Builder:
     )
 
 
+# Bytes one reduce task should see, and the most reduce tasks worth scheduling.
+SHUFFLE_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with enough partitions for ``input_bytes``.
+
+    Adaptive execution merges partitions that turn out small but does not cut ordinary
+    ones that are large, so the starting number has to fit the input.
+    """
+    wanted = math.ceil(input_bytes / SHUFFLE_BYTES)
+    partitions = min(max(wanted, spark.sparkContext.defaultParallelism), MAX_SHUFFLE_PARTITIONS)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
+    return partitions
+
+
 @functools.cache
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="feedquality-")

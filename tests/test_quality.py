@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from feedquality import (ConfigError, TableRuleError, clean, failing_values, failures, observe_rules,
+from feedquality import (ConfigError, TableRuleError, clean, failing_values, failures, log_failures, observe_rules,
                          quality_report, required_rules, verdict, write_connector)
 from feedquality.operators import quality
 from feedquality.operators.quality import mark_repeated, repeated_values
@@ -122,6 +122,12 @@ def test_verdict_and_failures(rows):
     assert verdict(quality_report(rows, suite())).first()["success"] is True
 
 
+def test_failures_are_logged(rows, caplog):
+    log_failures(quality_report(rows, suite(NN, rule("ColumnToExist", "v"))))
+    assert [r.getMessage() for r in caplog.records if r.name.startswith("feedquality")] == [
+        "rule nn failed on column v: 2 of 8 rows"]
+
+
 def test_observed_counts_are_those_of_the_unfiltered_input(rows):
     rules = suite(NN, LEN, rule("ColumnToExist", "v", "there"))
     observed = observe_rules(rows, rules)
@@ -261,7 +267,7 @@ def test_failing_values_of_numbers_and_structs(spark):
 # --- properties ---------------------------------------------------------------------------------------
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.one_of(st.none(), st.sampled_from(["a", "bb", "ccc", "dd", "x1"])), max_size=25),
        tolerance=st.sampled_from([1.0, 0.5]))
 def test_partition_counts_and_idempotence(spark, values, tolerance):
