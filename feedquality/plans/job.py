@@ -33,9 +33,8 @@ class JobSpec:
     """Totals of ``measure`` per ``group``: facts are summed per ``key``, joined to the
     dimension, and summed again.
 
-    ``stage_feeds`` parses each feed once into a columnar copy in the shared folder, which
-    every later pass reads instead. Left at ``None``, that happens to JSON and CSV feeds
-    that more than one pass will read.
+    A declared JSON or CSV feed is parsed once and staged. An inferred one is staged when
+    more than one pass will read it.
     """
 
     dimension: FeedSpec
@@ -47,14 +46,12 @@ class JobSpec:
     sink: SinkSpec | None = None
     reports: SinkSpec | None = None
     quarantine: Mapping[str, SinkSpec] = field(default_factory=dict)
-    stage_feeds: bool | None = None
 
-    def stages(self, feed: FeedSpec) -> bool:
-        if self.stage_feeds is not None:
-            return self.stage_feeds
+    def rereads(self, feed: FeedSpec) -> bool:
+        """Whether cleaning ``feed`` takes passes besides the one for the result."""
         measured = any(r.scope is Scope.UNIQUE or r.mostly < 1.0 for r in feed.rules)
-        again = self.reports is not None or feed.model.name in self.quarantine or measured or self.mode == "by_value"
-        return again and feed.source.format in ("json", "csv")
+        return (measured or self.mode == "by_value" or self.reports is not None
+                or feed.model.name in self.quarantine)
 
 
 @dataclass(frozen=True)
@@ -91,13 +88,14 @@ def run_job(spark: SparkSession, spec: JobSpec) -> JobResult:
     parsed, corrupt = {}, {}
     for name, f in feeds.items():
         rows = read_table(spark, f.source)
-        if spec.stages(f):
-            rows = stage(rows, name)
         # an inferred corrupt column is for the schema gate to see
         parsed[name], bad = split_corrupt(rows) if f.source.mode == "declared" else (rows, None)
         if bad is not None:
             corrupt[name] = bad
     check_tables((parsed[name], f.model) for name, f in feeds.items()).require()
+    for name, f in feeds.items():
+        if f.source.mode == "infer" and f.source.format in ("json", "csv") and spec.rereads(f):
+            parsed[name] = stage(parsed[name], name)
     cleaned = {name: clean(parsed[name], f.rules, mode=spec.mode) for name, f in feeds.items()}
     result = JobResult(
         totals(cleaned[spec.dimension.model.name].kept, cleaned[spec.fact.model.name].kept,

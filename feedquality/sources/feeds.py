@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from feedquality.errors import ConfigError, EmptyFeedError, MissingFeedError
 from feedquality.functions.columns import quoted
 from feedquality.operators.quality import FAILED_RULES
+from feedquality.session import stage
 
 # File extensions and the formats they stand for.
 FORMATS = {"json": "json", "csv": "csv", "txt": "text", "text": "text", "parquet": "parquet"}
@@ -39,7 +40,8 @@ class SourceSpec:
     """One feed. ``path`` may be a file, a directory or a glob.
 
     ``mode="declared"`` reads with ``schema``: one pass, and a JSON or CSV line that does
-    not fit arrives as nulls with its text in ``_corrupt_record``. ``mode="infer"`` lets
+    not fit arrives with its text in ``_corrupt_record``, for :func:`split_corrupt` to set
+    aside. ``mode="infer"`` lets
     Spark work the schema out, at the price of a pass over the whole feed, and is the
     mode that notices columns the model does not know.
     """
@@ -89,16 +91,18 @@ def read_table(spark: SparkSession, source: SourceSpec) -> DataFrame:
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """The parsed rows, and the unparsable ones marked ``corrupt_record``.
+    """The parsed rows, and the unparsable ones with their text in ``raw_record``.
 
-    Spark will not scan raw files for the corrupt column alone, so the second frame
-    keeps the other columns as well; its text is in ``raw_record``.
+    Spark parses only the columns a query needs, so on the raw feed a line would count as
+    unparsable in one query and as fine in the next. The feed is therefore parsed once,
+    whole, into the shared folder, and both frames read that copy.
     """
     if CORRUPT not in df.columns:
         return df, None
+    parsed = stage(df, "parsed")
     columns = [F.col(quoted(c)) for c in df.columns if c != CORRUPT]
-    good = df.where(F.col(CORRUPT).isNull()).select(*columns)
-    bad = df.where(F.col(CORRUPT).isNotNull()).select(
+    good = parsed.where(F.col(CORRUPT).isNull()).select(*columns)
+    bad = parsed.where(F.col(CORRUPT).isNotNull()).select(
         *columns, F.col(CORRUPT).alias(RAW_RECORD), F.array(F.lit("corrupt_record")).alias(FAILED_RULES))
     return good, bad
 

@@ -68,15 +68,26 @@ def test_a_bad_feed_stops_the_run(spark, paths, tmp_path):
     assert not (tmp_path / "never").exists()
 
 
-def test_feeds_that_are_read_again_are_staged(spark, paths, tmp_path):
-    plain = spec(paths)
-    assert not plain.stages(plain.fact)
-    again = spec(paths, quarantine={"purchase": SinkSpec("json", str(tmp_path / "q"))})
-    assert again.stages(again.fact) and not again.stages(again.dimension)
-    result = run_job(spark, spec(paths, stage_feeds=True)).result
-    assert result.collect()[0]["Quantity"] == 10
-    plan = result._jdf.queryExecution().executedPlan().toString()
-    assert "FileScan parquet" in plan and "FileScan json" not in plan
+def scans(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan json"), plan.count("FileScan parquet")
+
+
+def test_feeds_are_parsed_once(spark, paths, tmp_path):
+    assert scans(run_job(spark, spec(paths)).result) == (0, 2)
+    assert scans(run_job(spark, spec(paths, "infer")).result) == (2, 0)
+    again = spec(paths, "infer", quarantine={"purchase": SinkSpec("json", str(tmp_path / "q"))})
+    assert again.rereads(again.fact) and not again.rereads(again.dimension)
+    assert scans(run_job(spark, again).result) == (1, 1)
+
+
+def test_a_line_is_corrupt_whatever_columns_are_used(spark, paths):
+    """The total needs neither date nor price, but the broken price still takes the line out."""
+    bad = json.dumps({**PURCHASES[0], "Quantity": 1000, "Unit_Price": [1]}).replace("[1]", "1.2.3")
+    Path(paths[1]).write_text(Path(paths[1]).read_text() + bad + "\n")
+    result = run_job(spark, spec(paths))
+    assert result.result.first()["Quantity"] == 10
+    assert result.corrupt["purchase"].count() == 1
 
 
 def test_a_repeated_user_counts_once_per_repetition(spark, paths):

@@ -159,6 +159,18 @@ def test_declared_csv_keeps_a_bad_line_aside(spark, tmp_path):
     assert [r["raw_record"] for r in bad.collect()] == ["2024-01-02,002,pen,many,1.5,4.5"]
 
 
+@pytest.mark.parametrize("name, text", [
+    ("a.json", '{"id":1,"n":1,"s":"a"}\n{"id":2,"n":"x","s":"b"}\n{"id":3,"n":2\n{"id":4,"n":5,"s":"q"}\n'),
+    ("a.csv", "id,n,s\n1,1,a\n2,x,b\n3,2\n4,5,q\n"),
+])
+def test_what_counts_as_corrupt_does_not_depend_on_the_columns_used(spark, tmp_path, name, text):
+    (tmp_path / name).write_text(text)
+    schema = T.StructType.fromDDL("id bigint, n bigint, s string")
+    good, bad = split_corrupt(read_table(spark, SourceSpec(str(tmp_path / name), schema=schema)))
+    assert sorted(r[0] for r in good.select("id").collect()) == sorted(r["id"] for r in good.collect()) == [1, 4]
+    assert good.count() == 2 and bad.count() == 2
+
+
 def test_text(spark, tmp_path):
     path = tmp_path / "notes.txt"
     path.write_text("one\ntwo\n")
