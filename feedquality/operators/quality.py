@@ -178,17 +178,33 @@ def observe_rules(df: DataFrame, ruleset: RuleSet, name: str = "quality") -> Obs
 # --- uniqueness ------------------------------------------------------------------
 
 
-def repeated_values(df: DataFrame, column: str) -> DataFrame:
-    """``(k, n)`` for every non-null value held by more than one row, staged.
+@dataclass(frozen=True)
+class Repeated:
+    """The values of a column that more than one row holds, staged as ``(k, n)``: how many
+    values there are, and how many rows hold them."""
+
+    values: DataFrame
+    keys: int
+    rows: int
+
+    @property
+    def many(self) -> bool:
+        return self.keys > BROADCAST_KEYS
+
+
+def repeated_values(df: DataFrame, column: str) -> Repeated:
+    """Count the non-null values of ``column`` and stage those that repeat.
 
     ``k`` is the value's :func:`match_key`, so long texts are neither shuffled nor kept.
     """
     key = match_key(column_at(df.schema, column), field_type(df.schema, column))
     counts = df.select(key.alias("k")).where(F.col("k").isNotNull()).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    return stage(counts.where(F.col("n") > 1), "repeated")
+    values = stage(counts.where(F.col("n") > 1), "repeated")
+    size = values.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows")).first()
+    return Repeated(values, size["keys"], size["rows"] or 0)
 
 
-def mark_repeated(df: DataFrame, column: str, repeated: DataFrame, marker: str) -> DataFrame:
+def mark_repeated(df: DataFrame, column: str, repeated: Repeated, marker: str) -> DataFrame:
     """Add the boolean ``marker``: this row's value is one of ``repeated``.
 
     Few repeated values (the count is checked) go to every task and no row moves. Beyond
@@ -199,22 +215,33 @@ def mark_repeated(df: DataFrame, column: str, repeated: DataFrame, marker: str)
     """
     key = match_key(column_at(df.schema, column), field_type(df.schema, column))
     k = f"{marker}_key"
-    hits = repeated.select(F.col("k").alias(k), "n", F.lit(True).alias(marker))
-    size = repeated.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows")).first()
-    flag = F.coalesce(F.col(marker), F.lit(False))
+    hits = repeated.values.select(F.col("k").alias(k), "n", F.lit(True).alias(marker))
+    flag = F.coalesce(F.col(quoted(marker)), F.lit(False))
 
     def joined(rows: DataFrame, values: DataFrame) -> DataFrame:
-        return (rows.join(values.drop("n"), key == F.col(k), "left")
+        return (rows.join(values.drop("n"), key == F.col(quoted(k)), "left")
                 .withColumn(marker, flag).drop(k))
 
-    if size["keys"] <= BROADCAST_KEYS:
+    if not repeated.many:
         return joined(df, F.broadcast(hits))
-    marked = joined(df, F.broadcast(hits.where(F.col("n") > size["rows"] / BROADCAST_KEYS)))
-    undecided = ~F.col(marker) & key.isNotNull()
+    marked = joined(df, F.broadcast(hits.where(F.col("n") > repeated.rows / BROADCAST_KEYS)))
+    undecided = ~F.col(quoted(marker)) & key.isNotNull()
     return (marked.where(~undecided)
             .unionByName(joined(marked.where(undecided).drop(marker), hits)))
 
 
+def _mark(df: DataFrame, repeated: Mapping[str, tuple[Rule, Repeated]]) -> DataFrame:
+    """Mark the repeated values of several rules. Beyond the broadcast bound a mark reads
+    its input twice, so from the second such mark on the input is staged."""
+    split = False
+    for rule, found in repeated.values():
+        if found.many and split:
+            df = stage(df, "marked")
+        split = split or found.many
+        df = mark_repeated(df, rule.column, found, _marker(rule))
+    return df
+
+
 # --- enforcing ---------------------------------------------------------------------
 
 
@@ -331,10 +358,7 @@ def clean(df: DataFrame, ruleset: RuleSet, mode: str = "predicate", sample: int
             return df.sparkSession.createDataFrame(rows, REPORT_SCHEMA)
 
     discarding = [r for r in acting if r in by_row]
-    base = df
-    for r in discarding:
-        if r.scope is Scope.UNIQUE:
-            base = mark_repeated(base, r.column, staged[r.rule_id], _marker(r))
+    base = _mark(df, {r.rule_id: (r, staged[r.rule_id]) for r in discarding if r.scope is Scope.UNIQUE})
 
     def good(r: Rule) -> Column:
         return ~F.col(quoted(_marker(r))) if r.scope is Scope.UNIQUE else r.good(schema)
@@ -349,11 +373,11 @@ def clean(df: DataFrame, ruleset: RuleSet, mode: str = "predicate", sample: int
     return CleanResult(base, df.columns, keep, dropped, report)
 
 
-def _report_with(df: DataFrame, ruleset: RuleSet, staged: Mapping[str, DataFrame]) -> DataFrame:
+def _report_with(df: DataFrame, ruleset: RuleSet, staged: Mapping[str, Repeated]) -> DataFrame:
     """The report, taking the counts of unique rules from their staged values."""
     if not staged:
         return quality_report(df, ruleset)
-    counts = {rule_id: s.agg(F.sum("n")).first()[0] or 0 for rule_id, s in staged.items()}
+    counts = {rule_id: found.rows for rule_id, found in staged.items()}
     known = [r for r in ruleset if r.scope is not Scope.UNIQUE or r.rule_id in staged]
     report = _unpivot(df.agg(*_metrics(df.schema, known)), df.schema, known, counts)
     rest = RuleSet(ruleset.name, tuple(r for r in ruleset if r not in known))
@@ -373,10 +397,7 @@ def failing_values(df: DataFrame, ruleset: RuleSet, n: int = 20) -> DataFrame:
     rules = [r for r in ruleset.of(Scope.ROW, Scope.UNIQUE) if r.applies_to(schema)]
     if not rules:
         return df.sparkSession.createDataFrame([], "rule_id string, value string, count bigint")
-    base = df
-    for r in rules:
-        if r.scope is Scope.UNIQUE:
-            base = mark_repeated(base, r.column, repeated_values(df, r.column), _marker(r))
+    base = _mark(df, {r.rule_id: (r, repeated_values(df, r.column)) for r in rules if r.scope is Scope.UNIQUE})
     found = [F.when(F.col(quoted(_marker(r))) if r.scope is Scope.UNIQUE else ~r.good(schema),
                     F.struct(F.lit(r.rule_id).alias("rule_id"),
                              column_at(schema, r.column).cast("string").alias("value")))

@@ -246,6 +246,26 @@ def test_hot_and_null_rows_are_not_shuffled(spark, monkeypatch):
     assert marked.where("again").count() == 3000 and marked.count() == 4000
 
 
+@pytest.mark.parametrize("bound", [1, 100_000])
+def test_unique_below_a_struct_and_of_a_struct(spark, monkeypatch, bound):
+    monkeypatch.setattr(quality, "BROADCAST_KEYS", bound)
+    df = spark.sql("select id, named_struct('city', if(id = 5, null, id div 2), 'state', id div 4) as a from range(7)")
+    assert ids(clean(df, suite(rule("ColumnValuesToBeUnique", "a.city"))).kept) == [4, 5, 6]
+    assert ids(clean(df, suite(rule("ColumnValuesToBeUnique", "a"))).kept) == [4, 5, 6]
+    assert ids(clean(df, suite(rule("ColumnValuesToBeUnique", "a.state"))).kept) == []
+
+
+def test_several_unique_columns_beyond_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BROADCAST_KEYS", 2)
+    df = spark.range(200).selectExpr("id", "id div 2 as a", "cast(id % 60 as string) as b", "id as c",
+                                     "if(id < 100, null, id div 4) as d")
+    rules = suite(*[rule("ColumnValuesToBeUnique", c, c) for c in "abcd"])
+    flagged = {r["id"]: r["failed_rules"] for r in clean(df, rules).flagged.collect()}
+    assert flagged == {i: ["a", "b"] + (["d"] if i >= 100 else []) for i in range(200)}
+    plan = clean(df, rules).flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Union") == 1
+
+
 # --- failing values --------------------------------------------------------------------------------
 
 
