@@ -16,6 +16,7 @@ from feedquality.sources.feeds import SourceSpec, feed_listing, require_feed
 
 
 def parser() -> argparse.ArgumentParser:
+    # The option names up to create_disposition.
     p = argparse.ArgumentParser(prog="feedquality", description="Check, clean and total two feeds.")
     p.add_argument("--app_name", default="feedquality")
     p.add_argument("--input_path", required=True, help="dimension feed,fact feed")

@@ -3,7 +3,7 @@
 The physical strategy is Spark's: a side below the broadcast threshold is sent round,
 anything else is shuffled on the keys, and adaptive execution splits hot partitions.
 It can split both sides of an inner join and the kept side of an outer, semi or anti
-join. The other side of an outer join it cannot split, nor either side of a full one. So
+join. The other side it cannot split, nor either side of a full join. So
 :func:`join_tables` looks for a key too big for one task there, and if it finds one puts
 the same result together from joins that can be split.
 """
@@ -88,21 +88,32 @@ def _largest_group(df: DataFrame, keys: list[str], count_nulls: bool) -> DataFra
     return rows.agg(top.alias("top")).selectExpr("try_element_at(top, 1).count as rows")
 
 
+def has_hot_key(df: DataFrame, keys: Sequence[str], limit: int = HOT_KEY_ROWS) -> bool:
+    """Whether some key, null apart, has more than ``limit`` rows."""
+    return (_largest_group(df, list(keys), count_nulls=False).first()["rows"] or 0) > limit
+
+
 def _hot_sides(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], kind: str,
                null_safe: bool, limit: int | None) -> tuple[bool, bool]:
-    """Whether the left and the right side hold a key too big for one task, for an outer
-    join that adaptive execution could not split on its own; else ``(False, False)``."""
-    if limit is None or kind not in ("left", "right", "full"):
+    """Whether the left and the right side hold a key too big for one task, for a join that
+    adaptive execution could not split on its own; else ``(False, False)``."""
+    if limit is None or kind == "inner":
         return False, False
 
-    def largest(df: DataFrame, i: int, kept: bool) -> DataFrame:
+    def hot(i: int, kept: bool) -> DataFrame:
         # a null key matches nothing, but the side that is kept moves its null rows too
-        return _largest_group(df, [p[i] for p in pairs], null_safe or kept)
+        df = (left, right)[i]
+        return _largest_group(df, [p[i] for p in pairs], null_safe or kept).selectExpr(
+            f"{i} as side", f"coalesce(rows, 0) > {limit} as hot")
 
-    found = largest(left, 0, kind != "right").union(largest(right, 1, kind != "left")).collect()
-    hot_left, hot_right = [(r["rows"] or 0) > limit for r in found]
-    splittable = {"left": not hot_right, "right": not hot_left, "full": not (hot_left or hot_right)}[kind]
-    return (False, False) if splittable else (hot_left, hot_right)
+    if kind == "full":
+        found = {r["side"]: r["hot"] for r in hot(0, True).union(hot(1, True)).collect()}
+        return found[0], found[1]
+    if kind == "right":
+        return (True, hot(1, True).first()["hot"]) if hot(0, False).first()["hot"] else (False, False)
+    if hot(1, False).first()["hot"]:
+        return hot(0, kind != "left_semi").first()["hot"], True
+    return False, False
 
 
 def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "inner",
@@ -116,9 +127,9 @@ def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "in
     other name both sides have gets ``suffixes``. Null keys match nothing unless
     ``null_safe``. Semi and anti joins return the left columns only.
 
-    An outer join on keys first looks for a key with more than ``hot_key_rows`` rows where
-    it could not be split, and is then put together from other joins. ``None`` skips the
-    look. An outer join on a condition is left to Spark as it is.
+    An outer, semi or anti join on keys first looks for a key with more than
+    ``hot_key_rows`` rows on a side that could not be split, and is then put together from
+    other joins. ``None`` skips the look. A join on a condition is left to Spark as it is.
     """
     kind = join_type(how)
     pairs = _pairs(on, left, right)
@@ -137,6 +148,9 @@ def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "in
     if not (hot_left or hot_right):
         return _outputs(l.join(r, condition, kind), left, right, pairs, kind, suffixes)
 
+    if kind in ("left_semi", "left_anti"):
+        return l.join(_distinct_keys(right, [b for _, b in pairs], hot_left).alias(RIGHT), condition, kind)
+
     # a join that can be split, then the rows it leaves out, found by anti joins that can
     first = "inner" if kind != "full" or (hot_left and hot_right) else "left" if hot_left else "right"
     parts = [_outputs(l.join(r, condition, first), left, right, pairs, first, suffixes)]

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedquality.model import TableModel
-from feedquality.operators.joins import join_tables
+from feedquality.operators.joins import HOT_KEY_ROWS, has_hot_key, join_tables
 from feedquality.operators.quality import CleanResult, clean, log_failures
 from feedquality.operators.rollup import group_agg
 from feedquality.operators.schema_gate import check_tables
@@ -67,13 +67,18 @@ class JobResult:
                       [c.report.select(F.lit(name).alias("feed"), "*") for name, c in self.cleaned.items()])
 
 
-def totals(dimension: DataFrame, fact: DataFrame, key: str, measure: str, group: str) -> DataFrame:
+def totals(dimension: DataFrame, fact: DataFrame, key: str, measure: str, group: str,
+           hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Sum ``measure`` per ``key``, join, sum per ``group``.
 
     Summing first means that the join sees each key once on the fact side, however many
-    facts one key has. A key that the dimension repeats counts once per repetition.
+    facts one key has. A key that the dimension repeats counts once per repetition. Should
+    one repeat more than ``hot_key_rows`` times, the sums are staged, since adaptive
+    execution cannot split a join that sits directly on an aggregate.
     """
     per_key = group_agg(fact, key, sum=measure)
+    if has_hot_key(dimension, [key], hot_key_rows):
+        per_key = stage(per_key, "totals")
     return group_agg(join_tables(dimension, per_key, key, "inner"), group, sum=measure)
 
 

@@ -119,7 +119,7 @@ def mongo_sink(collection: str, connection_uri: str, mode: str | None = None) ->
 
 def sink_for(kind: str, target: str, file_format: str | None = None, connection_uri: str | None = None,
              write_disposition: str | None = None, create_disposition: str | None = None) -> SinkSpec:
-    """A sink by its command-line word: ``file``, ``bq`` or ``mongo``."""
+    """A sink by its command-line word: ``file``, ``bq`` or ``mongo`` (fixed values)."""
     if kind == "file":
         extension = file_format or target.rstrip("/").rsplit(".", 1)[-1]
         return SinkSpec(source_format(extension), target, mode=write_disposition)

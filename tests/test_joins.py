@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from feedquality import ConfigError, join_range, join_tables
+from feedquality import ConfigError, join_range, join_tables, totals
 from feedquality.operators.joins import join_type
 
 LEFT = [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (4, "e")]
@@ -68,9 +68,14 @@ def test_theta_condition_as_column(pair):
         [(1, "a", 11), (1, "b", 11), (4, "e", 50), (2, "c", None), (None, "d", None)], key=repr)
 
 
-def test_semi_and_anti(pair):
-    assert rows(join_tables(*pair, "k", "left semi")) == [(1, "a"), (1, "b"), (4, "e")]
-    assert rows(join_tables(*pair, "k", "left_anti")) == [(2, "c"), (None, "d")]
+@pytest.mark.parametrize("hot", [None, 0, 5_000_000])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_semi_and_anti(pair, null_safe, hot):
+    d = [(None, "d")]
+    semi, anti = [(1, "a"), (1, "b"), (4, "e")], [(2, "c")]
+    options = {"null_safe": null_safe, "hot_key_rows": hot}
+    assert rows(join_tables(*pair, "k", "left semi", **options)) == semi + (d if null_safe else [])
+    assert rows(join_tables(*pair, "k", "left_anti", **options)) == anti + ([] if null_safe else d)
 
 
 def test_clashing_columns_get_suffixes(spark):
@@ -171,13 +176,23 @@ def test_outer_joins_with_a_hot_key_are_split(spark, small_splits, how, left, ri
     assert df.count() == plain.count()
 
 
+def test_totals_split_a_dimension_with_a_hot_key(spark, small_splits):
+    users = hot_table(spark, 60_000, "pad").withColumn("place", F.col("k") % 5)
+    facts = spark.range(2000).selectExpr("id % 1000 as k", "id as q")
+    df = totals(users, facts, "k", "q", "place", hot_key_rows=10_000)
+    assert split_joins(df) == 1
+    assert split_joins(totals(users, facts, "k", "q", "place")) == 0
+    expected = totals(users, facts, "k", "q", "place").collect()
+    assert sorted(df.collect()) == sorted(expected)
+
+
 def test_null_rows_that_meet_a_hot_key_are_split_too(spark, small_splits):
     """Both sides are hot: one with nulls, which the result keeps, one with a key."""
     left, right = hot_table(spark, 60_000, "a", "null"), hot_table(spark, 60_000, "b")
     right = right.where("k = 7 or k > 990")
-    for how in ("left", "full"):
+    for how, joins in (("left", 2), ("full", 2), ("left anti", 1)):
         df = join_tables(left, right, "k", how, hot_key_rows=10_000)
-        assert split_joins(df) >= 2
+        assert split_joins(df) >= joins
         plain = join_tables(left, right, "k", how, hot_key_rows=None)
         assert df.groupBy("k").count().exceptAll(plain.groupBy("k").count()).isEmpty()
         assert df.count() == plain.count()
