@@ -30,13 +30,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_text(docs, changed.filter((F.col("n_removed") == 0) | left))
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans of test items go; so does a document that is mostly test items."""
+    return _with_text(docs, decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The digests of the token ids of what is left."""
     return encode_digests(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", quality_rules), ("line_dedup", line_dedup), ("byte_bpe", encode)]
+    ("quality_rules", quality_rules), ("line_dedup", line_dedup), ("jaccard_join", jaccard_join),
+    ("benchmark_decontamination", benchmark_decontamination), ("byte_bpe", encode)]
 
 #: The rules' accuracies are estimated by iteration, which SQL can't express.
 ORACLE_SQL = None
