@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedquality.llm.bpe import encode_digests
+from feedquality.llm.decontaminate import decontaminate
+from feedquality.llm.jaccard_join import keep_one
 from feedquality.llm.line_dedup import drop_boilerplate
 from feedquality.llm.quality_rules import filter_quality
 from feedquality.session import stage
