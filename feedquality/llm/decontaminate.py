@@ -28,12 +28,15 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedquality.llm.text import per_text, read
+from feedquality.session import stage
 
 WINDOW = 10
 #: Words of items in one automaton; it then takes some 100 MB in each worker at most.
 ITEM_WORDS = 200_000
 #: A document goes if more than this share of its words is hit; otherwise the hit spans go.
 MAX_COVERAGE = 0.5
+#: Automata that one plan holds; texts cleaned by that many are written before the next.
+PLANNED = 8
 
 #: Capitals become small; what is no word character becomes a blank.
 NORMAL = bytes(b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32
@@ -238,8 +241,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """A column ``doc`` with each document that stays, hit spans cut from its text, and ``n_hit``."""
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.lit(0).cast("long").alias("n_hit"),
                        F.lit(None).cast("long").alias("n_words"))
-    for shared in automata(benchmark, window):
-        clean = per_text(docs, F.col("doc.text"), _worker(shared, _clean), CLEANED)
+    for i, shared in enumerate(automata(benchmark, window)):
+        if i and i % PLANNED == 0:
+            rows = stage(rows, "clean")
+        clean = per_text(rows, F.col("doc.text"), _worker(shared, _clean), CLEANED)
         rows = rows.select("doc", "n_hit", "n_words", clean.alias("__c")).select(
             F.when(F.col("__c.n_hit") > 0, F.col("doc").withField("text", F.col("__c.clean")))
             .otherwise(F.col("doc")).alias("doc"),

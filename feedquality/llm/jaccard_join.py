@@ -36,6 +36,8 @@ import heapq
 import math
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +55,8 @@ SKETCH_BITS, BLOCK = 19, 1 << 15
 LIST_PART = 50_000
 #: Records in one block of a leader.
 INDEX_BLOCK = 256
-#: Words whose hash a worker remembers, and postings it gathers before it passes them on.
-REMEMBERED, GATHERED = 300_000, 1_000_000
+#: Postings that a worker gathers before it passes them on.
+GATHERED = 1_000_000
 
 #: Odd multipliers for the places of a shingle, and for the last mixing.
 PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
@@ -71,38 +73,33 @@ def pair_overlap(n: int, m: int) -> int:
     return (3 * (n + m) + 6) // 7
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted; sorts in place."""
+    values.sort()
+    first = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=first[1:])
+    return values[first]
 
 
-def shingler() -> Callable[[str | None], np.ndarray]:
-    """A function that gives the distinct shingles of a text, sorted."""
+def shingles_of(text: str | None) -> np.ndarray:
+    """The distinct shingles of a text, sorted."""
     import xxhash
-    known = _WordHashes()
-
-    def shingles(text: str | None) -> np.ndarray:
-        # bytes are split at the six ASCII blanks, and only A-Z becomes small
-        words = (text or "").encode().lower().split()
-        n = len(words)
-        if not n:
-            return np.empty(0, np.uint64)
-        if n < SHINGLE:
-            return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=n)], np.uint64)
-        ids = np.fromiter(map(known.__getitem__, words), np.uint64, n)
-        mixed = np.zeros(n - SHINGLE + 1, np.uint64)
-        for k, odd in enumerate(PLACES):
-            mixed += ids[k:n - SHINGLE + 1 + k] * np.uint64(odd)
-        mixed ^= mixed >> np.uint64(32)
-        mixed *= np.uint64(MIX)
-        mixed ^= mixed >> np.uint64(29)
-        return np.unique(mixed)
-
-    return shingles
+
+    # bytes are split at the six ASCII blanks, and only A-Z becomes small
+    words = (text or "").encode().lower().split()
+    n = len(words)
+    if not n:
+        return np.empty(0, np.uint64)
+    if n < SHINGLE:
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=n)], np.uint64)
+    ids = np.array(list(map(xxhash.xxh3_64_intdigest, words)), np.uint64)
+    mixed = ids[:n - SHINGLE + 1] * np.uint64(PLACES[0])
+    for k, odd in enumerate(PLACES[1:], 1):
+        mixed += ids[k:n - SHINGLE + 1 + k] * np.uint64(odd)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(MIX)
+    mixed ^= mixed >> np.uint64(29)
+    return distinct(mixed)
 
 
 def record_id(shingles: np.ndarray) -> bytes:
@@ -126,7 +123,6 @@ def _batch(schema: T.StructType, columns: list[list]) -> pa.RecordBatch:
 
 
 def _record_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shingles = shingler()
     counts = np.zeros(1 << SKETCH_BITS, np.uint32)
     waiting: list[np.ndarray] = []
     held = 0
@@ -136,7 +132,7 @@ def _record_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         ids, first, second, texts = (c.to_pylist() for c in batch.columns)
         vs, ns = [], []
         for text in texts:
-            s = shingles(text)
+            s = shingles_of(text)
             v = record_id(s) if len(s) else None
             vs.append(v)
             ns.append(len(s))
@@ -186,14 +182,24 @@ def records(docs: DataFrame) -> tuple[DataFrame, Broadcast]:
 
 # --- 2. short lists ----------------------------------------------------------------
 
-#: One row holds the postings of many records for one bucket: ``idx`` names the record by
-#: its place in ``vs`` and ``ns``, ``pos`` is the shingle's place in that record's ranking.
+#: One row holds the postings of many records for one bucket: the shingles of the first
+#: ``counts[0]`` of them are those of the first record, and so on; ``pos`` is a shingle's
+#: place in its record's ranking.
 POSTINGS = T.StructType([
     T.StructField("bucket", T.IntegerType()), T.StructField("vs", T.BinaryType()), T.StructField("ns", T.BinaryType()),
-    T.StructField("tokens", T.BinaryType()), T.StructField("idx", T.BinaryType()), T.StructField("pos", T.BinaryType()),
+    T.StructField("counts", T.BinaryType()), T.StructField("tokens", T.BinaryType()), T.StructField("pos", T.BinaryType()),
 ])
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Numbers in two bytes each if they fit, else in four."""
+    return values.astype(np.uint16 if values.max() < 1 << 16 else np.uint32).tobytes()
+
+
+def _wide(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(packed, np.uint16 if len(packed) == 2 * n else np.uint32).astype(np.int64)
+
+
 def _posting_batches(sketch: Broadcast, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def packed(vs: list, ns: list, tokens: list, idx: list, pos: list) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
@@ -203,17 +209,17 @@ def _posting_batches(sketch: Broadcast, buckets: int) -> Callable[[Iterator[pa.R
         parts = counts[(toks >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] // np.uint64(LIST_PART) + np.uint64(1)
         mixed = toks * np.uint64(PLACES[0]) + (ids[owner, 0] % parts) * np.uint64(PLACES[1])
         bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
+        order = np.argsort(bucket, kind="stable")  # within a bucket still by record
         edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
         for begin, end in zip(edges[:-1], edges[1:], strict=True):
             rows = order[begin:end]
-            own, local = np.unique(owner[rows], return_inverse=True)
+            own, times = np.unique(owner[rows], return_counts=True)
             yield _batch(POSTINGS, [
-                [int(bucket[rows[0]])], [ids[own].tobytes()], [sizes[own].tobytes()], [toks[rows].tobytes()],
-                [local.astype(np.uint32).tobytes()], [place[rows].astype(np.uint32).tobytes()]])
+                [int(bucket[rows[0]])], [ids[own].tobytes()], [sizes[own].tobytes()], [_narrow(times)],
+                [toks[rows].tobytes()], [_narrow(place[rows])]])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, shingles = sketch.value, shingler()
+        counts = sketch.value
         # four steps to each doubling: near counts are ranked by the hash alone
         rank = np.rint(4 * np.log2(counts.astype(float) + 1)).astype(np.uint64)
         seen: set[bytes] = set()
@@ -221,7 +227,7 @@ def _posting_batches(sketch: Broadcast, buckets: int) -> Callable[[Iterator[pa.R
         held = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                s = shingles(text)
+                s = shingles_of(text)
                 n = len(s)
                 if not n or (v := record_id(s)) in seen:
                     continue
@@ -245,10 +251,12 @@ def _posting_batches(sketch: Broadcast, buckets: int) -> Callable[[Iterator[pa.R
     return each
 
 
-#: A vote of record ``v`` (of ``n`` shingles) for leader ``w`` (``token`` null), or a posting in a list of several.
+#: ``kind`` 0: record ``v`` of ``n`` shingles votes for ``w`` of ``m``, ``votes`` times, ``alone`` of
+#: them in lists of these two only. 1: a posting in a longer list. 2: the same, first in its part of a list.
 LISTED = T.StructType([
-    T.StructField("v", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("w", T.BinaryType()),
-    T.StructField("votes", T.LongType()), T.StructField("token", T.LongType()), T.StructField("pos", T.LongType()),
+    T.StructField("kind", T.IntegerType()), T.StructField("v", T.BinaryType()), T.StructField("n", T.LongType()),
+    T.StructField("w", T.BinaryType()), T.StructField("m", T.LongType()), T.StructField("votes", T.LongType()),
+    T.StructField("alone", T.LongType()), T.StructField("token", T.LongType()), T.StructField("pos", T.LongType()),
 ])
 
 
@@ -256,12 +264,12 @@ def _list_batches(sketch: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Ite
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vs, ns, tokens, owner, pos, known = [], [], [], [], [], 0
         for batch in batches:
-            for _, v, n, t, i, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for _, v, n, c, t, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 vs.append(np.frombuffer(v, np.uint64).reshape(-1, 2))
                 ns.append(np.frombuffer(n, np.uint32))
                 tokens.append(np.frombuffer(t, np.uint64))
-                owner.append(np.frombuffer(i, np.uint32).astype(np.int64) + known)
-                pos.append(np.frombuffer(p, np.uint32))
+                owner.append(np.repeat(np.arange(known, known + len(ns[-1])), _wide(c, len(ns[-1]))))
+                pos.append(_wide(p, len(tokens[-1])))
                 known += len(ns[-1])
         if not known:
             return
@@ -273,8 +281,9 @@ def _list_batches(sketch: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Ite
         number = np.empty(known, np.int64)
         number[order] = np.cumsum(fresh) - 1
         ids, sizes = raw[order[fresh]], np.concatenate(ns)[order[fresh]].astype(np.int64)
-        tok, own, place = np.concatenate(tokens), number[np.concatenate(owner)], np.concatenate(pos).astype(np.int64)
-        # the lists, each by size and record
+        tok, own, place = np.concatenate(tokens), number[np.concatenate(owner)], np.concatenate(pos)
+        del vs, ns, tokens, owner, pos
+        # the lists merged: each by size and record, a record once
         order = np.lexsort((own, sizes[own], tok))
         tok, own, place = tok[order], own[order], place[order]
         first = np.ones(len(tok), bool)
@@ -282,41 +291,43 @@ def _list_batches(sketch: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Ite
         tok, own, place = tok[first], own[first], place[first]
         starts = np.flatnonzero(np.concatenate(([True], tok[1:] != tok[:-1])))
         lengths = np.diff(np.concatenate((starts, [len(tok)])))
-        several = np.repeat(lengths > 1, lengths)
+        listed, length = np.repeat(np.arange(len(starts)), lengths), np.repeat(lengths, lengths)
         dealt = sketch.value[(tok >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= LIST_PART
-        stay = several | dealt
-        listed = np.repeat(np.arange(len(starts)), lengths)
         # the first record of the list that is not too small to link
         size = sizes[own]
         scale = np.int64(1 << 32)
         leader = np.searchsorted(listed * scale + size, listed * scale + (3 * size + 3) // 4)
-        votes = np.flatnonzero(leader < np.arange(len(tok)))
-        pairs, times = np.unique(own[votes] * np.int64(len(ids)) + own[leader[votes]], return_counts=True)
+        voting = np.flatnonzero(leader < np.arange(len(tok)))
+        pairs, which = np.unique(own[voting] * np.int64(len(ids)) + own[leader[voting]], return_inverse=True)
+        votes = np.bincount(which, minlength=len(pairs))
+        alone = np.bincount(which, weights=(length == 2)[voting] & ~dealt[voting], minlength=len(pairs)).astype(np.int64)
 
         def name(numbers: np.ndarray) -> list[bytes]:
             return [ids[k].tobytes() for k in numbers]
 
         for at in range(0, len(pairs), 10_000):
-            some = pairs[at:at + 10_000]
-            v, w = some // len(ids), some % len(ids)
-            yield _batch(LISTED, [name(v), sizes[v].tolist(), name(w), times[at:at + 10_000].tolist(),
-                                  [None] * len(some), [None] * len(some)])
-        rows = np.flatnonzero(stay)
+            part = slice(at, at + 10_000)
+            v, w = pairs[part] // len(ids), pairs[part] % len(ids)
+            none = [None] * len(v)
+            yield _batch(LISTED, [[0] * len(v), name(v), sizes[v].tolist(), name(w), sizes[w].tolist(),
+                                  votes[part].tolist(), alone[part].tolist(), none, none])
+        kind = np.where(dealt & np.isin(np.arange(len(tok)), starts), 2, 1)
+        rows = np.flatnonzero((length > 2) | dealt)
         for at in range(0, len(rows), 10_000):
             some = rows[at:at + 10_000]
             none = [None] * len(some)
-            yield _batch(LISTED, [name(own[some]), size[some].tolist(), none, none,
+            yield _batch(LISTED, [kind[some].tolist(), name(own[some]), size[some].tolist(), none, none, none, none,
                                   tok[some].view(np.int64).tolist(), place[some].tolist()])
 
     return each
 
 
 def short_lists(docs: DataFrame, sketch: Broadcast) -> DataFrame:
-    """Votes for leaders, and the postings of lists that hold several records."""
+    """Votes, and the postings of lists that hold more than two records."""
     spark = docs.sparkSession
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    postings = map_batches(docs.select("text"), _posting_batches(sketch, 4 * partitions), POSTINGS)
-    return stage(map_batches(postings.repartition(partitions, "bucket"), _list_batches(sketch), LISTED), "lists")
+    postings = map_batches(docs.select("text"), _posting_batches(sketch, partitions), POSTINGS)
+    return stage(map_batches(postings.repartitionById(partitions, "bucket"), _list_batches(sketch), LISTED), "lists")
 
 
 # --- 3. search in a leader's block ----------------------------------------------------
@@ -326,37 +337,42 @@ SETS = T.StructType([T.StructField("v", T.BinaryType()), T.StructField("shingles
 BITMAP, BITMAP_ROW = 1 << 23, 1 << 15
 
 
-def _set_batches(bits: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _set_batches(bits: Broadcast, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
-        shingles, bitmap = shingler(), bits.value
-        seen: set[bytes] = set()
+        bitmap = bits.value
+        seen: set[int] = set()
         for batch in batches:
             vs, sets = [], []
             for text in batch.column(0).to_pylist():
-                s = shingles(text)
-                if not len(s) or (v := record_id(s)) in seen:
-                    continue
-                place = xxhash.xxh64_intdigest(v, seed=42) % BITMAP  # as Spark's xxhash64
-                if bitmap[place >> 3] >> (place & 7) & 1:
-                    seen.add(v)
-                    vs.append(v)
-                    sets.append(s.tobytes())
+                t1 = xxhash.xxh64_intdigest((text or "").encode(), seed=seed)
+                place = t1 % BITMAP
+                if t1 not in seen and bitmap[place >> 3] >> (place & 7) & 1:
+                    seen.add(t1)
+                    s = shingles_of(text)
+                    if len(s):
+                        vs.append(record_id(s))
+                        sets.append(s.tobytes())
             yield _batch(SETS, [vs, sets])
     return each
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """The shingles of the records ``wanted(v)``, and of few others, each record once."""
-    place = F.pmod(F.xxhash64("v"), F.lit(BITMAP)) + 1
-    rows = (wanted.groupBy(F.bitmap_bucket_number(place).alias("row"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
+    spark = docs.sparkSession
+    # one text for each record, known by its hash
+    chosen = rows.filter("v is not null").groupBy("v").agg(F.min("t1").alias("t1")).join(wanted.distinct(), "v", "left_semi")
+    place = F.pmod("t1", F.lit(BITMAP)) + 1
+    parts = (chosen.groupBy(F.bitmap_bucket_number(place).alias("part"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
     bitmap = np.zeros(BITMAP >> 3, np.uint8)  # BITMAP bits, whatever the input
-    for row in rows:
-        at = (row["row"] - 1) * (BITMAP_ROW >> 3)
+    for row in parts:
+        at = (row["part"] - 1) * (BITMAP_ROW >> 3)
         bitmap[at:at + (BITMAP_ROW >> 3)] = np.frombuffer(row["bits"], np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap.tobytes())
-    found = map_batches(docs.select("text"), _set_batches(shared), SETS)
+    shared = spark.sparkContext.broadcast(bitmap.tobytes())
+    # t1 is xxhash64 of 1 and the text: the hash of the text seeded by that of 1
+    seed = spark.range(1).select(F.xxhash64(F.lit(1))).first()[0] % (1 << 64)
+    found = map_batches(docs.select("text"), _set_batches(shared, seed), SETS)
     return stage(found.groupBy("v").agg(F.first("shingles").alias("shingles")), "sets")
 
 
@@ -471,68 +487,97 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 # --- 4. components -------------------------------------------------------------------
 
 
-def _placed(postings: DataFrame, roots: DataFrame) -> DataFrame:
-    """The postings of lists that hold several components, with the component as ``root``."""
-    rooted = (postings.join(roots, "v", "left")
-              .withColumn("root", F.coalesce("root", "v")))
-    mixed = (rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .filter("lo <> hi").select("token"))
-    return stage(rooted.join(mixed, "token", "left_semi"), "mixed")
-
+def needed_in_short(n: Column, m: Column) -> Column:
+    """In how many short lists records of ``n`` and ``m`` shingles meet if they link, at least.
 
-def _can_link(n: Column, pos: Column, m: Column, other: Column) -> Column:
-    """Whether records of ``n`` and ``m`` shingles, first met at these places, can reach the overlap."""
-    return 7 * F.least(n - pos, m - other) >= 3 * (n + m)
-
-
-def link_records(docs: DataFrame, sketch: Broadcast) -> DataFrame:
+    ``T - L``: of the ``T`` shingles that they share, no more than the ``L`` long lists of
+    the larger one can be outside its short lists.
+    """
+    overlap, larger = F.floor((3 * (n + m) + 6) / 7), F.greatest(n, m)
+    return F.greatest(overlap - F.floor((3 * larger + 3) / 4) + 1, F.lit(1))
+
+
+def _with_root(df: DataFrame, column: str, roots: DataFrame, name: str) -> DataFrame:
+    named = roots.select(F.col("v").alias(column), F.col("root").alias(name))
+    return df.join(named, column, "left").withColumn(name, F.coalesce(name, column))
+
+
+def apart(listed: DataFrame, roots: DataFrame, within: DataFrame | None = None) -> DataFrame:
+    """Pairs ``(a, b)`` of different components (and, if given, of one of ``within``) that meet in enough short lists."""
+    postings = _with_root(listed.filter("kind > 0").select("token", "v", "n", "pos"), "v", roots, "root")
+    votes = _with_root(_with_root(listed.filter("kind = 0 and alone > 0").select("v", "n", "w", "m", "alone"),
+                                  "v", roots, "root"), "w", roots, "other").filter("root <> other")
+    if within is None:
+        postings, votes = postings.withColumn("all", F.lit(None).cast("binary")), votes
+    else:
+        postings = _with_root(postings, "v", within, "all")
+        votes = _with_root(_with_root(votes, "v", within, "all"), "w", within, "all2").filter("all = all2")
+    key = ["token"] if within is None else ["token", "all"]
+    mixed = (postings.groupBy(*key).agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+             .filter("lo <> hi").select(*key))
+    rows = stage(postings.join(mixed, key, "left_semi").drop(*({"all"} - set(key))), "mixed")
+    x, y = rows.alias("x"), rows.alias("y")
+    n, m, i, j = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
+    # a shared shingle at these places leaves room for an overlap of at most the sum of the
+    # lesser numbers before it and from it on
+    room = F.least(i, j) + F.least(n - i, m - j)
+    same = reduce(and_, [F.col(f"x.{k}") == F.col(f"y.{k}") for k in key])
+    met = (x.join(y, same & (F.col("x.root") != F.col("y.root")) & (F.col("x.v") < F.col("y.v"))
+                  & (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * room >= 3 * (n + m)))
+           .select(F.col("x.v").alias("a"), n.alias("n"), F.col("y.v").alias("b"), m.alias("m"), F.lit(1).cast("long").alias("times")))
+    ordered = F.col("v") < F.col("w")
+    alone = votes.select(F.least("v", "w").alias("a"), F.when(ordered, F.col("n")).otherwise(F.col("m")).alias("n"),
+                         F.greatest("v", "w").alias("b"), F.when(ordered, F.col("m")).otherwise(F.col("n")).alias("m"),
+                         F.col("alone").alias("times"))
+    return (met.unionByName(alone).groupBy("a", "b", "n", "m").agg(F.sum("times").alias("times"))
+            .filter(F.col("times") >= needed_in_short(F.col("n"), F.col("m"))).select("a", "b"))
+
+
+def link_records(docs: DataFrame, rows: DataFrame, sketch: Broadcast) -> DataFrame:
     """``v`` and ``root`` of every record that links with another."""
     listed = short_lists(docs, sketch)
-    postings = listed.filter("token is not null").select("token", "v", "n", "pos")
-    best = (listed.filter("token is null").groupBy("v", "w").agg(F.sum("votes").alias("votes"))
-            .groupBy("v").agg(F.max(F.struct("votes", "w")).alias("best")))
-    pairs = stage(best.select(F.col("best.w").alias("a"), F.col("v").alias("b")), "led")
-    sets = sets_of(docs, postings.select("v").union(pairs.select(F.col("a").alias("v"))))
-    tried, links = [pairs], [linked(pairs, sets)]
-
-    def roots() -> DataFrame:
-        every = links[0]
-        for more in links[1:]:
-            every = every.union(more)
-        return stage(components(every), "roots")
-
-    def new(found: DataFrame) -> DataFrame:
-        found = found.distinct()
-        for before in tried:
-            found = found.join(before, ["a", "b"], "left_anti")
-        return stage(found, "pairs")
-
-    # one record for each component in a list, with the list's first
-    found = roots()
+    best = (listed.filter("kind = 0").groupBy("v", "n", "w", "m").agg(F.sum("votes").alias("votes"))
+            .filter(F.col("votes") >= needed_in_short(F.col("n"), F.col("m")))
+            .groupBy("v").agg(F.max(F.struct("votes", "w")).alias("best"))
+            .select(F.col("best.w").alias("a"), F.col("v").alias("b")))
+    # parts of one list, by their first records
+    heads = listed.filter("kind = 2").select("token", F.struct("n", "v").alias("head"))
+    first = heads.groupBy("token").agg(F.min("head").alias("first"))
+    parts = (heads.join(first, "token").filter("head <> first and 4 * first.n >= 3 * head.n")
+             .select(F.col("first.v").alias("a"), F.col("head.v").alias("b")))
+    led = stage(best.union(parts).distinct(), "led")
+    # as if all of these linked: what else is to be compared is between those groups
+    groups = stage(components(led), "groups")
+    across = stage(apart(listed, groups), "across")
+    pairs = led.union(across)
+    sets = sets_of(docs, rows, pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))))
+    tried, links = pairs, linked(pairs, sets)
+    found = stage(components(links), "roots")
+
+    def new(pairs: DataFrame) -> DataFrame:
+        turned = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        return stage(pairs.distinct().join(tried.union(turned), ["a", "b"], "left_anti"), "pairs")
+
+    # where a group fell apart: one record for each part of it in a list, with the list's
+    # first, until that links nothing more; then all that is left
+    inner = _with_root(listed.filter("kind > 0").select("token", "v", "n"), "v", groups, "all")
     while True:
-        mixed = _placed(postings, found)
-        heads = mixed.groupBy("token", "root").agg(F.min(F.struct("n", "v")).alias("head"))
-        first = heads.groupBy("token").agg(F.min("head").alias("first"))
-        star = (heads.join(first, "token").filter("head <> first and 4 * first.n >= 3 * head.n")
-                .select(F.col("first.v").alias("a"), F.col("head.v").alias("b")))
-        star = new(star)
+        placed = _with_root(inner, "v", found, "root")
+        tops = placed.groupBy("token", "all", "root").agg(F.min(F.struct("n", "v")).alias("head"))
+        first = tops.groupBy("token", "all").agg(F.min("head").alias("first"))
+        star = new(tops.join(first, ["token", "all"]).filter("head <> first and 4 * first.n >= 3 * head.n")
+                   .select(F.col("first.v").alias("a"), F.col("head.v").alias("b")))
         if star.isEmpty():
             break
-        tried.append(star)
         more = linked(star, sets)
+        tried = tried.union(star)
         if more.isEmpty():
             break
-        links.append(more)
-        found = roots()
-    # whatever records of different components can still link
-    x, y = mixed.alias("x"), mixed.alias("y")
-    apart = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
-                   & (F.struct("x.n", "x.v") < F.struct("y.n", "y.v"))
-                   & _can_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos")))
-    rest = new(apart.select(F.col("x.v").alias("a"), F.col("y.v").alias("b")))
+        links = links.union(more)
+        found = stage(components(links), "roots")
+    rest = new(apart(listed, found, within=groups))
     if not rest.isEmpty():
-        links.append(linked(rest, sets))
-        found = roots()
+        found = stage(components(links.union(linked(rest, sets))), "roots")
     return found
 
 
@@ -542,7 +587,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     The key is the doc_id and a hash of the text (``t1``, ``t2``).
     """
     rows, sketch = records(docs)
-    roots = link_records(docs, sketch)
+    roots = link_records(docs, rows, sketch)
     known = rows.filter("v is not null").groupBy("v").agg(F.min("doc_id").alias("least"))
     rooted = known.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -54,6 +53,3 @@ def per_text(df: DataFrame, column: Column, make: Callable[[], Callable[[str], t
     return each(column)
 
 
-def with_struct(df: DataFrame, struct: Column, keep: list[str], **renamed: Any) -> DataFrame:
-    """``keep`` and the fields of ``struct`` as columns, the struct computed once."""
-    return df.select(*keep, struct.alias("__s")).select(*keep, "__s.*")
