@@ -16,13 +16,14 @@ themselves, so each partner is in one of the other, short ones.
 3. ``linked``: a leader's block of records forms an index of inverted lists, in which the
    leader's shingles are the query: the short lists are merged by a heap that skips
    records which can't reach the overlap, the long ones are probed by binary search.
-4. Links make components. Lists whose records are all in one component are done. In the
-   others, one record for each component is searched for first, until that links
-   nothing more; then all records of different components that share a short list, are
-   near enough in size and can still reach the overlap from their places in the list.
+4. Links make components. Before any link is verified, records whose votes make a link
+   likely are taken as groups, and pairs between groups are formed only if they meet in as
+   many short lists as a link needs (``needed_in_short``). Where verified links leave a
+   group in several components, single records of them are searched for first; then all
+   records outside the group's largest component, in every block of the group.
 
-So no pair is formed within a group of copies: a group of ``m`` near copies takes some
-``m`` comparisons, and yet every pair of records that link is in one component.
+So no pairs are formed within a group of copies: a group of ``m`` near copies takes some
+``m`` comparisons, and yet every two records that link are in one component.
 
 Null texts, empty ones and those of blanks have no shingles, link with nothing, and are
 their own component. Rows with a null doc_id take part, but name no component; a component
@@ -44,7 +45,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from feedquality.llm.components import components
+from feedquality.llm.components import components, merged
 from feedquality.llm.text import map_batches, read
 from feedquality.session import stage
 
@@ -55,6 +56,8 @@ SKETCH_BITS, BLOCK = 19, 1 << 15
 LIST_PART = 50_000
 #: Records in one block of a leader.
 INDEX_BLOCK = 256
+#: Parts of a broken group are searched for by single records as long as one pair in so many links.
+WORTH = 2
 #: Postings that a worker gathers before it passes them on.
 GATHERED = 1_000_000
 
@@ -484,6 +487,76 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return stage(map_batches(blocks, _search_batches, LINKS), "links")
 
 
+class BlockIndex:
+    """The inverted lists of a block of records."""
+
+    def __init__(self, members: list[np.ndarray]) -> None:
+        self.sizes = [len(m) for m in members]
+        shingle = np.concatenate(members)
+        member = np.repeat(np.arange(len(members)), self.sizes)
+        order = np.lexsort((member, shingle))
+        self.member = member[order]
+        self.shingles, self.starts = np.unique(shingle[order], return_index=True)
+        self.ends = np.append(self.starts[1:], len(order))
+
+    def search(self, query: np.ndarray) -> list[int]:
+        """Which members link with ``query``."""
+        n = len(query)
+        at = np.minimum(np.searchsorted(self.shingles, query), len(self.shingles) - 1)
+        at = at[self.shingles[at] == query]
+        lists = [self.member[s:e].tolist() for s, e in zip(self.starts[at].tolist(), self.ends[at].tolist(), strict=True)]
+        found = divide_skip(lists, max(least_overlap(n), min(pair_overlap(n, m) for m in self.sizes)))
+        return [k for k, count in found.items() if count >= pair_overlap(n, self.sizes[k])]
+
+
+def _group_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by block, its members first and then the records to search for. A block is held."""
+    block, index = None, None
+    names: list[bytes] = []
+    roots: list[bytes] = []
+    members: list[np.ndarray] = []
+    for batch in batches:
+        out_a, out_b = [], []
+        for group, number, asks, v, root, shingles in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (group, number) != block:
+                block, index = (group, number), None
+                names, roots, members = [], [], []
+            values = np.frombuffer(shingles, np.uint64)
+            if not asks:
+                names.append(v)
+                roots.append(root)
+                members.append(values)
+            elif members:
+                if index is None:
+                    index = BlockIndex(members)
+                # one link to each component is enough
+                met = {roots[k]: names[k] for k in index.search(values) if roots[k] != root}
+                out_a += [v] * len(met)
+                out_b += met.values()
+        if out_a:
+            yield _batch(LINKS, [out_a, out_b])
+
+
+def linked_in_groups(parts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the components (``root``) of each group (``all``) of records ``v``.
+
+    A group's records are dealt into blocks. All but those of its largest component are
+    searched for in every block of the group.
+    """
+    spark = parts.sparkSession
+    sizes = parts.groupBy("all", "root").agg(F.count(F.lit(1)).alias("rows"))
+    groups = sizes.groupBy("all").agg(F.sum("rows").alias("rows"), F.max(F.struct("rows", "root")).alias("largest"))
+    blocks = F.ceil(F.col("rows") / INDEX_BLOCK)
+    dealt = parts.join(groups.select("all", blocks.alias("blocks"), F.col("largest.root").alias("largest")), "all")
+    held = dealt.select("all", F.pmod(F.xxhash64("v"), F.col("blocks")).alias("block"), F.lit(False).alias("asks"), "v", "root")
+    asked = dealt.filter("root <> largest").select(
+        "all", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "v", "root")
+    rows = held.unionByName(asked).join(sets, "v").select("all", "block", "asks", "v", "root", "shingles")
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    ordered = rows.repartition(partitions, "all", "block").sortWithinPartitions("all", "block", "asks", "v")
+    return stage(map_batches(ordered, _group_batches, LINKS), "links")
+
+
 # --- 4. components -------------------------------------------------------------------
 
 
@@ -502,28 +575,21 @@ def _with_root(df: DataFrame, column: str, roots: DataFrame, name: str) -> DataF
     return df.join(named, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def apart(listed: DataFrame, roots: DataFrame, within: DataFrame | None = None) -> DataFrame:
-    """Pairs ``(a, b)`` of different components (and, if given, of one of ``within``) that meet in enough short lists."""
+def apart(listed: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of records of different components that meet in enough short lists."""
     postings = _with_root(listed.filter("kind > 0").select("token", "v", "n", "pos"), "v", roots, "root")
     votes = _with_root(_with_root(listed.filter("kind = 0 and alone > 0").select("v", "n", "w", "m", "alone"),
                                   "v", roots, "root"), "w", roots, "other").filter("root <> other")
-    if within is None:
-        postings, votes = postings.withColumn("all", F.lit(None).cast("binary")), votes
-    else:
-        postings = _with_root(postings, "v", within, "all")
-        votes = _with_root(_with_root(votes, "v", within, "all"), "w", within, "all2").filter("all = all2")
-    key = ["token"] if within is None else ["token", "all"]
-    mixed = (postings.groupBy(*key).agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .filter("lo <> hi").select(*key))
-    rows = stage(postings.join(mixed, key, "left_semi").drop(*({"all"} - set(key))), "mixed")
+    mixed = (postings.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+             .filter("lo <> hi").select("token"))
+    rows = stage(postings.join(mixed, "token", "left_semi"), "mixed")
     x, y = rows.alias("x"), rows.alias("y")
     n, m, i, j = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
     # a shared shingle at these places leaves room for an overlap of at most the sum of the
     # lesser numbers before it and from it on
     room = F.least(i, j) + F.least(n - i, m - j)
-    same = reduce(and_, [F.col(f"x.{k}") == F.col(f"y.{k}") for k in key])
-    met = (x.join(y, same & (F.col("x.root") != F.col("y.root")) & (F.col("x.v") < F.col("y.v"))
-                  & (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * room >= 3 * (n + m)))
+    met = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
+                  & (F.col("x.v") < F.col("y.v")) & (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * room >= 3 * (n + m)))
            .select(F.col("x.v").alias("a"), n.alias("n"), F.col("y.v").alias("b"), m.alias("m"), F.lit(1).cast("long").alias("times")))
     ordered = F.col("v") < F.col("w")
     alone = votes.select(F.least("v", "w").alias("a"), F.when(ordered, F.col("n")).otherwise(F.col("m")).alias("n"),
@@ -533,11 +599,28 @@ def apart(listed: DataFrame, roots: DataFrame, within: DataFrame | None = None)
             .filter(F.col("times") >= needed_in_short(F.col("n"), F.col("m"))).select("a", "b"))
 
 
+def _star(postings: DataFrame, key: list[str], turn: int = 0) -> DataFrame:
+    """For each list, one record of each component in it, with one of the list: ``(a, b)`` and in how
+    many lists (``votes``), if their sizes let them link. Each ``turn`` picks other records."""
+    pick = F.min(F.struct(F.xxhash64(F.lit(turn), "v").alias("h"), "n", "v"))
+    heads = postings.groupBy(*key, "root").agg(pick.alias("head"))
+    first = heads.groupBy(*key).agg(F.min("head").alias("first"))
+    n, m = F.col("first.n"), F.col("head.n")
+    near = (F.col("head") != F.col("first")) & (4 * F.least(n, m) >= 3 * F.greatest(n, m))
+    return (heads.join(first, key).filter(near)
+            .groupBy(F.col("first.v").alias("a"), F.col("head.v").alias("b"), n.alias("n"), m.alias("m"))
+            .agg(F.count(F.lit(1)).alias("votes")))
+
+
+def _likely() -> Column:
+    """Votes are counted in some of the lists that two records share, so half as many will do."""
+    return 2 * F.col("votes") >= needed_in_short(F.col("n"), F.col("m"))
+
+
 def link_records(docs: DataFrame, rows: DataFrame, sketch: Broadcast) -> DataFrame:
     """``v`` and ``root`` of every record that links with another."""
     listed = short_lists(docs, sketch)
-    best = (listed.filter("kind = 0").groupBy("v", "n", "w", "m").agg(F.sum("votes").alias("votes"))
-            .filter(F.col("votes") >= needed_in_short(F.col("n"), F.col("m")))
+    best = (listed.filter("kind = 0").groupBy("v", "n", "w", "m").agg(F.sum("votes").alias("votes")).filter(_likely())
             .groupBy("v").agg(F.max(F.struct("votes", "w")).alias("best"))
             .select(F.col("best.w").alias("a"), F.col("v").alias("b")))
     # parts of one list, by their first records
@@ -546,39 +629,47 @@ def link_records(docs: DataFrame, rows: DataFrame, sketch: Broadcast) -> DataFra
     parts = (heads.join(first, "token").filter("head <> first and 4 * first.n >= 3 * head.n")
              .select(F.col("first.v").alias("a"), F.col("head.v").alias("b")))
     led = stage(best.union(parts).distinct(), "led")
-    # as if all of these linked: what else is to be compared is between those groups
+    # as if all of these linked, and what such groups share likewise: the groups in which
+    # almost all links lie. What else is to be compared is between them
     groups = stage(components(led), "groups")
-    across = stage(apart(listed, groups), "across")
-    pairs = led.union(across)
-    sets = sets_of(docs, rows, pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))))
-    tried, links = pairs, linked(pairs, sets)
-    found = stage(components(links), "roots")
+    postings = listed.filter("kind > 0").select("token", "v", "n")
+    while True:
+        star = stage(_star(_with_root(postings, "v", groups, "root"), ["token"]).filter(_likely()).select("a", "b"), "star")
+        if star.isEmpty():
+            break
+        led = led.union(star)
+        groups = stage(merged(groups, star), "groups")
+    tried = led.union(stage(apart(listed, groups), "across"))
+    sets = sets_of(docs, rows, tried.select(F.col("a").alias("v")).union(tried.select(F.col("b").alias("v"))))
+    found = stage(components(linked(tried, sets)), "roots")
+
+    # the groups that fell apart, and the lists of their records
+    whole = _with_root(groups.withColumnRenamed("root", "all"), "v", found, "root")
+    broken = (whole.groupBy("all").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+              .filter("lo <> hi").select("all"))
+    inside = stage(groups.withColumnRenamed("root", "all").join(broken, "all", "left_semi").select("v", "all"), "broken")
+    if inside.isEmpty():
+        return found
+    inner = stage(listed.join(inside, "v"), "inner")
 
     def new(pairs: DataFrame) -> DataFrame:
         turned = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
         return stage(pairs.distinct().join(tried.union(turned), ["a", "b"], "left_anti"), "pairs")
 
-    # where a group fell apart: one record for each part of it in a list, with the list's
-    # first, until that links nothing more; then all that is left
-    inner = _with_root(listed.filter("kind > 0").select("token", "v", "n"), "v", groups, "all")
+    # one record for each part of such a group in a list, other ones each time, as long as
+    # that is worth it; then a search for all that is left
+    turn = 0
     while True:
-        placed = _with_root(inner, "v", found, "root")
-        tops = placed.groupBy("token", "all", "root").agg(F.min(F.struct("n", "v")).alias("head"))
-        first = tops.groupBy("token", "all").agg(F.min("head").alias("first"))
-        star = new(tops.join(first, ["token", "all"]).filter("head <> first and 4 * first.n >= 3 * head.n")
-                   .select(F.col("first.v").alias("a"), F.col("head.v").alias("b")))
-        if star.isEmpty():
-            break
+        placed = _with_root(inner.filter("kind > 0").select("token", "all", "v", "n"), "v", found, "root")
+        turn += 1
+        star = new(_star(placed, ["token", "all"], turn).filter(_likely()).select("a", "b"))
         more = linked(star, sets)
         tried = tried.union(star)
-        if more.isEmpty():
+        found = stage(merged(found, more), "roots")
+        if more.count() * WORTH <= star.count():
             break
-        links = links.union(more)
-        found = stage(components(links), "roots")
-    rest = new(apart(listed, found, within=groups))
-    if not rest.isEmpty():
-        found = stage(components(links.union(linked(rest, sets))), "roots")
-    return found
+    parts = _with_root(inside, "v", found, "root")
+    return stage(merged(found, linked_in_groups(parts, sets)), "roots")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
