@@ -1,25 +1,25 @@
 """Check, clean and roll up batch feeds with Spark."""
 
-from feedquality.errors import (ConfigError, EmptyFeedError, FeedQualityError, MissingFeedError,
+from feedquality.errors import (ConfigError, CorruptFeedError, EmptyFeedError, FeedQualityError, MissingFeedError,
                                 SchemaMismatchError, TableRuleError)
 from feedquality.model import TableModel
 from feedquality.operators.joins import join_range, join_tables
 from feedquality.operators.quality import (CleanResult, clean, failing_values, failures, log_failures,
                                            observe_rules, quality_report, verdict)
 from feedquality.operators.rollup import group_agg
-from feedquality.operators.schema_gate import SchemaReport, check_schema, check_tables
+from feedquality.operators.schema_gate import SchemaReport, check_names, check_schema, check_tables
 from feedquality.plans.job import FeedSpec, JobResult, JobSpec, run_job, totals
 from feedquality.rules import OnFailure, Rule, RuleSet, Scope, required_rules
 from feedquality.session import session_builder, size_shuffles, stage
-from feedquality.sinks.writers import (SinkSpec, as_lines, bigquery_sink, flatten, mongo_sink, sink_for,
+from feedquality.sinks.writers import (RECORD_SEPARATOR, SinkSpec, as_lines, bigquery_sink, flatten, mongo_sink, sink_for,
                                        write_connector, write_table)
 from feedquality.sources.feeds import (SourceSpec, feed_listing, feed_ready, read_table, require_feed,
                                        sources_from, split_corrupt)
 
 __all__ = [
-    "CleanResult", "ConfigError", "EmptyFeedError", "FeedQualityError", "FeedSpec", "JobResult", "JobSpec",
-    "MissingFeedError", "OnFailure", "Rule", "RuleSet", "SchemaMismatchError", "SchemaReport", "Scope",
-    "SinkSpec", "SourceSpec", "TableModel", "TableRuleError", "as_lines", "bigquery_sink", "check_schema",
+    "CleanResult", "ConfigError", "CorruptFeedError", "EmptyFeedError", "FeedQualityError", "FeedSpec", "JobResult", "JobSpec",
+    "MissingFeedError", "OnFailure", "RECORD_SEPARATOR", "Rule", "RuleSet", "SchemaMismatchError", "SchemaReport", "Scope",
+    "SinkSpec", "SourceSpec", "TableModel", "TableRuleError", "as_lines", "bigquery_sink", "check_names", "check_schema",
     "check_tables", "clean", "failing_values", "failures", "feed_listing", "feed_ready", "flatten",
     "group_agg", "join_range", "join_tables", "log_failures", "mongo_sink", "observe_rules", "quality_report", "read_table",
     "require_feed", "required_rules", "run_job", "session_builder", "sink_for", "size_shuffles", "sources_from",

@@ -12,7 +12,7 @@ from feedquality.plans.job import FeedSpec, JobSpec, run_job
 from feedquality.rules import RuleSet
 from feedquality.session import session_builder, size_shuffles
 from feedquality.sinks.writers import SinkSpec, sink_for
-from feedquality.sources.feeds import SourceSpec, feed_listing, require_feed
+from feedquality.sources.feeds import feed_listing, require_feed, sources_from
 
 
 def parser() -> argparse.ArgumentParser:
@@ -36,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--group", default="user_address")
     p.add_argument("--report_path", help="write the quality reports here, as JSON")
     p.add_argument("--quarantine_path", help="write rejected rows below here, one folder per feed, as JSON")
+    p.add_argument("--max_corrupt", type=float, help="share of a declared feed's lines that may be unparsable")
     return p
 
 
@@ -51,19 +52,19 @@ def job_spec(argv: Sequence[str] | None = None) -> tuple[str, JobSpec]:
     p = parser()
     a = p.parse_args(argv)
     names = _two(p, "names", a.names)
-    feeds = []
-    for name, path, model_path, suite_path in zip(
-            names, _two(p, "input_path", a.input_path), _two(p, "models", a.models), _two(p, "suites", a.suites)):
-        model = TableModel.from_json(model_path, name)
-        feeds.append(FeedSpec(SourceSpec(path, schema=model.schema, mode=a.read_mode), model,
-                              RuleSet.from_json(suite_path)))
-    quarantine = {n: SinkSpec("json", f"{a.quarantine_path.rstrip('/')}/{n}")
+    _two(p, "input_path", a.input_path)
+    models = {n: TableModel.from_json(path, n) for n, path in zip(names, _two(p, "models", a.models))}
+    sources = sources_from(a.input_path, names, schemas={n: m.schema for n, m in models.items()}, mode=a.read_mode)
+    feeds = [FeedSpec(sources[n], models[n], RuleSet.from_json(path))
+             for n, path in zip(names, _two(p, "suites", a.suites))]
+    quarantine = {n: SinkSpec("json", f"{a.quarantine_path.rstrip('/')}/{n}", mode=a.write_disposition)
                   for n in names} if a.quarantine_path else {}
     return a.app_name, JobSpec(
         dimension=feeds[0], fact=feeds[1], key=a.key, measure=a.measure, group=a.group, mode=a.discard_mode,
         sink=sink_for(a.sink, a.output_path, a.file_format, a.connection_uri,
                       a.write_disposition, a.create_disposition),
-        reports=SinkSpec("json", a.report_path) if a.report_path else None, quarantine=quarantine)
+        reports=SinkSpec("json", a.report_path, mode=a.write_disposition) if a.report_path else None,
+        quarantine=quarantine, max_corrupt=a.max_corrupt)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

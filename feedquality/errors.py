@@ -25,3 +25,7 @@ class SchemaMismatchError(FeedQualityError):
 
 class TableRuleError(FeedQualityError):
     """A table-level rule with a discard action failed: there are no rows to discard."""
+
+
+class CorruptFeedError(FeedQualityError):
+    """More lines of a feed can't be parsed than the job tolerates."""

@@ -45,8 +45,8 @@ LEFT, RIGHT = "leftView", "rightView"
 # A key group up to this many rows is ordinary work for one task.
 HOT_KEY_ROWS = 5_000_000
 
-# Keys one sketch keeps apart, some 50 kilobytes per task.
-SKETCH_ITEMS = 4096
+# Buckets that keys are counted in before any key is counted by itself.
+KEY_BUCKETS = 1 << 16
 
 On = str | Column | Sequence[str] | Sequence[tuple[str, str]]
 
@@ -73,52 +73,62 @@ def _pairs(on: On, left: DataFrame, right: DataFrame) -> list[tuple[str, str]] |
     return [(k, k) if isinstance(k, str) else (k[0], k[1]) for k in on]
 
 
-def _largest_group(df: DataFrame, keys: list[str], count_nulls: bool) -> DataFrame:
-    """One row, ``rows``: how many rows the most frequent key has.
+def has_hot_key(df: DataFrame, keys: Sequence[str], limit: int = HOT_KEY_ROWS, count_nulls: bool = False) -> bool:
+    """Whether some key has more than ``limit`` rows; a null counts as a key only if asked for.
 
-    A sketch per task over a pruned scan, merged in one small exchange. It finds every
-    key that holds more than a thousandth of the rows; that no key does reads as null.
-    Only the plan hangs on the answer, never the result.
+    Keys are hashed into buckets, counted in each task before the shuffle. Only the keys
+    of buckets with more than ``limit`` rows are counted by themselves, so the answer is
+    exact at any size, and mostly costs one small exchange.
     """
-    columns = [quoted(k) for k in dict.fromkeys(keys)]
+    columns = [F.col(quoted(k)) for k in dict.fromkeys(keys)]
     rows = df.select(*columns)
     if not count_nulls:
-        rows = rows.where(reduce(and_, [F.col(c).isNotNull() for c in columns]))
-    top = F.expr(f"approx_top_k(xxhash64({', '.join(columns)}), 1, {SKETCH_ITEMS})")
-    return rows.agg(top.alias("top")).selectExpr("try_element_at(top, 1).count as rows")
+        rows = rows.where(reduce(and_, [c.isNotNull() for c in columns]))
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(KEY_BUCKETS)).cast("int").alias("bucket")
+    counted = rows.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+    heavy = [r["bucket"] for r in counted.select("bucket").collect()]  # KEY_BUCKETS rows at most
+    if not heavy:
+        return False
+    buckets = F.broadcast(df.sparkSession.createDataFrame([(b,) for b in heavy], "heavy int"))
+    suspects = rows.join(buckets, bucket == F.col("heavy"), "left_semi")
+    return not suspects.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).isEmpty()
 
 
-def has_hot_key(df: DataFrame, keys: Sequence[str], limit: int = HOT_KEY_ROWS) -> bool:
-    """Whether some key, null apart, has more than ``limit`` rows."""
-    return (_largest_group(df, list(keys), count_nulls=False).first()["rows"] or 0) > limit
+def is_small(df: DataFrame) -> bool:
+    """Whether Spark, by its estimate, would send ``df`` to every task."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def _hot_sides(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], kind: str,
                null_safe: bool, limit: int | None) -> tuple[bool, bool]:
     """Whether the left and the right side hold a key too big for one task, for a join that
     adaptive execution could not split on its own; else ``(False, False)``."""
-    if limit is None or kind == "inner":
+    if limit is None or kind == "inner" or (kind != "full" and is_small(left if kind == "right" else right)):
         return False, False
 
-    def hot(i: int, kept: bool) -> DataFrame:
+    def hot(i: int, kept: bool) -> bool:
         # a null key matches nothing, but the side that is kept moves its null rows too
-        df = (left, right)[i]
-        return _largest_group(df, [p[i] for p in pairs], null_safe or kept).selectExpr(
-            f"{i} as side", f"coalesce(rows, 0) > {limit} as hot")
+        return has_hot_key((left, right)[i], [p[i] for p in pairs], limit, null_safe or kept)
 
     if kind == "full":
-        found = {r["side"]: r["hot"] for r in hot(0, True).union(hot(1, True)).collect()}
-        return found[0], found[1]
+        return hot(0, True), hot(1, True)
     if kind == "right":
-        return (True, hot(1, True).first()["hot"]) if hot(0, False).first()["hot"] else (False, False)
-    if hot(1, False).first()["hot"]:
-        return hot(0, kind != "left_semi").first()["hot"], True
-    return False, False
+        return (True, hot(1, True)) if hot(0, False) else (False, False)
+    return (hot(0, kind != "left_semi"), True) if hot(1, False) else (False, False)
+
+
+def _product(joined: DataFrame, left: DataFrame, right: DataFrame) -> bool:
+    """Whether a join compares every row of one side with every row of the other."""
+    def loops(df: DataFrame) -> int:
+        text = df._jdf.queryExecution().sparkPlan().toString()
+        return text.count("NestedLoopJoin") + text.count("CartesianProduct")
+    return loops(joined) > loops(left) + loops(right)
 
 
 def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "inner",
                 suffixes: tuple[str, str] = ("", "_r"), null_safe: bool = False,
-                hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                hot_key_rows: int | None = HOT_KEY_ROWS, where: str | Column | None = None) -> DataFrame:
     """Join two tables and keep the columns of both sides.
 
     ``on`` is a column name both sides have, a list of such names or of
@@ -127,9 +137,14 @@ def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "in
     other name both sides have gets ``suffixes``. Null keys match nothing unless
     ``null_safe``. Semi and anti joins return the left columns only.
 
+    ``where`` is a further condition on pairs of rows whose keys are equal, again as a
+    ``Column`` or as text with ``leftView`` and ``rightView``.
+
     An outer, semi or anti join on keys first looks for a key with more than
     ``hot_key_rows`` rows on a side that could not be split, and is then put together from
-    other joins. ``None`` skips the look. A join on a condition is left to Spark as it is.
+    other joins. ``None`` skips the look, and so does a side small enough to be sent to
+    every task. A join on a condition alone is left to Spark as it is, and refused where it
+    would compare all pairs: give the keys and ``where``, or use :func:`join_range`.
     """
     kind = join_type(how)
     pairs = _pairs(on, left, right)
@@ -138,16 +153,26 @@ def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "in
     l, r = left.alias(LEFT), right.alias(RIGHT)
     if pairs is None:
         condition = on if isinstance(on, Column) else F.expr(on)
-        return _outputs(l.join(r, condition, kind), left, right, [], kind, suffixes)
+        if where is not None:
+            raise ConfigError("where goes with keys; a join on a condition takes all of it in on")
+        joined = l.join(r, condition, kind)
+        if _product(joined, left, right):
+            raise ConfigError("the condition has no equal keys, so all pairs would be compared; use join_range")
+        return _outputs(joined, left, right, [], kind, suffixes)
 
     def equal(a: Column, b: Column) -> Column:
         return a.eqNullSafe(b) if null_safe else a == b
 
     condition = reduce(and_, [equal(side(LEFT, a), side(RIGHT, b)) for a, b in pairs])
+    if where is not None:
+        condition = condition & (where if isinstance(where, Column) else F.expr(where))
     hot_left, hot_right = _hot_sides(left, right, pairs, kind, null_safe, hot_key_rows)
     if not (hot_left or hot_right):
         return _outputs(l.join(r, condition, kind), left, right, pairs, kind, suffixes)
 
+    if where is not None:
+        return _joined_by_row(left, right, condition, pairs, kind, suffixes)
+
     if kind in ("left_semi", "left_anti"):
         return l.join(_distinct_keys(right, [b for _, b in pairs], hot_left).alias(RIGHT), condition, kind)
 
@@ -160,7 +185,36 @@ def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "in
     if kind in ("right", "full") and first != "right":
         keys = _distinct_keys(left, [a for a, _ in pairs], hot_right)
         parts.append(_padded(r.join(keys.alias(LEFT), condition, "left_anti"), left, right, pairs, suffixes, RIGHT))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts)
+
+
+def _joined_by_row(left: DataFrame, right: DataFrame, condition: Column, pairs: list[tuple[str, str]], kind: str,
+                   suffixes: tuple[str, str]) -> DataFrame:
+    """A join with a further condition and hot keys on both sides: an inner join, which can
+    be split, tells which rows have a match. Rows get a number for that in a staged copy."""
+    number = "__row"
+    numbered = [stage(df.withColumn(number, F.monotonically_increasing_id()), "numbered") for df in (left, right)]
+    inner = numbered[0].alias(LEFT).join(numbered[1].alias(RIGHT), condition)
+
+    def rows(i: int, how: str) -> DataFrame:
+        matched = inner.select(side((LEFT, RIGHT)[i], number).alias("matched")).distinct()
+        return numbered[i].join(matched, F.col(number) == F.col("matched"), how).drop(number)
+
+    if kind in ("left_semi", "left_anti"):
+        return rows(0, kind)
+    kept = inner.select(*[side(LEFT, c) for c in left.columns], *[side(RIGHT, c) for c in right.columns])
+    lefts, rights = _labels(left, right, pairs, suffixes)
+    shared = {a for a, b in pairs if a == b}
+    at = {c: i for i, c in enumerate(left.columns)}
+    order = [at[c] for c in lefts] + [len(left.columns) + i for i, c in enumerate(right.columns) if c not in shared]
+    flat = kept.toDF(*[str(i) for i in range(len(kept.columns))])
+    labels = [*lefts.values(), *rights.values()]
+    parts = [flat.select(*[F.col(quoted(str(i))).alias(x) for i, x in zip(order, labels, strict=True)])]
+    if kind in ("left", "full"):
+        parts.append(_padded(rows(0, "left_anti").alias(LEFT), left, right, pairs, suffixes, LEFT))
+    if kind in ("right", "full"):
+        parts.append(_padded(rows(1, "left_anti").alias(RIGHT), left, right, pairs, suffixes, RIGHT))
+    return reduce(DataFrame.union, parts)
 
 
 def _distinct_keys(df: DataFrame, names: list[str], staged: bool) -> DataFrame:
@@ -173,11 +227,16 @@ def _distinct_keys(df: DataFrame, names: list[str], staged: bool) -> DataFrame:
 def _labels(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]],
             suffixes: tuple[str, str]) -> tuple[dict[str, str], dict[str, str]]:
     """Output name of each left and each right column; a shared key is listed on the left."""
+    exact = left.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+
+    def same(name: str) -> str:
+        return name if exact else name.lower()
+
     shared = {a for a, b in pairs if a == b}
-    clash = (set(left.columns) & set(right.columns)) - shared
-    lefts = {c: c + suffixes[0] if c in clash else c for c in left.columns}
-    rights = {c: c + suffixes[1] if c in clash else c for c in right.columns if c not in shared}
-    labels = [*lefts.values(), *rights.values()]
+    clash = ({same(c) for c in left.columns} & {same(c) for c in right.columns if c not in shared})
+    lefts = {c: c + suffixes[0] if same(c) in clash and c not in shared else c for c in left.columns}
+    rights = {c: c + suffixes[1] if same(c) in clash else c for c in right.columns if c not in shared}
+    labels = [same(c) for c in (*lefts.values(), *rights.values())]
     if len(set(labels)) < len(labels):
         raise ConfigError(f"suffixes {suffixes!r} leave two result columns with one name")
     return lefts, rights
@@ -214,8 +273,8 @@ def _padded(alone: DataFrame, left: DataFrame, right: DataFrame, pairs: list[tup
         *[value(RIGHT, right.schema, c).alias(label) for c, label in rights.items()])
 
 
-# Cells narrower than this are not worth telling apart.
-MIN_CELL = -20
+# Beyond this an end or a point counts as infinitely far.
+FAR = 1e300
 
 
 def join_range(left: DataFrame, right: DataFrame, point: str, low: str, high: str,
@@ -223,33 +282,45 @@ def join_range(left: DataFrame, right: DataFrame, point: str, low: str, high: st
     """Inner join of points with intervals by hashing instead of a nested loop.
 
     ``closed`` names the ends that belong to the interval: ``left``, ``right``, ``both``
-    or ``neither``. Points and ends are numbers or timestamps.
-
-    An interval no longer than ``2**k`` touches two or three cells of width ``2**k``. So
-    each interval is listed under those cells, and each point under its one cell for
-    every ``k`` that occurs among the intervals (a few dozen, whatever the size of the
-    tables). Sharing a cell makes a candidate pair; the exact comparison decides.
+    or ``neither``. Points and ends are numbers or timestamps; an end may be infinite.
+
+    Intervals are first cut to the range of the points. One no longer than ``2**k`` touches
+    two or three cells of width ``2**k``. So each interval is listed under those cells,
+    and each point under its one cell for every ``k`` that occurs among the intervals (a
+    few dozen, whatever the size of the tables) and is not too small for it. Sharing a cell
+    makes a candidate pair; the exact comparison decides. Cells are never so small that
+    numbers of the interval's magnitude can't be told apart, so an interval of no length
+    has a cell of its own too.
     """
     if closed not in ("left", "right", "both", "neither"):
         raise ConfigError(f"closed must be left, right, both or neither, got {closed!r}")
     lefts, rights = _labels(left, right, [], suffixes)
 
-    def cell(c: Column, level: Column) -> Column:
-        return F.floor(c.cast("double") / F.pow(F.lit(2.0), level))
+    def number(c: Column) -> Column:
+        return F.greatest(F.least(c.cast("double"), F.lit(FAR)), F.lit(-FAR))
 
-    lo, hi = F.col(quoted(low)), F.col(quoted(high))
-    length = hi.cast("double") - lo.cast("double")
-    level = F.when(length > 0, F.greatest(F.ceil(F.log2(length)), F.lit(MIN_CELL))).otherwise(F.lit(MIN_CELL))
-    intervals = right.where(lo <= hi).select(F.struct("*").alias("i"), level.cast("int").alias("level"),
-                                             lo.alias("lo"), hi.alias("hi"))
+    def cell(c: Column, level: Column) -> Column:
+        return F.floor(c / F.pow(F.lit(2.0), level))
+
+    at, lo, hi = (F.col(quoted(c)) for c in (point, low, high))
+    present = left.where(at.isNotNull())
+    reach = present.agg(F.min(number(at)).alias("lo"), F.max(number(at)).alias("hi")).first()
+    first, last = (0.0, 0.0) if reach["lo"] is None else (reach["lo"], reach["hi"])
+    begin, end = F.greatest(number(lo), F.lit(first)), F.least(number(hi), F.lit(last))
+    magnitude = F.greatest(F.abs(F.col("begin")), F.abs(F.col("end")), F.lit(1e-200))
+    level = F.greatest(F.when(F.col("end") > F.col("begin"), F.ceil(F.log2(F.col("end") - F.col("begin")))),
+                       F.ceil(F.log2(magnitude)) - 50)
+    intervals = (right.where((lo <= hi) & ~F.isnan(hi.cast("double")))
+                 .select(F.struct("*").alias("i"), lo.alias("lo"), hi.alias("hi"), begin.alias("begin"), end.alias("end"))
+                 .where("begin <= end").withColumn("level", level.cast("int")))
     levels = sorted(r[0] for r in intervals.select("level").distinct().collect()) or [0]
 
-    listed = intervals.withColumn(
-        "cell", F.explode(F.sequence(cell(F.col("lo"), F.col("level")), cell(F.col("hi"), F.col("level")))))
-    at = F.col(quoted(point))
-    points = (left.where(at.isNotNull())
-              .select(F.struct("*").alias("p"), at.alias("at"), F.explode(F.lit(levels)).alias("level"))
-              .withColumn("cell", cell(F.col("at"), F.col("level"))))
+    listed = intervals.withColumn("cell", F.explode(F.sequence(cell(F.col("begin"), F.col("level")),
+                                                               cell(F.col("end"), F.col("level")))))
+    near = F.abs(F.col("place")) <= F.pow(F.lit(2.0), F.col("level") + 51)
+    points = (present.select(F.struct("*").alias("p"), at.alias("at"), number(at).alias("place"),
+                             F.explode(F.lit(levels)).alias("level"))
+              .where(near).withColumn("cell", F.when(near, cell(F.col("place"), F.col("level")))))
     above = F.col("at") >= F.col("lo") if closed in ("left", "both") else F.col("at") > F.col("lo")
     below = F.col("at") <= F.col("hi") if closed in ("right", "both") else F.col("at") < F.col("hi")
     return (points.join(listed, ["level", "cell"]).where(above & below)

@@ -287,25 +287,18 @@ def _marker(rule: Rule) -> str:
     return f"__repeated({rule.rule_id})"
 
 
-def _literal(value: Any, dt: T.DataType) -> Column:
-    if isinstance(dt, T.StructType) and value is not None:
-        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in dt.fields])
-    return F.lit(value).cast(dt)
+def _differs(df: DataFrame, bad: Column, rule: Rule) -> Column:
+    """``c <> v`` for every failing value ``v``, where a comparison with null never holds.
 
-
-def _differs_from(c: Column, dt: T.DataType, values: list[Any]) -> Column:
-    """``c <> v`` for every listed value, where a comparison with null never holds."""
-    if any(v is None for v in values):
+    A rule judges each row by its value alone, so a row whose value equals a failing one
+    fails itself, and the failing values need not be listed. What is to be known is
+    whether there are any, and whether null is one of them: one row of counts.
+    """
+    c = column_at(df.schema, rule.column)
+    found = df.agg(F.count_if(bad).alias("bad"), F.count_if(bad & c.isNull()).alias("empty")).first()
+    if found["empty"]:
         return F.lit(False)
-    return reduce(and_, [F.coalesce(c != _literal(v, dt), F.lit(False)) for v in values], F.lit(True))
-
-
-def _most_failing(df: DataFrame, bad: Column, column: str, n: int) -> list[Any]:
-    """The ``n`` most frequent failing values; at most ``n`` of them reach the driver."""
-    value = column_at(df.schema, column)
-    top = (df.where(bad).groupBy(value.alias("value")).count()
-           .orderBy(F.desc("count"), F.asc_nulls_first("value")).limit(n))
-    return [r["value"] for r in top.select("value").collect()]
+    return ~bad & c.isNotNull() if found["bad"] else F.lit(True)
 
 
 def _drop_path(df: DataFrame, path: str) -> DataFrame:
@@ -315,19 +308,19 @@ def _drop_path(df: DataFrame, path: str) -> DataFrame:
     return df.withColumn(head, F.col(quoted(head)).dropFields(rest))
 
 
-def clean(df: DataFrame, ruleset: RuleSet, mode: str = "predicate", sample: int = 20,
+def clean(df: DataFrame, ruleset: RuleSet, mode: str = "predicate",
           on_table_failure: str = "raise") -> CleanResult:
     """Apply each failed rule's action to ``df``.
 
-    ``predicate`` drops exactly the rows that break a rule. ``by_value`` drops rows by
-    comparing them with up to ``sample`` of the rule's failing values instead: other
-    failing values survive, rows without a value go too, a listed null empties the
-    table, and an action on the column counts as one on the rows. A table rule has no
+    ``predicate`` drops exactly the rows that break a rule. ``by_value`` keeps the rows
+    whose value differs from every failing value, as a comparison in SQL does: all failing
+    values count, rows without a value go where there is any, a null among the failing
+    values empties the table, and an action on the column counts as one on the rows. A table rule has no
     rows to drop, so its failure raises :class:`TableRuleError`, or is left to the report
     with ``on_table_failure="report"``.
 
     Rules are measured up front only where the outcome depends on it: a tolerance below
-    one, a column to drop, a list of failing values. Otherwise the result is lazy, apart
+    one, a column to drop, which failing values there are. Otherwise the result is lazy, apart
     from the repeated values of a unique rule, which are staged.
     """
     if mode not in ("predicate", "by_value"):
@@ -365,9 +358,7 @@ def clean(df: DataFrame, ruleset: RuleSet, mode: str = "predicate", sample: int
 
     keep = {r.rule_id: good(r) for r in discarding}
     if mode == "by_value":
-        keep = {r.rule_id: _differs_from(column_at(schema, r.column), field_type(schema, r.column),
-                                         _most_failing(base, ~good(r), r.column, sample))
-                for r in discarding}
+        keep = {r.rule_id: _differs(base, ~good(r), r) for r in discarding}
 
     dropped = list(dict.fromkeys(r.column for r in acting if r not in by_row))
     return CleanResult(base, df.columns, keep, dropped, report)
@@ -387,23 +378,50 @@ def _report_with(df: DataFrame, ruleset: RuleSet, staged: Mapping[str, Repeated]
 # --- explaining --------------------------------------------------------------------
 
 
-def failing_values(df: DataFrame, ruleset: RuleSet, n: int = 20) -> DataFrame:
-    """``(rule_id, value, count)``: per rule its ``n`` most frequent failing values.
+# Fixed: ties between failing values go by so many first characters, then by the digest.
+TIE_CHARS = 64
 
-    Ties go to the smaller value, so the answer does not depend on partitioning. Values
-    are counted map-side first, and each task passes on ``n`` rows per rule at most.
-    """
+
+def _failing(df: DataFrame, ruleset: RuleSet) -> DataFrame | None:
+    """``(rule_id, key, value)`` of every failing row and rule; ``key`` stands for the value."""
     schema = df.schema
     rules = [r for r in ruleset.of(Scope.ROW, Scope.UNIQUE) if r.applies_to(schema)]
     if not rules:
-        return df.sparkSession.createDataFrame([], "rule_id string, value string, count bigint")
+        return None
     base = _mark(df, {r.rule_id: (r, repeated_values(df, r.column)) for r in rules if r.scope is Scope.UNIQUE})
-    found = [F.when(F.col(quoted(_marker(r))) if r.scope is Scope.UNIQUE else ~r.good(schema),
-                    F.struct(F.lit(r.rule_id).alias("rule_id"),
-                             column_at(schema, r.column).cast("string").alias("value")))
-             for r in rules]
-    counted = (base.select(F.inline(F.array_compact(F.array(*found))))
-               .groupBy("rule_id", "value").agg(F.count(F.lit(1)).alias("count")))
-    ranked = Window.partitionBy("rule_id").orderBy(F.desc("count"), F.asc_nulls_first("value"))
-    return (counted.withColumn("rank", F.row_number().over(ranked))
-            .where(F.col("rank") <= n).drop("rank"))
+
+    def entry(r: Rule) -> Column:
+        text = column_at(schema, r.column).cast("string")
+        return F.struct(F.lit(r.rule_id).alias("rule_id"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("key"),
+                        text.alias("value"))
+
+    found = [F.when(F.col(quoted(_marker(r))) if r.scope is Scope.UNIQUE else ~r.good(schema), entry(r)) for r in rules]
+    return base.select(F.inline(F.array_compact(F.array(*found))))
+
+
+def _ranked(found: DataFrame, n: int | None) -> DataFrame:
+    """``(rule_id, key, count)``, for each rule all of them or the ``n`` most frequent."""
+    counts = found.groupBy("rule_id", "key").agg(
+        F.count(F.lit(1)).alias("count"), F.min(F.left("value", F.lit(TIE_CHARS))).alias("head"))
+    if n is not None:
+        order = Window.partitionBy("rule_id").orderBy(F.desc("count"), F.asc_nulls_first("head"), "key")
+        counts = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    return counts.select("rule_id", "key", "count")
+
+
+def failing_values(df: DataFrame, ruleset: RuleSet, n: int | None = None) -> DataFrame:
+    """``(rule_id, value, count)``: the failing values of each rule, or its ``n`` most frequent.
+
+    Values, as text, are counted under their digest, so the rows that are counted and
+    ranked hold the beginning of a text at most. The whole text is fetched for the values
+    that are shown, one copy from each task. Ties go to the smaller beginning, so the
+    answer does not depend on partitioning.
+    """
+    found = _failing(df, ruleset)
+    if found is None:
+        return df.sparkSession.createDataFrame([], "rule_id string, value string, count bigint")
+    shown = stage(_ranked(found, n), "failing").alias("s")
+    same = (F.col("f.rule_id") == F.col("s.rule_id")) & F.col("f.key").eqNullSafe(F.col("s.key"))
+    return (found.alias("f").join(shown, same)
+            .groupBy("s.rule_id", "s.key", "s.count").agg(F.first("f.value").alias("value"))
+            .select("rule_id", "value", "count"))

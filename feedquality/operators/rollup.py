@@ -18,12 +18,29 @@ def _names(columns: Names | None) -> list[str]:
     return [p.strip() for p in parts]
 
 
+def _split(text: str) -> list[str]:
+    """``text`` at the commas that stand outside parentheses and quotes."""
+    parts, depth, quote = [""], 0, ""
+    for c in text:
+        if c == "," and not depth and not quote:
+            parts.append("")
+            continue
+        if quote:
+            quote = "" if c == quote else quote
+        elif c in "'\"`":
+            quote = c
+        else:
+            depth += (c in "([") - (c in ")]")
+        parts[-1] += c
+    return parts
+
+
 def _keys(df: DataFrame, keys: Keys) -> list[Column]:
-    """``"a,b"`` is two keys; text with a parenthesis is one expression, as ``"upper(a)"``."""
+    """``"a,b"`` is two keys, and so is ``"upper(a),b"``; ``"coalesce(a, b)"`` is one."""
     if isinstance(keys, Column):
         return [keys]
     if isinstance(keys, str):
-        keys = [keys] if "(" in keys or keys in df.columns else keys.split(",")
+        keys = [keys] if keys in df.columns else _split(keys)
     return [k if isinstance(k, Column)
             else column_at(df.schema, k.strip()) if field_type(df.schema, k.strip()) is not None
             else F.expr(k) for k in keys]

@@ -66,6 +66,17 @@ def check_schema(df: DataFrame, model: TableModel) -> SchemaReport:
     return SchemaReport(tuple(problems))
 
 
+def check_names(names: Iterable[str], model: TableModel) -> SchemaReport:
+    """The names a declared feed uses must be the model's. Case counts."""
+    found, problems = set(names), []
+    for f in model.schema.fields:
+        if f.name not in found:
+            problems.append(SchemaProblem(model.name, f.name, f.dataType.simpleString(), None, "missing column"))
+    for name in sorted(found - set(model.schema.names)):
+        problems.append(SchemaProblem(model.name, name, None, "in the feed", "unexpected column"))
+    return SchemaReport(tuple(problems))
+
+
 def check_tables(tables: Iterable[tuple[DataFrame, TableModel]]) -> SchemaReport:
     """The gate over several tables: one bad table fails them all."""
     return SchemaReport(tuple(p for df, model in tables for p in check_schema(df, model).problems))

@@ -8,15 +8,16 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from feedquality.errors import CorruptFeedError
 from feedquality.model import TableModel
-from feedquality.operators.joins import HOT_KEY_ROWS, has_hot_key, join_tables
-from feedquality.operators.quality import CleanResult, clean, log_failures
+from feedquality.operators.joins import HOT_KEY_ROWS, has_hot_key, is_small, join_tables
+from feedquality.operators.quality import REPORT_SCHEMA, CleanResult, clean, log_failures
 from feedquality.operators.rollup import group_agg
-from feedquality.operators.schema_gate import check_tables
+from feedquality.operators.schema_gate import SchemaReport, check_names, check_tables
 from feedquality.rules import RuleSet, Scope
 from feedquality.session import stage
 from feedquality.sinks.writers import SinkSpec, write_table
-from feedquality.sources.feeds import SourceSpec, read_table, require_feed, split_corrupt
+from feedquality.sources.feeds import CORRUPT, SourceSpec, declared_names, read_table, require_feed, split_corrupt
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,8 @@ class JobSpec:
     dimension, and summed again.
 
     A declared JSON or CSV feed is parsed once and staged. An inferred one is staged when
-    more than one pass will read it.
+    more than one pass will read it. ``max_corrupt`` is the share of a declared feed's
+    lines that may be unparsable; by default none may, unless the feed has a quarantine.
     """
 
     dimension: FeedSpec
@@ -46,6 +48,10 @@ class JobSpec:
     sink: SinkSpec | None = None
     reports: SinkSpec | None = None
     quarantine: Mapping[str, SinkSpec] = field(default_factory=dict)
+    max_corrupt: float | None = None
+
+    def tolerated(self, name: str) -> float:
+        return self.max_corrupt if self.max_corrupt is not None else 1.0 if name in self.quarantine else 0.0
 
     def rereads(self, feed: FeedSpec) -> bool:
         """Whether cleaning ``feed`` takes passes besides the one for the result."""
@@ -59,12 +65,21 @@ class JobResult:
     result: DataFrame
     cleaned: Mapping[str, CleanResult]
     corrupt: Mapping[str, DataFrame]
+    unparsable: Mapping[str, DataFrame] = field(default_factory=dict)
 
     @property
     def report(self) -> DataFrame:
-        """The quality reports of all feeds, with the feed's name in ``feed``."""
-        return reduce(DataFrame.unionByName,
-                      [c.report.select(F.lit(name).alias("feed"), "*") for name, c in self.cleaned.items()])
+        """The quality reports of all feeds, with the feed's name in ``feed``; a declared
+        feed has a row for its unparsable lines too."""
+        parts = [c.report.select(F.lit(name).alias("feed"), "*") for name, c in self.cleaned.items()]
+        return reduce(DataFrame.unionByName, [*parts, *self.unparsable.values()])
+
+
+def unparsable_report(spark: SparkSession, name: str, lines: int, bad: int, mostly: float) -> DataFrame:
+    """A report row for the lines of a feed that can't be parsed."""
+    row = (name, "corrupt_record", "LinesToParse", CORRUPT, lines, 0, bad, 100.0 * bad / lines if lines else 0.0,
+           mostly, bad <= (1 - mostly) * lines, "discard_row")
+    return spark.createDataFrame([row], "feed string, " + REPORT_SCHEMA)
 
 
 def totals(dimension: DataFrame, fact: DataFrame, key: str, measure: str, group: str,
@@ -77,7 +92,7 @@ def totals(dimension: DataFrame, fact: DataFrame, key: str, measure: str, group:
     execution cannot split a join that sits directly on an aggregate.
     """
     per_key = group_agg(fact, key, sum=measure)
-    if has_hot_key(dimension, [key], hot_key_rows):
+    if not is_small(dimension) and has_hot_key(dimension, [key], hot_key_rows):
         per_key = stage(per_key, "totals")
     return group_agg(join_tables(dimension, per_key, key, "inner"), group, sum=measure)
 
@@ -85,7 +100,10 @@ def totals(dimension: DataFrame, fact: DataFrame, key: str, measure: str, group:
 def run_job(spark: SparkSession, spec: JobSpec) -> JobResult:
     """Run the job and write what ``spec`` has sinks for; anything wrong is raised.
 
-    The result stays lazy, so the write is the only action over the full plan.
+    Both feeds pass the gate before either is used: they are there, their schema and the
+    names that they themselves use are the model's, and they can be parsed. Failed rules
+    are always logged. The result stays lazy, so the write is the only action over the
+    full plan.
     """
     feeds = {f.model.name: f for f in (spec.dimension, spec.fact)}
     for f in feeds.values():
@@ -97,7 +115,18 @@ def run_job(spark: SparkSession, spec: JobSpec) -> JobResult:
         parsed[name], bad = split_corrupt(rows) if f.source.mode == "declared" else (rows, None)
         if bad is not None:
             corrupt[name] = bad
-    check_tables((parsed[name], f.model) for name, f in feeds.items()).require()
+    gate = list(check_tables((parsed[name], f.model) for name, f in feeds.items()).problems)
+    unparsable = {}
+    for name, f in feeds.items():
+        names = declared_names(spark, f.source)
+        gate += check_names(names, f.model).problems if names is not None else []
+    SchemaReport(tuple(gate)).require()
+    for name, bad in corrupt.items():
+        n_bad, n_good = bad.count(), parsed[name].count()
+        share = spec.tolerated(name)
+        if n_bad > share * (n_bad + n_good):
+            raise CorruptFeedError(f"{name}: {n_bad} of {n_bad + n_good} lines can't be parsed")
+        unparsable[name] = unparsable_report(spark, name, n_bad + n_good, n_bad, 1 - share)
     for name, f in feeds.items():
         if f.source.mode == "infer" and f.source.format in ("json", "csv") and spec.rereads(f):
             parsed[name] = stage(parsed[name], name)
@@ -105,17 +134,17 @@ def run_job(spark: SparkSession, spec: JobSpec) -> JobResult:
     result = JobResult(
         totals(cleaned[spec.dimension.model.name].kept, cleaned[spec.fact.model.name].kept,
                spec.key, spec.measure, spec.group),
-        cleaned, corrupt)
+        cleaned, corrupt, unparsable)
     for name, sink in spec.quarantine.items():
         rejected = cleaned[name].rejected
         if name in corrupt:
             rejected = rejected.unionByName(corrupt[name], allowMissingColumns=True)
         write_table(rejected, sink)
+    report = result.report
+    # a row per rule: measured once, then logged and written
+    report = spark.createDataFrame(report.collect(), report.schema)
+    log_failures(report)
     if spec.reports is not None:
-        report = result.report
-        # a row per rule: measured once, then logged and written
-        report = spark.createDataFrame(report.collect(), report.schema)
-        log_failures(report)
         write_table(report, spec.reports)
     if spec.sink is not None:
         write_table(result.result, spec.sink)

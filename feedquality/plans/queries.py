@@ -6,11 +6,15 @@ values into null, in the same words on both sides (``nullif``).
 
 from __future__ import annotations
 
+import json
+import tempfile
 from collections.abc import Callable, Mapping
+from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from feedquality.__main__ import job_spec
 from feedquality.model import TableModel
 from feedquality.operators.joins import join_range, join_tables
 from feedquality.operators.quality import (clean, failing_values, failures, observe_rules, quality_report,
@@ -20,7 +24,7 @@ from feedquality.operators.schema_gate import check_schema, check_tables
 from feedquality.plans.job import FeedSpec, JobSpec, run_job, totals
 from feedquality.rules import RuleSet, required_rules
 from feedquality.session import scratch_path
-from feedquality.sinks.writers import SinkSpec, write_connector, write_table
+from feedquality.sinks.writers import RECORD_SEPARATOR, SinkSpec, write_connector, write_table
 from feedquality.sources.feeds import SourceSpec, feed_listing, read_table, require_feed, split_corrupt
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -328,12 +332,48 @@ def discard_by_value(spark, sf):
     return clean(graded_orders(spark, sf), rules, mode="by_value").kept.select("o_orderkey", "pri")
 
 
-@query("select p_partkey, p_name from part where p_name not in (select p_name from part"
-       " where length(p_name) > 9 group by p_name order by count(*) desc, p_name limit 3)")
-def discard_by_value_sampled(spark, sf):
-    """Only the three most frequent of the failing names go."""
-    rules = suite(rule("ColumnValueLengthsToBeBetween", "p_name", min_value=None, max_value=9))
-    return clean(table(spark, sf, "part"), rules, mode="by_value", sample=3).kept.select("p_partkey", "p_name")
+@query("select l_orderkey, l_linenumber, l_extendedprice from lineitem where l_extendedprice > 20000")
+def discard_by_value_many(spark, sf):
+    """Tens of thousands of failing values, and none survives."""
+    rules = suite(rule("ColumnValuesToBeBetween", "l_extendedprice", min=20000.01, max=None))
+    return clean(table(spark, sf, "lineitem"), rules, mode="by_value").kept.select(
+        "l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@query("select event_id from (select event_id, count(*) over (partition by date_trunc('second', ts), round(value)) as k"
+       " from events) e where k = 1")
+def rule_unique_struct(spark, sf):
+    """Unique on a struct of a time and a number."""
+    second = F.date_trunc("second", "ts").alias("ts")
+    events = table(spark, sf, "events").select("event_id", F.struct(second, F.round("value").alias("value")).alias("seen"))
+    return clean(events, suite(rule("ColumnValuesToBeUnique", "seen"))).kept.select("event_id")
+
+
+@query("select event_id, seen_at from (select event_id, ts as seen_at, count(*) over (partition by ts, value) as k from events) e"
+       " where k = 1")
+def rule_unique_struct_micros(spark, sf):
+    """Times that differ in microseconds are different values."""
+    events = table(spark, sf, "events").select("event_id", F.struct("ts", "value").alias("seen"))
+    return clean(events, suite(rule("ColumnValuesToBeUnique", "seen"))).kept.select(
+        "event_id", F.col("seen.ts").alias("seen_at"))
+
+
+@query("select p_partkey, price from (select p_partkey, case when p_size = 1 then 'none' else"
+       " cast(p_retailprice as varchar) end as price, p_size, p_retailprice from part) t"
+       " where p_size <> 1 and p_retailprice between 920 and 980")
+def rule_between_text(spark, sf):
+    """Prices kept as text; what is no number is out of bounds."""
+    price = F.when(F.col("p_size") == 1, "none").otherwise(F.col("p_retailprice").cast("string")).alias("price")
+    parts = table(spark, sf, "part").select("p_partkey", price)
+    return clean(parts, suite(rule("ColumnValuesToBeBetween", "price", min=920, max=980))).kept
+
+
+@query("select l_orderkey, l_linenumber, l_partkey from lineitem where l_partkey % 3 <> 0 and l_partkey <= 30000")
+def rule_in_set_large(spark, sf):
+    """Twenty thousand members."""
+    members = [k for k in range(1, 30_001) if k % 3]
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return clean(lines, suite(rule("ColumnValuesToBeInSet", "l_partkey", value_set=members))).kept
 
 
 @query("select o_orderkey, concat_ws(',', case when pri is null then 'filled' end,"
@@ -376,7 +416,16 @@ def failing_value_sample(spark, sf):
 @query("select 'copies' as rule_id, p_name as value, count(*) as count from part group by p_name"
        " having count(*) > 1 order by count desc, value limit 20")
 def failing_value_sample_unique(spark, sf):
-    return failing_values(table(spark, sf, "part"), suite(rule("ColumnValuesToBeUnique", "p_name", "copies")))
+    return failing_values(table(spark, sf, "part"), suite(rule("ColumnValuesToBeUnique", "p_name", "copies")), n=20)
+
+
+@query("select 'long' as rule_id, text as value, count(*) as count from documents where length(text) > 2000 group by text"
+       " union all select 'copies', text, count(*) from documents group by text having count(*) > 1")
+def failing_values_complete(spark, sf):
+    """Every failing value with its count; whole texts come back."""
+    rules = suite(rule("ColumnValueLengthsToBeBetween", "text", "long", min_value=None, max_value=2000),
+                  rule("ColumnValuesToBeUnique", "text", "copies"))
+    return failing_values(table(spark, sf, "documents"), rules)
 
 
 # --- projections, filters, aggregates ------------------------------------------------------
@@ -411,6 +460,13 @@ def agg_multi_key(spark, sf):
     return group_agg(table(spark, sf, "lineitem"), "l_returnflag,l_linestatus", sum="l_quantity")
 
 
+@query("select lower(l_returnflag) as flag, l_linestatus, sum(l_quantity) as l_quantity from lineitem"
+       " group by lower(l_returnflag), l_linestatus")
+def agg_expression_and_column_key(spark, sf):
+    totals_ = group_agg(table(spark, sf, "lineitem"), "lower(l_returnflag), l_linestatus", sum="l_quantity")
+    return totals_.toDF("flag", "l_linestatus", "l_quantity")
+
+
 @query("select l_suppkey, cast(sum(l_linenumber) as bigint) as l_linenumber, sum(l_quantity) as l_quantity,"
        " max(l_tax) as l_tax, max(l_discount) as l_discount from lineitem group by l_suppkey")
 def agg_several_columns(spark, sf):
@@ -546,6 +602,55 @@ def join_theta(spark, sf):
     return joined.select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey")
 
 
+@query("select l_orderkey, l_linenumber, o_custkey from lineitem left join orders"
+       " on l_orderkey = o_orderkey and l_shipdate < o_orderdate")
+def join_theta_left(spark, sf):
+    return _theta(spark, sf, "left")
+
+
+@query("select l_orderkey, l_linenumber, o_custkey from lineitem full join orders"
+       " on l_orderkey = o_orderkey and l_shipdate < o_orderdate")
+def join_theta_full(spark, sf):
+    """Put together from joins that can be split, as with a key that is too big for one task."""
+    return _theta(spark, sf, "full", hot_key_rows=0)
+
+
+def _theta(spark: SparkSession, sf: str, how: str, **options: Any) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    joined = join_tables(lines, orders, [("l_orderkey", "o_orderkey")], how,
+                         where="leftView.l_shipdate < rightView.o_orderdate", **options)
+    return joined.select("l_orderkey", "l_linenumber", "o_custkey")
+
+
+def since_new_year() -> Column:
+    """Seconds from the start of 2024, whatever the time zone of the session."""
+    return F.expr("timestampdiff(MICROSECOND, timestamp_ntz'2024-01-01 00:00:00', ts) / 1000000D")
+
+
+@query("select event_id, c_custkey from events join"
+       " (select c_custkey, 0.0::double + c_custkey * 61 as start from customer) w"
+       " on (epoch_us(ts) - 1704067200000000) / 1000000.0::double >= start"
+       " and (epoch_us(ts) - 1704067200000000) / 1000000.0::double < start + (c_custkey % 5) * (c_custkey % 900)")
+def join_range_events(spark, sf):
+    """Events in windows of mixed length, one for each customer, some of no length."""
+    moments = table(spark, sf, "events").select("event_id", since_new_year().alias("at"))
+    key = F.col("c_custkey")
+    windows = table(spark, sf, "customer").select("c_custkey", (key * 61.0).alias("start"))
+    windows = windows.withColumn("stop", F.col("start") + (key % 5) * (key % 900))
+    return join_range(moments, windows, "at", "start", "stop", closed="left").select("event_id", "c_custkey")
+
+
+@query("select event_id, c_custkey from events join customer"
+       " on (epoch_us(ts) - 1704067200000000) / 1000000.0::double >= 0.0::double + c_custkey * 100000")
+def join_range_open(spark, sf):
+    """Windows without an end."""
+    moments = table(spark, sf, "events").select("event_id", since_new_year().alias("at"))
+    windows = table(spark, sf, "customer").select("c_custkey", (F.col("c_custkey") * 100000.0).alias("start"),
+                                                  F.lit(float("inf")).alias("stop"))
+    return join_range(moments, windows, "at", "start", "stop", closed="left").select("event_id", "c_custkey")
+
+
 @query("select p_partkey, p_size, r_regionkey from part join region"
        " on p_size > r_regionkey * 10 and p_size <= r_regionkey * 10 + 10")
 def join_range_bands(spark, sf):
@@ -571,12 +676,10 @@ def join_null_safe(spark, sf):
         "flag", "status", "qty", "orders")
 
 
-@query("select o_orderkey, o_custkey from orders where o_orderkey in (select l_orderkey from lineitem"
-       " where l_quantity > 45)")
+@query("select o_orderkey, o_custkey from orders where o_orderkey in (select l_orderkey from lineitem)")
 def join_left_semi(spark, sf):
-    large = table(spark, sf, "lineitem").where(F.col("l_quantity") > 45).select("l_orderkey")
-    return join_tables(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), large,
-                       [("o_orderkey", "l_orderkey")], "left semi")
+    return join_tables(table(spark, sf, "orders").select("o_orderkey", "o_custkey"),
+                       table(spark, sf, "lineitem").select("l_orderkey"), [("o_orderkey", "l_orderkey")], "left semi")
 
 
 @query("select o_orderkey, o_custkey from orders where not exists (select 1 from lineitem"
@@ -620,12 +723,21 @@ def json_round_trip(spark, sf):
 
 
 @query("select p_partkey, p_name, p_brand, p_type, p_size, p_retailprice from part")
-def csv_round_trip(spark, sf):
+def csv_round_trip_parts(spark, sf):
     parts = table(spark, sf, "part")
     source = SourceSpec(_written(parts, "csv", header="true"), "csv", parts.schema)
     return split_corrupt(read_table(spark, source))[0]
 
 
+@query("select doc_id, text from documents")
+def csv_round_trip(spark, sf):
+    """Texts with line breaks, quotes and blanks, under a record separator that no text holds."""
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    source = SourceSpec(_written(documents, "csv", header="true", lineSep=RECORD_SEPARATOR), "csv", documents.schema,
+                        options={"lineSep": RECORD_SEPARATOR})
+    return split_corrupt(read_table(spark, source))[0]
+
+
 @query("select doc_id, text from documents")
 def text_round_trip(spark, sf):
     """Rows as JSON lines, so a text that spans lines comes back whole."""
@@ -639,6 +751,14 @@ def text_round_trip_plain(spark, sf):
     return read_table(spark, SourceSpec(_written(table(spark, sf, "supplier").select("s_name"), "txt"), "txt"))
 
 
+@query("select text as value from documents")
+def text_round_trip_texts(spark, sf):
+    """One row for each text, though most hold line breaks."""
+    texts = table(spark, sf, "documents").select("text")
+    path = _written(texts, "txt", lineSep=RECORD_SEPARATOR)
+    return read_table(spark, SourceSpec(path, "txt", options={"lineSep": RECORD_SEPARATOR}))
+
+
 @query("select o_custkey, count(o_orderkey) as o_orderkey from orders group by o_custkey")
 def json_inferred_schema_gate(spark, sf):
     """Infer the schema, compare it with the model, then use the feed."""
@@ -735,6 +855,10 @@ PURCHASE_MODEL = {"schema": {
     "Total_Sale_Amount": {"type": "string", "required": "true"}}}
 
 
+def _entries(*rules: Mapping[str, Any]) -> dict[str, Any]:
+    return {"expectation_suite_name": "suite", "expectations": list(rules)}
+
+
 def user_suite(id_length: int) -> RuleSet:
     return suite(rule("ColumnToExist", "user_address"), rule("ColumnToExist", "user_id"),
                  rule("ColumnValuesToNotBeNull", "user_address", mostly=1),
@@ -750,7 +874,7 @@ def purchase_suite(id_length: int) -> RuleSet:
                  rule("ColumnValueLengthsToEqual", "user_id", value=id_length))
 
 
-def _job(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+def _feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     users = user_feed(spark, sf).drop("user_key")
     bought = purchases(spark, sf).select(
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("Date"),
@@ -758,13 +882,32 @@ def _job(spark: SparkSession, sf: str, mode: str) -> DataFrame:
         F.lit("part").alias("Product_Name"), "Quantity",
         F.col("l_extendedprice").cast("string").alias("Unit_Price"),
         F.col("l_extendedprice").cast("string").alias("Total_Sale_Amount"))
+    return users, bought
+
+
+def _specs(paths: tuple[str, str], mode: str) -> list[FeedSpec]:
     models = TableModel.from_json(USER_MODEL, "users"), TableModel.from_json(PURCHASE_MODEL, "purchase")
-    specs = [FeedSpec(SourceSpec(_written(df, "json"), "json", model.schema, mode), model, rules)
-             for df, model, rules in zip((users, bought), models, (user_suite(18), purchase_suite(18)))]
+    return [FeedSpec(SourceSpec(path, "json", model.schema, mode), model, rules)
+            for path, model, rules in zip(paths, models, (user_suite(18), purchase_suite(18)))]
+
+
+def _job(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+    users, bought = _feeds(spark, sf)
     out = scratch_path(spark, "totals")
-    run_job(spark, JobSpec(*specs, sink=SinkSpec("json", out)))
-    written = read_table(spark, SourceSpec(out, "json", mode="infer"))
-    return written.select("user_address.city", "user_address.state", "Quantity")
+    run_job(spark, JobSpec(*_specs((_written(users, "json"), _written(bought, "json")), mode), sink=SinkSpec("json", out)))
+    return _totals_read(spark, out)
+
+
+def _totals_read(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType.fromDDL("user_address struct<city:string,state:string>, Quantity bigint")
+    written = read_table(spark, SourceSpec(path, "json", schema))
+    return split_corrupt(written)[0].select("user_address.city", "user_address.state", "Quantity")
+
+
+USER_RULES = _entries(rule("ColumnValuesToNotBeNull", "user_address", mostly=1),
+                      rule("ColumnValueLengthsToEqual", "user_id", value=18))
+PURCHASE_RULES = _entries(rule("ColumnValuesToNotBeNull", "user_id", mostly=1),
+                          rule("ColumnValuesToNotBeNull", "Quantity", mostly=1))
 
 
 @query(FLAGSHIP_SQL)
@@ -778,6 +921,38 @@ def job_from_inferred_feeds(spark, sf):
     return _job(spark, sf, "infer")
 
 
+@query("select 'purchase' as feed, count(*) + (select count(*) from customer) as lines,"
+       " (select count(*) from customer) as bad from lineitem")
+def job_with_corrupt_lines(spark, sf):
+    """A feed with a broken line for each customer: counted in the report, set aside, tolerated."""
+    users, bought = _feeds(spark, sf)
+    path = _written(bought, "json")
+    broken = table(spark, sf, "customer").select(F.concat(F.lit("{"), "c_name").alias("value"))
+    write_table(broken, SinkSpec("text", path, mode="append"))
+    result = run_job(spark, JobSpec(*_specs((_written(users, "json"), path), "declared"), max_corrupt=0.9))
+    return result.report.where("rule_id = 'corrupt_record'").where("feed = 'purchase'").select(
+        "feed", F.col("element_count").alias("lines"), F.col("unexpected_count").alias("bad"))
+
+
+@query(FLAGSHIP_SQL)
+def job_from_command_line(spark, sf):
+    """Feeds by position, the sink by its word, its disposition, all from a command line."""
+    users, bought = _feeds(spark, sf)
+    folder = tempfile.mkdtemp()  # the driver reads models and suites as files
+    files = {}
+    for name, content in (("um", USER_MODEL), ("pm", PURCHASE_MODEL), ("us", USER_RULES), ("ps", PURCHASE_RULES)):
+        files[name] = f"{folder}/{name}.json"
+        Path(files[name]).write_text(json.dumps(content), encoding="utf-8")
+    out = scratch_path(spark, "totals")
+    paths = [_written(df, "json") for df in (users, bought)]
+    globbed = ",".join(f"{p}/*.json" for p in paths)
+    _, spec = job_spec(["--input_path", globbed, "--sink", "file", "--output_path", out, "--file_format", "json",
+                        "--write_disposition", "overwrite", "--models", f"{files['um']},{files['pm']}",
+                        "--suites", f"{files['us']},{files['ps']}"])
+    run_job(spark, spec)
+    return _totals_read(spark, out)
+
+
 @query("select 'orders' as feed, count(*) as rows_ok from orders union all select 'lineitem', count(*) from lineitem")
 def schema_gate_tables(spark, sf):
     """Both tables must fit their models before either is used."""

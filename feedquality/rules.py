@@ -20,6 +20,7 @@ nulls is what the not-null rule is for. The two null rules evaluate every row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass, replace
 from enum import Enum
@@ -31,10 +32,14 @@ from typing import Any
 from pyspark.sql import Column, functions as F, types as T
 
 from feedquality.errors import ConfigError
-from feedquality.functions.columns import column_at, field_type, parse_type, same_type
+from feedquality.functions.columns import column_at, column_text, field_type, parse_type, same_type
 from feedquality.model import TableModel, load_json
 
 
+# Where a predicate finds its column as SQL text among the arguments.
+COLUMN = "column as text"
+
+
 class OnFailure(str, Enum):
     NONE = "none"
     DISCARD_ROW = "discard_row"
@@ -72,7 +77,12 @@ def _length_between(c: Column, dt: T.DataType, a: Mapping[str, Any]) -> Column:
 
 
 def _value_between(c: Column, dt: T.DataType, a: Mapping[str, Any]) -> Column:
-    return _in_bounds(c, a.get("min", a.get("min_value")), a.get("max", a.get("max_value")))
+    """A text under numeric bounds is read as a number; what can't be read is out of bounds."""
+    low, high = a.get("min", a.get("min_value")), a.get("max", a.get("max_value"))
+    numbers = any(isinstance(b, (int, float)) and not isinstance(b, bool) for b in (low, high))
+    if isinstance(dt, T.StringType) and numbers:
+        return F.coalesce(_in_bounds(c.try_cast("double"), low, high), F.lit(False))
+    return _in_bounds(c, low, high)
 
 
 def _matches(c: Column, dt: T.DataType, a: Mapping[str, Any]) -> Column:
@@ -89,23 +99,26 @@ def _matches_list(c: Column, dt: T.DataType, a: Mapping[str, Any]) -> Column:
     return reduce(joins[a["match_on"]], [_as_text(c, dt).rlike(r) for r in a["regex_list"]])
 
 
-def _member(v: Any, dt: T.DataType) -> Column:
-    """A set member next to a column of type ``dt``; null when it cannot be read as one."""
-    if isinstance(dt, T.StringType):
-        return F.lit(v) if isinstance(v, str) else F.lit(v).cast("string")
-    if isinstance(dt, T.NumericType) and not isinstance(v, str):
-        return F.lit(v)
-    return F.lit(v).try_cast(dt)
+def _member(v: Any, dt: T.DataType) -> str | None:
+    """A set member as SQL next to a column of type ``dt``, or ``None`` when no value of that type equals it."""
+    if isinstance(dt, T.NumericType):
+        if isinstance(v, bool) or isinstance(v, float) and (math.isnan(v) or math.isinf(v)):
+            return None
+        if isinstance(v, int):
+            return f"{v}L" if abs(v) < 2 ** 63 else f"{v}BD" if abs(v) < 10 ** 38 else None
+        if isinstance(v, float):
+            return f"{v!r}D"
+    text = v if isinstance(v, str) else str(v).lower() if isinstance(v, bool) else str(v)
+    literal = "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return literal if isinstance(dt, T.StringType) else f"try_cast({literal} as {dt.simpleString()})"
 
 
 def _in_set(c: Column, dt: T.DataType, a: Mapping[str, Any]) -> Column:
-    values = [v for v in a["value_set"] if v is not None]
-    if not values:
+    """Membership, as one SQL text however long the list; Spark looks up long lists by hash."""
+    members = [m for m in (_member(v, dt) for v in a["value_set"] if v is not None) if m is not None]
+    if not members:
         return F.lit(False)
-    hit = c.isin([_member(v, dt) for v in values])
-    if isinstance(dt, T.StringType):
-        return hit
-    return F.coalesce(hit, F.lit(False))
+    return F.coalesce(F.expr(f"{a[COLUMN]} in ({', '.join(members)})"), F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -175,7 +188,7 @@ class Rule:
         """
         dt = field_type(schema, self.column)
         c = column_at(schema, self.column)
-        p = self.kind.predicate(c, dt, self.args)
+        p = self.kind.predicate(c, dt, {**self.args, COLUMN: column_text(schema, self.column)})
         return p if self.kind.sees_nulls else c.isNull() | p
 
     def holds_for(self, schema: T.StructType) -> bool:

@@ -30,9 +30,8 @@ def session_builder(app_name: str) -> SparkSession.Builder:
     )
 
 
-# Bytes one reduce task should see, and the most reduce tasks worth scheduling.
+# Bytes one reduce task should see.
 SHUFFLE_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
@@ -41,8 +40,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     Adaptive execution merges partitions that turn out small but does not cut ordinary
     ones that are large, so the starting number has to fit the input.
     """
-    wanted = math.ceil(input_bytes / SHUFFLE_BYTES)
-    partitions = min(max(wanted, spark.sparkContext.defaultParallelism), MAX_SHUFFLE_PARTITIONS)
+    partitions = max(math.ceil(input_bytes / SHUFFLE_BYTES), spark.sparkContext.defaultParallelism)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
     return partitions
 

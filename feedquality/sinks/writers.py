@@ -17,6 +17,18 @@ FILE_FORMATS = ("json", "csv", "text", "parquet")
 MODES = ("append", "overwrite", "ignore", "error", "errorifexists", "default")
 
 
+# A line separator for CSV and text files whose values hold line breaks. Give it to the sink
+# and to the source as the option ``lineSep``.
+RECORD_SEPARATOR = "\x1e"
+
+# Times are written to the microsecond, and CSV values as they are: blanks
+# stay, a quote is doubled, nothing is written for a null and two quotes for an empty text.
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+TIMES = {"timestampFormat": MICROSECONDS + "XXX", "timestampNTZFormat": MICROSECONDS}
+CSV = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+       "nullValue": "", "emptyValue": '""'}
+
+
 def save_mode(mode: str) -> str:
     if mode not in MODES:
         raise ConfigError(f"write disposition {mode!r} is not one of {', '.join(MODES)}")
@@ -62,7 +74,7 @@ def _flat(schema: T.StructType, prefix: str = "", parent: Column | None = None)
             out += _flat(f.dataType, f"{label}_", c)
         else:
             nested = isinstance(f.dataType, (T.ArrayType, T.MapType))
-            out.append((F.to_json(c) if nested else c).alias(label))
+            out.append((F.to_json(c, {**TIMES}) if nested else c).alias(label))
     return out
 
 
@@ -78,16 +90,38 @@ def as_lines(df: DataFrame) -> DataFrame:
     """One string column: the only column if it is a string, else each row as JSON."""
     if len(df.columns) == 1 and isinstance(df.schema[0].dataType, T.StringType):
         return df.select(F.col(quoted(df.columns[0])).alias("value"))
-    return df.select(F.to_json(F.struct("*")).alias("value"))
+    return df.select(F.to_json(F.struct("*"), {**TIMES}).alias("value"))
+
+
+def _single_lines(df: DataFrame, line_sep: str | None) -> DataFrame:
+    """``df``, where a text that holds the line separator fails the write."""
+    breaks = "[\\r\\n]" if line_sep in (None, "\n", "\r", "\r\n") else f"\\Q{line_sep}\\E"
+
+    def checked(f: T.StructField) -> Column:
+        c = F.col(quoted(f.name))
+        if not isinstance(f.dataType, T.StringType):
+            return c
+        message = f"a value of {f.name} holds the line separator; set lineSep to a character that no value holds"
+        return F.when(c.rlike(breaks), F.raise_error(F.lit(message)).cast("string")).otherwise(c).alias(f.name)
+
+    return df.select(*[checked(f) for f in df.schema.fields])
 
 
 def write_table(df: DataFrame, sink: SinkSpec) -> None:
-    """Write ``df``; any failure is raised."""
+    """Write ``df``; any failure is raised.
+
+    CSV and text files end a row at the line separator, so a text that holds it fails the
+    write instead of becoming several rows. In a text file a null is an empty line.
+    """
     if not sink.is_file:
         write_connector(df, sink.format, sink.options, sink.mode, sink.target)
         return
-    shaped = flatten(df) if sink.format == "csv" else as_lines(df) if sink.format == "text" else df
-    shaped.write.format(sink.format).options(**sink.options).mode(sink.mode).save(sink.target)
+    shaped, options = df, dict(sink.options)
+    if sink.format in ("csv", "text"):
+        shaped = _single_lines(flatten(df) if sink.format == "csv" else as_lines(df), options.get("lineSep"))
+    if sink.format in ("csv", "json"):
+        options = {**TIMES, **(CSV if sink.format == "csv" else {}), **options}
+    shaped.write.format(sink.format).options(**options).mode(sink.mode).save(sink.target)
 
 
 def write_connector(df: DataFrame, format: str, options: Mapping[str, str], mode: str = "append",

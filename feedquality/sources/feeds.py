@@ -16,6 +16,11 @@ from feedquality.session import stage
 # File extensions and the formats they stand for.
 FORMATS = {"json": "json", "csv": "csv", "txt": "text", "text": "text", "parquet": "parquet"}
 
+# How CSV is read unless a source says otherwise. Nothing between two commas
+# is a null, two quotes are an empty text, and blanks belong to the value.
+CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+       "nullValue": "\x1f", "emptyValue": ""}
+
 CORRUPT = "_corrupt_record"
 
 # What the text of an unparsable line is called once it is set aside; Spark's own name
@@ -60,12 +65,14 @@ class SourceSpec:
             raise ConfigError(f"{self.path}: declared mode needs a schema")
 
 
-def sources_from(paths: str, names: Iterable[str], **options) -> dict[str, SourceSpec]:
-    """Sources for a comma-separated list of paths, given to ``names`` in order."""
+def sources_from(paths: str, names: Iterable[str], schemas: Mapping[str, T.StructType] | None = None,
+                 **options) -> dict[str, SourceSpec]:
+    """Sources for a comma-separated list of paths, given to ``names`` in order; ``schemas`` are by name."""
     names, parts = list(names), [p.strip() for p in paths.split(",")]
     if len(parts) != len(names):
         raise ConfigError(f"expected {len(names)} paths ({', '.join(names)}), got {len(parts)}")
-    return {name: SourceSpec(path, **options) for name, path in zip(names, parts)}
+    return {name: SourceSpec(path, **options, **({"schema": schemas[name]} if schemas else {}))
+            for name, path in zip(names, parts)}
 
 
 def read_table(spark: SparkSession, source: SourceSpec) -> DataFrame:
@@ -83,7 +90,8 @@ def read_table(spark: SparkSession, source: SourceSpec) -> DataFrame:
     reader = reader.option("mode", "PERMISSIVE")
     if source.format == "json":
         return reader.json(source.path)
-    reader = reader.option("header", source.options.get("header", "true"))
+    for name, value in CSV.items():
+        reader = reader.option(name, source.options.get(name, value))
     if declared:
         # match the header line against the declared names instead of trusting the order
         return reader.option("enforceSchema", source.options.get("enforceSchema", "false")).csv(source.path)
@@ -107,6 +115,26 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return good, bad
 
 
+def declared_names(spark: SparkSession, source: SourceSpec) -> list[str] | None:
+    """The names that a declared JSON or CSV feed itself uses, which may not be those declared.
+
+    For JSON, the distinct keys of the lines that are objects: one pass, from which each
+    task passes on every key once. For CSV with a header, its names. Otherwise ``None``.
+    """
+    if source.mode != "declared" or source.format not in ("json", "csv"):
+        return None
+    if source.format == "json":
+        separator = {k: v for k, v in source.options.items() if k in ("lineSep", "encoding")}
+        if str(source.options.get("multiLine", "false")).lower() == "true":
+            return None
+        lines = spark.read.options(**separator).text(source.path)
+        keys = lines.select(F.explode(F.json_object_keys("value")).alias("key")).distinct()
+        return sorted(r["key"] for r in keys.collect())
+    if str(source.options.get("header", CSV["header"])).lower() != "true":
+        return None
+    return spark.read.options(**{**CSV, **source.options}).csv(source.path).columns
+
+
 def feed_listing(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """``(path, length)`` of the non-empty files below ``paths``, without reading them."""
     paths = [paths] if isinstance(paths, str) else list(paths)

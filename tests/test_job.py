@@ -8,7 +8,7 @@ from pathlib import Path
 
 import pytest
 
-from feedquality import (EmptyFeedError, FeedSpec, JobSpec, MissingFeedError, SchemaMismatchError, SinkSpec,
+from feedquality import (CorruptFeedError, EmptyFeedError, FeedSpec, JobSpec, MissingFeedError, SchemaMismatchError, SinkSpec,
                          SourceSpec, run_job)
 from feedquality.__main__ import job_spec
 from feedquality.plans.queries import PURCHASE_MODEL, USER_MODEL, rule
@@ -47,7 +47,7 @@ def test_sinks_of_a_run(spark, paths, tmp_path):
         quarantine={n: SinkSpec("json", str(tmp_path / n)) for n in ("users", "purchase")}))
     assert spark.read.json(str(tmp_path / "out")).select("user_address.city", "Quantity").collect() == [("Pune", 10)]
     reports = spark.read.parquet(str(tmp_path / "reports"))
-    assert reports.count() == 11 and reports.where("not success").count() == 6
+    assert reports.count() == 13 and reports.where("not success").count() == 6
     assert {r["feed"] for r in reports.collect()} == {"users", "purchase"}
     rejected = spark.read.json(str(tmp_path / "purchase"))
     assert rejected.count() == 4
@@ -85,9 +85,37 @@ def test_a_line_is_corrupt_whatever_columns_are_used(spark, paths):
     """The total needs neither date nor price, but the broken price still takes the line out."""
     bad = json.dumps({**PURCHASES[0], "Quantity": 1000, "Unit_Price": [1]}).replace("[1]", "1.2.3")
     Path(paths[1]).write_text(Path(paths[1]).read_text() + bad + "\n")
-    result = run_job(spark, spec(paths))
+    with pytest.raises(CorruptFeedError, match="purchase: 1 of 8"):
+        run_job(spark, spec(paths))
+    result = run_job(spark, spec(paths, max_corrupt=0.2))
     assert result.result.first()["Quantity"] == 10
     assert result.corrupt["purchase"].count() == 1
+    row = result.report.where("feed = 'purchase' and rule_id = 'corrupt_record'").first()
+    assert (row["element_count"], row["unexpected_count"], row["success"]) == (8, 1, True)
+
+
+def test_the_default_mode_refuses_what_is_no_feed_of_the_model(spark, paths, tmp_path):
+    (tmp_path / "broken.json").write_text("{bad\n" * 5)
+    without = write_lines(tmp_path / "without.json", [{k: v for k, v in r.items() if k != "Quantity"} for r in PURCHASES])
+    extra = write_lines(tmp_path / "extra.json", [*PURCHASES, {**PURCHASES[0], "Note": 1}])
+    for path, column in ((tmp_path / "broken.json", "Date"), (without, "Quantity"), (extra, "Note")):
+        with pytest.raises(SchemaMismatchError, match=f"purchase.{column}"):
+            run_job(spark, spec((paths[0], path), sink=SinkSpec("json", str(tmp_path / "never"))))
+    assert not (tmp_path / "never").exists()
+
+
+def test_failed_rules_are_logged_without_a_report(spark, paths, caplog):
+    run_job(spark, spec(paths))
+    assert any("rule" in r.message and "failed" in r.message for r in caplog.records)
+
+
+def test_a_second_run_appends_everywhere(spark, paths, tmp_path):
+    _, job = job_spec(arguments(paths, tmp_path, write_disposition="append", quarantine_path=str(tmp_path / "q"),
+                                report_path=str(tmp_path / "r")))
+    for runs in (1, 2):
+        run_job(spark, job)
+        assert spark.read.json(str(tmp_path / "out.json")).count() == runs
+        assert spark.read.json(str(tmp_path / "q" / "users")).count() == 3 * runs
 
 
 def test_a_repeated_user_counts_once_per_repetition(spark, paths):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedquality import ConfigError, join_range, join_tables, totals
-from feedquality.operators.joins import join_type
+from feedquality.operators.joins import has_hot_key, join_type
 
 LEFT = [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (4, "e")]
 RIGHT = [(1, 10), (1, 11), (3, 30), (None, 40), (4, 50)]
@@ -114,20 +114,6 @@ def test_names_that_need_quotes(spark):
     assert df.columns == ["a.b", "x y", "x y_r"] and rows(df) == [(1, 2, 3)]
 
 
-def test_hot_group_is_measured_on_the_side_that_cannot_be_split(spark):
-    many = spark.createDataFrame([(1, i) for i in range(50)] + [(None, i) for i in range(200)], "k int, w int")
-    few = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-
-    def split(df):
-        return "Union" in df._jdf.queryExecution().optimizedPlan().toString()
-
-    assert split(join_tables(few, many, "k", "left", hot_key_rows=49))
-    assert not split(join_tables(few, many, "k", "left", hot_key_rows=50))     # nulls never match
-    assert not split(join_tables(many, few, "k", "left", hot_key_rows=49))
-    assert split(join_tables(many, few, "k", "full", hot_key_rows=199))        # but they are kept here
-    assert not split(join_tables(few, many, "k", "inner", hot_key_rows=0))
-
-
 @pytest.fixture()
 def small_splits(spark):
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -143,6 +129,20 @@ def small_splits(spark):
         spark.conf.set(k, v)
 
 
+def test_hot_group_is_measured_on_the_side_that_cannot_be_split(spark, small_splits):
+    many = spark.createDataFrame([(1, i) for i in range(50)] + [(None, i) for i in range(200)], "k int, w int")
+    few = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+
+    def split(df):
+        return "Union" in df._jdf.queryExecution().optimizedPlan().toString()
+
+    assert split(join_tables(few, many, "k", "left", hot_key_rows=49))
+    assert not split(join_tables(few, many, "k", "left", hot_key_rows=50))     # nulls never match
+    assert not split(join_tables(many, few, "k", "left", hot_key_rows=49))
+    assert split(join_tables(many, few, "k", "full", hot_key_rows=199))        # but they are kept here
+    assert not split(join_tables(few, many, "k", "inner", hot_key_rows=0))
+
+
 def hot_table(spark, n, pad, hot="7"):
     key = F.when(F.col("id") % 3 == 0, F.expr(hot)).otherwise(F.col("id") % 1000)
     return spark.range(0, n, numPartitions=8).select(key.alias("k"), F.uuid().alias(pad))
@@ -232,3 +232,72 @@ def test_range_join_on_large_integers_and_timestamps(spark):
     assert join_range(left, right.where("lo > hi"), "t", "lo", "hi").isEmpty()
     with pytest.raises(ConfigError):
         join_range(left, right, "t", "lo", "hi", closed="maybe")
+
+
+@pytest.mark.parametrize("hot", [None, 0, 5_000_000])
+@pytest.mark.parametrize("how", ["left", "right", "full", "inner", "semi"])
+def test_names_that_differ_in_case_only(spark, small_splits, how, hot):
+    left = spark.createDataFrame([(1, "x"), (2, "y")], "k int, Date string")
+    right = spark.createDataFrame([(1, "z"), (3, "w")], "k int, date string")
+    df = join_tables(left, right, "k", how, hot_key_rows=hot)
+    assert df.columns == (["k", "Date"] if how == "semi" else ["k", "Date", "date_r"])
+    assert len(df.collect()) == {"left": 2, "right": 2, "full": 3, "inner": 1, "semi": 1}[how]
+
+
+@pytest.mark.parametrize("hot", [None, 0, 5_000_000])
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left semi", "left anti"])
+def test_a_further_condition_on_pairs(spark, small_splits, how, hot):
+    left, right = spark.createDataFrame(LEFT, "k int, v string"), spark.createDataFrame(RIGHT, "k int, w int")
+    df = join_tables(left, right, "k", how, hot_key_rows=hot, where="rightView.w > 10 and leftView.v <> 'e'")
+    pairs = [(a, b) for a in LEFT for b in RIGHT if a[0] is not None and a[0] == b[0] and b[1] > 10 and a[1] != "e"]
+    lone_l = [a for a in LEFT if a not in [p[0] for p in pairs]]
+    lone_r = [b for b in RIGHT if b not in [p[1] for p in pairs]]
+    expected = [(a[0], a[1], b[1]) for a, b in pairs]
+    expected += [(*a, None) for a in lone_l] * (how in ("left", "full")) + [(b[0], None, b[1]) for b in lone_r] * (how in ("right", "full"))
+    if how == "left semi":
+        expected = [a for a in LEFT if a not in lone_l]
+    if how == "left anti":
+        expected = lone_l
+    assert rows(df) == sorted(expected, key=repr)
+
+
+def test_a_comparison_of_all_pairs_is_refused(pair):
+    with pytest.raises(ConfigError, match="join_range"):
+        join_tables(*pair, "leftView.k < rightView.k")
+    with pytest.raises(ConfigError):
+        join_tables(*pair, "leftView.k < rightView.k", "cross")
+
+
+def test_a_hot_key_among_very_many_is_found(spark):
+    df = spark.range(400_000).selectExpr("if(id < 21, -1, id) as k")
+    assert has_hot_key(df, ["k"], 20) and not has_hot_key(df, ["k"], 21)
+    nulls = spark.range(1000).selectExpr("if(id < 500, null, id) as k")
+    assert not has_hot_key(nulls, ["k"], 20) and has_hot_key(nulls, ["k"], 20, count_nulls=True)
+
+
+def test_a_small_side_is_not_measured(spark):
+    many, few = spark.range(1000).selectExpr("1 as k"), spark.range(3).selectExpr("id as k")
+    text = join_tables(few, many, "k", "left", hot_key_rows=5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in text
+
+
+def test_range_join_with_infinite_ends_and_points(spark):
+    inf = float("inf")
+    points = [(i, p) for i, p in enumerate([-inf, -1e308, -5.0, 0.0, 49.0, 50.0, 1e17, inf, float("nan"), None])]
+    bounds = [(0, 50.0, inf), (1, -inf, 0.0), (2, -inf, inf), (3, 0.0, 0.0), (4, inf, inf), (5, 3.0, float("nan")), (6, 1e300, inf)]
+    left = spark.createDataFrame(points, "id int, p double")
+    right = spark.createDataFrame(bounds, "id int, lo double, hi double")
+    found = join_range(left, right, "p", "lo", "hi", closed="both")
+    expected = sorted((i, j) for i, p in points for j, a, b in bounds if p is not None and p == p and b == b and a <= p <= b)
+    assert sorted((r["id"], r["id_r"]) for r in found.collect()) == expected
+
+
+def test_range_join_of_moments_has_a_cell_for_each(spark):
+    start = 1_700_000_000_000_000
+    left = spark.range(20_000).selectExpr(f"id as l", f"{start} + id * 1000003 as p")
+    right = spark.range(20_000).selectExpr("id as r", f"{start} + id * 1000003 as lo", f"{start} + id * 1000003 as hi")
+    found = join_range(left, right, "p", "lo", "hi", closed="both")
+    assert found.count() == 20_000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan
+    assert join_range(left.limit(0), right, "p", "lo", "hi").isEmpty()

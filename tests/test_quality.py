@@ -200,7 +200,6 @@ def test_table_rule_with_an_action(rows):
     ([LEN], {}, [1, 5, 6, 7]),                              # nulls vanish with the listed values
     ([NN], {}, []),                                         # a listed null empties the table
     ([UNIQUE], {}, [1, 7]),
-    ([UNIQUE], {"sample": 1}, [1, 5, 6, 7]),                # bb before cccccc: same count, smaller value
     ([rule("ColumnValueLengthsToEqual", "v", value=6, action="column")], {}, [1, 5, 6, 7]),
     ([rule("ColumnValuesToBeNull", "v")], {}, []),          # drops the bad values and the nulls it wanted
     ([rule("ColumnValueLengthsToEqual", "v", value=6, mostly=0.5)], {}, [1, 2, 3, 4, 5, 6, 7, 8]),
@@ -216,8 +215,35 @@ def test_by_value_on_structs_and_dates(spark):
     df = spark.sql("select 1 as id, named_struct('a', 1, 'b', 'x') as s, date'2024-01-01' as d"
                    " union all select 2, named_struct('a', 2, 'b', 'y'), date'2024-01-02'"
                    " union all select 3, null, null")
-    assert ids(clean(df, suite(rule("ColumnValuesToBeNull", "s")), mode="by_value", sample=1).kept) == [2]
-    assert ids(clean(df, suite(rule("ColumnValuesToBeNull", "d")), mode="by_value", sample=1).kept) == [2]
+    assert ids(clean(df, suite(rule("ColumnValuesToBeNull", "s")), mode="by_value").kept) == []
+    assert ids(clean(df, suite(rule("ColumnValuesToBeNull", "d")), mode="by_value").kept) == []
+    first = suite(rule("ColumnValuesToBeBetween", "d", min="2024-01-02", max=None))
+    assert ids(clean(df, first, mode="by_value").kept) == [2]
+
+
+def test_by_value_removes_every_failing_value(spark):
+    df = spark.range(1000).selectExpr("id", "id % 300 as v")
+    kept = clean(df, suite(rule("ColumnValuesToBeBetween", "v", min=250, max=None)), mode="by_value").kept
+    assert sorted(r["v"] for r in kept.select("v").distinct().collect()) == list(range(250, 300))
+
+
+def test_unique_tells_nested_values_apart_by_equality(spark):
+    df = spark.sql("""
+        select 1 as id, named_struct('t', timestamp'2024-01-01 00:00:00.123456', 'd', 1D) as s
+        union all select 2, named_struct('t', timestamp'2024-01-01 00:00:00.123457', 'd', 1D)
+        union all select 3, named_struct('t', timestamp'2024-01-01 00:00:01', 'd', 0D)
+        union all select 4, named_struct('t', timestamp'2024-01-01 00:00:01', 'd', -0D)
+        union all select 5, named_struct('t', cast(null as timestamp), 'd', 2D)
+        union all select 6, named_struct('t', cast(null as timestamp), 'd', 2D)
+        union all select 7, null union all select 8, null""")
+    assert ids(clean(df, suite(rule("ColumnValuesToBeUnique", "s"))).kept) == [1, 2, 7, 8]
+    df = spark.sql("""
+        select 1 as id, array('a', 'b,c') as a, map('k', 1, 'l', 2) as m
+        union all select 2, array('a,b', 'c'), map('l', 2, 'k', 1)
+        union all select 3, array('a', null), map('k', null) union all select 4, array('a', 'null'), map('k', 1)
+        union all select 5, array(), map() union all select 6, array(''), map('', 0)""")
+    assert ids(clean(df, suite(rule("ColumnValuesToBeUnique", "a"))).kept) == [1, 2, 3, 4, 5, 6]
+    assert ids(clean(df, suite(rule("ColumnValuesToBeUnique", "m"))).kept) == [3, 4, 5, 6]
 
 
 # --- repeated values beyond the broadcast bound --------------------------------------------------

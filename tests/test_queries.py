@@ -68,10 +68,13 @@ def test_enforcement_is_a_filter_without_exchange(spark):
 
 
 def test_failing_values_are_limited_before_the_exchange(spark):
-    text = plan(contract.queries()["failing_value_sample"](spark, SF))
-    assert text.count("WindowGroupLimit") == 2
-    text = plan(contract.queries()["failing_value_sample_unique"](spark, SF))
+    from feedquality.operators.quality import _failing, _ranked
+    from feedquality.plans.queries import rule, suite, table
+    rules = suite(rule("ColumnValueLengthsToEqual", "text", value=6))
+    text = plan(_ranked(_failing(table(spark, SF, "documents"), rules), 20))
     assert text.count("WindowGroupLimit") == 2
+    # what is shuffled to count and rank holds no text
+    assert not any("value#" in line for line in text.split("\n") if "Exchange" in line)
 
 
 def test_totals_shuffle_sums_not_purchases(spark):

@@ -101,3 +101,11 @@ def test_column_names_that_need_quotes(spark):
 def test_aggregation_is_partial_then_final(sales):
     plan = group_agg(sales, "k", sum="q", count="p")._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan and "partial_count" in plan
+
+
+def test_an_expression_among_several_keys(spark):
+    df = spark.createDataFrame([("a", 1, 2), ("A", 1, 3), ("b,c", 2, 4)], "t string, k int, n int")
+    got = {tuple(r) for r in group_agg(df, "upper(t),k", sum="n").collect()}
+    assert got == {("A", 1, 5), ("B,C", 2, 4)}
+    got = {tuple(r) for r in group_agg(df, "concat(t, ',', coalesce(k, 0)), k", sum="n").collect()}
+    assert got == {("a,1", 1, 2), ("A,1", 1, 3), ("b,c,2", 2, 4)}

@@ -132,3 +132,26 @@ def test_struct_column_and_path(spark):
     assert kept(df, rule("ColumnValuesToNotBeNull", "a")) == [1, 2]
     assert kept(df, rule("ColumnValuesToNotBeNull", "a.city")) == [1]
     assert df.where(F.col("a").isNull()).count() == 1
+
+
+def test_numbers_kept_as_text_are_judged_as_numbers(spark):
+    df = spark.createDataFrame([(1, "12.5"), (2, "100.01"), (3, "x"), (4, None), (5, " 7 "), (6, "-1")], "id int, t string")
+    assert kept(df, rule("ColumnValuesToBeBetween", "t", min=0, max=100)) == [1, 4, 5]
+    assert kept(df, rule("ColumnValuesToBeBetween", "t", min="a", max=None)) == [3, 4]
+
+
+def test_sets_of_any_members(spark):
+    df = spark.createDataFrame([(1, 1, "true", 1.5), (2, 7, "it's", 2.0), (3, None, "a\\b", None)],
+                               "id int, n bigint, t string, d double")
+    assert kept(df, rule("ColumnValuesToBeInSet", "n", value_set=[True, 2 ** 70, 7])) == [2, 3]
+    assert kept(df, rule("ColumnValuesToBeInSet", "n", value_set=[2 ** 64, -2 ** 63, 1.0])) == [1, 3]
+    assert kept(df, rule("ColumnValuesToBeInSet", "t", value_set=[True, "it's"])) == [1, 2]
+    assert kept(df, rule("ColumnValuesToBeInSet", "t", value_set=["a\\b"])) == [3]
+    assert kept(df, rule("ColumnValuesToBeInSet", "d", value_set=[1.5, float("inf"), "x"])) == [1, 3]
+
+
+def test_a_long_set_is_looked_up_by_hash(spark):
+    df = spark.range(100_000)
+    result = clean(df, suite(rule("ColumnValuesToBeInSet", "id", value_set=list(range(0, 40_000, 2))))).kept
+    assert result.count() == 20_000
+    assert "InSet" in result._jdf.queryExecution().optimizedPlan().toString() or " INSET " in result._jdf.queryExecution().optimizedPlan().toString()

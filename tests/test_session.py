@@ -13,7 +13,7 @@ def test_shuffles_start_with_partitions_for_the_input(spark):
         assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
         assert size_shuffles(spark, 1000 * SHUFFLE_BYTES) == 1000
         assert spark.conf.get(INITIAL) == "1000"
-        assert size_shuffles(spark, 10**14) == 50_000
+        assert size_shuffles(spark, 10**14) == 745_059
     finally:
         spark.conf.unset(INITIAL)
 

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.errors import AnalysisException
 
-from feedquality import (ConfigError, SinkSpec, SourceSpec, as_lines, bigquery_sink, flatten, mongo_sink, read_table,
+from feedquality import (ConfigError, RECORD_SEPARATOR, SinkSpec, SourceSpec, split_corrupt, as_lines, bigquery_sink, flatten, mongo_sink, read_table,
                          sink_for, write_connector, write_table)
 from feedquality.sinks.writers import save_mode
 
@@ -114,3 +114,29 @@ def test_connectors_go_through_the_generic_writer(spark, nested, tmp_path):
 def test_a_missing_connector_is_an_error(nested):
     with pytest.raises(Exception, match="(?i)mongodb"):
         write_table(nested, mongo_sink("db.c", "mongodb://h/"))
+
+
+AWKWARD = ["  pad ", "", None, 'q"uo"te', "back\\slash", "a,b", '"', '\\"', "\\N", "line\nbreak\r\nx", "'", " ", '""', "é\t", "#c"]
+
+
+@pytest.mark.parametrize("format", ["csv", "json"])
+def test_values_come_back_as_they_were(spark, tmp_path, format):
+    rows = spark.createDataFrame(list(enumerate(AWKWARD)), "id int, t string").selectExpr(
+        "id", "t", "timestamp'2024-01-02 03:04:05.123456' as at", "if(id % 3 = 0, null, id / 7) as d")
+    options = {"lineSep": RECORD_SEPARATOR} if format == "csv" else {}
+    write_table(rows, SinkSpec(format, str(tmp_path / "x"), {"header": "true", **options} if options else {}))
+    good, bad = split_corrupt(read_table(spark, SourceSpec(str(tmp_path / "x"), format, rows.schema, options=options)))
+    assert bad.isEmpty() and sorted(map(tuple, good.collect())) == sorted(map(tuple, rows.collect()))
+
+
+@pytest.mark.parametrize("format", ["csv", "text"])
+def test_a_value_that_would_become_two_rows_fails_the_write(spark, tmp_path, format):
+    separated = {"lineSep": RECORD_SEPARATOR}
+    for i, (text, options) in enumerate([("a\nb", {}), ("a\rb", {}), (f"a{RECORD_SEPARATOR}b", separated)]):
+        df = spark.createDataFrame([(text,)], "t string")
+        with pytest.raises(Exception, match="holds the line separator"):
+            write_table(df, SinkSpec(format, str(tmp_path / f"never{i}"), options))
+    df = spark.createDataFrame([("a\nb",), ("c",)], "t string")
+    write_table(df, SinkSpec("text", str(tmp_path / "t"), {"lineSep": RECORD_SEPARATOR}))
+    back = read_table(spark, SourceSpec(str(tmp_path / "t"), "text", options={"lineSep": RECORD_SEPARATOR}))
+    assert sorted(r[0] for r in back.collect()) == ["a\nb", "c"]
