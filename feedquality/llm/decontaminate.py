@@ -36,7 +36,7 @@ ITEM_WORDS = 200_000
 #: A document goes if more than this share of its words is hit; otherwise the hit spans go.
 MAX_COVERAGE = 0.5
 #: Automata that one plan holds; texts cleaned by that many are written before the next.
-PLANNED = 8
+PLANNED = 2
 
 #: Capitals become small; what is no word character becomes a blank.
 NORMAL = bytes(b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32

@@ -37,8 +37,6 @@ import heapq
 import math
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
-from functools import reduce
-from operator import and_
 
 import numpy as np
 import pyarrow as pa

@@ -161,27 +161,32 @@ class RuleModel:
         return 1 / (1 + F.exp(-total))
 
 
+#: Where the estimate starts, and what added counts hold it to where there are few votes: a
+#: rule seldom votes against a good text, and it finds its own kind of bad text only.
+RIGHT_ON_GOOD, RIGHT_ON_BAD, PRIOR, ADDED = 0.98, 0.3, 0.8, 10
+
+
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> RuleModel:
     """Expectation-maximisation over vote patterns (``patterns[p, rule]`` in 0, 1, 2).
 
-    The start is a belief that each rule is right four times in five. An abstention tells
-    nothing by itself, so only votes are modelled: a rule's accuracy on good texts and on
-    bad ones. Added counts keep both at that belief where there are no votes.
+    An abstention tells nothing by itself, so only votes are modelled: how often a rule is
+    right on good texts, and how often on bad ones. A rule may turn out useless, but its
+    votes don't come to mean the opposite.
     """
     n_rules = len(RULES)
-    right = np.full((2, n_rules), 0.8)  # right[0]: a good text is voted good; right[1]: a bad one bad
-    prior = 0.8
+    right = np.repeat([[RIGHT_ON_GOOD], [RIGHT_ON_BAD]], n_rules, axis=1)
+    start, prior = right.copy(), PRIOR
     good_vote, bad_vote = (patterns == 1).astype(float), (patterns == 2).astype(float)
     for _ in range(rounds):
         odds = (np.log(prior / (1 - prior)) + good_vote @ np.log(right[0] / (1 - right[1]))
                 - bad_vote @ np.log(right[1] / (1 - right[0])))
         good = counts / (1 + np.exp(-odds))
         bad = counts - good
-        new_right = np.vstack([(good @ good_vote + 8) / (good @ (good_vote + bad_vote) + 10),
-                               (bad @ bad_vote + 8) / (bad @ (good_vote + bad_vote) + 10)])
-        # a rule may be useless, but it doesn't come to mean the opposite
-        new_right = np.clip(new_right, 0.5, 0.999)
-        new_prior = float(np.clip((good.sum() + 8) / (counts.sum() + 10), 0.01, 0.99))
+        cast = good_vote + bad_vote
+        new_right = np.vstack([(good @ good_vote + ADDED * start[0]) / (good @ cast + ADDED),
+                               (bad @ bad_vote + ADDED * start[1]) / (bad @ cast + ADDED)]).clip(0.001, 0.999)
+        new_right[1] = np.maximum(new_right[1], 1 - new_right[0])
+        new_prior = float(np.clip((good.sum() + ADDED * PRIOR) / (counts.sum() + ADDED), 0.01, 0.99))
         moved = max(abs(new_right - right).max(), abs(new_prior - prior))
         right, prior = new_right, new_prior
         if moved < 1e-9:

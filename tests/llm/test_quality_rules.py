@@ -55,13 +55,13 @@ def test_accuracies_are_recovered():
 
 def test_without_votes_the_start_is_kept():
     model = q.estimate(np.zeros((0, len(q.RULES)), int), np.zeros(0))
-    assert model.prior == 0.8 and set(model.accuracies) == {0.8}
+    assert model.prior == q.PRIOR and np.allclose(model.accuracies, (q.RIGHT_ON_GOOD + q.RIGHT_ON_BAD) / 2)
 
 
 def corpus():
-    clean = [sentence(120, s).replace("x", "") + "." for s in range(60)]
+    clean = [sentence(120, s).replace("x", "") + "." for s in range(300)]
     clean = [" ".join(w if i % 4 else "of" + w[:0] for i, w in enumerate(t.split())) + f" it was {k}" for k, t in enumerate(clean)]
-    junk = ["### " + " ".join(w + "$$$" for w in sentence(80, 100 + s).split()) for s in range(12)]
+    junk = ["### " + " ".join(w + "$$$" for w in sentence(80, 400 + s).split()) for s in range(60)]
     return clean, junk
 
 
