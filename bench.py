@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 from pathlib import Path
 
@@ -33,9 +34,22 @@ HEADLINE = [
     "join_inner",
     "join_left",
     "join_full",
+    "join_right",
+    "join_left_semi",
+    "join_left_anti",
+    "join_full_split",
     "join_theta",
+    "join_theta_left",
     "join_range_bands",
+    "join_range_events",
     "json_round_trip",
+    "csv_round_trip",
+    "discard_by_value_many",
+    "failing_values_complete",
+    "rule_unique_struct",
+    "rule_in_set_large",
+    "job_from_inferred_feeds",
+    "job_with_corrupt_lines",
 ]
 
 
@@ -46,6 +60,7 @@ def main() -> None:
     spark = (session_builder("bench").master(f"local[{cpus}]")
              .config("spark.sql.shuffle.partitions", cpus)
              .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
+             .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="bench-shared-"))
              .config("spark.ui.enabled", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}

@@ -10,7 +10,7 @@ from feedquality.operators.rollup import group_agg
 from feedquality.operators.schema_gate import SchemaReport, check_names, check_schema, check_tables
 from feedquality.plans.job import FeedSpec, JobResult, JobSpec, run_job, totals
 from feedquality.rules import OnFailure, Rule, RuleSet, Scope, required_rules
-from feedquality.session import session_builder, size_shuffles, stage
+from feedquality.session import session_builder, size_shuffles, stage, staging
 from feedquality.sinks.writers import (RECORD_SEPARATOR, SinkSpec, as_lines, bigquery_sink, flatten, mongo_sink, sink_for,
                                        write_connector, write_table)
 from feedquality.sources.feeds import (SourceSpec, feed_listing, feed_ready, read_table, require_feed,
@@ -23,5 +23,5 @@ __all__ = [
     "check_tables", "clean", "failing_values", "failures", "feed_listing", "feed_ready", "flatten",
     "group_agg", "join_range", "join_tables", "log_failures", "mongo_sink", "observe_rules", "quality_report", "read_table",
     "require_feed", "required_rules", "run_job", "session_builder", "sink_for", "size_shuffles", "sources_from",
-    "split_corrupt", "stage", "totals", "verdict", "write_connector", "write_table",
+    "split_corrupt", "stage", "staging", "totals", "verdict", "write_connector", "write_table",
 ]

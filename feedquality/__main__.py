@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from feedquality.model import TableModel
 from feedquality.plans.job import FeedSpec, JobSpec, run_job
 from feedquality.rules import RuleSet
-from feedquality.session import session_builder, size_shuffles
+from feedquality.session import session_builder, size_shuffles, staging
 from feedquality.sinks.writers import SinkSpec, sink_for
 from feedquality.sources.feeds import feed_listing, require_feed, sources_from
 
@@ -75,7 +75,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         for path in paths:
             require_feed(spark, path)
         size_shuffles(spark, feed_listing(spark, paths).agg(F.sum("length")).first()[0])
-        run_job(spark, spec)
+        with staging(spark):
+            run_job(spark, spec)
     finally:
         spark.stop()
 

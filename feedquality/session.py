@@ -6,6 +6,8 @@ import functools
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,9 +66,31 @@ def shared_dir(spark: SparkSession) -> str:
     raise ConfigError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+_areas: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other call has been given."""
-    return f"{shared_dir(spark)}/feedquality/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/feedquality/{name}-{uuid.uuid4().hex}"
+    for area in _areas:
+        area.append(path)
+    return path
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete, on the way out, what was staged within. Results are lazy and read staged
+    copies, so whatever is wanted of them has to be written before."""
+    area: list[str] = []
+    _areas.append(area)
+    try:
+        yield
+    finally:
+        _areas.remove(area)
+        configuration = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in area:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(configuration).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

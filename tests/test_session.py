@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from feedquality import ConfigError, size_shuffles
-from feedquality.session import SHUFFLE_BYTES, scratch_path, shared_dir, stage
+from feedquality.session import SHUFFLE_BYTES, scratch_path, shared_dir, stage, staging
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -37,3 +37,17 @@ def test_staging_cuts_the_lineage(spark):
     staged = stage(spark.range(10).selectExpr("id", "named_struct('a', id) as s"), "t")
     assert staged.count() == 10 and staged.schema.simpleString() == "struct<id:bigint,s:struct<a:bigint>>"
     assert "Range" not in staged._jdf.queryExecution().executedPlan().toString()
+
+
+def test_staged_copies_go_with_their_context(spark, tmp_path):
+    from pathlib import Path
+    folder = Path(shared_dir(spark)) / "feedquality"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    with staging(spark):
+        stage(stage(spark.range(5).toDF("id"), "a"), "b").write.parquet(str(tmp_path / "kept"))
+        assert len(set(folder.iterdir()) - before) == 2
+    assert set(folder.iterdir()) == before
+    with pytest.raises(ZeroDivisionError), staging(spark):
+        stage(spark.range(5).toDF("id"), "a")
+        1 / 0
+    assert set(folder.iterdir()) == before
