@@ -119,6 +119,32 @@ def test_search_in_a_block(start, cuts):
     assert sorted(jj.search_block(query, members)) == expected
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 30), min_size=1, max_size=20), min_size=1, max_size=8), st.sets(st.integers(0, 30), min_size=1))
+def test_an_index_of_a_block(members, query):
+    found = jj.BlockIndex([np.array(sorted(m), np.uint64) for m in members]).search(np.array(sorted(query), np.uint64))
+    assert sorted(found) == [k for k, m in enumerate(members) if 100 * len(m & query) >= 75 * len(m | query)]
+
+
+def test_a_cloud_that_falls_apart(spark, monkeypatch):
+    """Copies of one text, changed so much that most pairs just miss the threshold."""
+    monkeypatch.setattr(jj, "INDEX_BLOCK", 16)
+    draw = random.Random(8)
+    text = sentence(150, 3)
+    data = [(i, changed(text, draw, 0.02 + 0.0006 * i), "en", "a", 0) for i in range(80)]
+    expected = brute(data)
+    assert 3 < len({c for _, _, c in expected}) < 80
+    assert run(docs(spark, data)) == expected
+
+
+def test_records_that_link_meet_in_enough_short_lists(spark):
+    frame = spark.createDataFrame([(n, m) for n in range(1, 80) for m in range(n, 80)], "n long, m long")
+    for row in frame.withColumn("need", jj.needed_in_short(frame["n"], frame["m"])).collect():
+        n, m = row["n"], row["m"]
+        most_outside = max(jj.least_overlap(x) - 1 for x in (n, m))
+        assert row["need"] <= max(1, jj.pair_overlap(n, m) - most_outside)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 7, 100])
 def test_bounds(n):
     assert jj.least_overlap(n) == -(-3 * n // 4)
