@@ -183,9 +183,12 @@ def records(docs: DataFrame) -> tuple[DataFrame, Broadcast]:
 
 # --- 2. short lists ----------------------------------------------------------------
 
+#: The places in a record's short lists whose ranks are known to all, in quarters of them.
+QUARTERS = (2, 3, 4)
+
 #: One row holds the postings of many records for one bucket: the shingles of the first
 #: ``counts[0]`` of them are those of the first record, and so on; ``pos`` is a shingle's
-#: place in its record's ranking.
+#: place in its record's ranking. Or, without ``counts``, the ranks at ``QUARTERS`` of records.
 POSTINGS = T.StructType([
     T.StructField("bucket", T.IntegerType()), T.StructField("vs", T.BinaryType()), T.StructField("ns", T.BinaryType()),
     T.StructField("counts", T.BinaryType()), T.StructField("tokens", T.BinaryType()), T.StructField("pos", T.BinaryType()),
@@ -202,8 +205,10 @@ def _wide(packed: bytes, n: int) -> np.ndarray:
 
 
 def _posting_batches(sketch: Broadcast, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def packed(vs: list, ns: list, tokens: list, idx: list, pos: list) -> Iterator[pa.RecordBatch]:
+    def packed(vs: list, ns: list, marks: list, tokens: list, idx: list, pos: list) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
+        yield _batch(POSTINGS, [[int.from_bytes(vs[0][:4], "little") % buckets], [b"".join(vs)],
+                                [np.array(ns, np.uint32).tobytes()], [None], [np.concatenate(marks).tobytes()], [None]])
         toks, owner, place = np.concatenate(tokens), np.concatenate(idx), np.concatenate(pos)
         ids = np.frombuffer(b"".join(vs), np.uint64).reshape(-1, 2)
         sizes = np.array(ns, np.uint32)
@@ -224,7 +229,7 @@ def _posting_batches(sketch: Broadcast, buckets: int) -> Callable[[Iterator[pa.R
         # four steps to each doubling: near counts are ranked by the hash alone
         rank = np.rint(4 * np.log2(counts.astype(float) + 1)).astype(np.uint64)
         seen: set[bytes] = set()
-        vs, ns, tokens, idx, pos = [], [], [], [], []
+        vs, ns, marks, tokens, idx, pos = [], [], [], [], [], []
         held = 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -234,8 +239,10 @@ def _posting_batches(sketch: Broadcast, buckets: int) -> Callable[[Iterator[pa.R
                     continue
                 seen.add(v)
                 level = rank[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                order = np.argsort(level << np.uint64(56) | s >> np.uint64(8), kind="stable")
+                place = level << np.uint64(56) | s >> np.uint64(8)
+                order = np.argsort(place, kind="stable")
                 short = n - least_overlap(n) + 1
+                marks.append(place[order[[max(short * k // 4 - 1, 0) for k in QUARTERS]]] >> np.uint64(1))
                 tokens.append(s[order[:short]])
                 idx.append(np.full(short, len(vs), np.int64))
                 pos.append(np.arange(short))
@@ -243,17 +250,18 @@ def _posting_batches(sketch: Broadcast, buckets: int) -> Callable[[Iterator[pa.R
                 ns.append(n)
                 held += short
                 if held >= GATHERED:
-                    yield from packed(vs, ns, tokens, idx, pos)
-                    vs, ns, tokens, idx, pos = [], [], [], [], []
+                    yield from packed(vs, ns, marks, tokens, idx, pos)
+                    vs, ns, marks, tokens, idx, pos = [], [], [], [], [], []
                     held = 0
         if vs:
-            yield from packed(vs, ns, tokens, idx, pos)
+            yield from packed(vs, ns, marks, tokens, idx, pos)
 
     return each
 
 
 #: ``kind`` 0: record ``v`` of ``n`` shingles votes for ``w`` of ``m``, ``votes`` times, ``alone`` of
 #: them in lists of these two only. 1: a posting in a longer list. 2: the same, first in its part of a list.
+#: 3: the ranks of a record's shingles at ``QUARTERS`` of its short lists, in ``m``, ``votes`` and ``alone``.
 LISTED = T.StructType([
     T.StructField("kind", T.IntegerType()), T.StructField("v", T.BinaryType()), T.StructField("n", T.LongType()),
     T.StructField("w", T.BinaryType()), T.StructField("m", T.LongType()), T.StructField("votes", T.LongType()),
@@ -266,6 +274,13 @@ def _list_batches(sketch: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Ite
         vs, ns, tokens, owner, pos, known = [], [], [], [], [], 0
         for batch in batches:
             for _, v, n, c, t, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if c is None:
+                    sizes = np.frombuffer(n, np.uint32).tolist()
+                    ranks = np.frombuffer(t, np.int64).reshape(-1, len(QUARTERS)).T.tolist()
+                    none = [None] * len(sizes)
+                    yield _batch(LISTED, [[3] * len(sizes), [v[16 * k:16 * k + 16] for k in range(len(sizes))], sizes, none,
+                                          *ranks, none, none])
+                    continue
                 vs.append(np.frombuffer(v, np.uint64).reshape(-1, 2))
                 ns.append(np.frombuffer(n, np.uint32))
                 tokens.append(np.frombuffer(t, np.uint64))
@@ -573,28 +588,63 @@ def _with_root(df: DataFrame, column: str, roots: DataFrame, name: str) -> DataF
     return df.join(named, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def apart(listed: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of records of different components that meet in enough short lists."""
-    postings = _with_root(listed.filter("kind > 0").select("token", "v", "n", "pos"), "v", roots, "root")
-    votes = _with_root(_with_root(listed.filter("kind = 0 and alone > 0").select("v", "n", "w", "m", "alone"),
-                                  "v", roots, "root"), "w", roots, "other").filter("root <> other")
-    mixed = (postings.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .filter("lo <> hi").select("token"))
-    rows = stage(postings.join(mixed, "token", "left_semi"), "mixed")
+def _known_before(own: str, other: str, n: str) -> Column:
+    """Of a record's shingles, how many at least rank before the last of the other's short lists."""
+    short = F.col(n) - F.floor((3 * F.col(n) + 3) / 4) + 1
+    known = F.lit(0).cast("long")
+    for k, field in zip(QUARTERS, ("q2", "q3", "q4"), strict=True):
+        known = F.when(F.col(f"{own}.{field}") <= F.col(f"{other}.q4"), F.floor(short * k / 4)).otherwise(known)
+    return known
+
+
+def can_link(pairs: DataFrame, listed: DataFrame) -> DataFrame:
+    """Those of ``pairs(a, n, b, m, times)`` that may link by where their short lists end.
+
+    Where one record's short lists end first, every shingle that both hold up to there is
+    counted in ``times``. What they share beyond is no more than what either has left.
+    """
+    marks = listed.filter("kind = 3").groupBy("v").agg(
+        F.struct(F.first("m").alias("q2"), F.first("votes").alias("q3"), F.first("alone").alias("q4")).alias("marks"))
+    placed = (pairs.join(marks.select(F.col("v").alias("a"), F.col("marks").alias("x")), "a")
+              .join(marks.select(F.col("v").alias("b"), F.col("marks").alias("y")), "b"))
+    overlap = F.floor((3 * (F.col("n") + F.col("m")) + 6) / 7)
+    left = F.least(F.col("n") - _known_before("x", "y", "n"), F.col("m") - _known_before("y", "x", "m"))
+    return placed.filter(F.col("times") + left >= overlap).select("a", "b")
+
+
+def apart(mixed: DataFrame, votes: DataFrame, listed: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of records of different components that meet in enough short lists.
+
+    ``mixed`` has the postings of lists that hold several components, ``votes`` those
+    between components from lists of two.
+    """
+    # in how many such lists a record is: two that meet in enough of them are each in as many
+    times = (mixed.select("v", F.lit(1).cast("long").alias("k")).union(votes.select("v", "alone")).union(votes.select("w", "alone"))
+             .groupBy("v").agg(F.sum("k").alias("lists")))
+    rows = stage(mixed.join(times, "v"), "counted")
     x, y = rows.alias("x"), rows.alias("y")
     n, m, i, j = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
     # a shared shingle at these places leaves room for an overlap of at most the sum of the
     # lesser numbers before it and from it on
     room = F.least(i, j) + F.least(n - i, m - j)
     met = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
-                  & (F.col("x.v") < F.col("y.v")) & (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * room >= 3 * (n + m)))
+                  & (F.col("x.v") < F.col("y.v")) & (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * room >= 3 * (n + m))
+                  & (F.least("x.lists", "y.lists") >= needed_in_short(n, m)))
            .select(F.col("x.v").alias("a"), n.alias("n"), F.col("y.v").alias("b"), m.alias("m"), F.lit(1).cast("long").alias("times")))
     ordered = F.col("v") < F.col("w")
     alone = votes.select(F.least("v", "w").alias("a"), F.when(ordered, F.col("n")).otherwise(F.col("m")).alias("n"),
                          F.greatest("v", "w").alias("b"), F.when(ordered, F.col("m")).otherwise(F.col("n")).alias("m"),
                          F.col("alone").alias("times"))
-    return (met.unionByName(alone).groupBy("a", "b", "n", "m").agg(F.sum("times").alias("times"))
-            .filter(F.col("times") >= needed_in_short(F.col("n"), F.col("m"))).select("a", "b"))
+    enough = (met.unionByName(alone).groupBy("a", "b", "n", "m").agg(F.sum("times").alias("times"))
+              .filter(F.col("times") >= needed_in_short(F.col("n"), F.col("m"))))
+    return can_link(enough, listed)
+
+
+def _mixed(rooted: DataFrame) -> DataFrame:
+    """The postings of lists that hold records of several components."""
+    tokens = (rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+              .filter("lo <> hi").select("token"))
+    return rooted.join(tokens, "token", "left_semi")
 
 
 def _star(postings: DataFrame, key: list[str], turn: int = 0) -> DataFrame:
@@ -611,8 +661,9 @@ def _star(postings: DataFrame, key: list[str], turn: int = 0) -> DataFrame:
 
 
 def _likely() -> Column:
-    """Votes are counted in some of the lists that two records share, so half as many will do."""
-    return 2 * F.col("votes") >= needed_in_short(F.col("n"), F.col("m"))
+    """Whether votes are so many that a link is likely, for what is only tried first. Votes are counted
+    in some of the lists that two records share; near copies share most of their short ones."""
+    return 2 * F.col("votes") >= F.greatest(needed_in_short(F.col("n"), F.col("m")), F.least("n", "m") / 16)
 
 
 def link_records(docs: DataFrame, rows: DataFrame, sketch: Broadcast) -> DataFrame:
@@ -630,14 +681,16 @@ def link_records(docs: DataFrame, rows: DataFrame, sketch: Broadcast) -> DataFra
     # as if all of these linked, and what such groups share likewise: the groups in which
     # almost all links lie. What else is to be compared is between them
     groups = stage(components(led), "groups")
-    postings = listed.filter("kind > 0").select("token", "v", "n")
-    while True:
-        star = stage(_star(_with_root(postings, "v", groups, "root"), ["token"]).filter(_likely()).select("a", "b"), "star")
-        if star.isEmpty():
-            break
+    postings = listed.filter("kind in (1, 2)").select("token", "v", "n", "pos")
+    rooted = stage(_with_root(postings, "v", groups, "root"), "rooted")
+    star = stage(_star(_mixed(rooted), ["token"]).filter(_likely()).select("a", "b"), "star")
+    if not star.isEmpty():
         led = led.union(star)
         groups = stage(merged(groups, star), "groups")
-    tried = led.union(stage(apart(listed, groups), "across"))
+        rooted = _with_root(rooted.drop("root"), "v", groups, "root")
+    votes = listed.filter("kind = 0 and alone > 0").select("v", "n", "w", "m", "alone")
+    votes = _with_root(_with_root(votes, "v", groups, "root"), "w", groups, "other").filter("root <> other")
+    tried = led.union(stage(apart(stage(_mixed(rooted), "mixed"), stage(votes.drop("root", "other"), "votes"), listed), "across"))
     sets = sets_of(docs, rows, tried.select(F.col("a").alias("v")).union(tried.select(F.col("b").alias("v"))))
     found = stage(components(linked(tried, sets)), "roots")
 
@@ -648,7 +701,7 @@ def link_records(docs: DataFrame, rows: DataFrame, sketch: Broadcast) -> DataFra
     inside = stage(groups.withColumnRenamed("root", "all").join(broken, "all", "left_semi").select("v", "all"), "broken")
     if inside.isEmpty():
         return found
-    inner = stage(listed.join(inside, "v"), "inner")
+    inner = stage(postings.join(inside, "v"), "inner")
 
     def new(pairs: DataFrame) -> DataFrame:
         turned = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
@@ -658,7 +711,7 @@ def link_records(docs: DataFrame, rows: DataFrame, sketch: Broadcast) -> DataFra
     # that is worth it; then a search for all that is left
     turn = 0
     while True:
-        placed = _with_root(inner.filter("kind > 0").select("token", "all", "v", "n"), "v", found, "root")
+        placed = _with_root(inner.select("token", "all", "v", "n"), "v", found, "root")
         turn += 1
         star = new(_star(placed, ["token", "all"], turn).filter(_likely()).select("a", "b"))
         more = linked(star, sets)
