@@ -18,8 +18,8 @@ themselves, so each partner is in one of the other, short ones.
    records which can't reach the overlap, the long ones are probed by binary search.
 4. Links make components. Before any link is verified, records whose votes make a link
    likely are taken as groups, and pairs between groups are formed only if they meet in as
-   many short lists as a link needs (``needed_in_short``). Where verified links leave a
-   group in several components, single records of them are searched for first; then all
+   many short lists as a link needs (``needed_in_short``, and by where in the ranking the
+   short lists of either end, ``can_link``). Where verified links leave a group in several components, single records of them are searched for first; then all
    records outside the group's largest component, in every block of the group.
 
 So no pairs are formed within a group of copies: a group of ``m`` near copies takes some
