@@ -615,7 +615,7 @@ def can_link(pairs: DataFrame, listed: DataFrame) -> DataFrame:
 def apart(mixed: DataFrame, votes: DataFrame, listed: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` of records of different components that meet in enough short lists.
 
-    ``mixed`` has the postings of lists that hold several components, ``votes`` those
+    ``mixed`` has the postings of lists that may hold several components, ``votes`` those
     between components from lists of two.
     """
     # in how many such lists a record is: two that meet in enough of them are each in as many
@@ -682,15 +682,15 @@ def link_records(docs: DataFrame, rows: DataFrame, sketch: Broadcast) -> DataFra
     # almost all links lie. What else is to be compared is between them
     groups = stage(components(led), "groups")
     postings = listed.filter("kind in (1, 2)").select("token", "v", "n", "pos")
-    rooted = stage(_with_root(postings, "v", groups, "root"), "rooted")
-    star = stage(_star(_mixed(rooted), ["token"]).filter(_likely()).select("a", "b"), "star")
+    mixed = stage(_mixed(_with_root(postings, "v", groups, "root")), "mixed")
+    star = stage(_star(mixed, ["token"]).filter(_likely()).select("a", "b"), "star")
     if not star.isEmpty():
         led = led.union(star)
         groups = stage(merged(groups, star), "groups")
-        rooted = _with_root(rooted.drop("root"), "v", groups, "root")
+        mixed = _with_root(mixed.drop("root"), "v", groups, "root")
     votes = listed.filter("kind = 0 and alone > 0").select("v", "n", "w", "m", "alone")
     votes = _with_root(_with_root(votes, "v", groups, "root"), "w", groups, "other").filter("root <> other")
-    tried = led.union(stage(apart(stage(_mixed(rooted), "mixed"), stage(votes.drop("root", "other"), "votes"), listed), "across"))
+    tried = led.union(stage(apart(mixed, stage(votes.drop("root", "other"), "votes"), listed), "across"))
     sets = sets_of(docs, rows, tried.select(F.col("a").alias("v")).union(tried.select(F.col("b").alias("v"))))
     found = stage(components(linked(tried, sets)), "roots")
 
