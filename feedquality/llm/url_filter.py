@@ -62,7 +62,7 @@ PATTERN_RULES = (
     PatternRule("farm", r"(?i)://([a-z0-9.-]*[.-])?spam-farm[.-]", ("spam", "farm")),
     PatternRule("links", r"(?i)[./-]link-?farm[./-]", ()),
     PatternRule("tracked", r"(?i)[?&]utm_source=[^&#]*&.*utm_campaign=", ("utm", "source", "campaign")),
-    PatternRule("login", r"(?i)/(wp-)?login[.]php", ("login", "php")),
+    PatternRule("login", r"(?i)/(wp-)?login[.]php", ("login",)),  # php5 and phps match too
     PatternRule("printing", r"(?i)[?&]print=(1|true|yes)(&|#|$)", ("print",)),
     PatternRule("session", r"(?i)[?&](phpsessid|jsessionid)=", ()),
 )

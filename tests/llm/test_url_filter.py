@@ -60,6 +60,24 @@ def test_tokens_are_in_every_url_that_matches():
                 assert held >= set(rule.tokens), (rule.name, url)
 
 
+@pytest.mark.parametrize("edge", ["5", "s", "x9", "-a", "/"])
+def test_longer_endings_hold_the_tokens_too(edge):
+    """Nor may a token be only part of a longer one where a pattern ends or begins."""
+    for rule in u.PATTERN_RULES:
+        for url in filter(None, URLS):
+            for start, end in (m.span() for m in re.finditer(rule.pattern, url)):
+                for longer in (url[:end] + edge + url[end:], url[:start] + edge + url[start:]):
+                    if re.search(rule.pattern, longer):
+                        assert set(re.findall("[a-z0-9]+", longer.lower())) >= set(rule.tokens), (rule.name, longer)
+
+
+def test_a_verdict_does_not_depend_on_other_urls(spark):
+    longer = ["http://a.org/login.php5", "http://a.org/wp-login.phps"]
+    for others in ([], ["http://a.org/login", "http://b.org/login", "http://c.org/login"], ["http://a.org/x.php", "http://b.org/y.php"]):
+        pages = frame(spark, longer + others)
+        assert run(pages) == Counter((i, *brute(x)) for i, x in enumerate(longer + others))
+
+
 def test_rules_are_filed_under_their_rarest_token(spark):
     tokens = spark.createDataFrame([("u1", "free"), ("u2", "free"), ("u1", "bets"), ("u3", "spam")], "url string, token string")
     rules = (u.PatternRule("a", "x", ("free", "bets")), u.PatternRule("b", "x", ("spam", "farm")), u.PatternRule("c", "x", ()))
