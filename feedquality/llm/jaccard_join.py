@@ -723,33 +723,42 @@ def link_records(docs: DataFrame, rows: DataFrame, sketch: Broadcast) -> DataFra
     return stage(merged(found, linked_in_groups(parts, sets)), "roots")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """A row for each document: its key, ``n_shingles`` and the smallest doc_id it links to.
-
-    The key is the doc_id and a hash of the text (``t1``, ``t2``).
-    """
+def _labelled(docs: DataFrame) -> DataFrame:
+    """A row for each document: its key, ``n_shingles``, ``component_id`` and the component's ``root``."""
     rows, sketch = records(docs)
     roots = link_records(docs, rows, sketch)
     known = rows.filter("v is not null").groupBy("v").agg(F.min("doc_id").alias("least"))
     rooted = known.join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = rooted.join(named, "root").select("v", "component_id")
+    label = rooted.join(named, "root").select("v", "component_id", "root")
     return (rows.join(label, "v", "left")
             .select("doc_id", "t1", "t2", F.col("n").alias("n_shingles"),
-                    F.when(F.col("v").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+                    F.when(F.col("v").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "root"))
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """A row for each document: its key, ``n_shingles`` and the smallest doc_id it links to.
+
+    The key is the doc_id and a hash of the text (``t1``, ``t2``).
+    """
+    return _labelled(docs).drop("root")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component: that which names it, once. Documents without words stay."""
-    found = stage(jaccard_components(docs), "components")
-    stays = (F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))
-    keys = stage(found.filter(stays).groupBy("doc_id", "t1", "t2")
-                 .agg(F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("rows")), "stay")
+    """One document of each component, once: that with the least key, one without doc_id only if
+    none has one. Documents without words stay."""
+    found = stage(_labelled(docs), "components")
+    key = ["doc_id", "t1", "t2"]
+    ranked = (found.filter("n_shingles > 0").groupBy("root", *key).agg(F.count(F.lit(1)).alias("rows"))
+              .select("root", F.struct(F.col("doc_id").isNull().alias("unnamed"), *key, "rows").alias("row")))
+    first = ranked.groupBy("root").agg(F.min("row").alias("row")).select(*[f"row.{c}" for c in key], "row.rows")
+    wordless = found.filter("n_shingles = 0").select(*key).distinct().withColumn("rows", F.lit(1).cast("long"))
+    keys = stage(first.unionByName(wordless), "stay")
     columns = [docs[c] for c in docs.columns]
     rows = docs.select(F.struct(*columns).alias("doc"), "doc_id",
                        *[F.xxhash64(F.lit(i), "text").alias(f"t{i}") for i in (1, 2)])
     same = (rows["doc_id"].eqNullSafe(keys["doc_id"]) & (rows["t1"] == keys["t1"]) & (rows["t2"] == keys["t2"]))
-    repeated = (F.col("rows") > 1) & (F.col("n") > 0)
+    repeated = F.col("rows") > 1
     kept = rows.join(keys.filter(~repeated), same, "left_semi").select("doc.*")
     several = keys.filter(repeated)
     if several.isEmpty():

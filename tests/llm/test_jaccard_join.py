@@ -180,3 +180,16 @@ def test_one_of_each_group_stays(spark):
     # 2 and 9 are copies of 1; row 8 is there twice; rows without words all stay
     assert ids == Counter([1, 3, 4, 5, None, None, 7, 8, 10])
     assert jj.keep_one(empty(spark)).count() == 0
+
+
+def test_one_stays_where_ids_are_null_or_shared(spark):
+    def near(seed):
+        text = sentence(200, seed)
+        return text, text + " one", text + " two"
+    a, b, c = near(21), near(22), near(23)
+    data = [(None, a[0], "en", "a", 0), (None, a[1], "en", "a", 0), (None, a[1], "en", "a", 0),  # no ids
+            (5, b[0], "en", "a", 0), (5, b[1], "en", "a", 0), (6, b[2], "en", "a", 0),  # two texts share the least
+            (None, c[0], "en", "a", 0), (8, c[1], "en", "a", 0), (7, c[2], "en", "a", 0), (7, c[2], "en", "a", 0)]
+    kept = [(r["doc_id"], r["text"]) for r in jj.keep_one(docs(spark, data)).collect()]
+    assert Counter(i for i, _ in kept) == Counter([None, 5, 7])
+    assert {t for _, t in kept} & set(a) and {t for _, t in kept} & set(b) and (7, c[2]) in kept
