@@ -9,7 +9,8 @@ run reaches a window's length its words are hit, and the state that stands for j
 last window names the items that hold it.
 
 The automaton of ``ITEM_WORDS`` words at most is broadcast. A larger benchmark is dealt by
-item into several, each streamed over the documents in turn, with the same result.
+item into several, each streamed over the documents in turn, with the same result. Driver and
+workers hold ``PLANNED`` of them at a time: what these found is written before the next are fetched.
 
 Null and empty texts have no words and no hits; an empty benchmark hits nothing. Items
 without an id count for hits and are not named. Rows are judged one by one, so repeated
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
 import numpy as np
@@ -35,7 +36,7 @@ WINDOW = 10
 ITEM_WORDS = 200_000
 #: A document goes if more than this share of its words is hit; otherwise the hit spans go.
 MAX_COVERAGE = 0.5
-#: Automata that one plan holds; texts cleaned by that many are written before the next.
+#: Automata that one plan holds; what that many found is written before the next are collected.
 PLANNED = 2
 
 #: Capitals become small; what is no word character becomes a blank.
@@ -191,19 +192,41 @@ def _clean(automaton: Automaton, text: str) -> tuple:
     return len(words), hit, text
 
 
-def automata(benchmark: DataFrame, window: int = WINDOW, item_words: int = ITEM_WORDS) -> list[Broadcast]:
+class Dealt:
+    """The items, dealt into groups; each is collected and broadcast when its turn comes."""
+
+    def __init__(self, items: DataFrame, window: int, groups: int) -> None:
+        self.items = items.withColumn("g", F.pmod(F.xxhash64("item", "text"), F.lit(groups)))
+        self.window, self.groups = window, groups
+
+    def __len__(self) -> int:
+        return self.groups
+
+    def __iter__(self) -> Iterator[Broadcast]:
+        for g in range(self.groups):
+            rows = sorted(((r["item"], r["text"]) for r in self.items.filter(F.col("g") == g).collect()), key=repr)
+            yield self.items.sparkSession.sparkContext.broadcast({"rows": rows, "window": self.window})
+
+
+def automata(benchmark: DataFrame, window: int = WINDOW, item_words: int = ITEM_WORDS) -> Dealt:
     """The items, dealt into automata of bounded size; built one after the other."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
     # a word takes two bytes at least, with the blank after it
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = max(1, math.ceil(total / 2 / item_words))
-    spark = benchmark.sparkSession
-    dealt = items.withColumn("g", F.pmod(F.xxhash64("item", "text"), F.lit(groups)))
-    made = []
-    for g in range(groups):
-        rows = sorted(((r["item"], r["text"]) for r in dealt.filter(F.col("g") == g).collect()), key=repr)
-        made.append(spark.sparkContext.broadcast({"rows": rows, "window": window}))
-    return made
+    return Dealt(items, window, max(1, math.ceil(total / 2 / item_words)))
+
+
+def _in_turn(rows: DataFrame, groups: Dealt, apply: Callable[[DataFrame, Broadcast], DataFrame], name: str) -> DataFrame:
+    """``rows`` after each group; written, and the broadcasts given up, after ``PLANNED`` of them."""
+    held: list[Broadcast] = []
+    for i, shared in enumerate(groups, 1):
+        rows = apply(rows, shared)
+        held.append(shared)
+        if len(held) == PLANNED and i < len(groups):
+            rows = stage(rows, name)
+            while held:
+                held.pop().destroy()
+    return rows
 
 
 def _worker(shared: Broadcast, row: Callable[[Automaton, str], tuple]) -> Callable[[], Callable[[str], tuple]]:
@@ -217,15 +240,18 @@ def _worker(shared: Broadcast, row: Callable[[Automaton, str], tuple]) -> Callab
 
 def hits(docs: DataFrame, keep: list[str], benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``keep``, ``n_words``, the hit ``spans`` (word positions, end exclusive) and the ``items`` found."""
-    parts = [per_text(docs, F.col("text"), _worker(a, _scan), FOUND).alias(f"__f{i}")
-             for i, a in enumerate(automata(benchmark, window))]
-    names = [f"__f{i}" for i in range(len(parts))]
-
-    def gathered(field: str) -> Column:
-        return F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(f"{n}.{field}") for n in names]))))
+    def apply(rows: DataFrame, shared: Broadcast) -> DataFrame:
+        found = per_text(rows, F.col("__text"), _worker(shared, _scan), FOUND)
+        return rows.select(*keep, "__text", "__n", "__s", "__i", found.alias("__f")).select(
+            *keep, "__text", F.col("__f.n_words").alias("__n"), F.concat("__s", "__f.spans").alias("__s"),
+            F.concat("__i", "__f.items").alias("__i"))
 
-    return docs.select(*keep, *parts).select(
-        *keep, F.col("__f0.n_words").alias("n_words"), gathered("spans").alias("spans"), gathered("items").alias("items"))
+    none = [F.array().cast(FOUND[field].dataType) for field in ("spans", "items")]
+    rows = docs.select(*keep, F.col("text").alias("__text"), F.lit(None).cast("long").alias("__n"),
+                       none[0].alias("__s"), none[1].alias("__i"))
+    found = _in_turn(rows, automata(benchmark, window), apply, "hits")
+    return found.select(*keep, F.col("__n").alias("n_words"), F.array_sort(F.array_distinct("__s")).alias("spans"),
+                        F.array_sort(F.array_distinct("__i")).alias("items"))
 
 
 def covered(spans: Column) -> Column:
@@ -241,15 +267,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """A column ``doc`` with each document that stays, hit spans cut from its text, and ``n_hit``."""
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), F.lit(0).cast("long").alias("n_hit"),
                        F.lit(None).cast("long").alias("n_words"))
-    for i, shared in enumerate(automata(benchmark, window)):
-        if i and i % PLANNED == 0:
-            rows = stage(rows, "clean")
+
+    def apply(rows: DataFrame, shared: Broadcast) -> DataFrame:
         clean = per_text(rows, F.col("doc.text"), _worker(shared, _clean), CLEANED)
-        rows = rows.select("doc", "n_hit", "n_words", clean.alias("__c")).select(
+        return rows.select("doc", "n_hit", "n_words", clean.alias("__c")).select(
             F.when(F.col("__c.n_hit") > 0, F.col("doc").withField("text", F.col("__c.clean")))
             .otherwise(F.col("doc")).alias("doc"),
             (F.col("n_hit") + F.col("__c.n_hit")).alias("n_hit"),
             F.coalesce("n_words", "__c.n_words").alias("n_words"))
+
+    rows = _in_turn(rows, automata(benchmark, window), apply, "clean")
     return rows.filter(F.col("n_hit") <= max_coverage * F.col("n_words"))
 
 

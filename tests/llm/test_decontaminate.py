@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from hypothesis import given, settings, strategies as st
 
@@ -91,3 +92,32 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert {h for *_, h, _ in query(docs(spark), none)} == {0}
     assert query(empty(spark), none) == set()
+
+
+def test_few_automata_are_held_at_a_time(spark, monkeypatch):
+    frame = docs(spark)
+    bench = spark.createDataFrame([(i, sentence(30, i)) for i in range(1, 6)], "item_id long, text string")
+    expected, cleaned = query(frame, bench), Counter(r["doc"]["text"] for r in d.decontaminate(frame, bench).collect())
+    whole, kind = d.automata, type(spark.sparkContext)
+    share, drop = kind.broadcast, d.Broadcast.destroy
+    held, most = set(), []
+
+    def shares(self, value):
+        made = share(self, value)
+        held.add(id(made))
+        most.append(len(held))
+        return made
+
+    def drops(self, *args):
+        held.discard(id(self))
+        drop(self, *args)
+
+    monkeypatch.setattr(kind, "broadcast", shares)
+    monkeypatch.setattr(d.Broadcast, "destroy", drops)
+    monkeypatch.setattr(d, "automata", lambda b, w=10: whole(b, w, item_words=20))
+    assert query(frame, bench) == expected
+    assert len(most) > 3 and max(most) <= d.PLANNED
+    held.clear()
+    most.clear()
+    assert Counter(r["doc"]["text"] for r in d.decontaminate(frame, bench).collect()) == cleaned
+    assert len(most) > 3 and max(most) <= d.PLANNED
