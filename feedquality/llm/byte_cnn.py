@@ -145,22 +145,22 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame) -> Network | float:
     """Learn from the sample, or give the share of good labels if there is nothing to tell apart."""
     usable = labels.filter("doc_id is not null and quality in (0, 1)").filter(~held_out(F.col("doc_id")))
-    said: dict[int, set[int]] = {}
-    for quality in (0, 1):  # the lowest hashes, SAMPLE rows of each
-        rows = (usable.filter(F.col("quality") == quality).select("doc_id")
+    # each id once, unless its labels differ
+    agreed = (usable.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
+              .filter("quality = other"))
+    known: dict[int, int] = {}
+    for quality in (0, 1):  # the lowest hashes, SAMPLE ids of each
+        rows = (agreed.filter(F.col("quality") == quality).select("doc_id")
                 .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect())
-        for row in rows:
-            said.setdefault(row["doc_id"], set()).add(quality)
-    known = {i: min(q) for i, q in said.items() if len(q) == 1}
+        known |= {row["doc_id"]: quality for row in rows}
     good = sum(known.values())
     if not 0 < good < len(known):
         return good / len(known) if known else 0.5
     spark = docs.sparkSession
     wanted = spark.createDataFrame([(i,) for i in sorted(known)], "doc_id long")  # 2 * SAMPLE ids at most
     sample = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(wanted), "doc_id", "left_semi")
-    found: dict[int, bytes] = {}
-    for row in map_batches(sample, _spread, SAMPLED).toLocalIterator():
-        found[row["doc_id"]] = max(found.get(row["doc_id"], b""), bytes(row["chunks"]))
+    once = map_batches(sample, _spread, SAMPLED).groupBy("doc_id").agg(F.max("chunks").alias("chunks"))
+    found = {row["doc_id"]: bytes(row["chunks"]) for row in once.toLocalIterator()}  # a row for each id at most
     ids = sorted(found)
     labels_of = np.array([known[i] for i in ids])
     if not ids or labels_of.min() == labels_of.max():

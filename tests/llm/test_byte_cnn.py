@@ -71,3 +71,29 @@ def test_without_labels_to_tell_apart(spark):
     assert b.fit(frame, one) == 1.0 and {r["score"] for r in b.classify(frame, 1.0).collect()} == {1.0}
     both = spark.createDataFrame([(1, 1, 0), (1, 0, 0)], schema)
     assert b.fit(frame, both) == 0.5
+
+
+def test_repeated_rows_and_labels_do_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(b, "SAMPLE", 20)
+    monkeypatch.setattr(b, "train", lambda chunks, labels: (chunks, labels.tolist()))
+    schema = "doc_id long, quality int, toxic int"
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(240)], schema)
+    frame = docs(spark, corpus())
+    chunks, of = b.fit(frame, labels)
+    assert (of.count(0), of.count(1)) == (20, 20)
+    kind, fetched = type(frame), []
+    each = kind.toLocalIterator
+
+    def counted(self, *args, **kwargs):
+        for row in each(self, *args, **kwargs):
+            fetched.append(row)
+            yield row
+
+    monkeypatch.setattr(kind, "toLocalIterator", counted)
+    many = F.explode(F.sequence(F.lit(1), F.lit(30)))
+    again = b.fit(frame.withColumn("k", many).drop("k"), labels.withColumn("k", many).drop("k"))
+    assert again[1] == of and all(map(np.array_equal, again[0], chunks))
+    assert len(fetched) == 40
+    # labels that differ don't use up the sample either
+    unsure = labels.union(labels.filter("doc_id < 60").withColumn("quality", 1 - F.col("quality")))
+    assert sorted(b.fit(frame, unsure)[1]) == [0] * 20 + [1] * 20
