@@ -85,3 +85,10 @@ def test_rows(spark):
         assert not (r["base_failed"] and r["kept"])
     assert q.filter_quality(frame).columns == frame.columns
     assert q.filter_quality(empty(spark)).count() == 0
+
+
+def test_junk_goes_from_a_small_corpus_too(spark):
+    clean, junk = corpus()
+    clean, junk = clean[:60], ["### " + " ".join(w + "$$$" for w in sentence(80, 100 + s).split()) for s in range(12)]
+    kept = {r["doc_id"] for r in q.filter_quality(texts(spark, *clean, *junk, "too short", None)).collect()}
+    assert kept == set(range(len(clean)))
