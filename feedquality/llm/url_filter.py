@@ -1,8 +1,9 @@
 """URL filter: pattern rules, found by their rarest literal token.
 
 A rule is a regular expression with the literal tokens that any url it matches must hold.
-Each rule is filed under that one of its tokens which the urls at hand hold least often;
-a rule without literal tokens is filed under none and tried on every url. The tokens of a
+Each rule is filed under that one of its tokens which the urls at hand hold least often; one
+whose matches hold one of several sets of tokens is filed once for each set. A rule without
+literal tokens is filed under none and tried on every url. The tokens of a
 url fetch the rules filed under them, and only those expressions are run.
 
 Before that, host and path rules allow or block by the longest that fits. Where none fits,
@@ -38,11 +39,16 @@ class PathRule:
 
 @dataclass(frozen=True)
 class PatternRule:
-    """Blocks urls that ``pattern`` matches, which must hold all of ``tokens`` (small letters and digits)."""
+    """Blocks urls that ``pattern`` matches, which must hold all of ``tokens`` (small letters and digits),
+    and all of one of the sets in ``ways`` if there are any."""
 
     name: str
     pattern: str
     tokens: tuple[str, ...]
+    ways: tuple[tuple[str, ...], ...] = ()
+
+    def filings(self) -> list[tuple[str, ...]]:
+        return [self.tokens + way for way in self.ways or ((),)]
 
 
 # The base rules.
@@ -58,13 +64,13 @@ PATTERN_RULES = (
     PatternRule("bets", r"(?i)://([a-z0-9.-]*[.-])?free-bets[.-]", ("free", "bets")),
     PatternRule("casino", r"(?i)[./-]casino[./-]", ("casino",)),
     PatternRule("adult", r"(?i)://([a-z0-9.-]*[.-])?adult-[a-z0-9]+[.]", ("adult",)),
-    PatternRule("porn", r"(?i)[./-](porn|xxx)[./-]", ()),
+    PatternRule("porn", r"(?i)[./-](porn|xxx)[./-]", (), (("porn",), ("xxx",))),
     PatternRule("farm", r"(?i)://([a-z0-9.-]*[.-])?spam-farm[.-]", ("spam", "farm")),
-    PatternRule("links", r"(?i)[./-]link-?farm[./-]", ()),
+    PatternRule("links", r"(?i)[./-]link-?farm[./-]", (), (("link", "farm"), ("linkfarm",))),
     PatternRule("tracked", r"(?i)[?&]utm_source=[^&#]*&.*utm_campaign=", ("utm", "source", "campaign")),
     PatternRule("login", r"(?i)/(wp-)?login[.]php", ("login",)),  # php5 and phps match too
     PatternRule("printing", r"(?i)[?&]print=(1|true|yes)(&|#|$)", ("print",)),
-    PatternRule("session", r"(?i)[?&](phpsessid|jsessionid)=", ()),
+    PatternRule("session", r"(?i)[?&](phpsessid|jsessionid)=", (), (("phpsessid",), ("jsessionid",))),
 )
 
 
@@ -94,14 +100,14 @@ def url_tokens(url: Column) -> Column:
 
 
 def filed_rules(spark: SparkSession, tokens: DataFrame, rules: tuple[PatternRule, ...]) -> DataFrame:
-    """Each rule with the token it is filed under: that of its tokens which the fewest urls hold."""
-    table = spark.createDataFrame([(r.name, r.pattern, list(r.tokens)) for r in rules],
-                                  "rule string, pattern string, tokens array<string>")
-    wanted = table.select("rule", "pattern", F.explode_outer("tokens").alias("token"))
+    """Each rule with the token it is filed under, for each way: that of its tokens which the fewest urls hold."""
+    table = spark.createDataFrame([(r.name, r.pattern, i, list(way)) for r in rules for i, way in enumerate(r.filings())],
+                                  "rule string, pattern string, way int, tokens array<string>")
+    wanted = table.select("rule", "pattern", "way", F.explode_outer("tokens").alias("token"))
     held = tokens.join(F.broadcast(wanted.select("token").distinct()), "token").groupBy("token").agg(
         F.count(F.lit(1)).alias("urls"))  # a row for each token of a rule at most
     rarest = F.min(F.struct(F.coalesce("urls", F.lit(0)).alias("urls"), "token"))
-    return (wanted.join(held, "token", "left").groupBy("rule", "pattern").agg(rarest.alias("r"))
+    return (wanted.join(held, "token", "left").groupBy("rule", "pattern", "way").agg(rarest.alias("r"))
             .select("rule", "pattern", F.col("r.token").alias("token")))
 
 
@@ -110,9 +116,9 @@ def pattern_matches(urls: DataFrame, rules: tuple[PatternRule, ...] = PATTERN_RU
     spark = urls.sparkSession
     distinct = stage(urls.filter("url is not null").select("url").distinct(), "urls")
     tokens = distinct.select("url", F.explode(url_tokens(F.col("url"))).alias("token"))
-    filed = stage(filed_rules(spark, tokens, rules), "filed")  # one row for each rule
+    filed = stage(filed_rules(spark, tokens, rules), "filed")  # one row for each way of a rule
     fetched = tokens.join(F.broadcast(filed), "token").select("url", "rule", "pattern")
-    everywhere = [r for r in rules if not r.tokens]
+    everywhere = [r for r in rules if not all(r.filings())]
     tried = fetched.filter(F.expr("regexp_like(url, pattern)")).select("url", "rule")
     for rule in everywhere:
         tried = tried.unionByName(distinct.filter(F.col("url").rlike(rule.pattern)).select("url", F.lit(rule.name).alias("rule")))

@@ -101,3 +101,14 @@ def test_no_python_and_no_product(spark):
     text = u.judge(frame(spark, URLS))._jdf.queryExecution().executedPlan().toString()
     for word in ("Python", "Pandas", "Cartesian", "NestedLoop"):
         assert word not in text
+
+
+def test_no_rule_of_ours_is_tried_on_every_url(spark):
+    assert all(all(rule.filings()) for rule in u.PATTERN_RULES)
+    urls = ["http://a.org/xxx/", "http://a.org/porn/", "http://a.org/link-farm/", "http://a.org/LINKFARM/", "http://a.org/?jsessionid=1",
+            "http://a.org/?a=1&PhpSessId=2", "http://a.org/linkfarms/", "http://a.org/porn", "http://link.farm.org/"]
+    for url in urls + list(filter(None, URLS)):
+        held = set(re.findall("[a-z0-9]+", url.lower()))
+        for rule in u.PATTERN_RULES:
+            assert not re.search(rule.pattern, url) or any(held >= set(way) for way in rule.filings()), (rule.name, url)
+    assert run(frame(spark, urls)) == Counter((i, *brute(x)) for i, x in enumerate(urls))
