@@ -32,7 +32,7 @@ def db():
 def test_all_are_registered():
     names = contract.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(ORACLE) <= set(contract.oracle_sql())
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", list(ORACLE))
