@@ -10,7 +10,7 @@ the same result together from joins that can be split.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -171,7 +171,9 @@ def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "in
         return _outputs(l.join(r, condition, kind), left, right, pairs, kind, suffixes)
 
     if where is not None:
-        return _joined_by_row(left, right, condition, pairs, kind, suffixes)
+        def matches(lefts: DataFrame, rights: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
+            return lefts.alias(LEFT).join(rights.alias(RIGHT), condition).select(*[side(*c) for c in columns])
+        return _from_matches(matches, left, right, pairs, kind, suffixes)
 
     if kind in ("left_semi", "left_anti"):
         return l.join(_distinct_keys(right, [b for _, b in pairs], hot_left).alias(RIGHT), condition, kind)
@@ -188,32 +190,45 @@ def join_tables(left: DataFrame, right: DataFrame, on: On, how: str | None = "in
     return reduce(DataFrame.union, parts)
 
 
-def _joined_by_row(left: DataFrame, right: DataFrame, condition: Column, pairs: list[tuple[str, str]], kind: str,
-                   suffixes: tuple[str, str]) -> DataFrame:
-    """A join with a further condition and hot keys on both sides: an inner join, which can
-    be split, tells which rows have a match. Rows get a number for that in a staged copy."""
-    number = "__row"
-    numbered = [stage(df.withColumn(number, F.monotonically_increasing_id()), "numbered") for df in (left, right)]
-    inner = numbered[0].alias(LEFT).join(numbered[1].alias(RIGHT), condition)
+def _numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """A staged copy whose rows have a number, and the name of its column, which no other has."""
+    name = "row"
+    while name.lower() in (c.lower() for c in df.columns):
+        name = f"_{name}"
+    return stage(df.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
-    def rows(i: int, how: str) -> DataFrame:
-        matched = inner.select(side((LEFT, RIGHT)[i], number).alias("matched")).distinct()
-        return numbered[i].join(matched, F.col(number) == F.col("matched"), how).drop(number)
 
+def _from_matches(matches: Callable[[DataFrame, DataFrame, Sequence[tuple[str, str]]], DataFrame], left: DataFrame,
+                  right: DataFrame, pairs: list[tuple[str, str]], kind: str, suffixes: tuple[str, str]) -> DataFrame:
+    """A join of any kind, put together from its matches, which are looked for once.
+
+    ``matches(left, right, columns)`` gives the pairs of rows that meet the condition; of their
+    columns those that are named, as ``(side, column)``. The kept side's rows get a number for that,
+    and those whose number is among no match come from an anti join with the staged matches.
+    """
+    kept = {"left": [LEFT], "right": [RIGHT], "full": [LEFT, RIGHT], "left_semi": [LEFT], "left_anti": [LEFT]}[kind]
+    tables, numbers = {LEFT: left, RIGHT: right}, {}
+    for name in kept:
+        tables[name], numbers[name] = _numbered(tables[name])
+
+    def rows(name: str, found: DataFrame, how: str) -> DataFrame:
+        matched = found.select(F.col(f"number_{name}").alias("matched")).distinct()
+        number = F.col(quoted(numbers[name]))
+        return tables[name].join(matched, number == F.col("matched"), how).drop(numbers[name])
+
+    wanted = [(name, numbers[name]) for name in kept]
     if kind in ("left_semi", "left_anti"):
-        return rows(0, kind)
-    kept = inner.select(*[side(LEFT, c) for c in left.columns], *[side(RIGHT, c) for c in right.columns])
+        return rows(LEFT, matches(tables[LEFT], tables[RIGHT], wanted).toDF(f"number_{LEFT}"), kind)
     lefts, rights = _labels(left, right, pairs, suffixes)
     shared = {a for a, b in pairs if a == b}
-    at = {c: i for i, c in enumerate(left.columns)}
-    order = [at[c] for c in lefts] + [len(left.columns) + i for i, c in enumerate(right.columns) if c not in shared]
-    flat = kept.toDF(*[str(i) for i in range(len(kept.columns))])
+    columns = [*[(LEFT, c) for c in lefts], *[(RIGHT, c) for c in right.columns if c not in shared]]
+    found = matches(tables[LEFT], tables[RIGHT], [*columns, *wanted])
     labels = [*lefts.values(), *rights.values()]
-    parts = [flat.select(*[F.col(quoted(str(i))).alias(x) for i, x in zip(order, labels, strict=True)])]
-    if kind in ("left", "full"):
-        parts.append(_padded(rows(0, "left_anti").alias(LEFT), left, right, pairs, suffixes, LEFT))
-    if kind in ("right", "full"):
-        parts.append(_padded(rows(1, "left_anti").alias(RIGHT), left, right, pairs, suffixes, RIGHT))
+    # labels may equal the numbers' names, so all of them get plain ones until the end
+    found = stage(found.toDF(*[f"c{i}" for i in range(len(labels))], *[f"number_{name}" for name in kept]), "matches")
+    parts = [found.select(*[F.col(f"c{i}").alias(label) for i, label in enumerate(labels)])]
+    for name in kept:
+        parts.append(_padded(rows(name, found, "left_anti").alias(name), left, right, pairs, suffixes, name))
     return reduce(DataFrame.union, parts)
 
 
@@ -277,12 +292,17 @@ def _padded(alone: DataFrame, left: DataFrame, right: DataFrame, pairs: list[tup
 FAR = 1e300
 
 
-def join_range(left: DataFrame, right: DataFrame, point: str, low: str, high: str,
-               closed: str = "right", suffixes: tuple[str, str] = ("", "_r")) -> DataFrame:
-    """Inner join of points with intervals by hashing instead of a nested loop.
+def join_range(left: DataFrame, right: DataFrame, point: str, low: str | None, high: str | None,
+               closed: str = "right", suffixes: tuple[str, str] = ("", "_r"), how: str | None = "inner",
+               where: str | Column | None = None) -> DataFrame:
+    """Join of points with intervals by hashing instead of a nested loop.
 
     ``closed`` names the ends that belong to the interval: ``left``, ``right``, ``both``
-    or ``neither``. Points and ends are numbers or timestamps; an end may be infinite.
+    or ``neither``. Points and ends are numbers or timestamps; an end may be infinite, and
+    without ``low`` or ``high`` all intervals are open on that side. ``how`` is any type of
+    :func:`join_tables`, and ``where`` a further condition on a point and an interval that holds it,
+    as a ``Column`` or as text with ``leftView`` and ``rightView``. A point or an end that is null is in no
+    interval; an outer join keeps its row.
 
     Intervals are first cut to the range of the points. One no longer than ``2**k`` touches
     two or three cells of width ``2**k``. So each interval is listed under those cells,
@@ -291,38 +311,91 @@ def join_range(left: DataFrame, right: DataFrame, point: str, low: str, high: st
     makes a candidate pair; the exact comparison decides. Cells are never so small that
     numbers of the interval's magnitude can't be told apart, so an interval of no length
     has a cell of its own too.
+
+    For a semi or an anti join on one bound alone, points are compared with the outermost of the
+    bounds, and no pair is formed. Other outer, semi and anti joins look for the matches once, stage
+    them, and take the rows without any from an anti join on row numbers.
     """
     if closed not in ("left", "right", "both", "neither"):
         raise ConfigError(f"closed must be left, right, both or neither, got {closed!r}")
-    lefts, rights = _labels(left, right, [], suffixes)
+    if low is None and high is None:
+        raise ConfigError("a range needs at least one bound")
+    kind = join_type(how)
+    if kind in ("left_semi", "left_anti") and where is None and (low is None or high is None):
+        return _beyond_one_bound(left, right, point, low, high, closed, kind)
 
+    def matches(lefts: DataFrame, rights: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
+        return _in_cells(lefts, rights, point, low, high, closed, where).select(
+            *[F.col(name).getField(c) for name, c in columns])
+
+    if kind != "inner":
+        return _from_matches(matches, left, right, [], kind, suffixes)
+    lefts, rights = _labels(left, right, [], suffixes)
+    found = matches(left, right, [*[(LEFT, c) for c in lefts], *[(RIGHT, c) for c in rights]])
+    return found.toDF(*lefts.values(), *rights.values())
+
+
+def _beyond_one_bound(left: DataFrame, right: DataFrame, point: str, low: str | None, high: str | None, closed: str,
+                      kind: str) -> DataFrame:
+    """Points above the smallest of the lower ends, or below the largest of the upper ones; or the others."""
+    at, end = F.col(quoted(point)), F.col(quoted(low or high))
+    data_type = right.schema[low or high].dataType
+    outermost = F.min(end) if low else F.max(end)
+    moment = isinstance(data_type, T.TimestampType)
+    # one number, whatever the number of intervals, fetched in a form that loses nothing
+    value = right.where(~F.isnan(end.cast("double"))).agg(
+        (F.unix_micros(outermost) if moment else outermost.cast("string")).alias("value")).first()["value"]
+    bound = F.timestamp_micros(F.lit(value)) if moment else F.lit(value).cast(data_type)
+    with_end = closed in ("both", "left" if low else "right")
+    if low:
+        inside = at >= bound if with_end else at > bound
+    else:
+        inside = at <= bound if with_end else at < bound
+    inside = F.coalesce(inside & ~F.isnan(at.cast("double")), F.lit(False))
+    return left.where(inside if kind == "left_semi" else ~inside)
+
+
+def _in_cells(left: DataFrame, right: DataFrame, point: str, low: str | None, high: str | None, closed: str,
+              where: str | Column | None) -> DataFrame:
+    """Points and the intervals that hold them, as the structs ``leftView`` and ``rightView``."""
     def number(c: Column) -> Column:
         return F.greatest(F.least(c.cast("double"), F.lit(FAR)), F.lit(-FAR))
 
     def cell(c: Column, level: Column) -> Column:
         return F.floor(c / F.pow(F.lit(2.0), level))
 
-    at, lo, hi = (F.col(quoted(c)) for c in (point, low, high))
-    present = left.where(at.isNotNull())
+    at = F.col(quoted(point))
+    lo, hi = (F.col(quoted(c)) if c is not None else None for c in (low, high))
+    present = left.where(at.isNotNull() & ~F.isnan(at.cast("double")))
     reach = present.agg(F.min(number(at)).alias("lo"), F.max(number(at)).alias("hi")).first()
     first, last = (0.0, 0.0) if reach["lo"] is None else (reach["lo"], reach["hi"])
-    begin, end = F.greatest(number(lo), F.lit(first)), F.least(number(hi), F.lit(last))
+    begin = F.greatest(number(lo), F.lit(first)) if lo is not None else F.lit(first)
+    end = F.least(number(hi), F.lit(last)) if hi is not None else F.lit(last)
     magnitude = F.greatest(F.abs(F.col("begin")), F.abs(F.col("end")), F.lit(1e-200))
     level = F.greatest(F.when(F.col("end") > F.col("begin"), F.ceil(F.log2(F.col("end") - F.col("begin")))),
                        F.ceil(F.log2(magnitude)) - 50)
-    intervals = (right.where((lo <= hi) & ~F.isnan(hi.cast("double")))
-                 .select(F.struct("*").alias("i"), lo.alias("lo"), hi.alias("hi"), begin.alias("begin"), end.alias("end"))
+    given = [c for c in (lo, hi) if c is not None]
+    valid = reduce(and_, [c.isNotNull() & ~F.isnan(c.cast("double")) for c in given])
+    if len(given) == 2:
+        valid = valid & (lo <= hi)
+    ends = [c.alias(name) for c, name in ((lo, "lo"), (hi, "hi")) if c is not None]
+    intervals = (right.where(valid)
+                 .select(F.struct("*").alias(RIGHT), *ends, begin.alias("begin"), end.alias("end"))
                  .where("begin <= end").withColumn("level", level.cast("int")))
     levels = sorted(r[0] for r in intervals.select("level").distinct().collect()) or [0]
 
     listed = intervals.withColumn("cell", F.explode(F.sequence(cell(F.col("begin"), F.col("level")),
                                                                cell(F.col("end"), F.col("level")))))
     near = F.abs(F.col("place")) <= F.pow(F.lit(2.0), F.col("level") + 51)
-    points = (present.select(F.struct("*").alias("p"), at.alias("at"), number(at).alias("place"),
+    points = (present.select(F.struct("*").alias(LEFT), at.alias("at"), number(at).alias("place"),
                              F.explode(F.lit(levels)).alias("level"))
               .where(near).withColumn("cell", F.when(near, cell(F.col("place"), F.col("level")))))
-    above = F.col("at") >= F.col("lo") if closed in ("left", "both") else F.col("at") > F.col("lo")
-    below = F.col("at") <= F.col("hi") if closed in ("right", "both") else F.col("at") < F.col("hi")
-    return (points.join(listed, ["level", "cell"]).where(above & below)
-            .select(*[F.col(f"p.{quoted(c)}").alias(label) for c, label in lefts.items()],
-                    *[F.col(f"i.{quoted(c)}").alias(label) for c, label in rights.items()]))
+    inside = []
+    if lo is not None:
+        inside.append(F.col("at") >= F.col("lo") if closed in ("left", "both") else F.col("at") > F.col("lo"))
+    if hi is not None:
+        inside.append(F.col("at") <= F.col("hi") if closed in ("right", "both") else F.col("at") < F.col("hi"))
+    found = points.join(listed, ["level", "cell"]).where(reduce(and_, inside))
+    if where is None:
+        return found
+    return found.where(where if isinstance(where, Column) else F.expr(where))

@@ -301,3 +301,82 @@ def test_range_join_of_moments_has_a_cell_for_each(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan
     assert join_range(left.limit(0), right, "p", "lo", "hi").isEmpty()
+
+
+HOWS = ["inner", "left", "right", "full", "left semi", "left anti"]
+
+
+def range_rows(seed):
+    r = random.Random(seed)
+    points = [(i, r.choice([None, float("nan"), float(r.randint(-30, 30)), r.uniform(-4, 4)])) for i in range(60)]
+    bounds = [(i, a, a + r.choice([0.0, 0.5, 3.0, 40.0, -1.0])) for i, a in enumerate(r.uniform(-40, 40) for _ in range(25))]
+    return points, [*bounds, (98, None, 2.0), (99, 1.0, None)]
+
+
+def brute_range(points, bounds, how, inside):
+    pairs = [(a, b) for a in points for b in bounds if inside(a, b)]
+    alone = [a for a in points if all(a is not p[0] for p in pairs)]
+    apart = [b for b in bounds if all(b is not p[1] for p in pairs)]
+    if how in ("left semi", "left anti"):
+        return [a for a in points if (a in alone) == (how == "left anti")]
+    return ([a + b for a, b in pairs] + [(*a, None, None, None) for a in alone] * (how in ("left", "full"))
+            + [(None, None, *b) for b in apart] * (how in ("right", "full")))
+
+
+@pytest.mark.parametrize("how", HOWS)
+def test_range_joins_of_every_kind(spark, how):
+    points, bounds = range_rows(how)
+    left = spark.createDataFrame(points, "row int, p double")
+    right = spark.createDataFrame(bounds, "row int, lo double, hi double")
+    df = join_range(left, right, "p", "lo", "hi", closed="both", how=how, where="leftView.row % 3 <> rightView.row % 3")
+
+    def inside(a, b):
+        return None not in (a[1], b[1], b[2]) and b[1] <= a[1] <= b[2] and a[0] % 3 != b[0] % 3
+    assert df.columns == (["row", "p"] if "semi" in how or "anti" in how else ["row", "p", "row_r", "lo", "hi"])
+    assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, map(tuple, brute_range(points, bounds, how, inside))))
+    assert "NestedLoop" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("closed", ["left", "right"])
+@pytest.mark.parametrize("how", HOWS)
+@pytest.mark.parametrize("only", ["lo", "hi"])
+def test_range_joins_with_one_bound(spark, how, closed, only):
+    points, bounds = range_rows(how + only)
+    points += [(100 + i, b[1 if only == "lo" else 2]) for i, b in enumerate(bounds)]
+    left = spark.createDataFrame(points, "id int, p double")
+    right = spark.createDataFrame(bounds, "id int, lo double, hi double")
+    df = join_range(left, right, "p", "lo" if only == "lo" else None, "hi" if only == "hi" else None, closed=closed, how=how)
+
+    def inside(a, b):
+        p, end = a[1], b[1] if only == "lo" else b[2]
+        if p is None or p != p or end is None:
+            return False
+        return p == end and closed == ("left" if only == "lo" else "right") or (p > end if only == "lo" else p < end)
+    assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, map(tuple, brute_range(points, bounds, how, inside))))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    if how in ("left semi", "left anti"):
+        assert "Join" not in plan
+
+
+def test_one_bound_of_other_types(spark):
+    left = spark.sql("select timestamp'2024-10-27 00:30:00.123456' as t union all select null")
+    right = spark.sql("select timestamp'2024-10-27 00:30:00.123456' as lo")
+    assert join_range(left, right, "t", "lo", None, closed="left", how="semi").count() == 1
+    assert join_range(left, right, "t", "lo", None, closed="neither", how="semi").isEmpty()
+    assert join_range(left, right.limit(0), "t", "lo", None, how="anti").count() == 2
+    big = spark.sql("select 9007199254740993 as p")
+    assert join_range(big, spark.sql("select 9007199254740992 as lo"), "p", "lo", None, closed="neither", how="semi").count() == 1
+    with pytest.raises(ConfigError, match="bound"):
+        join_range(left, right, "t", None, None)
+
+
+def test_matches_are_looked_for_once(spark):
+    left = spark.range(50).selectExpr("id as k", "id as row", "id as __row")
+    right = spark.range(50).selectExpr("id as k", "id % 7 as w")
+    df = join_tables(left, right, "k", "full", hot_key_rows=0, where="leftView.k % 2 = rightView.w % 2")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 0 and plan.count("Join LeftAnti") == 2
+    assert df.columns == ["k", "row", "__row", "w"]
+    matched = [i for i in range(50) if i % 2 == i % 7 % 2]
+    assert df.count() == 100 - len(matched)
