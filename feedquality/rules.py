@@ -23,21 +23,23 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass, replace
+from decimal import Decimal
 from enum import Enum
 from functools import reduce
 from operator import and_, or_
 from os import PathLike
 from typing import Any
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedquality.errors import ConfigError
-from feedquality.functions.columns import column_at, column_text, field_type, parse_type, same_type
+from feedquality.functions.columns import column_at, column_text, field_type, parse_type, quoted, same_type
 from feedquality.model import TableModel, load_json
 
 
-# Where a predicate finds its column as SQL text among the arguments.
+# Where a predicate finds its column as SQL text, and its marker, among the arguments.
 COLUMN = "column as text"
+MARKER = "marker"
 
 
 class OnFailure(str, Enum):
@@ -76,13 +78,55 @@ def _length_between(c: Column, dt: T.DataType, a: Mapping[str, Any]) -> Column:
     return _in_bounds(F.length(_as_text(c, dt)), a["min_value"], a["max_value"])
 
 
+# A number written out: a sign, digits, a point, digits. What has an exponent is read as a double.
+PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"
+
+
+def _text_bound(c: Column, bound: int | Decimal, low: bool) -> Column:
+    """Whether the number that a text writes out is on the right side of ``bound``, to the last digit.
+
+    The point is moved right by as many places as the bound has; then the whole part is
+    compared, rounded down for a lower and up for an upper bound.
+    """
+    sign, digits, exponent = Decimal(bound).as_tuple()
+    places = max(0, -exponent)
+    limit = int("".join(map(str, digits)) + "0" * max(0, exponent)) * (-1 if sign else 1)
+    text = F.trim(c)
+    negative = text.startswith("-")
+    fraction = F.regexp_extract(text, r"\.(\d*)$", 1)
+    moved = F.concat(F.regexp_extract(text, r"^[+-]?(\d*)", 1), F.rpad(F.left(fraction, F.lit(places)), places, "0"))
+    moved = F.regexp_replace(moved, "^0+", "")
+    size = F.concat(F.lit("0"), moved).try_cast("decimal(38,0)")
+    whole = F.when(negative, -size).otherwise(size)
+    more = F.substring(fraction, places + 1, 1 << 30).rlike("[1-9]").cast("int")
+    if len(str(abs(limit))) > 37:
+        raise ConfigError(f"a bound has more digits than a decimal: {bound}")
+    limit = F.lit(Decimal(limit))
+    inside = (whole - F.when(negative, more).otherwise(0) >= limit if low
+              else whole + F.when(negative, 0).otherwise(more) <= limit)
+    outside = F.length(moved) > 37  # larger than any bound
+    return F.when(outside, negative != F.lit(low)).otherwise(inside)
+
+
 def _value_between(c: Column, dt: T.DataType, a: Mapping[str, Any]) -> Column:
-    """A text under numeric bounds is read as a number; what can't be read is out of bounds."""
+    """A text under numeric bounds is read as a number; what can't be read is out of bounds.
+
+    Whole and decimal bounds are compared with the digits as they are written, a bound that is
+    a float as a double.
+    """
     low, high = a.get("min", a.get("min_value")), a.get("max", a.get("max_value"))
-    numbers = any(isinstance(b, (int, float)) and not isinstance(b, bool) for b in (low, high))
-    if isinstance(dt, T.StringType) and numbers:
-        return F.coalesce(_in_bounds(c.try_cast("double"), low, high), F.lit(False))
-    return _in_bounds(c, low, high)
+    numbers = any(isinstance(b, (int, float, Decimal)) and not isinstance(b, bool) for b in (low, high))
+    if not (isinstance(dt, T.StringType) and numbers):
+        return _in_bounds(c, low, high)
+    number = c.try_cast("double")
+    bounds = []
+    for bound, is_low in ((low, True), (high, False)):
+        if bound is None:
+            continue
+        rough = number >= F.lit(float(bound)) if is_low else number <= F.lit(float(bound))
+        exact = isinstance(bound, (int, Decimal))
+        bounds.append(F.when(F.trim(c).rlike(PLAIN_NUMBER), _text_bound(c, bound, is_low)).otherwise(rough) if exact else rough)
+    return F.coalesce(reduce(and_, bounds), F.lit(False))
 
 
 def _matches(c: Column, dt: T.DataType, a: Mapping[str, Any]) -> Column:
@@ -113,8 +157,16 @@ def _member(v: Any, dt: T.DataType) -> str | None:
     return literal if isinstance(dt, T.StringType) else f"try_cast({literal} as {dt.simpleString()})"
 
 
+def member_marker(rule_id: str) -> str:
+    """The column that says whether a row's value is in a set that is a table."""
+    return f"__member({rule_id})"
+
+
 def _in_set(c: Column, dt: T.DataType, a: Mapping[str, Any]) -> Column:
-    """Membership, as one SQL text however long the list; Spark looks up long lists by hash."""
+    """Membership, as one SQL text however long the list; Spark looks up long lists by hash.
+    A set that is a table has been joined beforehand."""
+    if not isinstance(a["value_set"], (list, tuple, set, frozenset)):
+        return F.col(quoted(a[MARKER]))
     members = [m for m in (_member(v, dt) for v in a["value_set"] if v is not None) if m is not None]
     if not members:
         return F.lit(False)
@@ -166,6 +218,10 @@ class Rule:
             raise ConfigError(f"{self.expectation} on {self.column}: mostly must lie in [0, 1]")
         if self.expectation == "ExpectColumnValuesToBeOfType":
             parse_type_name(self.args["type"])
+        if isinstance(self.args.get("value_set"), str):
+            raise ConfigError(f"{self.expectation} on {self.column}: value_set is a list, a table, or {{'path': ..., 'column': ...}}")
+        if isinstance(self.args.get("value_set"), Mapping) and not {"path", "column"} <= set(self.args["value_set"]):
+            raise ConfigError(f"{self.expectation} on {self.column}: a value_set that is stored needs path and column")
         if not self.rule_id:
             object.__setattr__(self, "rule_id", f"{self.expectation}({self.column})")
 
@@ -177,6 +233,12 @@ class Rule:
     def scope(self) -> Scope:
         return self.kind.scope
 
+    @property
+    def member_table(self) -> Mapping[str, str] | DataFrame | None:
+        """Where the members are, for a set that is a table: a frame of one column, or a path and a column."""
+        found = self.args.get("value_set")
+        return found if isinstance(found, (Mapping, DataFrame)) else None
+
     def applies_to(self, schema: T.StructType) -> bool:
         """Whether the column is there to be evaluated."""
         return field_type(schema, self.column) is not None
@@ -188,7 +250,8 @@ class Rule:
         """
         dt = field_type(schema, self.column)
         c = column_at(schema, self.column)
-        p = self.kind.predicate(c, dt, {**self.args, COLUMN: column_text(schema, self.column)})
+        p = self.kind.predicate(c, dt, {
+            **self.args, COLUMN: column_text(schema, self.column), MARKER: member_marker(self.rule_id)})
         return p if self.kind.sees_nulls else c.isNull() | p
 
     def holds_for(self, schema: T.StructType) -> bool:
