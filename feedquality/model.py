@@ -5,21 +5,39 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass
-from os import PathLike
+from os import PathLike, fspath
 from typing import Any
 
-from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import SparkSession, types as T
 
 from feedquality.errors import ConfigError
 from feedquality.functions.columns import parse_type
 
 
 def load_json(source: str | PathLike | Mapping[str, Any]) -> Mapping[str, Any]:
-    """A config given either as a mapping or as the path of a JSON file."""
+    """A config given either as a mapping or as the path of a JSON file.
+
+    Spark reads the file, so it may lie in any storage the session reaches: a driver in the
+    cluster finds it where the feeds are. A path without a scheme is of the default storage.
+    """
     if isinstance(source, Mapping):
         return source
-    with open(source, encoding="utf-8") as f:
-        return json.load(f)
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        raise ConfigError(f"{source}: a file is read by Spark; start a session first")
+    try:
+        files = spark.read.text(fspath(source), wholetext=True).take(2)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise ConfigError(f"{source}: no such file") from e
+    if len(files) != 1:
+        raise ConfigError(f"{source}: expected one file, found {'none' if not files else 'several'}")
+    try:
+        return json.loads(files[0]["value"])
+    except json.JSONDecodeError as e:
+        raise ConfigError(f"{source}: {e}") from e
 
 
 def _flag(value: Any, where: str) -> bool:

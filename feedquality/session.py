@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import functools
 import math
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedquality.errors import ConfigError
-
 
 def session_builder(app_name: str) -> SparkSession.Builder:
     """A builder with the settings the operators rely on.
@@ -47,46 +44,38 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return partitions
 
 
-@functools.cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="feedquality-")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a ``local`` master may go without it; there one machine runs all tasks and
-    a temporary folder is shared by definition.
+    Where that is unset it is the warehouse, which Spark itself writes tables to from every
+    executor. A machine's own temporary folder is never used.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_scratch()
-    raise ConfigError("set spark.checkpoint.dir to a folder that all executors share")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return configured.rstrip("/")
 
 
-_areas: list[list[str]] = []
+# What is staged within which contexts. Each thread, and each task of an event loop, has its own.
+_areas: ContextVar[tuple[list[str], ...]] = ContextVar("areas", default=())
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other call has been given."""
     path = f"{shared_dir(spark)}/feedquality/{name}-{uuid.uuid4().hex}"
-    for area in _areas:
+    for area in _areas.get():
         area.append(path)
     return path
 
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
-    """Delete, on the way out, what was staged within. Results are lazy and read staged
+    """Delete, on the way out, what this thread staged within. Results are lazy and read staged
     copies, so whatever is wanted of them has to be written before."""
     area: list[str] = []
-    _areas.append(area)
+    outer = _areas.set((*_areas.get(), area))
     try:
         yield
     finally:
-        _areas.remove(area)
+        _areas.reset(outer)
         configuration = spark.sparkContext._jsc.hadoopConfiguration()
         for name in area:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
