@@ -20,7 +20,7 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="feedquality", description="Check, clean and total two feeds.")
     p.add_argument("--app_name", default="feedquality")
     p.add_argument("--input_path", required=True, help="dimension feed,fact feed")
-    p.add_argument("--sink", required=True, choices=["file", "bq", "mongo"])
+    p.add_argument("--sink", required=True, choices=["file", "bq", "mongo", "table"])
     p.add_argument("--output_path", required=True)
     p.add_argument("--connection_uri")
     p.add_argument("--write_disposition")
@@ -36,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--group", default="user_address")
     p.add_argument("--report_path", help="write the quality reports here, as JSON")
     p.add_argument("--quarantine_path", help="write rejected rows below here, one folder per feed, as JSON")
+    p.add_argument("--run_id", help="name of this run; a second run of the name replaces what the first one appended")
     p.add_argument("--max_corrupt", type=float, help="share of a declared feed's lines that may be unparsable")
     return p
 
@@ -57,13 +58,13 @@ def job_spec(argv: Sequence[str] | None = None) -> tuple[str, JobSpec]:
     sources = sources_from(a.input_path, names, schemas={n: m.schema for n, m in models.items()}, mode=a.read_mode)
     feeds = [FeedSpec(sources[n], models[n], RuleSet.from_json(path))
              for n, path in zip(names, _two(p, "suites", a.suites))]
-    quarantine = {n: SinkSpec("json", f"{a.quarantine_path.rstrip('/')}/{n}", mode=a.write_disposition)
+    quarantine = {n: SinkSpec("json", f"{a.quarantine_path.rstrip('/')}/{n}", mode=a.write_disposition, run_id=a.run_id)
                   for n in names} if a.quarantine_path else {}
     return a.app_name, JobSpec(
         dimension=feeds[0], fact=feeds[1], key=a.key, measure=a.measure, group=a.group, mode=a.discard_mode,
         sink=sink_for(a.sink, a.output_path, a.file_format, a.connection_uri,
-                      a.write_disposition, a.create_disposition),
-        reports=SinkSpec("json", a.report_path, mode=a.write_disposition) if a.report_path else None,
+                      a.write_disposition, a.create_disposition, a.run_id),
+        reports=SinkSpec("json", a.report_path, mode=a.write_disposition, run_id=a.run_id) if a.report_path else None,
         quarantine=quarantine, max_corrupt=a.max_corrupt)
 
 

@@ -140,3 +140,80 @@ def test_a_value_that_would_become_two_rows_fails_the_write(spark, tmp_path, for
     write_table(df, SinkSpec("text", str(tmp_path / "t"), {"lineSep": RECORD_SEPARATOR}))
     back = read_table(spark, SourceSpec(str(tmp_path / "t"), "text", options={"lineSep": RECORD_SEPARATOR}))
     assert sorted(r[0] for r in back.collect()) == ["a\nb", "c"]
+
+
+# --- runs and catalog tables ----------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("format", ["json", "csv", "text", "parquet"])
+def test_a_run_done_again_replaces_its_own_rows(spark, tmp_path, format):
+    path = str(tmp_path / "out")
+
+    def run(name, rows):
+        write_table(spark.createDataFrame(rows, "a string"), SinkSpec(format, path, {"header": "true"} if format == "csv" else {},
+                                                                      mode="append", run_id=name))
+
+    def stored():
+        column = "value" if format == "text" else "a"
+        read = spark.read.option("header", "true").format(format).load(path)
+        return sorted((r["run_id"], r[column]) for r in read.collect())
+
+    run("monday", [("x",), ("y",)])
+    run("monday", [("x",), ("y",)])
+    run("tue's/day", [("z",)])
+    assert stored() == [("monday", "x"), ("monday", "y"), ("tue's/day", "z")]
+    run("monday", [("w",)])
+    assert stored() == [("monday", "w"), ("tue's/day", "z")]
+    run("tue's/day", [])
+    assert stored() == [("monday", "w")]
+
+
+def test_a_run_id_needs_appending(spark, tmp_path):
+    for bad in ({"mode": "overwrite"}, {"mode": None}, {"mode": "append", "run_id": ""}):
+        with pytest.raises(ConfigError):
+            SinkSpec("json", str(tmp_path / "x"), **{"run_id": "r", **bad})
+    with pytest.raises(ConfigError):
+        SinkSpec("mongodb", mode="append", run_id="r")
+    with pytest.raises(ConfigError, match="run_id"):
+        write_table(spark.range(1).toDF("run_id"), SinkSpec("json", str(tmp_path / "x"), mode="append", run_id="r"))
+
+
+@pytest.fixture()
+def table_name(spark):
+    name = "sink_test"
+    spark.sql(f"drop table if exists {name}")
+    yield name
+    spark.sql(f"drop table if exists {name}")
+
+
+def test_create_dispositions_of_tables(spark, table_name):
+    rows = spark.createDataFrame([(1, "x"), (2, None)], "a int, b string")
+    with pytest.raises(ConfigError, match="not there"):
+        write_table(rows, SinkSpec("table", table_name, create_disposition="create_never"))
+    write_table(rows, SinkSpec("table", table_name, create_disposition="create_if_needed"))
+    for _ in range(2):  # by name, whatever the order, and the table keeps its definition
+        write_table(rows.select("b", "a"), SinkSpec("table", table_name, create_disposition="create_never"))
+    assert sorted((r.a, r.b) for r in spark.table(table_name).collect()) == [(1, "x")] * 3 + [(2, None)] * 3
+    write_table(rows, SinkSpec("table", table_name, mode="overwrite"))
+    write_table(rows, SinkSpec("table", table_name, mode="ignore"))
+    assert spark.table(table_name).count() == 2 and spark.table(table_name).columns == ["a", "b"]
+    with pytest.raises(ConfigError, match="already"):
+        write_table(rows, SinkSpec("table", table_name, mode="errorifexists"))
+    for other in (rows.select("a"), rows.selectExpr("cast(a as bigint) as a", "b"), rows.withColumn("c", rows.a)):
+        with pytest.raises(ConfigError, match="rows are"):
+            write_table(other, SinkSpec("table", table_name))
+    assert spark.table(table_name).count() == 2
+
+
+def test_runs_in_a_table(spark, table_name):
+    for name, values in (("m", [1, 2]), ("t's", [3]), ("m", [5]), ("t's", []), ("{u}", [])):
+        write_table(spark.createDataFrame([(v,) for v in values], "a int"), SinkSpec("table", table_name, mode="append", run_id=name))
+    assert [tuple(r) for r in spark.table(table_name).collect()] == [(5, "m")]
+
+
+def test_sinks_by_word():
+    assert sink_for("table", "db.t", create_disposition="create_never", run_id="r").create_disposition == "CREATE_NEVER"
+    for bad in (lambda: sink_for("bq", "d.t", run_id="r"), lambda: SinkSpec("table"), lambda: SinkSpec("json", "x", create_disposition="create_never"),
+                lambda: SinkSpec("table", "t", create_disposition="maybe")):
+        with pytest.raises(ConfigError):
+            bad()
