@@ -15,13 +15,14 @@ from feedquality.sinks.writers import (RECORD_SEPARATOR, SinkSpec, as_lines, big
                                        write_connector, write_table)
 from feedquality.sources.feeds import (SourceSpec, feed_listing, feed_ready, read_table, require_feed,
                                        sources_from, split_corrupt)
+from feedquality.sources.staged import StagedFeed, stage_feed
 
 __all__ = [
     "CleanResult", "ConfigError", "CorruptFeedError", "EmptyFeedError", "FeedQualityError", "FeedSpec", "JobResult", "JobSpec",
     "MissingFeedError", "OnFailure", "RECORD_SEPARATOR", "Rule", "RuleSet", "SchemaMismatchError", "SchemaReport", "Scope",
-    "SinkSpec", "SourceSpec", "TableModel", "TableRuleError", "as_lines", "bigquery_sink", "check_names", "check_schema",
+    "SinkSpec", "SourceSpec", "StagedFeed", "TableModel", "TableRuleError", "as_lines", "bigquery_sink", "check_names", "check_schema",
     "check_tables", "clean", "failing_values", "failures", "feed_listing", "feed_ready", "flatten",
     "group_agg", "join_range", "join_tables", "log_failures", "mongo_sink", "observe_rules", "quality_report", "read_table",
     "require_feed", "required_rules", "run_job", "session_builder", "sink_for", "size_shuffles", "sources_from",
-    "split_corrupt", "stage", "staging", "totals", "verdict", "write_connector", "write_table",
+    "split_corrupt", "stage", "stage_feed", "staging", "totals", "verdict", "write_connector", "write_table",
 ]

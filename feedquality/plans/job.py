@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from feedquality.errors import CorruptFeedError
 from feedquality.model import TableModel
-from feedquality.operators.joins import HOT_KEY_ROWS, has_hot_key, is_small, join_tables
+from feedquality.operators.joins import HOT_KEY_ROWS, is_small, join_tables
 from feedquality.operators.quality import REPORT_SCHEMA, CleanResult, clean, log_failures
 from feedquality.operators.rollup import group_agg
-from feedquality.operators.schema_gate import SchemaReport, check_names, check_tables
+from feedquality.operators.schema_gate import SchemaReport
 from feedquality.rules import RuleSet, Scope
 from feedquality.session import stage
 from feedquality.sinks.writers import SinkSpec, write_table
-from feedquality.sources.feeds import CORRUPT, SourceSpec, declared_names, read_table, require_feed, split_corrupt
+from feedquality.sources.feeds import CORRUPT, SourceSpec, require_feed
+from feedquality.sources.staged import stage_feed
 
 
 @dataclass(frozen=True)
@@ -34,7 +35,8 @@ class JobSpec:
     """Totals of ``measure`` per ``group``: facts are summed per ``key``, joined to the
     dimension, and summed again.
 
-    A declared JSON or CSV feed is parsed once and staged. An inferred one is staged when
+    A declared JSON or CSV feed is read once: the pass that stages it also profiles and measures
+    it, and only the columns that the job needs are staged. An inferred one is staged when
     more than one pass will read it. ``max_corrupt`` is the share of a declared feed's
     lines that may be unparsable; by default none may, unless the feed has a quarantine.
     """
@@ -53,6 +55,16 @@ class JobSpec:
     def tolerated(self, name: str) -> float:
         return self.max_corrupt if self.max_corrupt is not None else 1.0 if name in self.quarantine else 0.0
 
+    def needed(self, feed: FeedSpec) -> list[str] | None:
+        """The columns of ``feed`` that its rules and the totals read; ``None``, for all, if it has a quarantine."""
+        if feed.model.name in self.quarantine:
+            return None
+        names = feed.model.schema.names
+        used = {self.key, self.group if feed is self.dimension else self.measure, *(r.column for r in feed.rules)}
+        heads = {c if c in names else c.partition(".")[0] for c in used}
+        # an expression as the key or group may read any column
+        return [n for n in names if n in heads] if heads <= set(names) else None
+
     def rereads(self, feed: FeedSpec) -> bool:
         """Whether cleaning ``feed`` takes passes besides the one for the result."""
         measured = any(r.scope is Scope.UNIQUE or r.mostly < 1.0 for r in feed.rules)
@@ -83,16 +95,19 @@ def unparsable_report(spark: SparkSession, name: str, lines: int, bad: int, most
 
 
 def totals(dimension: DataFrame, fact: DataFrame, key: str, measure: str, group: str,
-           hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+           dimension_rows: int | None = None) -> DataFrame:
     """Sum ``measure`` per ``key``, join, sum per ``group``.
 
     Summing first means that the join sees each key once on the fact side, however many
-    facts one key has. A key that the dimension repeats counts once per repetition. Should
-    one repeat more than ``hot_key_rows`` times, the sums are staged, since adaptive
-    execution cannot split a join that sits directly on an aggregate.
+    facts one key has. A key that the dimension repeats counts once per repetition, and may be
+    a hot one. Adaptive execution cannot split a join that sits directly on an aggregate, so the
+    sums, a row for each key, are staged; the join is then planned by their true size too. A
+    dimension that Spark would send to every task, or with so few ``dimension_rows`` that
+    no key of it can be hot, needs none of that.
     """
     per_key = group_agg(fact, key, sum=measure)
-    if not is_small(dimension) and has_hot_key(dimension, [key], hot_key_rows):
+    few = dimension_rows is not None and dimension_rows <= HOT_KEY_ROWS
+    if not few and not is_small(dimension):
         per_key = stage(per_key, "totals")
     return group_agg(join_tables(dimension, per_key, key, "inner"), group, sum=measure)
 
@@ -108,32 +123,23 @@ def run_job(spark: SparkSession, spec: JobSpec) -> JobResult:
     feeds = {f.model.name: f for f in (spec.dimension, spec.fact)}
     for f in feeds.values():
         require_feed(spark, f.source.path)
-    parsed, corrupt = {}, {}
-    for name, f in feeds.items():
-        rows = read_table(spark, f.source)
-        # an inferred corrupt column is for the schema gate to see
-        parsed[name], bad = split_corrupt(rows) if f.source.mode == "declared" else (rows, None)
-        if bad is not None:
-            corrupt[name] = bad
-    gate = list(check_tables((parsed[name], f.model) for name, f in feeds.items()).problems)
+    read = {name: stage_feed(spark, f.source, f.model, f.rules, spec.needed(f)) for name, f in feeds.items()}
+    SchemaReport(tuple(p for feed in read.values() for p in feed.gate.problems)).require()
+    parsed = {name: feed.rows for name, feed in read.items()}
+    corrupt = {name: feed.corrupt for name, feed in read.items() if feed.corrupt is not None}
     unparsable = {}
-    for name, f in feeds.items():
-        names = declared_names(spark, f.source)
-        gate += check_names(names, f.model).problems if names is not None else []
-    SchemaReport(tuple(gate)).require()
-    for name, bad in corrupt.items():
-        n_bad, n_good = bad.count(), parsed[name].count()
-        share = spec.tolerated(name)
-        if n_bad > share * (n_bad + n_good):
-            raise CorruptFeedError(f"{name}: {n_bad} of {n_bad + n_good} lines can't be parsed")
-        unparsable[name] = unparsable_report(spark, name, n_bad + n_good, n_bad, 1 - share)
+    for name in corrupt:
+        n_bad, n_lines, share = read[name].bad, read[name].lines, spec.tolerated(name)
+        if n_bad > share * n_lines:
+            raise CorruptFeedError(f"{name}: {n_bad} of {n_lines} lines can't be parsed")
+        unparsable[name] = unparsable_report(spark, name, n_lines, n_bad, 1 - share)
     for name, f in feeds.items():
         if f.source.mode == "infer" and f.source.format in ("json", "csv") and spec.rereads(f):
             parsed[name] = stage(parsed[name], name)
-    cleaned = {name: clean(parsed[name], f.rules, mode=spec.mode) for name, f in feeds.items()}
+    cleaned = {name: clean(parsed[name], f.rules, mode=spec.mode, measured=read[name].counts) for name, f in feeds.items()}
+    dimension, fact = spec.dimension.model.name, spec.fact.model.name
     result = JobResult(
-        totals(cleaned[spec.dimension.model.name].kept, cleaned[spec.fact.model.name].kept,
-               spec.key, spec.measure, spec.group),
+        totals(cleaned[dimension].kept, cleaned[fact].kept, spec.key, spec.measure, spec.group, read[dimension].lines),
         cleaned, corrupt, unparsable)
     for name, sink in spec.quarantine.items():
         rejected = cleaned[name].rejected

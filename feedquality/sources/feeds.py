@@ -115,21 +115,8 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return good, bad
 
 
-def declared_names(spark: SparkSession, source: SourceSpec) -> list[str] | None:
-    """The names that a declared JSON or CSV feed itself uses, which may not be those declared.
-
-    For JSON, the distinct keys of the lines that are objects: one pass, from which each
-    task passes on every key once. For CSV with a header, its names. Otherwise ``None``.
-    """
-    if source.mode != "declared" or source.format not in ("json", "csv"):
-        return None
-    if source.format == "json":
-        separator = {k: v for k, v in source.options.items() if k in ("lineSep", "encoding")}
-        if str(source.options.get("multiLine", "false")).lower() == "true":
-            return None
-        lines = spark.read.options(**separator).text(source.path)
-        keys = lines.select(F.explode(F.json_object_keys("value")).alias("key")).distinct()
-        return sorted(r["key"] for r in keys.collect())
+def header_names(spark: SparkSession, source: SourceSpec) -> list[str] | None:
+    """The names in the header of a CSV feed, which may not be those declared; ``None`` without a header."""
     if str(source.options.get("header", CSV["header"])).lower() != "true":
         return None
     return spark.read.options(**{**CSV, **source.options}).csv(source.path).columns

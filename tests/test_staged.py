@@ -1,0 +1,163 @@
+"""The one pass that parses, profiles, measures and stages a feed."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from feedquality import ConfigError, SchemaMismatchError, SourceSpec, TableModel, run_job, stage_feed
+from feedquality.plans.queries import rule, suite
+from tests.fixtures import PURCHASES, USERS, write_lines
+from tests.test_job import spec
+
+MODEL = {
+    "id": "bigint", "name": "string", "at": "timestamp", "price": "decimal(10,2)", "ratio": "double", "ok": "boolean",
+    "place": "struct<city:string,geo:struct<lat:double,lon:double>>", "tags": "array<string>",
+    "items": "array<struct<sku:string,n:int>>", "extra": "map<string,bigint>"}
+GOOD = {
+    "id": 1, "name": "x", "at": "2024-01-01T00:00:00Z", "price": 1.5, "ratio": 2, "ok": True,
+    "place": {"city": "Pune", "geo": {"lat": 1.5, "lon": 2}}, "tags": ["a", "b"],
+    "items": [{"sku": "s", "n": 1}, {"sku": "t", "n": 2}], "extra": {"k": 1, "anything": 2}}
+
+
+def model(**types):
+    return TableModel.from_json({"schema": {k: {"type": v} for k, v in (types or MODEL).items()}}, "t")
+
+
+def staged(spark, tmp_path, rows, rules=None, columns=None, source=None, **types):
+    path = tmp_path / "feed.json"
+    path.write_text("".join((r if isinstance(r, str) else json.dumps(r)) + "\n" for r in rows), encoding="utf-8")
+    m = model(**types)
+    return stage_feed(spark, SourceSpec(str(path), schema=m.schema, **(source or {})), m, rules, columns)
+
+
+def problems(feed):
+    return [(p.column, p.problem, p.actual) for p in feed.gate.problems]
+
+
+def test_a_feed_that_fits(spark, tmp_path):
+    feed = staged(spark, tmp_path, [GOOD, {**GOOD, "id": None, "place": None, "items": [], "tags": None}])
+    assert feed.gate.ok and (feed.lines, feed.bad) == (2, 0)
+    assert feed.rows.schema.simpleString() == model().schema.simpleString()
+    first = feed.rows.where("id = 1").first()
+    assert first["place"]["geo"]["lon"] == 2.0 and first["items"][1]["n"] == 2 and first["extra"] == {"k": 1, "anything": 2}
+
+
+@pytest.mark.parametrize(("change", "column", "problem"), [
+    ({"name": 7}, "name", "type mismatch"),
+    ({"name": {"first": "x"}}, "name", "type mismatch"),
+    ({"at": None, "more": 1}, "more", "unexpected column"),
+    ({"place": {"town": "Pune", "geo": {"lat": 1.5, "lon": 2}}}, "place.town", "unexpected column"),
+    ({"place": {"city": "Pune", "geo": {"lat": 1.5, "lon": 2, "alt": 3}}}, "place.geo.alt", "unexpected column"),
+    ({"place": {"city": 5, "geo": {"lat": 1.5, "lon": 2}}}, "place.city", "type mismatch"),
+    ({"tags": ["a", 5]}, "tags[]", "type mismatch"),
+    ({"items": [{"sku": "s", "n": 1, "m": 2}]}, "items[].m", "unexpected column"),
+    ({"items": [{"sku": 9, "n": 1}]}, "items[].sku", "type mismatch"),
+])
+def test_one_line_that_does_not_fit_is_seen(spark, tmp_path, change, column, problem):
+    feed = staged(spark, tmp_path, [GOOD] * 20 + [{**GOOD, **change}])
+    assert feed.bad == 0 and [p[:2] for p in problems(feed)] == [(column, problem)]
+    with pytest.raises(SchemaMismatchError, match=column.replace("[", "\\[")):
+        feed.gate.require()
+
+
+def test_names_that_no_line_has(spark, tmp_path):
+    feed = staged(spark, tmp_path, [{**GOOD, "place": {"city": "Pune", "geo": {"lat": 1.5}}, "items": [{"n": 2}]}])
+    assert problems(feed) == [("place.geo.lon", "missing column", None), ("items[].sku", "missing column", None)]
+    feed = staged(spark, tmp_path, [{k: v for k, v in GOOD.items() if k != "ok"}])
+    assert problems(feed) == [("ok", "missing column", None)]
+    # nothing below what is null or empty everywhere
+    assert staged(spark, tmp_path, [{**GOOD, "place": None, "items": [], "extra": {}}]).gate.ok
+
+
+def test_lines_that_can_not_be_parsed_are_set_aside_and_not_profiled(spark, tmp_path):
+    bad = ['{"id": 1', '{"id": 1, "id": 2}', "{'id': 1}", "5", "null", '"text"', '{"id": "x", "odd": 1}', '{"id": 1e400}']
+    feed = staged(spark, tmp_path, [{"id": 1}, "", "   ", *bad, '[{"id": 2}, {"id": 3}]', '[{"id": 4}, {"id": "y"}, 6]'], id="bigint")
+    assert feed.gate.ok and feed.lines == 1 + len(bad) + 2 + 3 and feed.bad == len(bad) + 2
+    assert sorted(r["id"] for r in feed.rows.collect()) == [1, 2, 3, 4]
+    set_aside = {r["raw_record"] for r in feed.corrupt.collect()}
+    assert set_aside == {*bad, '{"id":"y"}', "6"}
+
+
+def test_a_feed_keyed_by_ids_does_not_fill_the_driver(spark, tmp_path):
+    feed = staged(spark, tmp_path, [{"id": 1, f"user{i:05}": 1} for i in range(3000)], id="bigint")
+    assert [p[0] for p in problems(feed)] == ["user00000", "user02999"]
+
+
+def test_counts_are_those_of_the_parsed_lines(spark, tmp_path):
+    rules = suite(rule("ColumnValuesToNotBeNull", "id"), rule("ColumnValuesToBeBetween", "id", min=2, max=None),
+                  rule("ColumnValuesToBeUnique", "id"), rule("ColumnToExist", "id"))
+    feed = staged(spark, tmp_path, [{"id": i % 4} for i in range(12)] + [{"id": None}, "{bad"], rules, id="bigint")
+    assert dict(feed.counts) == {"n": 13, "bad_0": 1, "bad_1": 6, "null_1": 1, "null_2": 1}
+
+
+def test_only_wanted_columns_are_staged_but_lines_are_judged_whole(spark, tmp_path):
+    feed = staged(spark, tmp_path, [{"id": 1, "name": "a", "ratio": 1}, {"id": 2, "name": "b", "ratio": "x"}], columns=["name"],
+                  id="bigint", name="string", ratio="double")
+    assert feed.rows.columns == ["name"] and [r["name"] for r in feed.rows.collect()] == ["a"]
+    assert feed.corrupt.columns == ["name", "raw_record", "failed_rules"] and feed.bad == 1
+
+
+def test_objects_over_several_lines(spark, tmp_path):
+    path = tmp_path / "feed.json"
+    path.write_text(json.dumps([{"id": 1, "place": {"town": "x"}}, {"id": 2, "place": {"city": "y"}}], indent=2))
+    m = model(id="bigint", place="struct<city:string>")
+    feed = stage_feed(spark, SourceSpec(str(path), schema=m.schema, options={"multiLine": "true"}), m)
+    assert problems(feed) == [("place.town", "unexpected column", "in the feed")] and feed.lines == 2
+
+
+def test_line_options_reach_the_lines(spark, tmp_path):
+    path = tmp_path / "feed.json"
+    path.write_bytes('{"id": 1, "at": "01/02/2024"}|{"id": 2, "at": "03/02/2024"}'.encode("utf-16-le"))
+    m = model(id="bigint", at="date")
+    options = {"lineSep": "|", "encoding": "UTF-16LE", "dateFormat": "dd/MM/yyyy"}
+    feed = stage_feed(spark, SourceSpec(str(path), schema=m.schema, options=options), m)
+    assert feed.gate.ok and sorted((r["id"], str(r["at"])) for r in feed.rows.collect()) == [(1, "2024-02-01"), (2, "2024-02-03")]
+
+
+def test_headers_and_stored_schemas(spark, tmp_path):
+    m = model(id="bigint", name="string")
+    (tmp_path / "a.csv").write_text("id,name\n1,x\nq,y\n")
+    feed = stage_feed(spark, SourceSpec(str(tmp_path / "a.csv"), schema=m.schema), m, suite(rule("ColumnValuesToNotBeNull", "id")))
+    assert feed.gate.ok and (feed.lines, feed.bad, feed.counts["n"]) == (2, 1, 1)
+    spark.sql("select 1 as id, 'x' as name, 2 as more").write.parquet(str(tmp_path / "p.parquet"))
+    feed = stage_feed(spark, SourceSpec(str(tmp_path / "p.parquet"), schema=m.schema), m)
+    assert [p[:2] for p in problems(feed)] == [("id", "type mismatch"), ("more", "unexpected column")]
+
+
+def test_both_modes_refuse_the_same_feeds(spark, tmp_path):
+    """Another name below the address, and numbers instead of texts."""
+    purchases = write_lines(tmp_path / "purchase.json", PURCHASES)
+    town = [{**u, "user_address": {"town": "x", "state": "y"}} for u in USERS]
+    numbers = [{**u, "user_id": i, "user_phno": 5} for i, u in enumerate(USERS)]
+    for rows, column in ((town, "user_address"), (numbers, "user_id")):
+        users = write_lines(tmp_path / "users.json", rows)
+        for mode in ("declared", "infer"):
+            with pytest.raises(SchemaMismatchError, match=f"users.{column}"):
+                run_job(spark, spec((users, purchases), mode))
+
+
+def test_a_job_takes_few_passes(spark, tmp_path):
+    paths = write_lines(tmp_path / "users.json", USERS), write_lines(tmp_path / "purchase.json", PURCHASES)
+    group = "count-jobs"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        run_job(spark, spec(paths)).result.collect()
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 15
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # without a quarantine only what the rules and totals read is staged
+    assert run_job(spark, spec(paths)).cleaned["purchase"].kept.columns == ["user_id", "Quantity"]
+
+
+def test_configs_are_read_where_the_session_reads(spark, tmp_path):
+    path = str(tmp_path / "model")
+    text = json.dumps({"schema": {"a": {"type": "bigint"}}}, indent=1)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    assert TableModel.from_json(path, "t").schema.names == ["a"]
+    assert TableModel.from_json("file:" + path, "t").schema.names == ["a"]
+    (tmp_path / "bad.json").write_text("{")
+    for bad in (tmp_path / "missing.json", tmp_path / "bad.json", tmp_path / "*.nothing"):
+        with pytest.raises(ConfigError):
+            TableModel.from_json(bad)
