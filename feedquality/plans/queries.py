@@ -7,9 +7,8 @@ values into null, in the same words on both sides (``nullif``).
 from __future__ import annotations
 
 import json
-import tempfile
+import uuid
 from collections.abc import Callable, Mapping
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -26,6 +25,7 @@ from feedquality.rules import RuleSet, required_rules
 from feedquality.session import scratch_path
 from feedquality.sinks.writers import RECORD_SEPARATOR, SinkSpec, write_connector, write_table
 from feedquality.sources.feeds import SourceSpec, feed_listing, read_table, require_feed, split_corrupt
+from feedquality.sources.staged import stage_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -376,6 +376,24 @@ def rule_in_set_large(spark, sf):
     return clean(lines, suite(rule("ColumnValuesToBeInSet", "l_partkey", value_set=members))).kept
 
 
+@query("select l_orderkey, l_linenumber, l_partkey from lineitem where l_partkey in"
+       " (select p_partkey from part where p_size <= 25)")
+def rule_in_set_table(spark, sf):
+    """The members are a table's column, of which a third or so of the lines is no member."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    members = table(spark, sf, "part").where(F.col("p_size") <= 25).select("p_partkey")
+    return clean(lines, suite(rule("ColumnValuesToBeInSet", "l_partkey", value_set=members))).kept
+
+
+@query("select o_orderkey, case when o_custkey % 2 = 0 then null else o_custkey end as customer from orders"
+       " where o_custkey % 2 = 0 or o_custkey in (select s_suppkey from supplier)")
+def rule_in_set_stored(spark, sf):
+    """The members are a column of a stored table, named by its path; half of the rows have no value and stay."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 2 != 0, F.col("o_custkey")).alias("customer"))
+    members = {"path": f"{sf}/supplier.parquet", "column": "s_suppkey"}
+    return clean(orders, suite(rule("ColumnValuesToBeInSet", "customer", value_set=members))).kept
+
+
 @query("select o_orderkey, concat_ws(',', case when pri is null then 'filled' end,"
        f" case when length(pri) <> 6 then 'len' end) as failed_rules from {P} where pri is null or length(pri) <> 6")
 def quarantine_split(spark, sf):
@@ -660,6 +678,49 @@ def join_range_bands(spark, sf):
     return joined.select("p_partkey", "p_size", "r_regionkey")
 
 
+MINUTES_SQL = "(epoch_us(ts) - 1704067200000000) / 60000000.0::double"
+SHIFTS_SQL = ("(select c_custkey, c_nationkey, 0.0::double + c_custkey * 90 as start, 0.0::double + c_custkey * 90 + (c_custkey % 7) * 12"
+              " as stop from customer)")
+
+
+def _moments_and_shifts(spark: SparkSession, sf: str, how: str) -> DataFrame:
+    """Events and the shifts of customers that they fall into, if the last digits of event and nation differ."""
+    moments = table(spark, sf, "events").select("event_id", (since_new_year() / 60.0).alias("at"))
+    key = F.col("c_custkey")
+    shifts = table(spark, sf, "customer").select(
+        "c_custkey", "c_nationkey", (key * 90.0).alias("start"), (key * 90.0 + (key % 7) * 12).alias("stop"))
+    return join_range(moments, shifts, "at", "start", "stop", closed="left", how=how,
+                      where="leftView.event_id % 10 <> rightView.c_nationkey % 10")
+
+
+def _shifts_sql(columns: str, how: str) -> str:
+    return (f"select {columns} from (select event_id, {MINUTES_SQL} as minute from events) e {how} join {SHIFTS_SQL} s"
+            " on minute >= start and minute < stop and event_id % 10 <> c_nationkey % 10")
+
+
+@query(_shifts_sql("event_id, c_custkey", "left"))
+def join_range_left(spark, sf):
+    return _moments_and_shifts(spark, sf, "left").select("event_id", "c_custkey")
+
+
+@query(_shifts_sql("event_id, c_custkey", "full"))
+def join_range_full(spark, sf):
+    return _moments_and_shifts(spark, sf, "full").select("event_id", "c_custkey")
+
+
+@query("select event_id from (" + _shifts_sql("event_id, c_custkey", "left") + ") x where c_custkey is null")
+def join_range_anti(spark, sf):
+    return _moments_and_shifts(spark, sf, "left anti").select("event_id")
+
+
+@query(f"select event_id from events where {MINUTES_SQL} < (select max(0.0::double + o_custkey * 20) from orders where o_orderstatus = 'P')")
+def join_range_one_bound_semi(spark, sf):
+    """Events before the end of some window that has no beginning; no pair is formed."""
+    moments = table(spark, sf, "events").select("event_id", (since_new_year() / 60.0).alias("at"))
+    ends = table(spark, sf, "orders").where("o_orderstatus = 'P'").select((F.col("o_custkey") * 20.0).alias("stop"))
+    return join_range(moments, ends, "at", None, "stop", closed="left", how="semi").select("event_id")
+
+
 @query("with l as (select nullif(l_returnflag, 'A') as flag, sum(l_quantity) as qty from lineitem group by 1),"
        " o as (select nullif(o_orderstatus, 'F') as status, count(*) as orders from orders group by 1)"
        " select flag, status, qty, orders from l join o on"
@@ -793,6 +854,31 @@ def sink_dispositions(spark, sf):
     return stored.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("copies"))
 
 
+@query("select o_custkey, count(*) as orders from orders where o_orderstatus <> 'P' group by o_custkey union all"
+       " select o_custkey, count(*) from orders where o_orderstatus = 'P' group by o_custkey")
+def sink_runs(spark, sf):
+    """Two runs append, and the first one is done again: its rows are replaced, not doubled."""
+    orders = table(spark, sf, "orders")
+    path = scratch_path(spark, "runs")
+    for name, part in (("open", "o_orderstatus <> 'P'"), ("pending", "o_orderstatus = 'P'"), ("open", "o_orderstatus <> 'P'")):
+        rows = group_agg(orders.where(part), "o_custkey", count="o_orderkey").withColumnRenamed("o_orderkey", "orders")
+        write_table(rows, SinkSpec("parquet", path, mode="append", run_id=name))
+    return read_table(spark, SourceSpec(path, "parquet")).select("o_custkey", "orders")
+
+
+@query("select c_nationkey, n from (select c_nationkey, count(*) as n from customer group by c_nationkey) c"
+       " union all select s_nationkey, count(*) from supplier group by s_nationkey")
+def sink_catalog_table(spark, sf):
+    """A table of the session's catalog: created, added to by name, its rows replaced, and added to again."""
+    name = f"feedquality_{uuid.uuid4().hex}"
+    customers = group_agg(table(spark, sf, "customer"), "c_nationkey", count="c_custkey").withColumnRenamed("c_custkey", "n")
+    suppliers = group_agg(table(spark, sf, "supplier"), "s_nationkey", count="s_suppkey").toDF("c_nationkey", "n")
+    for rows, mode, create in ((customers, "append", "create_if_needed"), (suppliers.select("n", "c_nationkey"), "append", "create_never"),
+                               (customers, "overwrite", "create_never"), (suppliers, "append", "create_if_needed")):
+        write_table(rows, SinkSpec("table", name, mode=mode, create_disposition=create))
+    return spark.table(name)
+
+
 # --- the job -----------------------------------------------------------------------------------------
 
 
@@ -938,11 +1024,10 @@ def job_with_corrupt_lines(spark, sf):
 def job_from_command_line(spark, sf):
     """Feeds by position, the sink by its word, its disposition, all from a command line."""
     users, bought = _feeds(spark, sf)
-    folder = tempfile.mkdtemp()  # the driver reads models and suites as files
     files = {}
     for name, content in (("um", USER_MODEL), ("pm", PURCHASE_MODEL), ("us", USER_RULES), ("ps", PURCHASE_RULES)):
-        files[name] = f"{folder}/{name}.json"
-        Path(files[name]).write_text(json.dumps(content), encoding="utf-8")
+        files[name] = scratch_path(spark, name)  # where the feeds are, for whoever runs the driver
+        spark.createDataFrame([(json.dumps(content),)], "value string").coalesce(1).write.text(files[name])
     out = scratch_path(spark, "totals")
     paths = [_written(df, "json") for df in (users, bought)]
     globbed = ",".join(f"{p}/*.json" for p in paths)
@@ -953,6 +1038,37 @@ def job_from_command_line(spark, sf):
     return _totals_read(spark, out)
 
 
+@query(FLAGSHIP_SQL)
+def job_run_twice(spark, sf):
+    """The job done twice under one name, and once under another: each name has its totals once."""
+    users, bought = _feeds(spark, sf)
+    paths, out = (_written(users, "json"), _written(bought, "json")), scratch_path(spark, "totals")
+    for name in ("monday", "monday", "tuesday"):
+        run_job(spark, JobSpec(*_specs(paths, "declared"), sink=SinkSpec("json", out, mode="append", run_id=name)))
+    return _totals_read(spark, f"{out}/run_id=monday")
+
+
+@query("select * from (select 'good' as feed, count(*) as lines, cast(0 as bigint) as bad, '' as problems from customer"
+       " union all select 'another name', count(*), 0, 'user_address.city: missing column, user_address.town: unexpected column' from customer"
+       " union all select 'numbers', count(*), 0, 'user_id: type mismatch' from customer"
+       " union all select 'cut', count(*), count(*) filter (where c_custkey % 10 = 0), '' from customer) f")
+def gate_declared_types(spark, sf):
+    """Feeds of customers at the gate of a declared model, each profiled while it is staged."""
+    users, _ = _feeds(spark, sf)
+    address = F.struct(F.col("user_address.city").alias("town"), F.col("user_address.state").alias("state"))
+    lines = users.select(F.to_json(F.struct("*")).alias("value"), F.substring("user_id", -1, 1).alias("digit"))
+    cut = lines.select(F.when(F.col("digit") == "0", F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")).alias("value"))
+    feeds = {"good": _written(users, "json"),
+             "another name": _written(users.withColumn("user_address", address), "json"),
+             "numbers": _written(users.withColumn("user_id", F.length("user_id")), "json"), "cut": _written(cut, "text")}
+    model, rows = TableModel.from_json(USER_MODEL, "users"), []
+    for name, path in feeds.items():
+        feed = stage_feed(spark, SourceSpec(path, "json", model.schema), model, user_suite(18))
+        found = ", ".join(sorted(f"{p.column}: {p.problem}" for p in feed.gate.problems))
+        rows.append((name, feed.lines, feed.bad, found))
+    return spark.createDataFrame(rows, "feed string, lines bigint, bad bigint, problems string")
+
+
 @query("select 'orders' as feed, count(*) as rows_ok from orders union all select 'lineitem', count(*) from lineitem")
 def schema_gate_tables(spark, sf):
     """Both tables must fit their models before either is used."""

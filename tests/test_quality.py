@@ -341,3 +341,125 @@ def test_partition_counts_and_idempotence(spark, values, tolerance):
     assert kept == expected
     if tolerance == 1.0:
         assert ids(clean(result.kept, rules).kept) == kept
+
+
+# --- sets that are tables -------------------------------------------------------------------------
+
+
+def test_members_of_a_table(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "c"), (5, "")], "id int, v string")
+    members = spark.createDataFrame([("a",), ("a",), (None,), ("",)], "m string")
+    rules = suite(rule("ColumnValuesToBeInSet", "v", "set", value_set=members))
+    result = clean(df, rules)
+    assert ids(result.kept) == [1, 3, 5] and result.kept.columns == ["id", "v"]
+    assert ids(result.rejected) == [2, 4] and result.rejected.columns == ["id", "v", "failed_rules"]
+    report = result.report.first()
+    assert (report["element_count"], report["missing_count"], report["unexpected_count"]) == (5, 1, 2)
+    assert ids(clean(df, rules, mode="by_value").kept) == [1, 5]
+    assert sorted((r["value"], r["count"]) for r in failing_values(df, rules).collect()) == [("b", 1), ("c", 1)]
+    observed = observe_rules(df, rules)
+    observed.df.write.format("noop").mode("overwrite").save()
+    assert observed.df.columns == df.columns and observed.report().first()["unexpected_count"] == 2
+
+
+def test_members_of_another_type(spark, tmp_path):
+    spark.sql("select 1D as m union all select 2.5D union all select 1e30D union all select null").write.parquet(str(tmp_path / "m.parquet"))
+    df = spark.sql("select cast(id as int) as id, cast(id as bigint) as v from range(4)")
+    stored = {"path": str(tmp_path / "m.parquet"), "column": "m"}
+    assert ids(clean(df, suite(rule("ColumnValuesToBeInSet", "v", value_set=stored))).kept) == [1]
+    nested = df.select("id", F.struct("v").alias("s"))
+    assert ids(clean(nested, suite(rule("ColumnValuesToBeInSet", "s.v", value_set=stored))).kept) == [1]
+    assert clean(df, suite(rule("ColumnValuesToBeInSet", "v", value_set=spark.range(0).select("id")))).kept.isEmpty()
+
+
+def test_a_set_needs_a_column(spark):
+    for bad in ("path", {"path": "x"}):
+        with pytest.raises(ConfigError):
+            suite(rule("ColumnValuesToBeInSet", "v", value_set=bad))
+    with pytest.raises(ConfigError, match="2 columns"):
+        clean(spark.range(1).toDF("v"), suite(rule("ColumnValuesToBeInSet", "v", value_set=spark.sql("select 1 as a, 2 as b"))))
+
+
+def test_two_million_members_are_no_literals(spark):
+    members = spark.range(2_000_000).selectExpr("id * 3 as m")
+    df = spark.range(1000).selectExpr("cast(id as int) as id", "id * 2 as v")
+    kept = clean(df, suite(rule("ColumnValuesToBeInSet", "v", value_set=members))).kept
+    assert len(kept._jdf.queryExecution().optimizedPlan().toString()) < 10_000
+    assert kept.count() == 334
+
+
+# --- passes ----------------------------------------------------------------------------------------
+
+
+def jobs(spark, action):
+    """The number of jobs that an action starts."""
+    spark.sparkContext.setJobGroup("jobs", "jobs")
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup("jobs"))
+    try:
+        action()
+        return len(set(spark.sparkContext.statusTracker().getJobIdsForGroup("jobs")) - before)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_by_value_takes_one_count_for_all_rules(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 10 as v").write.parquet(str(tmp_path / "x"))
+    df = spark.read.parquet(str(tmp_path / "x"))
+    few = suite(rule("ColumnValuesToBeBetween", "v", min=2, max=None))
+    many = suite(*[rule("ColumnValuesToBeBetween", c, f"{c}{i}", min=i, max=None) for i in range(4) for c in ("id", "v")])
+    assert jobs(spark, lambda: clean(df, many, mode="by_value")) == jobs(spark, lambda: clean(df, few, mode="by_value"))
+    assert ids(clean(df, many, mode="by_value").kept) == [i for i in range(100) if i >= 3 and i % 10 >= 3]
+
+
+def test_short_failing_values_need_no_second_scan(spark):
+    df = spark.createDataFrame([("x",), ("x",), ("y" * 64,), (None,)], "v string")
+    short = suite(rule("ColumnValueLengthsToEqual", "v", "len", value=2), rule("ColumnValuesToNotBeNull", "v", "filled"))
+    found = failing_values(df, short, n=5)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["rule_id"], r["value"] or "", r["count"]) for r in found.collect()) == [("filled", "", 1), ("len", "x", 2), ("len", "y" * 64, 1)]
+    longer = df.union(spark.createDataFrame([("y" * 64 + "a",), ("y" * 64 + "b",), ("y" * 64 + "a",)], "v string"))
+    found = failing_values(longer, short, n=5)
+    assert "Join" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((len(r["value"]), r["value"][-1], r["count"]) for r in found.where("rule_id = 'len'").collect()) == [
+        (1, "x", 2), (64, "y", 1), (65, "a", 2), (65, "b", 1)]
+
+
+def test_only_rows_whose_bit_is_set_are_shuffled(spark, monkeypatch, tmp_path):
+    """Of many values two of a hundred repeat; the rows of the others, and their texts, stay where they are."""
+    monkeypatch.setattr(quality, "BROADCAST_KEYS", 10)
+    spark.range(20_000).selectExpr("id", "concat('text number ', if(id < 800, id div 2, id)) as text").repartition(4).write.parquet(
+        str(tmp_path / "x"))
+    df = spark.read.parquet(str(tmp_path / "x"))
+    marked = mark_repeated(df, "text", repeated_values(df, "text"), "again")
+    assert marked.where("again is null").isEmpty() and marked.where("again").count() == 800 and marked.count() == 20_000
+    conf = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        marked = mark_repeated(df, "text", repeated_values(df, "text"), "again")
+        marked.collect()
+        plan = marked._jdf.queryExecution().executedPlan()
+        moved = shuffled_rows(plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", conf)
+    # the candidates, with a few by chance, and the staged keys; not the 19,200 others
+    assert max(moved) < 3000
+
+
+def shuffled_rows(plan):
+    """Rows written by each exchange of an executed adaptive plan."""
+    found = []
+
+    def visit(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            visit(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            visit(node.plan())
+        else:
+            if name == "ShuffleExchangeExec":
+                found.append(node.metrics().apply("shuffleRecordsWritten").value())
+            children = node.children()
+            for i in range(children.size()):
+                visit(children.apply(i))
+    visit(plan)
+    return found

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -155,3 +157,37 @@ def test_a_long_set_is_looked_up_by_hash(spark):
     result = clean(df, suite(rule("ColumnValuesToBeInSet", "id", value_set=list(range(0, 40_000, 2))))).kept
     assert result.count() == 20_000
     assert "InSet" in result._jdf.queryExecution().optimizedPlan().toString() or " INSET " in result._jdf.queryExecution().optimizedPlan().toString()
+
+
+def kept_texts(spark, values, **bounds):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    good = Rule.from_dict(rule("ColumnValuesToBeBetween", "v", **bounds)).good(df.schema)
+    return [r["v"] for r in df.where(good).collect()]
+
+
+def test_numeric_text_is_compared_to_the_last_digit(spark):
+    values = ["9007199254740992", "9007199254740993", "9007199254740991.9999999999999999999999999", "9007199254740992.0000000000000000000001",
+              " 9007199254740992 ", "-9007199254740993", "123456789012345678901234567890123456789012345", "1e3", "-.5", "+7.", "", "x", "NaN"]
+    assert kept_texts(spark, values, max=9007199254740992, min=None) == [
+        values[0], values[2], values[4], values[5], "1e3", "-.5", "+7."]
+    assert kept_texts(spark, values, min=-9007199254740992, max=0) == ["-.5"]
+    big = 10**29 + 1
+    digits = [str(big), str(big - 1), str(big + 1), f"{big}.5", f"-{big}.5", f"{big - 1}.999"]
+    assert kept_texts(spark, digits, min=big, max=None) == [str(big), str(big + 1), f"{big}.5"]
+    assert kept_texts(spark, digits, min=None, max=big) == [str(big), str(big - 1), f"-{big}.5", f"{big - 1}.999"]
+
+
+def test_decimal_bounds_of_numeric_text(spark):
+    values = ["0.1", "0.10", "0.1000000000000000000000000001", "0.09999999999999999999999", "-0.1", ".1", "1e-1", "0.2"]
+    assert kept_texts(spark, values, min=None, max=Decimal("0.1")) == ["0.1", "0.10", "0.09999999999999999999999", "-0.1", ".1", "1e-1"]
+    assert kept_texts(spark, values, min=Decimal("0.1"), max=Decimal("0.15")) == ["0.1", "0.10", "0.1000000000000000000000000001", ".1", "1e-1"]
+    assert kept_texts(spark, ["120", "119", "121"], min=Decimal("1.2E2"), max=120.5) == ["120"]
+
+
+def test_random_numeric_text(spark):
+    draw = random.Random(4)
+    texts = [f"{draw.choice(['', '-', '+'])}{draw.randrange(10**draw.randrange(1, 20))}{draw.choice(['', '.', '.' + str(draw.randrange(10**6)), '.000'])}"
+             for _ in range(300)]
+    for _ in range(6):
+        low, high = sorted((Decimal(draw.randrange(-10**6, 10**6)).scaleb(-draw.randrange(4)), Decimal(draw.randrange(-10**9, 10**18))))
+        assert kept_texts(spark, texts, min=low, max=high) == [t for t in texts if low <= Decimal(t) <= high]

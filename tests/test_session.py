@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from feedquality import ConfigError, size_shuffles
+from feedquality import size_shuffles
 from feedquality.session import SHUFFLE_BYTES, scratch_path, shared_dir, stage, staging
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -19,20 +19,39 @@ def test_shuffles_start_with_partitions_for_the_input(spark):
 
 
 class FakeSession:
-    def __init__(self, master, configured=None):
-        self.sparkContext = type("Context", (), {"master": master})()
-        self.conf = type("Conf", (), {"get": lambda self, key, default: configured or default})()
+    def __init__(self, **configured):
+        known = {k.replace("_", "."): v for k, v in configured.items()}
+        self.conf = type("Conf", (), {"get": lambda self, key, *default: known.get(key, *default)})()
 
 
 def test_the_shared_folder_is_the_clusters(spark):
-    assert shared_dir(FakeSession("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-    assert shared_dir(FakeSession("local[4]")).split("/")[-1].startswith("feedquality-")
-    with pytest.raises(ConfigError):
-        shared_dir(FakeSession("yarn"))
+    assert shared_dir(FakeSession(spark_checkpoint_dir="hdfs:///shared/")) == "hdfs:///shared"
+    # never a folder of one machine: without a setting, where Spark keeps its tables
+    assert shared_dir(FakeSession(spark_sql_warehouse_dir="hdfs:///warehouse")) == "hdfs:///warehouse"
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_threads_keep_their_staged_copies_apart(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+    both = Barrier(2)
+
+    def work(last):
+        with staging(spark):
+            staged = stage(spark.range(7), "t")
+            both.wait(60)
+            if last:
+                both.wait(60)
+            rows = staged.count()
+        if not last:
+            both.wait(60)
+        return rows
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(work, [False, True])) == [7, 7]
+
+
 def test_staging_cuts_the_lineage(spark):
     staged = stage(spark.range(10).selectExpr("id", "named_struct('a', id) as s"), "t")
     assert staged.count() == 10 and staged.schema.simpleString() == "struct<id:bigint,s:struct<a:bigint>>"
