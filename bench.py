@@ -50,6 +50,11 @@ HEADLINE = [
     "rule_in_set_large",
     "job_from_inferred_feeds",
     "job_with_corrupt_lines",
+    "gate_declared_types",
+    "rule_in_set_table",
+    "join_range_left",
+    "join_range_anti",
+    "sink_runs",
 ]
 
 

@@ -505,9 +505,10 @@ def failing_values(df: DataFrame, ruleset: RuleSet, n: int | None = None) -> Dat
     found = _failing(df, ruleset)
     if found is None:
         return df.sparkSession.createDataFrame([], "rule_id string, value string, count bigint")
-    ranked = stage(_ranked(found, n), "failing")
+    lengths = Observation()
+    ranked = stage(_ranked(found, n).observe(lengths, F.count_if(F.col("long")).alias("long")), "failing")
     short = ranked.where(~F.col("long")).select("rule_id", F.col("head").alias("value"), "count")
-    if ranked.where("long").isEmpty():
+    if not lengths.get["long"]:
         return short
     shown = ranked.where("long").alias("s")
     same = (F.col("f.rule_id") == F.col("s.rule_id")) & (F.col("f.key") == F.col("s.key"))

@@ -41,65 +41,67 @@ ENCODINGS = ("US-ASCII", "ISO-8859-1", "UTF-16BE", "UTF-16LE", "UTF-16", "UTF-32
 
 @dataclass(frozen=True)
 class Node:
-    """A declared name, or the values of an array or a map, and what to look for in a line:
+    """A declared name, or the values of an array or a map, and what to look for in a line, as SQL:
     ``kinds`` has a bit for each type met, ``others`` the names of objects that the model lacks."""
 
     path: str
     type: T.DataType
-    kinds: Column
-    others: Column | None
+    kinds: str
+    others: str | None
     required: bool
     parent: int | None
 
 
-def _kind(value: Column) -> Column:
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _kind(value: str) -> str:
     """The bit of a value's type; null where there is no value."""
-    name = F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
-    place = F.array_position(F.array(*map(F.lit, KINDS)), name)
-    return F.call_function("shiftleft", F.lit(1).cast("long"), place.cast("int"))
+    names = ", ".join(map(_text, KINDS))
+    name = f"substring_index(substring_index(schema_of_variant({value}), '<', 1), '(', 1)"
+    return f"shiftleft(1L, cast(array_position(array({names}), {name}) as int))"
+
 
+def _objects(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'map<string,variant>')"
 
-def _elements(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "array<variant>")
+
+def _elements(value: str) -> str:
+    return f"try_variant_get({value}, '$', 'array<variant>')"
 
 
 def bit(kind: str) -> int:
     return 1 << (KINDS.index(kind) + 1)
 
 
-def profile_nodes(schema: T.StructType, record: Column) -> list[Node]:
-    """What to look for in a line whose JSON is the variant ``record``."""
+def profile_nodes(schema: T.StructType, record: str) -> list[Node]:
+    """What to look for in a line whose JSON is the variant column ``record``."""
     nodes: list[Node] = []
 
-    def objects(v: Column) -> Column:
-        return F.try_variant_get(v, "$", "map<string,variant>")
-
-    def entry(name: str) -> Callable[[Column], Column]:
-        return lambda m: F.try_element_at(m, F.lit(name))
-
-    def visit(path: str, data_type: T.DataType, value: Column, many: bool, required: bool, parent: int | None) -> None:
+    def visit(path: str, data_type: T.DataType, value: str, many: bool, required: bool, parent: int | None) -> None:
         """``value`` is a variant, or with ``many`` an array of them."""
-        def each(f: Callable[[Column], Column], v: Column = value) -> Column:
-            return F.filter(F.transform(v, f), lambda x: x.isNotNull()) if many else f(v)
+        def each(f: Callable[[str], str], v: str = value) -> str:
+            return f"filter(transform({v}, x -> {f('x')}), x -> x is not null)" if many else f(v)
 
-        def flat(v: Column) -> Column:
-            return F.flatten(v) if many else v
+        def flat(v: str) -> str:
+            return f"flatten({v})" if many else v
 
-        kinds = F.aggregate(each(_kind), F.lit(0).cast("long"), lambda a, k: a.bitwiseOR(k)) if many else _kind(value)
-        others, at = None, len(nodes)
+        # a parsed record is an object, so there is nothing to find out
+        kinds = "0L" if parent is None else f"aggregate({each(_kind)}, 0L, (a, k) -> a | k)" if many else _kind(value)
+        others, at, maps = None, len(nodes), each(_objects)
         if isinstance(data_type, T.StructType):
-            maps, names = each(objects), F.array(*[F.lit(n) for n in data_type.names]).cast("array<string>")
-            others = flat(F.transform(maps, lambda m: F.array_except(F.map_keys(m), names)) if many
-                          else F.array_except(F.map_keys(maps), names))
+            names = f"cast(array({', '.join(map(_text, data_type.names))}) as array<string>)"
+            others = flat(each(lambda m: f"array_except(map_keys({m}), {names})", maps))
         nodes.append(Node(path, data_type, kinds, others, required, parent))
         if isinstance(data_type, T.StructType):
             for f in data_type.fields:
-                visit(f"{path}.{f.name}" if path else f.name, f.dataType, each(entry(f.name), maps), many, True, at)
+                child = each(lambda m, name=f.name: f"try_element_at({m}, {_text(name)})", maps)
+                visit(f"{path}.{f.name}" if path else f.name, f.dataType, child, many, True, at)
         elif isinstance(data_type, T.ArrayType):
             visit(f"{path}[]", data_type.elementType, flat(each(_elements)), True, False, at)
         elif isinstance(data_type, T.MapType):
-            values = F.transform(each(objects), F.map_values) if many else F.map_values(objects(value))
-            visit(f"{path}{{}}", data_type.valueType, flat(values), True, False, at)
+            visit(f"{path}{{}}", data_type.valueType, flat(each(lambda m: f"map_values({m})", maps)), True, False, at)
 
     visit("", schema, record, False, True, None)
     return nodes
@@ -136,8 +138,9 @@ def profile_metrics(nodes: Sequence[Node], among: Column) -> list[Column]:
 
 
 def profile_columns(nodes: Sequence[Node]) -> list[Column]:
-    return [c for i, node in enumerate(nodes) for c in (
-        node.kinds.alias(f"__kinds{i}"), *([node.others.alias(f"__others{i}")] if node.others is not None else []))]
+    """The nodes' expressions, as columns of the line; names that the model lacks only where there are any."""
+    return [F.expr(text) for i, node in enumerate(nodes) for text in (
+        f"{node.kinds} as __kinds{i}", *([f"nullif({node.others}, array()) as __others{i}"] if node.others is not None else []))]
 
 
 def profile_problems(nodes: Sequence[Node], model: TableModel, found: Mapping[str, object]) -> Iterator[SchemaProblem]:
@@ -179,9 +182,11 @@ def json_records(spark: SparkSession, source: SourceSpec) -> DataFrame:
         # lines are cut by the encoding, but come as they are
         lines = lines.select(F.decode(F.col("value").cast("binary"), encoding_of(source)).alias("value"))
     lines = lines.where(F.col("value").rlike("\\S")).select("value", F.try_parse_json("value").alias("record"))
-    several = F.transform(_elements(F.col("record")), lambda e: F.struct(F.to_json(e).alias("text"), e.alias("record")))
-    one = F.array(F.struct(F.col("value").alias("text"), "record"))
-    return lines.select(F.explode(F.coalesce(several, one)).alias("line")).select("line.text", "line.record")
+    # an ordinary line passes as it is, with no element
+    lines = lines.select("value", "record", F.explode_outer(F.expr(_elements("record"))).alias("element"))
+    empty = F.col("element").isNull() & F.expr(_elements("record")).isNotNull()
+    return lines.where(~empty).select(F.coalesce(F.to_json("element"), "value").alias("text"),
+                                      F.coalesce("element", "record").alias("record"))
 
 
 def encoding_of(source: SourceSpec) -> str | None:
@@ -198,12 +203,11 @@ def by_lines(source: SourceSpec) -> bool:
 
 def parsed_json(spark: SparkSession, source: SourceSpec, model: TableModel) -> tuple[DataFrame, list[Node]]:
     """The records of a JSON feed with the model's columns, ``_corrupt_record``, and what the profile is made of."""
-    nodes = profile_nodes(model.schema, F.col("record"))
+    nodes = profile_nodes(model.schema, "record")
     options = {k: v for k, v in source.options.items() if k.lower() not in LINE_OPTIONS}
     schema = T.StructType([*model.schema.fields, T.StructField(CORRUPT, T.StringType())])
     row = F.from_json("text", schema, {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    is_object = F.coalesce(F.schema_of_variant("record").startswith("OBJECT"), F.lit(False))
-    unfit = F.when(~is_object, F.col("text"))
+    unfit = F.when(F.expr(f"{_objects('record')} is null"), F.col("text"))
     records = json_records(spark, source).select(row.alias("__row"), unfit.alias("__unfit"), *profile_columns(nodes))
     kept = [F.col("__row").getField(n).alias(n) for n in model.schema.names]
     corrupt = F.coalesce("__unfit", F.col("__row").getField(CORRUPT)).alias(CORRUPT)
@@ -253,9 +257,8 @@ def stage_feed(spark: SparkSession, source: SourceSpec, model: TableModel, rules
 def _profile_of_objects(spark: SparkSession, source: SourceSpec, model: TableModel) -> SchemaReport:
     """The gate of a JSON feed that can't be read line by line, from a pass of its own."""
     objects = spark.read.options(**source.options).option("singleVariantColumn", "record").json(source.path)
-    objects = objects.select(F.explode(F.coalesce(_elements(F.col("record")), F.array("record"))).alias("record"))
-    is_object = F.coalesce(F.schema_of_variant("record").startswith("OBJECT"), F.lit(False))
-    nodes = profile_nodes(model.schema, F.col("record"))
-    profile = objects.select(is_object.alias("__object"), *profile_columns(nodes))
+    objects = objects.select(F.explode(F.coalesce(F.expr(_elements("record")), F.array("record"))).alias("record"))
+    nodes = profile_nodes(model.schema, "record")
+    profile = objects.select(F.expr(f"{_objects('record')} is not null as __object"), *profile_columns(nodes))
     found = profile.agg(*profile_metrics(nodes, F.col("__object"))).first().asDict()
     return SchemaReport(tuple(profile_problems(nodes, model, found)))
