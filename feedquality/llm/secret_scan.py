@@ -3,12 +3,18 @@
 Three patterns give the base spans. Beyond them, each value that follows a credential word
 is judged by what it would cost to guess it: the cheapest way to put it together from
 common words, dates, repeats, keyboard walks and brute force, found by dynamic programming
-over its characters. A value of ``MIN_COST`` or more (the decimal logarithm of the number
-of guesses) is a secret; ``password=changeme`` or ``token=qwerty2020`` is not.
+over its characters, in which spans of every kind end at every place. A value of ``MIN_COST``
+or more (the decimal logarithm of the number of guesses) is a secret; ``password=changeme`` or
+``token=qwerty2020`` is not. A value in the form of an address (URL, e-mail, path) or of words
+joined by dashes is worth as much as the dearest of its parts.
+
+Common words are a short fixed list and then those of the corpus, by their counts outside
+of such values: one aggregation, of which the ``CORPUS_WORDS`` most frequent travel as a broadcast.
 
 Positions are code points, ends exclusive. Texts are scanned whole, one at a time; null
-counts as empty and has no spans. Rows are independent, so repeated rows, clashing extra
-columns and empty tables need no care. The time is linear in the text, and in each value.
+counts as empty and has no spans. Apart from the words' counts rows are independent, so repeated
+rows, clashing extra columns and empty tables need no care. The time is linear in the text,
+and in each value.
 """
 
 from __future__ import annotations
@@ -16,8 +22,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import lru_cache
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedquality.llm.text import per_text, read
@@ -47,109 +55,118 @@ WORDS = (
     "june", "july", "august", "october", "december", "love", "god", "money", "angel", "flower", "hunter", "ranger",
     "soccer", "hockey", "ginger", "pepper", "cookie", "banana", "orange", "apple", "purple", "silver", "golden",
     "michael", "jordan", "charlie", "thomas", "robert", "daniel", "jessica", "ashley", "george", "andrew", "computer",
-    "internet", "google", "mobile", "phone", "office", "company", "database", "temp", "pass", "word", "pwd")
+    "internet", "google", "mobile", "phone", "office", "company", "database", "temp", "pass", "word", "pwd",
+    "and", "you", "that", "was", "for", "are", "with", "his", "they", "one", "have", "from", "had", "not", "but", "what",
+    "all", "were", "when", "can", "said", "there", "use", "each", "which", "she", "how", "their", "will", "other",
+    "about", "out", "many", "then", "them", "these", "some", "would", "make", "like", "into", "time", "more", "number",
+    "people", "first", "now", "find", "long", "get", "made", "part", "should", "never", "share", "something")
+#: Words of the corpus that are taken, of so many letters, and how often one has to occur.
+CORPUS_WORDS, WORD_LETTERS, WORD_COUNT = 20_000, (3, 20), 10
 KEYBOARD = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 
 #: Cost of choosing what kind of part comes next.
 PART = math.log10(5)
 SEPARATORS = "-_. "
-#: Longest unit of a repeat.
-UNIT = 12
-DATE = re.compile(r"(?:19|20)\d\d([-/_.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"
-                  r"|(?:0[1-9]|[12]\d|3[01])([-/_.]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d"
-                  r"|(?:0[1-9]|1[0-2])([-/_.]?)(?:0[1-9]|[12]\d|3[01])\3(?:19|20)\d\d|(?:19|20)\d\d")
+#: Longest unit of a repeat, and the cost of the number of its copies, or of keys in a walk, whatever it is.
+UNIT, COUNT = 12, 1.0
+#: A year, and the orders of year, month and day, each with its cost.
+YEAR, MONTH, DAY = r"(?:19|20)\d\d", r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])"
+DATES = [(re.compile(YEAR), 2.1)] + [
+    (re.compile(f"{a}([-/_.]?){b}\\1{c}"), 4.9) for a, b, c in ((YEAR, MONTH, DAY), (DAY, MONTH, YEAR), (MONTH, DAY, YEAR))]
+
+#: Forms of values that are put together from parts: an address, a path, words with dashes. And what parts them.
+ADDRESS = re.compile(r"[A-Za-z][A-Za-z0-9+.-]*://\S+|[^\s@/]+@[^\s@/]+\.[A-Za-z]{2,}|[.~]{0,2}(?:/[^\s/]+){2,}/?"
+                     r"|[A-Za-z]:\\\S+|[A-Za-z]+(?:[-_][A-Za-z]+){2,}")
+PARTED = re.compile(r"[^A-Za-z0-9$!*%^+~]+")
+
+
+def key_steps() -> dict[tuple[str, str], int]:
+    """The direction from each key to each key beside it; a row stands half a key right of the row above it."""
+    ways = ((0, -1), (0, 1), (-1, 0), (-1, 1), (1, -1), (1, 0))
+    at = {(r, k): key for r, row in enumerate(KEYBOARD) for k, key in enumerate(row)}
+    return {(key, at[r + i, k + j]): way for (r, k), key in at.items() for way, (i, j) in enumerate(ways) if (r + i, k + j) in at}
 
 
-def neighbours() -> dict[str, str]:
-    """The keys around each key; a row stands half a key right of the row above it."""
-    near: dict[str, str] = {}
-    for r, row in enumerate(KEYBOARD):
-        for k, key in enumerate(row):
-            places = ((r, k - 1), (r, k + 1), (r - 1, k), (r - 1, k + 1), (r + 1, k - 1), (r + 1, k))
-            near[key] = "".join(KEYBOARD[i][j] for i, j in places if 0 <= i < len(KEYBOARD) and 0 <= j < len(KEYBOARD[i]))
-    return near
+def brute_cost(c: str) -> float:
+    return 1.0 if c.isdigit() else math.log10(26 if c.isascii() and c.isalpha() else 33 if c.isascii() else 100)
 
 
-def guess_cost(words: tuple[str, ...] = WORDS) -> Callable[[str], float]:
-    """A function that gives the decimal logarithm of the guesses that a value takes."""
-    ranks = {w: math.log10(i + 1) for i, w in enumerate(words)}
-    longest = max(map(len, ranks))
-    near = neighbours()
-    walk_start, walk_turn = math.log10(len(near)), math.log10(6)
+def word_cost(word: str, rank: float) -> float:
+    """Of a word as it is written, with its capitals; ``rank`` is the logarithm of its rank."""
+    capitals = sum(c.isupper() for c in word)
+    return rank if not capitals else rank + math.log10(2 if capitals in (1, len(word)) else 2 ** min(len(word), 20))
 
-    def brute(c: str) -> float:
-        return 1.0 if c.isdigit() else math.log10(26 if c.isascii() and c.isalpha() else 33 if c.isascii() else 100)
+
+def guess_cost(words: Sequence[str] = WORDS) -> Callable[[str], float]:
+    """A function that gives the decimal logarithm of the guesses that a value takes.
+
+    ``words`` are common ones, the commonest first. For each place the cheapest way to get there is
+    kept, and the cheapest one whose last span may go on: a run of brute force by a character, a
+    repeat by a copy of its unit, a walk by a key. So spans of all lengths are compared.
+    """
+    ranks: dict[str, float] = {}
+    for i, w in enumerate(words):
+        ranks.setdefault(w, math.log10(i + 1))
+    longest = max(map(len, ranks), default=0)
+    steps = key_steps()
+    walk_start, walk_turn = math.log10(sum(map(len, KEYBOARD))), math.log10(6)
 
     def cost(value: str) -> float:
         n = len(value)
         low = value.lower()
         if len(low) != n:  # a letter whose small form is longer
             low = value
-        best = [0.0] + [math.inf] * n  # by how many characters are covered
-        run = [math.inf] * (n + 1)  # the same, where the last part is brute force and may go on
+        dates: dict[int, list[tuple[int, float]]] = {}
         for i in range(n):
-            step = brute(value[i])
-            # a separator between parts is no part of its own
-            go_on = min(run[i] + step, best[i] + (0.5 if value[i] in SEPARATORS else PART + step))
-            run[i + 1] = go_on
-            best[i + 1] = min(best[i + 1], go_on)
-            here = best[i] + PART
-            for j in range(i + 1, min(n, i + longest) + 1):
-                rank = ranks.get(low[i:j])
+            if low[i].isdigit():
+                for pattern, price in DATES:
+                    if m := pattern.match(low, i):
+                        dates.setdefault(m.end(), []).append((i, price))
+        best, run, walk = [0.0] + [math.inf] * n, [math.inf] * (n + 1), [math.inf] * (n + 1)
+        copies = [[math.inf] * (n + 1) for _ in range(min(UNIT, n // 2) + 1)]
+        way = -1
+        for j in range(1, n + 1):
+            i = j - 1
+            price = brute_cost(value[i])
+            # a separator between spans is no span of its own
+            run[j] = min(run[i] + price, best[i] + (0.5 if value[i] in SEPARATORS else PART + price))
+            least = run[j]
+            for k in range(max(0, j - longest), j):
+                rank = ranks.get(low[k:j])
                 if rank is not None:
-                    capitals = sum(c.isupper() for c in value[i:j])
-                    case = 0.0 if not capitals else math.log10(2 if capitals in (1, j - i) else 2 ** min(j - i, 20))
-                    best[j] = min(best[j], here + rank + case)
-            dated = DATE.match(low, i) if low[i].isdigit() else None
-            if dated:
-                best[dated.end()] = min(best[dated.end()], here + (2.1 if dated.end() - i == 4 else 4.9))
-            if i == 0 or low[i - 1] not in near.get(low[i], ""):
-                _walk(low, i, near, best, here + walk_start, walk_turn)
+                    least = min(least, best[k] + PART + word_cost(value[k:j], rank))
+            for k, price in dates.get(j, ()):
+                least = min(least, best[k] + PART + price)
+            for unit in range(1, min(UNIT, j // 2) + 1):
+                piece = value[j - unit:j]
+                if piece == value[j - 2 * unit:j - unit]:
+                    more = copies[unit][j - unit]
+                    copies[unit][j] = min(more, best[j - 2 * unit] + PART + COUNT + known(piece))
+                    least = min(least, more if unit == 1 else copies[unit][j])  # two equal characters are no repeat
+            before, way = way, steps.get((low[i - 1], low[i]), -1) if i else -1
+            if way >= 0:
+                more = walk[i] + (0.0 if way == before else walk_turn)  # from three keys on
+                walk[j] = min(more, best[j - 2] + PART + COUNT + walk_start + walk_turn)
+                least = min(least, more)
+            best[j] = least
         return best[n]
 
-    def _walk(low: str, i: int, near: dict[str, str], best: list[float], start: float, turn: float) -> None:
-        spent, before = start, None
-        for j in range(i + 1, len(low)):
-            around = near.get(low[j - 1], "")
-            if low[j] not in around:
-                return
-            way = around.index(low[j])
-            if way != before:
-                spent += turn
-            before = way
-            if j - i >= 2:
-                best[j + 1] = min(best[j + 1], spent + math.log10(j - i + 1))
-
-    def whole(value: str) -> float:
-        # a repeat is its unit and a number; units are tried from the shortest, and where
-        # one covers a stretch, the stretch stands for it once
-        total, i, n = 0.0, 0, len(value)
-        plain: list[str] = []
-        while i < n:
-            for unit in range(1, min(UNIT, (n - i) // 2) + 1):
-                piece = value[i:i + unit]
-                times = 1
-                while value.startswith(piece, i + times * unit):
-                    times += 1
-                if times > 1 and times * unit >= 3:
-                    total += PART + math.log10(times)
-                    plain.append(piece)
-                    i += times * unit
-                    break
-            else:
-                plain.append(value[i])
-                i += 1
-        return min(cost(value), total + cost("".join(plain))) if total else cost(value)
-
-    return whole
-
-
-def scanner(min_cost: float = MIN_COST) -> Callable[[str], list[tuple[int, int, int]]]:
+    known = lru_cache(maxsize=10_000)(cost)
+    return cost
+
+
+def value_cost(words: Sequence[str] = WORDS) -> Callable[[str], float]:
+    """The same for a whole value: an address, a path or words with dashes cost what their dearest part does."""
+    cost = guess_cost(words)
+    return lambda value: (max(map(cost, PARTED.split(value))) if ADDRESS.fullmatch(value) else cost(value))
+
+
+def scanner(min_cost: float = MIN_COST, words: Sequence[str] = WORDS) -> Callable[[str], list[tuple[int, int, int]]]:
     """A function that gives a text's spans as (start, kind's number, end), sorted."""
     flags = re.ASCII | re.IGNORECASE  # ASCII: only A-Z and a-z are alike
     assign, context = re.compile(ASSIGN, flags), re.compile(CONTEXT, flags)
     access, hexes = re.compile(ACCESS), re.compile(HEX)
-    cost = guess_cost()
+    cost = value_cost(words)
 
     def marked(text: str) -> Iterator[tuple[int, int, int]]:
         for m in assign.finditer(text):
@@ -180,44 +197,62 @@ DIGEST = T.StructType([
 ])
 
 
-def secrets(docs: DataFrame, text: Column | None = None) -> Column:
-    """The spans of each text, as an array of (kind, start, end)."""
+def common_words(docs: DataFrame, text: Column | None = None, limit: int = CORPUS_WORDS) -> Broadcast:
+    """The fixed words and then the most frequent ones of the corpus, from all texts without the values that follow
+    credential words. Counted in each task before the shuffle; ``limit`` words come to the driver."""
+    least, most = WORD_LETTERS
+    plain = F.regexp_replace(F.lower(F.col("text") if text is None else text), CONTEXT, " ")
+    words = docs.select(F.explode(F.regexp_extract_all(plain, F.lit(f"(?<![a-z])[a-z]{{{least},{most}}}(?![a-z])"), 0)).alias("word"))
+    top = (words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= WORD_COUNT)
+           .orderBy(F.desc("n"), "word").limit(limit).collect())
+    return docs.sparkSession.sparkContext.broadcast({"words": (*WORDS, *(row["word"] for row in top))})
+
+
+def _per_text(docs: DataFrame, words: Broadcast | None, row: Callable[[Callable, str], tuple], schema: T.StructType,
+              text: Column | None = None) -> Column:
     def make() -> Callable[[str], tuple]:
-        scan = scanner()
-        return lambda value: ([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in scan(value)],)
-    return per_text(docs, F.col("text") if text is None else text, make, FOUND)["spans"]
+        if words is None:
+            scan = scanner()
+        else:
+            held = words.value  # stays with the worker
+            scan = held["scan"] = held.get("scan") or scanner(words=held["words"])
+        return lambda value: row(scan, value)
+    return per_text(docs, F.col("text") if text is None else text, make, schema)
 
 
-def redacted(docs: DataFrame, mark: str = "[secret]") -> Column:
+def secrets(docs: DataFrame, text: Column | None = None, words: Broadcast | None = None) -> Column:
+    """The spans of each text, as an array of (kind, start, end); ``words`` are those of :func:`common_words`."""
+    def row(scan: Callable, value: str) -> tuple:
+        return ([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in scan(value)],)
+    return _per_text(docs, words, row, FOUND, text)["spans"]
+
+
+def redacted(docs: DataFrame, mark: str = "[secret]", words: Broadcast | None = None) -> Column:
     """The text with each span, or run of overlapping spans, put out by ``mark``; null stays null."""
-    def make() -> Callable[[str], tuple]:
-        scan = scanner()
-
-        def clean(text: str) -> tuple:
-            parts, at = [], 0
-            for start, _, end in scan(text):
-                if start >= at:
-                    parts += [text[at:start], mark]
-                at = max(at, end)
-            return ("".join([*parts, text[at:]]),)
-        return clean
-    cleaned = per_text(docs, F.col("text"), make, T.StructType([T.StructField("text", T.StringType())]))["text"]
+    def row(scan: Callable, text: str) -> tuple:
+        parts, at = [], 0
+        for start, _, end in scan(text):
+            if start >= at:
+                parts += [text[at:start], mark]
+            at = max(at, end)
+        return ("".join([*parts, text[at:]]),)
+    cleaned = _per_text(docs, words, row, T.StructType([T.StructField("text", T.StringType())]))["text"]
     return F.when(F.col("text").isNotNull(), cleaned)
 
 
-def _digests() -> Callable[[str], tuple]:
-    scan = scanner()
+def _digests(scan: Callable, text: str) -> tuple:
+    spans = scan(text)
+    shown = [f"{KINDS[k]}:{s}:{e}" for s, k, e in spans]
+    base = ",".join(x for x, (_, k, _) in zip(shown, spans, strict=True) if k < 3)
+    kinds = [k for _, k, _ in spans]
+    return kinds.count(0), kinds.count(1), kinds.count(2), hashlib.sha256(base.encode()).hexdigest(), ",".join(shown)
+
 
-    def row(text: str) -> tuple:
-        spans = scan(text)
-        shown = [f"{KINDS[k]}:{s}:{e}" for s, k, e in spans]
-        base = ",".join(x for x, (_, k, _) in zip(shown, spans, strict=True) if k < 3)
-        kinds = [k for _, k, _ in spans]
-        return (kinds.count(0), kinds.count(1), kinds.count(2), hashlib.sha256(base.encode()).hexdigest(),
-                ",".join(shown))
-    return row
+def digests(docs: DataFrame, words: Broadcast | None = None) -> Column:
+    """Counts and digest of the base spans, and all spans, as one struct."""
+    return _per_text(docs, words, _digests, DIGEST)
 
 
 def op1_secret_scan(spark, sf):
     docs = read(spark, sf, "documents")
-    return docs.select("doc_id", per_text(docs, F.col("text"), _digests, DIGEST).alias("__s")).select("doc_id", "__s.*")
+    return docs.select("doc_id", digests(docs, common_words(docs)).alias("__s")).select("doc_id", "__s.*")
