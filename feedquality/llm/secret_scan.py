@@ -29,6 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedquality.llm.text import per_text, read
+from feedquality.session import stage
 
 # The base patterns.
 KINDS = ("assign", "access", "hex", "guess")
@@ -62,6 +63,8 @@ WORDS = (
     "people", "first", "now", "find", "long", "get", "made", "part", "should", "never", "share", "something")
 #: Words of the corpus that are taken, of so many letters, and how often one has to occur.
 CORPUS_WORDS, WORD_LETTERS, WORD_COUNT = 20_000, (3, 20), 10
+#: Steps of counts to each doubling: words of a step are taken together or not at all.
+LEVELS = 8
 KEYBOARD = ("1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 
 #: Cost of choosing what kind of part comes next.
@@ -199,12 +202,21 @@ DIGEST = T.StructType([
 
 def common_words(docs: DataFrame, text: Column | None = None, limit: int = CORPUS_WORDS) -> Broadcast:
     """The fixed words and then the most frequent ones of the corpus, from all texts without the values that follow
-    credential words. Counted in each task before the shuffle; ``limit`` words come to the driver."""
+    credential words. Counted in each task before the shuffle; ``limit`` words at most come to the driver."""
     least, most = WORD_LETTERS
     plain = F.regexp_replace(F.lower(F.col("text") if text is None else text), CONTEXT, " ")
     words = docs.select(F.explode(F.regexp_extract_all(plain, F.lit(f"(?<![a-z])[a-z]{{{least},{most}}}(?![a-z])"), 0)).alias("word"))
-    top = (words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= WORD_COUNT)
-           .orderBy(F.desc("n"), "word").limit(limit).collect())
+    counts = stage(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= WORD_COUNT)
+                   .withColumn("level", F.floor(F.log2("n") * LEVELS)), "word-counts")
+    # a few hundred levels, whatever the input; those from the top that come to no more than the limit
+    taken, least = 0, None
+    for row in sorted(counts.groupBy("level").count().collect(), reverse=True):
+        taken += row["count"]
+        if taken > limit:
+            break
+        least = row["level"]
+    top = [] if least is None else counts.filter(F.col("level") >= least).select("word", "n").collect()
+    top.sort(key=lambda row: (-row["n"], row["word"]))
     return docs.sparkSession.sparkContext.broadcast({"words": (*WORDS, *(row["word"] for row in top))})
 
 

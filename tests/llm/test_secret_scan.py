@@ -116,6 +116,9 @@ def test_words_of_the_corpus_are_cheap(spark):
     spans = {r[0]: [s["kind"] for s in r[1]] for r in frame.select("doc_id", secret_scan.secrets(frame, words=words)).collect()}
     assert spans[12] == ["assign"] and spans[13] == [] and "guess" in spans[15]
     assert secret_scan.common_words(empty(spark)).value["words"] == secret_scan.WORDS
+    assert secret_scan.common_words(frame, limit=1).value["words"] == secret_scan.WORDS
+    often = frame.union(texts(spark, *["wibblefax"] * 40))
+    assert secret_scan.common_words(often, limit=1).value["words"] == (*secret_scan.WORDS, "wibblefax")
 
 
 def test_rows(spark):
