@@ -8,8 +8,7 @@ logistic unit, which gives the probability that the text is of good quality.
 
 The network learns, by gradient descent with momentum (Adam), from labelled documents that
 are not held out. The sample is bounded: ``SAMPLE`` documents of each label, those whose
-ids hash lowest, and of each at most ``SAMPLE_CHUNKS`` chunks spread evenly over it.
-Scoring reads every text whole. Neither labels nor any other column is an input of a score.
+ids hash lowest. Learning and scoring read texts whole. Neither labels nor any other column is an input of a score.
 
 Held out are documents for which crc32 of the id, as text, leaves no remainder by 5. Null
 and empty texts are one chunk of padding and are scored like any other. Rows with a null
@@ -28,12 +27,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from feedquality.llm.text import map_batches, bound_batches, read
+from feedquality.llm.text import bound_batches, read
 
 CHUNK, STRIDE = 512, 384
 WIDTH, FILTERS = 5, 16
-#: Documents of each label, and chunks of each document, that are learned from at most.
-SAMPLE, SAMPLE_CHUNKS = 1500, 16
+#: Documents of each label that are learned from at most.
+SAMPLE = 1500
 EPOCHS, GROUP, RATE, DECAY = 14, 32, 0.01, 1e-5
 THRESHOLD = 0.3
 #: Chunks whose responses are computed together; they take 4 MB.
@@ -128,20 +127,6 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-SAMPLED = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("chunks", T.BinaryType())])
-
-
-def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, texts = (c.to_pylist() for c in batch.columns)
-        taken = []
-        for text in texts:
-            chunks = chunks_of((text or "").encode())
-            at = np.unique(np.linspace(0, len(chunks) - 1, min(len(chunks), SAMPLE_CHUNKS)).astype(int))
-            taken.append(chunks[at].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(taken, pa.binary())], ["doc_id", "chunks"])
-
-
 def fit(docs: DataFrame, labels: DataFrame) -> Network | float:
     """Learn from the sample, or give the share of good labels if there is nothing to tell apart."""
     usable = labels.filter("doc_id is not null and quality in (0, 1)").filter(~held_out(F.col("doc_id")))
@@ -159,13 +144,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Network | float:
     spark = docs.sparkSession
     wanted = spark.createDataFrame([(i,) for i in sorted(known)], "doc_id long")  # 2 * SAMPLE ids at most
     sample = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(wanted), "doc_id", "left_semi")
-    once = map_batches(sample, _spread, SAMPLED).groupBy("doc_id").agg(F.max("chunks").alias("chunks"))
-    found = {row["doc_id"]: bytes(row["chunks"]) for row in once.toLocalIterator()}  # a row for each id at most
+    once = sample.groupBy("doc_id").agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
+    found = {row["doc_id"]: row["text"] for row in once.toLocalIterator()}  # a row for each id at most
     ids = sorted(found)
     labels_of = np.array([known[i] for i in ids])
     if not ids or labels_of.min() == labels_of.max():
         return float(labels_of.mean()) if ids else 0.5
-    return train([np.frombuffer(found[i], np.uint8).reshape(-1, CHUNK) for i in ids], labels_of)
+    return train([chunks_of(found[i].encode()) for i in ids], labels_of)
 
 
 def scored(docs: DataFrame, model: Network | float) -> Column:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -31,6 +32,42 @@ def test_responses_are_a_convolution():
     assert np.allclose(net.largest(chunk), np.maximum(net.responses(chunk)[0].max(axis=0) + net.bias, 0))
 
 
+def plain_score(net, raw):
+    """The probability by loops over chunks, places and filters."""
+    chunks = [raw[at:at + b.CHUNK] for at in range(0, max(1, len(raw) - (b.CHUNK - b.STRIDE)), b.STRIDE)]
+    largest = []
+    for chunk in chunks:
+        chunk = chunk + bytes(b.CHUNK - len(chunk))
+        best = [max(sum(float(net.tables[k, chunk[t + k], f]) for k in range(b.WIDTH)) for t in range(b.CHUNK - b.WIDTH + 1))
+                for f in range(b.FILTERS)]
+        largest.append([max(0.0, x + float(net.bias[f])) for f, x in enumerate(best)])
+    total = net.offset
+    for f in range(b.FILTERS):
+        column = [row[f] for row in largest]
+        total += net.weights[f] * sum(column) / len(column) + net.weights[b.FILTERS + f] * max(column)
+    return 1 / (1 + math.exp(-max(-30, min(30, total))))
+
+
+def test_scores_are_those_of_plain_loops(spark):
+    rng = np.random.default_rng(5)
+    net = b.Network((rng.standard_normal((b.WIDTH, 256, b.FILTERS)) * 0.2).astype(np.float32),
+                    (rng.standard_normal(b.FILTERS) * 0.2).astype(np.float32),
+                    (rng.standard_normal(2 * b.FILTERS) * 0.2).astype(np.float32), -0.3)
+    texts = ["", None, "short", sentence(90, 3), "日本語 " * 200, sentence(400, 4), "x" * (b.CHUNK + 1)]
+    frame = docs(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r["score"] for r in b.classify(frame, net).collect()}
+    for i, text in enumerate(texts):
+        assert abs(got[i] - plain_score(net, (text or "").encode())) < 1e-4
+
+
+def test_whole_texts_are_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(b, "train", lambda chunks, labels: [c.tobytes() for c in chunks])
+    long = sentence(20_000, 9)
+    frame = docs(spark, [(i, long if i == 1 else f"text {i}", "en", "a", 0) for i in range(1, 9)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 9)], "doc_id long, quality int, toxic int")
+    assert b.chunks_of(long.encode()).tobytes() in b.fit(frame, labels)
+
+
 def corpus(n=240):
     draw = random.Random(0)
     out = []
