@@ -181,6 +181,12 @@ def records(docs: DataFrame) -> tuple[DataFrame, Broadcast]:
             docs.sparkSession.sparkContext.broadcast(counts))
 
 
+def above_chance(counts: np.ndarray) -> np.ndarray:
+    """What each counter holds beyond the median one. All counters fill up as the corpus grows, so
+    a list is known to be long only by how far its counter stands out."""
+    return np.maximum(counts.astype(np.int64) - int(np.median(counts)), 0)
+
+
 # --- 2. short lists ----------------------------------------------------------------
 
 #: The places in a record's short lists whose ranks are known to all, in quarters of them.
@@ -206,13 +212,13 @@ def _wide(packed: bytes, n: int) -> np.ndarray:
 
 def _posting_batches(sketch: Broadcast, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def packed(vs: list, ns: list, marks: list, tokens: list, idx: list, pos: list) -> Iterator[pa.RecordBatch]:
-        counts = sketch.value
+        above = above_chance(sketch.value).astype(np.uint64)
         yield _batch(POSTINGS, [[int.from_bytes(vs[0][:4], "little") % buckets], [b"".join(vs)],
                                 [np.array(ns, np.uint32).tobytes()], [None], [np.concatenate(marks).tobytes()], [None]])
         toks, owner, place = np.concatenate(tokens), np.concatenate(idx), np.concatenate(pos)
         ids = np.frombuffer(b"".join(vs), np.uint64).reshape(-1, 2)
         sizes = np.array(ns, np.uint32)
-        parts = counts[(toks >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] // np.uint64(LIST_PART) + np.uint64(1)
+        parts = above[(toks >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] // np.uint64(LIST_PART) + np.uint64(1)
         mixed = toks * np.uint64(PLACES[0]) + (ids[owner, 0] % parts) * np.uint64(PLACES[1])
         bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")  # within a bucket still by record
@@ -308,7 +314,7 @@ def _list_batches(sketch: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Ite
         starts = np.flatnonzero(np.concatenate(([True], tok[1:] != tok[:-1])))
         lengths = np.diff(np.concatenate((starts, [len(tok)])))
         listed, length = np.repeat(np.arange(len(starts)), lengths), np.repeat(lengths, lengths)
-        dealt = sketch.value[(tok >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= LIST_PART
+        dealt = above_chance(sketch.value)[(tok >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= LIST_PART
         # the first record of the list that is not too small to link
         size = sizes[own]
         scale = np.int64(1 << 32)
@@ -328,7 +334,12 @@ def _list_batches(sketch: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Ite
             yield _batch(LISTED, [[0] * len(v), name(v), sizes[v].tolist(), name(w), sizes[w].tolist(),
                                   votes[part].tolist(), alone[part].tolist(), none, none])
         kind = np.where(dealt & np.isin(np.arange(len(tok)), starts), 2, 1)
-        rows = np.flatnonzero((length > 2) | dealt)
+        # of no use is a posting without another one in its list that is near it in size
+        near = np.zeros(len(tok), bool)
+        beside = (tok[1:] == tok[:-1]) & (4 * size[:-1] >= 3 * size[1:])
+        near[1:] |= beside
+        near[:-1] |= beside
+        rows = np.flatnonzero((length > 2) & near | dealt)
         for at in range(0, len(rows), 10_000):
             some = rows[at:at + 10_000]
             none = [None] * len(some)
@@ -339,7 +350,7 @@ def _list_batches(sketch: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Ite
 
 
 def short_lists(docs: DataFrame, sketch: Broadcast) -> DataFrame:
-    """Votes, and the postings of lists that hold more than two records."""
+    """Votes, and the postings of lists that hold more than two records, of sizes that may link."""
     spark = docs.sparkSession
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     postings = map_batches(docs.select("text"), _posting_batches(sketch, partitions), POSTINGS)

@@ -193,3 +193,21 @@ def test_one_stays_where_ids_are_null_or_shared(spark):
     kept = [(r["doc_id"], r["text"]) for r in jj.keep_one(docs(spark, data)).collect()]
     assert Counter(i for i, _ in kept) == Counter([None, 5, 7])
     assert {t for _, t in kept} & set(a) and {t for _, t in kept} & set(b) and (7, c[2]) in kept
+
+
+def test_a_full_sketch_does_not_make_every_list_a_long_one(spark, monkeypatch):
+    """With counters so few that each holds many shingles, no more postings leave the merge, and the links are the same."""
+    data = [(i, sentence(60, i), "en", "a", 0) for i in range(300)] + [(400 + i, sentence(60, 7) + f" x{i}", "en", "a", 0) for i in range(20)]
+    frame = docs(spark, data, clashing=False)
+
+    def postings():
+        _, sketch = jj.records(frame)
+        assert np.median(sketch.value) > jj.LIST_PART or jj.SKETCH_BITS > 10
+        return jj.short_lists(frame, sketch).filter("kind in (1, 2)").count()
+
+    plain = postings()
+    monkeypatch.setattr(jj, "SKETCH_BITS", 8)
+    monkeypatch.setattr(jj, "BLOCK", 64)
+    monkeypatch.setattr(jj, "LIST_PART", 40)
+    assert 0 < postings() <= 2 * plain
+    assert run(frame) == brute(data)
