@@ -623,16 +623,37 @@ def can_link(pairs: DataFrame, listed: DataFrame) -> DataFrame:
     return placed.filter(F.col("times") + left >= overlap).select("a", "b")
 
 
+def _times(mixed: DataFrame, votes: DataFrame) -> DataFrame:
+    """In how many lists a record is: two that meet in enough of them are each in as many."""
+    return (mixed.select("v", F.lit(1).cast("long").alias("k")).union(votes.select("v", "alone")).union(votes.select("w", "alone"))
+            .groupBy("v").agg(F.sum("k").alias("lists")))
+
+
+def met_by_chance(mixed: DataFrame, votes: DataFrame) -> DataFrame:
+    """``mixed`` without the postings that no link can come from.
+
+    What a record and the others in a list have to share at least is known from the sizes in
+    the list: the less, the further they are apart. A record that is in fewer lists than that, or
+    one in a list of which no record is in so many, has no partner there. Unrelated texts share a
+    shingle or two, so most of their postings go, and with them most of what grows faster than the input.
+    """
+    rows = mixed.join(_times(mixed, votes), "v")
+    sizes = rows.groupBy("token").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("lists").alias("most"))
+    n = F.col("n")
+    larger, smaller = F.least("hi", 4 * n / 3), F.greatest("lo", 3 * n / 4)
+    # the bounds of needed_in_short without rounding; the smaller the further the partner's size is off
+    up, down = 3 * (n + larger) / 7 - 3 * larger / 4 + 0.25, 3 * (n + smaller) / 7 - 3 * n / 4 + 0.25
+    kept = rows.join(sizes, "token").filter(F.least("lists", "most") >= F.least(up, down) - 1e-6)
+    return _mixed(kept.drop("lists", "lo", "hi", "most"))
+
+
 def apart(mixed: DataFrame, votes: DataFrame, listed: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` of records of different components that meet in enough short lists.
 
     ``mixed`` has the postings of lists that may hold several components, ``votes`` those
     between components from lists of two.
     """
-    # in how many such lists a record is: two that meet in enough of them are each in as many
-    times = (mixed.select("v", F.lit(1).cast("long").alias("k")).union(votes.select("v", "alone")).union(votes.select("w", "alone"))
-             .groupBy("v").agg(F.sum("k").alias("lists")))
-    rows = stage(mixed.join(times, "v"), "counted")
+    rows = stage(mixed.join(_times(mixed, votes), "v"), "counted")
     x, y = rows.alias("x"), rows.alias("y")
     n, m, i, j = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
     # a shared shingle at these places leaves room for an overlap of at most the sum of the
@@ -693,13 +714,14 @@ def link_records(docs: DataFrame, rows: DataFrame, sketch: Broadcast) -> DataFra
     # almost all links lie. What else is to be compared is between them
     groups = stage(components(led), "groups")
     postings = listed.filter("kind in (1, 2)").select("token", "v", "n", "pos")
+    votes = listed.filter("kind = 0 and alone > 0").select("v", "n", "w", "m", "alone")
     mixed = stage(_mixed(_with_root(postings, "v", groups, "root")), "mixed")
+    mixed = stage(met_by_chance(mixed, votes), "mixed")
     star = stage(_star(mixed, ["token"]).filter(_likely()).select("a", "b"), "star")
     if not star.isEmpty():
         led = led.union(star)
         groups = stage(merged(groups, star), "groups")
         mixed = _with_root(mixed.drop("root"), "v", groups, "root")
-    votes = listed.filter("kind = 0 and alone > 0").select("v", "n", "w", "m", "alone")
     votes = _with_root(_with_root(votes, "v", groups, "root"), "w", groups, "other").filter("root <> other")
     tried = led.union(stage(apart(mixed, stage(votes.drop("root", "other"), "votes"), listed), "across"))
     sets = sets_of(docs, rows, tried.select(F.col("a").alias("v")).union(tried.select(F.col("b").alias("v"))))
