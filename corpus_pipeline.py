@@ -1,4 +1,11 @@
-"""From raw documents to token ids: the operators on training text, one after the other."""
+"""From raw documents to token ids: the operators on training text, one after the other.
+
+Every stage takes what the one before kept, as Parquet in the shared folder; ``run`` deletes the
+copies that a stage read once its own result is written. Null, empty and blank texts have no words
+and are rejected by the quality rules, as the rules' own docstring says; documents may share an
+id or have none, and of near copies one row stays whatever their ids; an empty table gives an empty
+result. Extra columns of the documents stay until the last stage.
+"""
 
 from __future__ import annotations
 
@@ -6,12 +13,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedquality.llm.bpe import encode_digests
+from feedquality.llm.bpe import decoded, encoded
 from feedquality.llm.decontaminate import decontaminate
 from feedquality.llm.jaccard_join import keep_one
 from feedquality.llm.line_dedup import drop_boilerplate
 from feedquality.llm.quality_rules import filter_quality
-from feedquality.session import stage
+from feedquality.session import discard, scratch_path, staging
 
 
 def _with_text(docs: DataFrame, changed: DataFrame) -> DataFrame:
@@ -43,8 +50,15 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The digests of the token ids of what is left."""
-    return encode_digests(docs)
+    """What is left as text and as token ids (little-endian unsigned 32-bit numbers), with the digests of the
+    ids and of the bytes decoded from them."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokens = docs.select("doc_id", "text", encoded(docs, path, public_tokenizers.PATTERN).alias("__s")).select(
+        "doc_id", "__s.n_tokens", "__s.ids", "text")
+    return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                         F.sha2(decoded(tokens, path, F.col("ids")), 256).alias("decoded_sha256"), "text", "ids")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -58,6 +72,14 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder for the next one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with staging(spark):  # what a stage stages for itself goes when its result is written
+            kept = function(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -76,10 +76,14 @@ def staging(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _areas.reset(outer)
-        configuration = spark.sparkContext._jsc.hadoopConfiguration()
-        for name in area:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(configuration).delete(path, True)
+        for path in area:
+            discard(spark, path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete what lies at ``path``, if anything."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
