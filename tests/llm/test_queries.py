@@ -5,18 +5,21 @@ from __future__ import annotations
 import hashlib
 import importlib
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
 from feedquality.llm import bpe
 from feedquality.llm.queries import ORACLE, QUERIES
-from tests.llm import test_decontaminate, test_jaccard_join, test_line_dedup, test_quality_rules, test_secret_scan
+from feedquality.session import shared_dir
+from tests.llm import common, test_decontaminate, test_jaccard_join, test_line_dedup, test_quality_rules, test_secret_scan
 
 SF = "/root/testdata/sf0.001"
 
@@ -121,13 +124,37 @@ def test_pipeline_stage_by_stage(spark, db):
                     left.append((i, new_text, *rest, len(new_text)))
             rows = left
         if name == "byte_bpe":
-            assert {r["doc_id"]: tuple(r)[1:] for r in docs.collect()} == encodings((r[0], r[1]) for r in rows)
+            assert {r["doc_id"]: tuple(r)[1:4] for r in docs.collect()} == encodings((r[0], r[1]) for r in rows)
+            assert {r["doc_id"]: r["text"] for r in docs.collect()} == {r[0]: r[1] for r in rows}
+            assert all(hashlib.sha256(r["ids"]).hexdigest() == r["ids_sha256"] and len(r["ids"]) == 4 * r["n_tokens"] for r in docs.collect())
         else:
             assert docs.columns == columns
             assert Counter(map(tuple, docs.collect())) == Counter(rows)
     assert corpus_pipeline.run(spark, SF).count() == len(rows)
 
 
+def test_pipeline_on_awkward_tables(spark, tmp_path):
+    """Null and blank texts, shared and missing ids, copies, further columns; and no rows at all. Nothing stays staged but the last copy."""
+    good = spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en'").limit(30)
+    awkward = common.docs(spark).select(*good.columns, "score", "text").toDF(*good.columns, "score", "extra")
+    frame = good.withColumns({"score": F.lit(1), "extra": F.lit("x")}).unionByName(awkward)
+    first = good.orderBy("doc_id").first()
+    same = spark.createDataFrame([(None, first["text"], "en", "b", 0, 1, None), (None, first["text"], "en", "b", 0, 1, None),
+                                  (first["doc_id"], first["text"], "en", "b", 0, 1, None)], frame.schema)
+    for name, rows in (("full", frame.union(same)), ("empty", frame.limit(0))):
+        rows.write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(str(tmp_path / name / "benchmark.parquet"))
+    folder = Path(shared_dir(spark)) / "feedquality"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    result = corpus_pipeline.run(spark, str(tmp_path / "full"))
+    assert len(set(folder.iterdir()) - before) == 1
+    found = result.collect()
+    assert result.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "text", "ids"]
+    assert found and all((r["text"] or "").split() and hashlib.sha256(r["text"].encode()).hexdigest() == r["decoded_sha256"] for r in found)
+    assert len({r["text"] for r in found}) == len(found)
+    assert corpus_pipeline.run(spark, str(tmp_path / "empty")).collect() == []
+
+
 def test_an_import_error_of_the_operators_is_not_swallowed(monkeypatch):
     monkeypatch.setitem(__import__("sys").modules, "feedquality.llm.bpe", None)
     monkeypatch.delitem(__import__("sys").modules, "corpus_pipeline", raising=False)
