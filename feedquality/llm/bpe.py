@@ -263,6 +263,18 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> Column:
     return per_text(docs, F.col("text"), _worker(shared, pattern, row), DIGEST)
 
 
+def ids_and_digests(docs: DataFrame, ranks_path: str, pattern: str) -> Column:
+    """A struct of ``n_tokens``, the packed ``ids``, and the digests of the ids and of the bytes decoded from them."""
+    shared = docs.sparkSession.sparkContext.broadcast({"ranks": load_ranks(ranks_path)})
+
+    def row(encoder: Encoder, value: str) -> tuple:
+        packed = encoder.encode(value)
+        return (len(packed) // 4, packed, hashlib.sha256(packed).hexdigest(),
+                hashlib.sha256(encoder.decode(packed)).hexdigest())
+
+    return per_text(docs, F.col("text"), _worker(shared, pattern, row), T.StructType([*ENCODED, *DIGEST.fields[1:]]))
+
+
 def encode_digests(docs: DataFrame) -> DataFrame:
     """The digests of every document, by the 50k vocabulary."""
     import public_tokenizers
