@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedquality.llm.bpe import decoded, encoded
+from feedquality.llm.bpe import ids_and_digests
 from feedquality.llm.decontaminate import decontaminate
 from feedquality.llm.jaccard_join import keep_one
 from feedquality.llm.line_dedup import drop_boilerplate
@@ -54,11 +54,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ids and of the bytes decoded from them."""
     import public_tokenizers
 
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    tokens = docs.select("doc_id", "text", encoded(docs, path, public_tokenizers.PATTERN).alias("__s")).select(
-        "doc_id", "__s.n_tokens", "__s.ids", "text")
-    return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-                         F.sha2(decoded(tokens, path, F.col("ids")), 256).alias("decoded_sha256"), "text", "ids")
+    found = ids_and_digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return docs.select("doc_id", "text", found.alias("__s")).select(
+        "doc_id", "__s.n_tokens", "__s.ids_sha256", "__s.decoded_sha256", "text", "__s.ids")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
