@@ -77,7 +77,13 @@ def test_failing_values_are_limited_before_the_exchange(spark):
     assert not any("value#" in line for line in text.split("\n") if "Exchange" in line)
 
 
-def test_totals_shuffle_sums_not_purchases(spark):
-    text = plan(contract.queries()["flagship"](spark, SF))
+def test_totals_shuffle_sums_not_purchases(spark, monkeypatch):
+    from feedquality.plans import job
+    staged = []
+    real = job.stage
+    monkeypatch.setattr(job, "stage", lambda df, name: staged.append(df) or real(df, name))
+    contract.queries()["flagship"](spark, SF).collect()
+    assert [df.columns for df in staged] == [["user_id", "Quantity"]]  # the sums, a row for each user
+    text = plan(staged[0])
     assert "partial_sum(Quantity" in text
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double>" in text
