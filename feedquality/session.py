@@ -44,6 +44,10 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     return partitions
 
 
+# Buckets that Spark allows a table.
+MOST_BUCKETS = 100_000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -96,3 +100,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_buckets(df: DataFrame, name: str, column: str) -> DataFrame:
+    """As ``stage``, in as many buckets of ``column`` as a shuffle has partitions: a join or an
+    aggregate on it reads the copy where it lies and moves the other side only.
+
+    For wide rows that are joined more than once. Spark takes buckets from the catalog alone, so the
+    copy is a table of the current database until it has been resolved; its files stay.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    buckets = min(int(initial or spark.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
+    table = f"feedquality_{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, column).saveAsTable(table, format="parquet", path=path)
+    try:
+        return spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE {table}")  # of a table with a path of its own only the entry goes

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from feedquality import size_shuffles
-from feedquality.session import SHUFFLE_BYTES, scratch_path, shared_dir, stage, staging
+from feedquality.session import SHUFFLE_BYTES, scratch_path, shared_dir, stage, stage_buckets, staging
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -70,3 +70,28 @@ def test_staged_copies_go_with_their_context(spark, tmp_path):
         stage(spark.range(5).toDF("id"), "a")
         1 / 0
     assert set(folder.iterdir()) == before
+
+
+def test_a_copy_in_buckets_stays_where_it_lies_in_a_join(spark, monkeypatch):
+    from pathlib import Path
+    monkeypatch.setattr("feedquality.session.MOST_BUCKETS", 8)
+    tables = len(spark.catalog.listTables())
+    data = spark.range(200).selectExpr("cast(cast(id % 90 as string) as binary) as v", "id")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    with staging(spark):
+        path = Path(shared_dir(spark)) / "feedquality"
+        before = set(path.iterdir()) if path.exists() else set()
+        staged = stage_buckets(data, "wide", "v")
+        assert len(spark.catalog.listTables()) == tables and len(set(path.iterdir()) - before) == 1
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            other = spark.range(0, 200, 2).selectExpr("cast(cast(id as string) as binary) as b", "id as other")
+            joined = other.join(staged.withColumnRenamed("v", "b"), "b")
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+            assert sorted(map(tuple, joined.select("other", "id").collect())) == sorted(
+                (o, i) for o in range(0, 200, 2) for i in range(200) if i % 90 == o)
+            assert stage_buckets(data.limit(0), "none", "v").count() == 0
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert set(path.iterdir()) == before
