@@ -19,8 +19,9 @@ themselves, so each partner is in one of the other, short ones.
 4. Links make components. Before any link is verified, records whose votes make a link
    likely are taken as groups, and pairs between groups are formed only if they meet in as
    many short lists as a link needs (``needed_in_short``, and by where in the ranking the
-   short lists of either end, ``can_link``). Where verified links leave a group in several components, single records of them are searched for first; then all
-   records outside the group's largest component, in every block of the group.
+   short lists of either end, ``can_link``). Where verified links leave a group in several components
+   and not all pairs between these have been tried (``untried``), single records of them are searched
+   for first; then all records outside the group's largest component, in every block of the group.
 
 So no pairs are formed within a group of copies: a group of ``m`` near copies takes some
 ``m`` comparisons, and yet every two records that link are in one component.
@@ -561,19 +562,41 @@ def _group_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield _batch(LINKS, [out_a, out_b])
 
 
-def linked_in_groups(parts: DataFrame, sets: DataFrame) -> DataFrame:
+def untried(parts: DataFrame, tried: DataFrame) -> DataFrame:
+    """Of ``parts(v, all, root)``, the groups in which two records of different components are no pair
+    of ``tried(a, b)`` yet, with how many records the group has (``rows``).
+
+    ``asks`` marks the records that are to be searched for: those outside the group's largest
+    component that have not been tried with every record of the other components.
+    """
+    sizes = parts.groupBy("all", "root").agg(F.count(F.lit(1)).alias("same"))
+    groups = sizes.groupBy("all").agg(F.sum("same").alias("rows"), F.max(F.struct("same", "root")).alias("largest"))
+
+    def end(name: str) -> DataFrame:
+        return parts.select(F.col("v").alias(name), F.struct("all", "root").alias(f"{name}_in"))
+
+    ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    done = (tried.select(*ends).distinct().join(end("a"), "a").join(end("b"), "b")
+            .filter("a_in.all = b_in.all and a_in.root <> b_in.root")
+            .select(F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("done")))
+    marked = stage(
+        parts.join(sizes, ["all", "root"]).join(groups, "all").join(done, "v", "left")
+        .select("all", "v", "root", "rows", (
+            (F.col("root") != F.col("largest.root"))
+            & (F.coalesce("done", F.lit(0)) < F.col("rows") - F.col("same"))).alias("asks")), "marked")
+    return marked.join(marked.filter("asks").select("all").distinct(), "all", "left_semi")
+
+
+def linked_in_groups(parts: DataFrame, tried: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between the components (``root``) of each group (``all``) of records ``v``.
 
-    A group's records are dealt into blocks. All but those of its largest component are
-    searched for in every block of the group.
+    A group's records are dealt into blocks. All but those of its largest component, and
+    those that have been tried with all others, are searched for in every block of the group.
     """
     spark = parts.sparkSession
-    sizes = parts.groupBy("all", "root").agg(F.count(F.lit(1)).alias("rows"))
-    groups = sizes.groupBy("all").agg(F.sum("rows").alias("rows"), F.max(F.struct("rows", "root")).alias("largest"))
-    blocks = F.ceil(F.col("rows") / INDEX_BLOCK)
-    dealt = parts.join(groups.select("all", blocks.alias("blocks"), F.col("largest.root").alias("largest")), "all")
+    dealt = untried(parts, tried).withColumn("blocks", F.ceil(F.col("rows") / INDEX_BLOCK))
     held = dealt.select("all", F.pmod(F.xxhash64("v"), F.col("blocks")).alias("block"), F.lit(False).alias("asks"), "v", "root")
-    asked = dealt.filter("root <> largest").select(
+    asked = dealt.filter("asks").select(
         "all", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("asks"), "v", "root")
     rows = held.unionByName(asked).join(sets, "v").select("all", "block", "asks", "v", "root", "shingles")
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
@@ -705,11 +728,12 @@ def link_records(docs: DataFrame, rows: DataFrame, sketch: Broadcast) -> DataFra
     sets = sets_of(docs, rows, tried.select(F.col("a").alias("v")).union(tried.select(F.col("b").alias("v"))))
     found = stage(components(linked(tried, sets)), "roots")
 
-    # the groups that fell apart, and the lists of their records
+    # the groups that fell apart, unless all pairs of their parts have been tried, and the lists of their records
     whole = _with_root(groups.withColumnRenamed("root", "all"), "v", found, "root")
     broken = (whole.groupBy("all").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
               .filter("lo <> hi").select("all"))
-    inside = stage(groups.withColumnRenamed("root", "all").join(broken, "all", "left_semi").select("v", "all"), "broken")
+    parts = stage(whole.join(broken, "all", "left_semi").select("v", "all", "root"), "broken")
+    inside = stage(untried(parts, tried).select("v", "all"), "inside")
     if inside.isEmpty():
         return found
     inner = stage(postings.join(inside, "v"), "inner")
@@ -731,7 +755,7 @@ def link_records(docs: DataFrame, rows: DataFrame, sketch: Broadcast) -> DataFra
         if more.count() * WORTH <= star.count():
             break
     parts = _with_root(inside, "v", found, "root")
-    return stage(merged(found, linked_in_groups(parts, sets)), "roots")
+    return stage(merged(found, linked_in_groups(parts, tried, sets)), "roots")
 
 
 def _labelled(docs: DataFrame) -> DataFrame:

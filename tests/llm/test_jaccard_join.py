@@ -137,6 +137,23 @@ def test_a_cloud_that_falls_apart(spark, monkeypatch):
     assert run(docs(spark, data)) == expected
 
 
+def test_groups_whose_pairs_have_all_been_tried_are_done(spark):
+    draw = random.Random(5)
+    parts = [(b"%d %d" % (g, k), b"g%d" % g, b"r%d" % draw.randrange(g, 2 * g + 2)) for g in range(12) for k in range(g + 1)]
+    of = {v: (g, root) for v, g, root in parts}
+    cross = [(a, b) for a in of for b in of if a < b and of[a][0] == of[b][0] and of[a][1] != of[b][1]]
+    tried = [draw.choice([(a, b), (b, a)]) for a, b in cross if of[a][0] != b"g3" and draw.random() < 0.9] + [(b"0 0", b"1 0")]
+    got = jj.untried(spark.createDataFrame(parts, "v binary, all binary, root binary"),
+                     spark.createDataFrame(tried + tried[:9], "a binary, b binary")).collect()
+    left = [p for p in cross if p not in tried and p[::-1] not in tried]
+    assert {bytes(r["all"]) for r in got} == {of[a][0] for a, _ in left}
+    assert all(r["rows"] == sum(g == bytes(r["all"]) for g, _ in of.values()) for r in got)
+    asks = {bytes(r["v"]) for r in got if r["asks"]}
+    # each pair that is left has an end that is searched for, and no record that is done with all is
+    assert all(a in asks or b in asks for a, b in left) and asks <= {v for p in left for v in p}
+    assert len(got) == sum(g in {of[a][0] for a, _ in left} for g, _ in of.values())
+
+
 def test_records_that_link_meet_in_enough_short_lists(spark):
     frame = spark.createDataFrame([(n, m) for n in range(1, 80) for m in range(n, 80)], "n long, m long")
     for row in frame.withColumn("need", jj.needed_in_short(frame["n"], frame["m"])).collect():
