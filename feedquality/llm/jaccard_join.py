@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedquality.llm.components import components, merged
 from feedquality.llm.text import map_batches, read
-from feedquality.session import stage
+from feedquality.session import stage, stage_buckets
 
 SHINGLE = 5
 #: The counting sketch: 2 ** SKETCH_BITS counters, moved in blocks.
@@ -386,7 +386,8 @@ def _set_batches(bits: Broadcast, seed: int) -> Callable[[Iterator[pa.RecordBatc
 
 
 def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The shingles of the records ``wanted(v)``, and of few others, each record once."""
+    """The shingles of the records ``wanted(v)``, and of few others, each record once. They are by far the
+    widest rows of the join, so they lie in buckets of ``v`` and only what is joined to them moves."""
     spark = docs.sparkSession
     # one text for each record, known by its hash
     chosen = rows.filter("v is not null").groupBy("v").agg(F.min("t1").alias("t1")).join(wanted.distinct(), "v", "left_semi")
@@ -401,7 +402,7 @@ def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
     # t1 is xxhash64 of 1 and the text: the hash of the text seeded by that of 1
     seed = spark.range(1).select(F.xxhash64(F.lit(1))).first()[0] % (1 << 64)
     found = map_batches(docs.select("text"), _set_batches(shared, seed), SETS)
-    return stage(found.groupBy("v").agg(F.first("shingles").alias("shingles")), "sets")
+    return stage_buckets(found.groupBy("v").agg(F.first("shingles").alias("shingles")), "sets", "v")
 
 
 def divide_skip(lists: list[list[int]], need: int, weight: float = 0.01) -> dict[int, int]:
