@@ -10,7 +10,7 @@ the same result together from joins that can be split.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -291,6 +291,12 @@ def _padded(alone: DataFrame, left: DataFrame, right: DataFrame, pairs: list[tup
 # Beyond this an end or a point counts as infinitely far.
 FAR = 1e300
 
+# The level of intervals of no length, below those of any cells.
+NO_LENGTH = -10_000
+
+# An interval is listed under cells of 2**-NARROWER times its own width at the narrowest.
+NARROWER = 10
+
 
 def join_range(left: DataFrame, right: DataFrame, point: str, low: str | None, high: str | None,
                closed: str = "right", suffixes: tuple[str, str] = ("", "_r"), how: str | None = "inner",
@@ -305,12 +311,14 @@ def join_range(left: DataFrame, right: DataFrame, point: str, low: str | None, h
     interval; an outer join keeps its row.
 
     Intervals are first cut to the range of the points. One no longer than ``2**k`` touches
-    two or three cells of width ``2**k``. So each interval is listed under those cells,
-    and each point under its one cell for every ``k`` that occurs among the intervals (a
-    few dozen, whatever the size of the tables) and is not too small for it. Sharing a cell
+    two or three cells of width ``2**k``, and some more narrower ones. So each interval is listed
+    under its cells, and each point under its one cell of every width in use that is not too small
+    for it. Of the widths that occur among the intervals (a few dozen, whatever the size of the tables)
+    those are used with which the fewest rows are listed in all (``cell_widths``). Sharing a cell
     makes a candidate pair; the exact comparison decides. Cells are never so small that
-    numbers of the interval's magnitude can't be told apart, so an interval of no length
-    has a cell of its own too.
+    numbers of the interval's magnitude can't be told apart. Intervals of no length are listed under
+    their number itself, and so are points if there are any. The listed intervals are staged, so
+    that Spark knows their true size before it moves the points.
 
     For a semi or an anti join on one bound alone, points are compared with the outermost of the
     bounds, and no pair is formed. Other outer, semi and anti joins look for the matches once, stage
@@ -355,6 +363,30 @@ def _beyond_one_bound(left: DataFrame, right: DataFrame, point: str, low: str |
     return left.where(inside if kind == "left_semi" else ~inside)
 
 
+def cell_widths(intervals: Mapping[int, int], points: int) -> dict[int, int]:
+    """The level of the cells that intervals of each level are listed under.
+
+    ``intervals`` has the number of intervals by level. A level in use costs a row for each of the
+    ``points``, and cells narrower by ``d`` levels than an interval cost up to ``2**d + 1`` rows for it.
+    Neighbouring levels share the lowest of them where that makes fewer rows in all.
+    """
+    levels = sorted(k for k in intervals if k != NO_LENGTH)
+    # the least number of rows for the first levels, and where the last of their groups begins
+    rows, begins = [0], []
+    for i, k in enumerate(levels):
+        costs = [(rows[j] + points + sum(intervals[x] * (2 ** (x - levels[j]) + 1) for x in levels[j:i + 1]), -j)
+                 for j in range(i + 1) if k - levels[j] <= NARROWER]
+        cost, j = min(costs)
+        rows.append(cost)
+        begins.append(-j)
+    used, end = {k: k for k in intervals if k == NO_LENGTH}, len(levels)
+    while end:
+        begin = begins[end - 1]
+        used |= {k: levels[begin] for k in levels[begin:end]}
+        end = begin
+    return used
+
+
 def _in_cells(left: DataFrame, right: DataFrame, point: str, low: str | None, high: str | None, closed: str,
               where: str | Column | None) -> DataFrame:
     """Points and the intervals that hold them, as the structs ``leftView`` and ``rightView``."""
@@ -367,13 +399,13 @@ def _in_cells(left: DataFrame, right: DataFrame, point: str, low: str | None, hi
     at = F.col(quoted(point))
     lo, hi = (F.col(quoted(c)) if c is not None else None for c in (low, high))
     present = left.where(at.isNotNull() & ~F.isnan(at.cast("double")))
-    reach = present.agg(F.min(number(at)).alias("lo"), F.max(number(at)).alias("hi")).first()
+    reach = present.agg(F.min(number(at)).alias("lo"), F.max(number(at)).alias("hi"), F.count(at).alias("n")).first()
     first, last = (0.0, 0.0) if reach["lo"] is None else (reach["lo"], reach["hi"])
     begin = F.greatest(number(lo), F.lit(first)) if lo is not None else F.lit(first)
     end = F.least(number(hi), F.lit(last)) if hi is not None else F.lit(last)
     magnitude = F.greatest(F.abs(F.col("begin")), F.abs(F.col("end")), F.lit(1e-200))
-    level = F.greatest(F.when(F.col("end") > F.col("begin"), F.ceil(F.log2(F.col("end") - F.col("begin")))),
-                       F.ceil(F.log2(magnitude)) - 50)
+    level = F.when(F.col("end") > F.col("begin"), F.greatest(
+        F.ceil(F.log2(F.col("end") - F.col("begin"))), F.ceil(F.log2(magnitude)) - 50)).otherwise(NO_LENGTH)
     given = [c for c in (lo, hi) if c is not None]
     valid = reduce(and_, [c.isNotNull() & ~F.isnan(c.cast("double")) for c in given])
     if len(given) == 2:
@@ -382,20 +414,29 @@ def _in_cells(left: DataFrame, right: DataFrame, point: str, low: str | None, hi
     intervals = (right.where(valid)
                  .select(F.struct("*").alias(RIGHT), *ends, begin.alias("begin"), end.alias("end"))
                  .where("begin <= end").withColumn("level", level.cast("int")))
-    levels = sorted(r[0] for r in intervals.select("level").distinct().collect()) or [0]
-
-    listed = intervals.withColumn("cell", F.explode(F.sequence(cell(F.col("begin"), F.col("level")),
-                                                               cell(F.col("end"), F.col("level")))))
-    near = F.abs(F.col("place")) <= F.pow(F.lit(2.0), F.col("level") + 51)
+    # a row for each level
+    used = cell_widths(dict(intervals.groupBy("level").count().collect()), reach["n"])
+    if not used:
+        used = {NO_LENGTH: NO_LENGTH}
+    taken = F.create_map(*[F.lit(k) for pair in used.items() for k in pair])
+
+    no_length = F.col("level") == NO_LENGTH
+    cells = F.sequence(F.when(no_length, 0).otherwise(cell(F.col("begin"), F.col("level"))),
+                       F.when(no_length, 0).otherwise(cell(F.col("end"), F.col("level"))))
+    listed = stage(intervals.withColumn("level", F.element_at(taken, F.col("level"))).withColumn("cell", F.explode(cells))
+                   .withColumn("exact", F.when(no_length, F.col("begin")).otherwise(0.0)).drop("begin", "end"), "intervals")
+    near = F.abs(F.col("place")) <= F.pow(F.lit(2.0), F.col("level") + 51 + NARROWER)
     points = (present.select(F.struct("*").alias(LEFT), at.alias("at"), number(at).alias("place"),
-                             F.explode(F.lit(levels)).alias("level"))
-              .where(near).withColumn("cell", F.when(near, cell(F.col("place"), F.col("level")))))
+                             F.explode(F.lit(sorted(set(used.values())))).alias("level"))
+              .where(no_length | near)
+              .withColumn("cell", F.when(no_length, 0).when(near, cell(F.col("place"), F.col("level"))))
+              .withColumn("exact", F.when(no_length, F.col("place")).otherwise(0.0)).drop("place"))
     inside = []
     if lo is not None:
         inside.append(F.col("at") >= F.col("lo") if closed in ("left", "both") else F.col("at") > F.col("lo"))
     if hi is not None:
         inside.append(F.col("at") <= F.col("hi") if closed in ("right", "both") else F.col("at") < F.col("hi"))
-    found = points.join(listed, ["level", "cell"]).where(reduce(and_, inside))
+    found = points.join(listed, ["level", "cell", "exact"]).where(reduce(and_, inside))
     if where is None:
         return found
     return found.where(where if isinstance(where, Column) else F.expr(where))

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from feedquality import ConfigError, join_range, join_tables, totals
-from feedquality.operators.joins import has_hot_key, join_type
+from feedquality.operators.joins import NARROWER, NO_LENGTH, cell_widths, has_hot_key, join_type
 
 LEFT = [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (4, "e")]
 RIGHT = [(1, 10), (1, 11), (3, 30), (None, 40), (4, 50)]
@@ -380,3 +381,27 @@ def test_matches_are_looked_for_once(spark):
     assert df.columns == ["k", "row", "__row", "w"]
     matched = [i for i in range(50) if i % 2 == i % 7 % 2]
     assert df.count() == 100 - len(matched)
+
+
+def test_cells_of_few_widths_list_fewer_rows():
+    few = {k: 100 for k in range(13)} | {NO_LENGTH: 100}
+    many_points = cell_widths(few, 1_000_000)
+    assert set(many_points) == set(few) and all(w <= k for k, w in many_points.items())
+    assert len(set(many_points.values())) == 3  # with that of no length
+    assert all(k - w <= NARROWER for k, w in many_points.items())
+    # where points are few, each interval has cells of its own width
+    assert cell_widths(few, 1) == {k: k for k in few}
+    assert cell_widths({}, 5) == {}
+
+
+def test_range_join_lists_points_under_few_widths(spark):
+    points = spark.range(20_000).select((F.col("id") * 3.7).alias("p"))
+    spans = spark.range(60).select(F.col("id").alias("n"), F.pow(F.lit(2.0), F.col("id") % 16).alias("lo"))
+    spans = spans.withColumn("hi", F.col("lo") + F.col("n") % 5 * F.pow(F.lit(2.0), F.col("n") % 13))
+    joined = join_range(points, spans, "p", "lo", "hi", closed="both")
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    widths = re.search(r"explode\(array\(([-\d, ]+)\)\)", plan).group(1).split(",")
+    assert len(widths) <= 4
+    brute = points.crossJoin(spans).where("p between lo and hi")
+    assert joined.count() == brute.count() > 0
+    assert joined.exceptAll(brute.select(*joined.columns)).isEmpty()
