@@ -198,13 +198,31 @@ def _numbered(df: DataFrame) -> tuple[DataFrame, str]:
     return stage(df.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
+def _word(number: Column) -> Column:
+    return F.shiftright(number, 6)
+
+
+def _place(number: Column) -> Column:
+    return F.pmod(number, F.lit(64)).cast("int")
+
+
+def _matched_words(numbers: DataFrame) -> DataFrame:
+    """The numbers in ``number`` as bits, 64 to a row: ``word`` and its ``bits``.
+
+    Rows are numbered without gaps in each task, so this is far shorter than the distinct numbers.
+    """
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), _place(F.col("number")))
+    return numbers.groupBy(_word(F.col("number")).alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
 def _from_matches(matches: Callable[[DataFrame, DataFrame, Sequence[tuple[str, str]]], DataFrame], left: DataFrame,
                   right: DataFrame, pairs: list[tuple[str, str]], kind: str, suffixes: tuple[str, str]) -> DataFrame:
     """A join of any kind, put together from its matches, which are looked for once.
 
     ``matches(left, right, columns)`` gives the pairs of rows that meet the condition; of their
     columns those that are named, as ``(side, column)``. The kept side's rows get a number for that,
-    and those whose number is among no match come from an anti join with the staged matches.
+    and those whose number is among no match come from an anti join with the staged matches, whose
+    numbers are put together as bits before they move.
     """
     kept = {"left": [LEFT], "right": [RIGHT], "full": [LEFT, RIGHT], "left_semi": [LEFT], "left_anti": [LEFT]}[kind]
     tables, numbers = {LEFT: left, RIGHT: right}, {}
@@ -212,9 +230,10 @@ def _from_matches(matches: Callable[[DataFrame, DataFrame, Sequence[tuple[str, s
         tables[name], numbers[name] = _numbered(tables[name])
 
     def rows(name: str, found: DataFrame, how: str) -> DataFrame:
-        matched = found.select(F.col(f"number_{name}").alias("matched")).distinct()
-        number = F.col(quoted(numbers[name]))
-        return tables[name].join(matched, number == F.col("matched"), how).drop(numbers[name])
+        matched = _matched_words(found.select(F.col(f"number_{name}").alias("number")))
+        number = tables[name][quoted(numbers[name])]
+        held = (_word(number) == matched["word"]) & (F.getbit(matched["bits"], _place(number)) == 1)
+        return tables[name].join(matched, held, how).drop(numbers[name])
 
     wanted = [(name, numbers[name]) for name in kept]
     if kind in ("left_semi", "left_anti"):

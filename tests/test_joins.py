@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedquality import ConfigError, join_range, join_tables, totals
-from feedquality.operators.joins import NARROWER, NO_LENGTH, cell_widths, has_hot_key, join_type
+from feedquality.operators.joins import NARROWER, NO_LENGTH, _matched_words, cell_widths, has_hot_key, join_type
 
 LEFT = [(1, "a"), (1, "b"), (2, "c"), (None, "d"), (4, "e")]
 RIGHT = [(1, 10), (1, 11), (3, 30), (None, 40), (4, 50)]
@@ -405,3 +405,23 @@ def test_range_join_lists_points_under_few_widths(spark):
     brute = points.crossJoin(spans).where("p between lo and hi")
     assert joined.count() == brute.count() > 0
     assert joined.exceptAll(brute.select(*joined.columns)).isEmpty()
+
+
+def test_matched_numbers_move_as_bits(spark):
+    numbers = [0, 1, 63, 63, 64, 127, 5 << 33, (5 << 33) + 63, (5 << 33) + 64]
+    words = _matched_words(spark.createDataFrame([(n,) for n in numbers], "number long"))
+    found = {r["word"] * 64 + k for r in words.collect() for k in range(64) if r["bits"] >> k & 1}
+    assert found == set(numbers)
+    assert words.count() == 4
+    assert _matched_words(spark.range(0, 100_000, 1, 4).withColumnRenamed("id", "number")).count() == 1563
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full", "semi", "anti"])
+def test_rows_without_a_match_over_many_words(spark, how):
+    left = spark.range(0, 3000, 1, 3).selectExpr("id % 500 as k", "id as word", "id % 11 as bits")
+    right = spark.range(0, 2000, 1, 2).selectExpr("id % 700 as k", "id as w")
+    where = "leftView.bits < rightView.w % 13"
+    split = join_tables(left, right, "k", how, hot_key_rows=0, where=where)
+    whole = join_tables(left, right, "k", how, hot_key_rows=None, where=where)
+    assert split.columns == whole.columns
+    assert rows(split) == rows(whole) != []
