@@ -42,7 +42,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from feedquality.llm.components import components, merged
 from feedquality.llm.text import map_batches, read
@@ -653,10 +653,11 @@ def apart(mixed: DataFrame, votes: DataFrame, listed: DataFrame) -> DataFrame:
     ``mixed`` has the postings of lists that may hold several components, ``votes`` those
     between components from lists of two.
     """
-    # in how many such lists a record is: two that meet in enough of them are each in as many
-    times = (mixed.select("v", F.lit(1).cast("long").alias("k")).union(votes.select("v", "alone")).union(votes.select("w", "alone"))
-             .groupBy("v").agg(F.sum("k").alias("lists")))
-    rows = stage(mixed.join(times, "v"), "counted")
+    # a record's lists from the short ones to the long ones, alike for all: two that meet in enough lists
+    # meet first where both have as many left, so that long lists alone don't make a pair
+    lengths = mixed.groupBy("token").agg(F.count(F.lit(1)).alias("length"))
+    left = F.row_number().over(Window.partitionBy("v").orderBy(F.desc("length"), F.desc("token")))
+    rows = stage(mixed.join(lengths, "token").select("token", "v", "n", "pos", "root", left.alias("left")), "counted")
     x, y = rows.alias("x"), rows.alias("y")
     n, m, i, j = F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")
     # a shared shingle at these places leaves room for an overlap of at most the sum of the
@@ -664,13 +665,20 @@ def apart(mixed: DataFrame, votes: DataFrame, listed: DataFrame) -> DataFrame:
     room = F.least(i, j) + F.least(n - i, m - j)
     met = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root"))
                   & (F.col("x.v") < F.col("y.v")) & (4 * F.least(n, m) >= 3 * F.greatest(n, m)) & (7 * room >= 3 * (n + m))
-                  & (F.least("x.lists", "y.lists") >= needed_in_short(n, m)))
-           .select(F.col("x.v").alias("a"), n.alias("n"), F.col("y.v").alias("b"), m.alias("m"), F.lit(1).cast("long").alias("times")))
+                  & (F.least("x.left", "y.left") >= needed_in_short(n, m)))
+           .select(F.col("x.v").alias("a"), n.alias("n"), F.col("y.v").alias("b"), m.alias("m"), F.lit(0).cast("long").alias("times")))
     ordered = F.col("v") < F.col("w")
     alone = votes.select(F.least("v", "w").alias("a"), F.when(ordered, F.col("n")).otherwise(F.col("m")).alias("n"),
                          F.greatest("v", "w").alias("b"), F.when(ordered, F.col("m")).otherwise(F.col("n")).alias("m"),
                          F.col("alone").alias("times"))
-    enough = (met.unionByName(alone).groupBy("a", "b", "n", "m").agg(F.sum("times").alias("times"))
+    pairs = stage(met.unionByName(alone).groupBy("a", "b", "n", "m").agg(F.sum("times").alias("alone")), "met")
+    # the lists that both are in, counted for these pairs alone
+    lists = rows.groupBy("v").agg(F.collect_list("token").alias("tokens"))
+    shared = (pairs.join(lists.select(F.col("v").alias("a"), F.col("tokens").alias("x")), "a", "left")
+              .join(lists.select(F.col("v").alias("b"), F.col("tokens").alias("y")), "b", "left"))
+    none = F.array().cast("array<bigint>")
+    both = F.size(F.array_intersect(F.coalesce("x", none), F.coalesce("y", none)))
+    enough = (shared.select("a", "b", "n", "m", (F.col("alone") + both).alias("times"))
               .filter(F.col("times") >= needed_in_short(F.col("n"), F.col("m"))))
     return can_link(enough, listed)
 

@@ -228,3 +228,31 @@ def test_a_full_sketch_does_not_make_every_list_a_long_one(spark, monkeypatch):
     monkeypatch.setattr(jj, "LIST_PART", 40)
     assert 0 < postings() <= 2 * plain
     assert run(frame) == brute(data)
+
+
+def test_long_lists_alone_make_no_pairs(spark, monkeypatch):
+    """Records of many components that share 6 long lists, of the 12 that a link takes, and one pair that shares 12."""
+    def name(k):
+        return f"record{k:010d}".encode()
+
+    postings = []
+    for k in range(90):
+        root = name(0) if k < 40 else name(k)
+        postings += [(t, name(k), 100, 10, root) for t in range(6)]
+        # lists of its own, each with a record of another component
+        postings += [(1000 + 20 * (k // 2) + t, name(k), 100, 10, root) for t in range(6 if k in (88, 89) else 0)]
+        postings += [(100_000 + 100 * k + t, name(k), 100, 10, root) for t in range(14)]
+    mixed = spark.createDataFrame(postings, "token long, v binary, n long, pos long, root binary")
+    votes = spark.createDataFrame([], "v binary, n long, w binary, m long, alone long")
+    marks = [(3, name(k), 100, None, 5, 5, 5, None, None) for k in range(90)]
+    listed = spark.createDataFrame(marks, jj.LISTED)
+    staged = {}
+
+    def stage(df, what):
+        staged[what] = df
+        return df
+
+    monkeypatch.setattr(jj, "stage", stage)
+    found = jj.apart(mixed, votes, listed).collect()
+    assert [(bytes(r["a"]), bytes(r["b"])) for r in found] == [(name(88), name(89))]
+    assert staged["met"].count() == 1
