@@ -13,6 +13,7 @@ the names that the model doesn't have. So a feed keyed by ids can't fill the dri
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
@@ -35,6 +36,15 @@ NUMBERS = ("BIGINT", "DECIMAL", "DOUBLE")
 LINE_OPTIONS = ("linesep", "encoding", "charset", "compression", "recursivefilelookup", "pathglobfilter",
                 "modifiedbefore", "modifiedafter", "ignorecorruptfiles", "ignoremissingfiles")
 
+# Fixed value: a reader option that would let in texts which strict JSON does not.
+LENIENT = "allowunquotedcontrolchars"
+
+# Longer lines are left to the parser, which has limits of its own on the sizes of texts and variants.
+ORDINARY_BYTES = 1024 * 1024
+
+# Patterns of the blanks between the parts of a line and of a text.
+BLANKS, TEXT = " *+", r'"[^"\\]*+(?:\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4})[^"\\]*+)*+"'
+
 # Encodings besides UTF-8 that Spark decodes in an expression.
 ENCODINGS = ("US-ASCII", "ISO-8859-1", "UTF-16BE", "UTF-16LE", "UTF-16", "UTF-32")
 
@@ -173,19 +183,60 @@ class StagedFeed:
     counts: Mapping[str, int] | None = field(default=None)
 
 
-def json_records(spark: SparkSession, source: SourceSpec) -> DataFrame:
-    """The lines of a JSON feed as ``(text, record)``, the latter null for what is no JSON. Blank lines
-    are none, and a line that is an array is as many records as it has elements."""
+def ordinary_value(data_type: T.DataType) -> tuple[str, str] | None:
+    """The type of JSON values that stands for a declared type, and a pattern for its plain form."""
+    if isinstance(data_type, T.IntegralType):
+        return "BIGINT", "-?(?:0|[1-9][0-9]{0,17}+)"
+    if isinstance(data_type, T.BooleanType):
+        return "BOOLEAN", "(?:true|false)"
+    return ("STRING", TEXT) if allowed_kinds(data_type) == ("VOID", "STRING") else None
+
+
+def ordinary_line(schema: T.StructType) -> str | None:
+    """A pattern for lines that need no profile of their own, or ``None`` if the schema has other types than texts,
+    whole numbers and truth values.
+
+    Such a line, if ``from_json`` takes it, is a strict JSON object of declared names, none of them twice, each with
+    a null or a plain value of its type. The names may come in any order; if it is not the declared one, none
+    may follow that a group holds already.
+    """
+    values = [ordinary_value(f.dataType) for f in schema.fields]
+    if not values or None in values or any(re.search(r'["\\\x00-\x1f]', n) for n in schema.names):
+        return None
+    names = [f'"{re.escape(n)}"' for n in schema.names]
+    held = [f"{BLANKS}:{BLANKS}(?:{v}|null){BLANKS}" for _, v in values]
+    taken = "|".join(f"\\k<n{i}>" for i in range(len(names)))
+    declared = "".join(f'(?:{n}{v}(?:,{BLANKS}(?=")|(?=\\}})))?+' for n, v in zip(names, held))
+    members = "|".join(f"(?<n{i}>{n}){v}" for i, (n, v) in enumerate(zip(names, held)))
+    another = f'(?:(?:{members})(?:,{BLANKS}(?!{taken})(?=")|(?=\\}})))*+'
+    return f"\\A{BLANKS}\\{{{BLANKS}(?:{declared}\\}}|{another}\\}}){BLANKS}\\z"
+
+
+def ordinary_kinds(field: T.StructField) -> Column:
+    """The bit of the type that a name has in an ordinary line. No text holds a whole name in quotes, as its own have an
+    escape before them, and one that ends like that has no colon after it."""
+    held = F.col("text").contains(f'"{field.name}"') & F.col("text").rlike(f'"{re.escape(field.name)}"{BLANKS}:')
+    value = F.col("__row").getField(field.name)
+    return F.when(value.isNotNull(), F.lit(bit(ordinary_value(field.dataType)[0]))).when(held, F.lit(bit("VOID"))).cast("bigint")
+
+
+def json_records(spark: SparkSession, source: SourceSpec, schema: T.StructType) -> DataFrame:
+    """The lines of a JSON feed as ``(text, ordinary, record)``, the latter null for what is no JSON and for ordinary
+    lines, whose pattern tells what there is to know. Blank lines are none, and a line that is an array is as many
+    records as it has elements."""
     about_lines = {k: v for k, v in source.options.items() if k.lower() in LINE_OPTIONS}
     lines = spark.read.options(**about_lines).text(source.path)
     if encoding_of(source) is not None:
         # lines are cut by the encoding, but come as they are
         lines = lines.select(F.decode(F.col("value").cast("binary"), encoding_of(source)).alias("value"))
-    lines = lines.where(F.col("value").rlike("\\S")).select("value", F.try_parse_json("value").alias("record"))
-    # an ordinary line passes as it is, with no element
-    lines = lines.select("value", "record", F.explode_outer(F.expr(_elements("record"))).alias("element"))
+    pattern = ordinary_line(schema)
+    ordinary = F.lit(False) if pattern is None else (F.octet_length("value") <= ORDINARY_BYTES) & F.col("value").rlike(pattern)
+    lines = lines.where(F.ltrim("value", F.lit(" \t\n\x0b\f\r")) != "").select("value", ordinary.alias("ordinary"))
+    lines = lines.select("value", "ordinary", F.when(~F.col("ordinary"), F.try_parse_json("value")).alias("record"))
+    # a line that is no array passes as it is, with no element
+    lines = lines.select("value", "ordinary", "record", F.explode_outer(F.expr(_elements("record"))).alias("element"))
     empty = F.col("element").isNull() & F.expr(_elements("record")).isNotNull()
-    return lines.where(~empty).select(F.coalesce(F.to_json("element"), "value").alias("text"),
+    return lines.where(~empty).select(F.coalesce(F.to_json("element"), "value").alias("text"), "ordinary",
                                       F.coalesce("element", "record").alias("record"))
 
 
@@ -204,14 +255,20 @@ def by_lines(source: SourceSpec) -> bool:
 def parsed_json(spark: SparkSession, source: SourceSpec, model: TableModel) -> tuple[DataFrame, list[Node]]:
     """The records of a JSON feed with the model's columns, ``_corrupt_record``, and what the profile is made of."""
     nodes = profile_nodes(model.schema, "record")
-    options = {k: v for k, v in source.options.items() if k.lower() not in LINE_OPTIONS}
+    options = {k: v for k, v in source.options.items() if k.lower() not in (*LINE_OPTIONS, LENIENT)}
     schema = T.StructType([*model.schema.fields, T.StructField(CORRUPT, T.StringType())])
     row = F.from_json("text", schema, {**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    unfit = F.when(F.expr(f"{_objects('record')} is null"), F.col("text"))
-    records = json_records(spark, source).select(row.alias("__row"), unfit.alias("__unfit"), *profile_columns(nodes))
+    unfit = F.when(~F.col("ordinary") & F.expr(f"{_objects('record')} is null"), F.col("text"))
+    records = json_records(spark, source, model.schema).select(
+        "text", "ordinary", row.alias("__row"), unfit.alias("__unfit"), *profile_columns(nodes))
     kept = [F.col("__row").getField(n).alias(n) for n in model.schema.names]
     corrupt = F.coalesce("__unfit", F.col("__row").getField(CORRUPT)).alias(CORRUPT)
-    return records.select(*kept, corrupt, *[F.col(c) for c in records.columns if c not in ("__row", "__unfit")]), nodes
+    found = {c: F.col(c) for c in records.columns if c not in ("text", "ordinary", "__row", "__unfit")}
+    if ordinary_line(model.schema) is not None:
+        # the nodes are the record and its fields
+        for i, f in enumerate(model.schema.fields, 1):
+            found[f"__kinds{i}"] = F.when(F.col("ordinary"), ordinary_kinds(f)).otherwise(F.col(f"__kinds{i}")).alias(f"__kinds{i}")
+    return records.select(*kept, corrupt, *found.values()), nodes
 
 
 def stage_feed(spark: SparkSession, source: SourceSpec, model: TableModel, rules: RuleSet | None = None,

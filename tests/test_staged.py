@@ -8,6 +8,7 @@ import pytest
 
 from feedquality import ConfigError, SchemaMismatchError, SourceSpec, TableModel, run_job, stage_feed
 from feedquality.plans.queries import rule, suite
+from feedquality.sources.staged import json_records, ordinary_line
 from tests.fixtures import PURCHASES, USERS, write_lines
 from tests.test_job import spec
 
@@ -161,3 +162,48 @@ def test_configs_are_read_where_the_session_reads(spark, tmp_path):
     for bad in (tmp_path / "missing.json", tmp_path / "bad.json", tmp_path / "*.nothing"):
         with pytest.raises(ConfigError):
             TableModel.from_json(bad)
+
+
+ORDINARY = ['{"id": 1, "name": "a", "ok": true}', '{"ok":false,"name":"b","id":-2}', ' { "name" : null , "id":0 } ', "{}",
+            '{"name":"id","id":null}', '{"name":"{\'x\':1, [é𝄞]}","ok":null}', '{"id":123456789012345678}', '{"name":""}',
+            r'{"name":"a\"b"}', r'{"name":"a\\","id":1}', r'{"name":"\"ok\": \"ok","id":null}', r'{"name":"\ud800\u00e9\/\n"}']
+OTHER = ['{"id":1,"id":2}', '{"ok":true,"id":1,"ok":true}', '{"name":"a","id":1,"name":null}', '{"id":"1"}', '{"name":1}',
+         '{"name":{"id":1}}', '{"name":["a"]}', '{"ok":"true"}', '{"id":1.0}', '{"id":01}', '{"id":+1}', '{"id":1e2}',
+         '{"id":1,}', '{,"id":1}', r'{"name":"a\\\"","id":1,"id":2}', '{"id":1 "ok":true}', '{"id" 1}', '{"id":1', '{"id":1} x', '[{"id":1}]', "{'id':1}",
+         '{"id":NaN}', '{"Id":1}', '{"id":1,"more":2}', '{"na\\u006de":"a"}', r'{"name":"\x"}', r'{"name":"\u12"}', r'{"name":"a\"}',
+         '{"id":1234567890123456789}', '{"id":12345678901234567890}', '{"id":\t1}', '/**/{"id":1}', "5", "null", '"x"', "{bad"]
+SIMPLE = {"id": "bigint", "name": "string", "ok": "boolean"}
+
+
+def test_ordinary_lines_are_told_by_a_pattern_and_parsed_once(spark, tmp_path):
+    m = model(**SIMPLE)
+    (tmp_path / "feed.json").write_text("\n".join([*ORDINARY, "", *OTHER]), encoding="utf-8")
+    records = json_records(spark, SourceSpec(str(tmp_path / "feed.json"), schema=m.schema), m.schema)
+    found = {r["text"]: (r["ordinary"], r["record"] is None) for r in records.collect()}
+    assert {text for text, (ordinary, _) in found.items() if ordinary} == set(ORDINARY)
+    assert all(without_record for ordinary, without_record in found.values() if ordinary)
+    # the pattern is for flat models of simple types
+    assert ordinary_line(m.schema) is not None and ordinary_line(model().schema) is None
+    assert ordinary_line(model(**{'a"b': "string"}).schema) is None
+
+
+@pytest.mark.parametrize("types", [SIMPLE, {"ok": "boolean", "id": "int", "name": "date"}, {f"n.{i}(": "string" for i in range(12)}])
+def test_the_pattern_changes_no_result(spark, tmp_path, monkeypatch, types):
+    """Each kind of line in a feed of its own, as the profile is one for all lines."""
+    rules = suite(rule("ColumnValuesToNotBeNull", list(types)[0]))
+    m = model(**types)
+    some = [json.dumps({n: "x" for n in types}), json.dumps(dict.fromkeys(reversed(types), "y")), json.dumps({"n.3(": "z", "n.11(": None})]
+    control = '{"name":"a\tb"}'
+
+    def results(lines, **options):
+        path = tmp_path / f"{len(list(tmp_path.iterdir()))}.json"
+        path.write_text("".join(x + "\n" for x in lines), encoding="utf-8")
+        feed = stage_feed(spark, SourceSpec(str(path), schema=m.schema, options=options), m, rules)
+        key = lambda df: sorted(map(str, df.collect()))
+        return problems(feed), feed.lines, feed.bad, dict(feed.counts), key(feed.rows), key(feed.corrupt)
+
+    feeds = [ORDINARY, OTHER, ORDINARY + OTHER + some, ['{"name":"2024-01-31","id":3000000000}'] + some, ['{"name":null}'], [r'{"name":"\"ok\": \"ok","id":1}'], [r'{"name":"x\"ok","id":1}'],
+             ['{"name":"id","ok":true}'], ['{"name":"ok","id":1}', '{"ok":null}'], ['{"id":1}', '{"name":5}'], [control, *ORDINARY]]
+    fast = [results(f) for f in feeds] + [results([control], allowUnquotedControlChars="true")]
+    monkeypatch.setattr("feedquality.sources.staged.ordinary_line", lambda schema: None)
+    assert [results(f) for f in feeds] + [results([control], allowUnquotedControlChars="true")] == fast
